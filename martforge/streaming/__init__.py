@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The source job is a batch ETL that runs top to bottom once; it has no
+watermark, event-time window, state or late-data rule.  Its "sessions" are
+visitor-days by calendar date, computed in batch (``plans.web``).  This
+package stays empty on purpose rather than inventing streaming operators.
+"""
