@@ -6,10 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import web
+from martforge.plans import activity, web
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {
     "web_daily_attribution": web.web_daily_attribution,
+    "fill_down_up": web.fill_down_up,
+    "fill_down_then_up": web.fill_down_then_up,
+    "landing_value": web.landing_value,
+    "mode_first_seen": web.mode_first_seen,
+    "stage_change_points": web.stage_change_points,
+    "anti_join_exclusions": activity.anti_join_exclusions,
+    "top_k_by_count": activity.top_k_by_count_q,
+    "not_like_keep_null": activity.not_like_keep_null,
+    "inner_same_day": activity.inner_same_day,
+    "first_contact_min": activity.first_contact_min,
+    "strict_min_max": activity.strict_min_max,
+    "engagement_summary": activity.engagement_summary,
+    "pivot_counts": activity.pivot_counts,
+    "pivot_first_ts": activity.pivot_first_ts,
+    "null_flags": activity.null_flags,
+    "hours_between": activity.hours_between_q,
+    "minute_trunc": activity.minute_trunc_q,
+    "epoch_ms": activity.epoch_ms,
+    "date_spine_weeks": activity.date_spine_weeks,
+    "fill_by_type": activity.fill_by_type_q,
+    "lookup_top_k": activity.lookup_top_k,
+    "union_all_tagged": activity.union_all_tagged,
+    "daily_activity_detail": activity.daily_activity_detail,
 }

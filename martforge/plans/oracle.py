@@ -60,3 +60,184 @@ FROM landing l
 JOIN best m ON m.day = l.day AND m.user_id = l.user_id AND m.name = 'medium' AND m.rk = 1
 JOIN best t ON t.day = l.day AND t.user_id = l.user_id AND t.name = 'event_type' AND t.rk = 1
 """
+
+_ME = f"SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS day, {MEDIUM_SQL} AS medium FROM events"
+
+ORACLE["fill_down_up"] = f"""
+WITH e AS ({_ME})
+SELECT event_id, user_id, day, coalesce(
+  last_value(medium IGNORE NULLS) OVER (PARTITION BY user_id, day ORDER BY ts, event_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(medium IGNORE NULLS) OVER (PARTITION BY user_id, day ORDER BY ts, event_id
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS medium
+FROM e
+"""
+
+ORACLE["fill_down_then_up"] = f"""
+WITH e AS ({_ME}),
+d AS (SELECT *, last_value(medium IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m_down FROM e)
+SELECT event_id, user_id, day,
+       coalesce(m_down, first_value(m_down IGNORE NULLS) OVER (PARTITION BY user_id, day ORDER BY ts, event_id
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS medium
+FROM d
+"""
+
+ORACLE["landing_value"] = f"""
+WITH e AS ({_ME}),
+r AS (SELECT *, row_number() OVER (PARTITION BY day, user_id ORDER BY ts, event_id) AS pos FROM e)
+SELECT day, user_id, medium AS landing_medium FROM r WHERE pos = 1
+"""
+
+ORACLE["mode_first_seen"] = f"""
+WITH e AS ({_ME}),
+r AS (SELECT *, row_number() OVER (PARTITION BY day, user_id ORDER BY ts, event_id) AS pos FROM e),
+c AS (SELECT day, user_id, medium, count(*) AS n, min(pos) AS fp FROM r GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY day, user_id ORDER BY (medium IS NULL), n DESC, fp) AS rk FROM c)
+SELECT day, user_id, medium AS mode_medium FROM b WHERE rk = 1
+"""
+
+ORACLE["stage_change_points"] = """
+WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_type <> 'error' THEN event_type END AS stage FROM events),
+l AS (SELECT *, lag(stage, 1, '1') OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM e)
+SELECT event_id, user_id, ts, stage FROM l WHERE stage <> prev
+"""
+
+ORACLE["anti_join_exclusions"] = """
+WITH ev AS (SELECT event_id, CASE WHEN user_id <> 0 THEN user_id END AS visitor, event_type, value FROM events),
+top AS (SELECT visitor FROM ev GROUP BY visitor ORDER BY count(*) DESC, visitor ASC NULLS FIRST LIMIT 5),
+excl AS (SELECT visitor FROM top
+         UNION SELECT CAST(v AS BIGINT) FROM (VALUES (NULL), (1), (2)) t(v)
+         UNION SELECT visitor FROM ev WHERE event_type = 'error' AND value > 150)
+SELECT event_id, visitor FROM ev
+WHERE NOT EXISTS (SELECT 1 FROM excl WHERE excl.visitor IS NOT DISTINCT FROM ev.visitor)
+"""
+
+ORACLE["top_k_by_count"] = """
+SELECT user_id, count(*) AS pv FROM events GROUP BY user_id ORDER BY pv DESC, user_id LIMIT 100
+"""
+
+ORACLE["not_like_keep_null"] = """
+SELECT event_id, t FROM (SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS t FROM events)
+WHERE NOT coalesce(regexp_matches(t, 'err', 'i'), false) AND (t IS NULL OR t NOT IN ('signup'))
+"""
+
+ORACLE["inner_same_day"] = """
+WITH ev AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+v AS (SELECT DISTINCT day, user_id FROM ev WHERE event_type = 'view')
+SELECT v.day, v.user_id, b.event_id
+FROM v JOIN ev b ON b.event_type = 'purchase' AND b.day = v.day AND b.user_id = v.user_id
+"""
+
+ORACLE["first_contact_min"] = """
+SELECT user_id, min(ts) AS first_event,
+       min(ts) FILTER (WHERE event_type = 'purchase' AND value > 150) AS first_big_purchase
+FROM events GROUP BY user_id
+"""
+
+ORACLE["strict_min_max"] = """
+WITH e AS (SELECT user_id, CASE WHEN NOT (event_type = 'error' AND value > 200) THEN value END AS v FROM events)
+SELECT user_id, CASE WHEN count(v) = count(*) THEN min(v) END AS min_v,
+       CASE WHEN count(v) = count(*) THEN max(v) END AS max_v
+FROM e GROUP BY user_id
+"""
+
+ORACLE["engagement_summary"] = """
+WITH ev AS (SELECT *, CASE WHEN event_type <> 'view' THEN event_type END AS t FROM events),
+pu AS (SELECT user_id, count(*) AS n_events, min(ts) AS first_ts FROM ev GROUP BY user_id)
+SELECT pu.user_id, pu.n_events, pu.first_ts,
+       count(*) FILTER (WHERE ev.event_type = 'purchase') AS n_purchase,
+       count(ev.t) AS n_typed,
+       CASE WHEN count(ev.t) = count(*) THEN CAST(sum(CAST(ev.t = 'click' AS INTEGER)) AS BIGINT) END AS click_flags,
+       round_even((epoch_us(min(ev.ts) FILTER (WHERE ev.event_type = 'purchase')) - epoch_us(pu.first_ts)) / 3.6e9, 1)
+         AS hours_to_purchase
+FROM pu JOIN ev ON ev.user_id = pu.user_id
+GROUP BY pu.user_id, pu.n_events, pu.first_ts
+"""
+
+ORACLE["pivot_counts"] = """
+SELECT user_id,
+       count(*) FILTER (WHERE event_type = 'click') AS click,
+       count(*) FILTER (WHERE event_type = 'error') AS error,
+       count(*) FILTER (WHERE event_type = 'purchase') AS purchase,
+       count(*) FILTER (WHERE event_type = 'signup') AS signup,
+       count(*) FILTER (WHERE event_type = 'view') AS view
+FROM events GROUP BY user_id
+"""
+
+_PFT = """
+SELECT user_id, min(ts) FILTER (WHERE event_type = 'signup') AS first_signup,
+       min(ts) FILTER (WHERE event_type = 'purchase') AS first_purchase
+FROM events WHERE value > 100 GROUP BY user_id
+"""
+ORACLE["pivot_first_ts"] = _PFT
+
+ORACLE["null_flags"] = f"""
+WITH p AS ({_PFT}), f AS (
+  SELECT user_id, CAST(first_signup IS NULL AS INTEGER) + CAST(first_purchase IS NULL AS INTEGER) AS na FROM p)
+SELECT user_id, CASE WHEN na = 2 THEN 0 ELSE 1 END AS scheduled_meeting,
+       CASE WHEN na < 2 THEN 1 ELSE 0 END AS engaged_contact,
+       CASE WHEN na = 2 THEN 1 ELSE 0 END AS no_outreach
+FROM f
+"""
+
+ORACLE["hours_between"] = """
+SELECT user_id, round_even((epoch_us(max(ts)) - epoch_us(min(ts))) / 3.6e9, 1) AS active_hours
+FROM events GROUP BY user_id
+"""
+
+ORACLE["minute_trunc"] = "SELECT event_id, date_trunc('minute', ts) AS ts_minute FROM events"
+
+ORACLE["epoch_ms"] = """
+SELECT event_id, epoch_us(ts) // 1000 AS epoch_ms, make_timestamp(((epoch_us(ts) // 1000) // 1000) * 1000000) AS ts_second
+FROM events
+"""
+
+ORACLE["date_spine_weeks"] = """
+WITH b AS (SELECT min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) AS e FROM events),
+d AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+      FROM b)
+SELECT CAST(date_trunc('week', day) AS DATE) AS report_week, count(*) AS days FROM d GROUP BY 1
+"""
+
+ORACLE["fill_by_type"] = """
+SELECT event_id, user_id,
+       coalesce(CASE WHEN event_type <> 'error' THEN value END, 0) AS v,
+       coalesce(CASE WHEN event_type <> 'view' THEN event_type END, 'Not Specified') AS t,
+       coalesce(CASE WHEN value <= 100 THEN props END, 'unknown') AS p
+FROM events
+"""
+
+ORACLE["lookup_top_k"] = """
+WITH top AS (SELECT user_id, count(*) AS pv FROM events GROUP BY user_id ORDER BY pv DESC, user_id LIMIT 100)
+SELECT top.user_id, top.pv, c.c_mktsegment
+FROM top JOIN customer c ON c.c_custkey = top.user_id
+WHERE regexp_matches(c.c_mktsegment, 'build|auto', 'i')
+"""
+
+ORACLE["union_all_tagged"] = """
+SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, 'orders' AS source FROM orders
+UNION ALL
+SELECT event_id AS id, CAST(ts AS DATE) AS day, 'events' AS source FROM events
+"""
+
+ORACLE["daily_activity_detail"] = """
+WITH ev AS (
+  SELECT ts, user_id, CASE event_type WHEN 'click' THEN 'Email' WHEN 'purchase' THEN 'Call'
+                                       WHEN 'signup' THEN 'Meeting' END AS engagement_type
+  FROM events),
+c AS (
+  SELECT c_custkey AS user_id,
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Not Specified'
+              WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS loc,
+         CASE WHEN c_acctbal > 5000 THEN 'Team' END AS prod
+  FROM customer),
+g AS (
+  SELECT CAST(ev.ts AS DATE) AS engagement_date, ev.engagement_type, c.loc, c.prod, count(*) AS engagements
+  FROM ev LEFT JOIN c ON c.user_id = ev.user_id
+  WHERE ev.engagement_type IN ('Email', 'Call')
+  GROUP BY 1, 2, 3, 4)
+SELECT engagement_date, engagement_type, coalesce(loc, 'Not Specified') AS hana_location,
+       coalesce(prod, 'Not Specified') AS hana_product, engagements
+FROM g
+"""

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from martforge.functions.dates import month_start, quarter_start, week_start, weekday_mon1
 from martforge.functions.rules import ladder
-from martforge.operators.fill import fill
-from martforge.operators.mode import modes
+from martforge.operators.fill import fill, first_in_group
+from martforge.operators.history import change_points
+from martforge.operators.mode import mode, modes
 from martforge.plans.common import event_day, events, hour_chunk, medium_of_event
 
 ORDER = ["ts", "event_id"]
@@ -58,3 +59,43 @@ def web_daily_attribution(spark: SparkSession, sf_dir: str, skew_safe: bool = Tr
         F.when(F.col("medium") == "paid", 1).otherwise(0).alias("true_paid"),
         weekday_mon1("day").alias("dau_day"), week_start("day").alias("week_start"),
         month_start("day").alias("month_start"), quarter_start("day").alias("quarter_start"))
+
+
+# ---------------------------------------------------------------- operator-level queries on events
+
+def _medium_events(spark, sf_dir) -> DataFrame:
+    return events(spark, sf_dir).withColumns({"day": event_day(), "medium": medium_of_event()})
+
+
+def fill_down_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medium filled down, then up, within each visitor-day."""
+    df = fill(_medium_events(spark, sf_dir), ["user_id", "day"], ORDER, ["medium"], "downup",
+              chunk=hour_chunk(), chunk_by=["user_id"])
+    return df.select("event_id", "user_id", "day", "medium")
+
+
+def fill_down_then_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medium filled down per visitor over all days, then up within the visitor-day."""
+    df = fill(_medium_events(spark, sf_dir), ["user_id"], ORDER, ["medium"], "down",
+              chunk=hour_chunk(), chunk_by=["user_id"])
+    df = fill(df, ["user_id", "day"], ORDER, ["medium"], "up", chunk=hour_chunk(), chunk_by=["user_id"])
+    return df.select("event_id", "user_id", "day", "medium")
+
+
+def landing_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medium of the first event of each visitor-day (a NULL first value stays NULL)."""
+    return first_in_group(_medium_events(spark, sf_dir), ["day", "user_id"], ORDER, "medium", "landing_medium")
+
+
+def mode_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most frequent medium per visitor-day; tie -> first seen; no medium -> NULL."""
+    return mode(_medium_events(spark, sf_dir), ["day", "user_id"], "medium", ORDER, out="mode_medium")
+
+
+def stage_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose stage differs from the previous row of the user (default '1');
+    a NULL stage row and the row after it drop out (three-valued comparison)."""
+    ev = events(spark, sf_dir).withColumn(
+        "stage", F.when(F.col("event_type") != "error", F.col("event_type")))
+    out = change_points(ev, ["user_id"], ORDER, "stage", default="1", chunk=hour_chunk())
+    return out.select("event_id", "user_id", "ts", "stage")
