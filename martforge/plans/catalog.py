@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import activity, web
+from martforge.plans import activity, crm, pages, spend, web
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,4 +35,33 @@ QUERIES: dict[str, QueryFn] = {
     "lookup_top_k": activity.lookup_top_k,
     "union_all_tagged": activity.union_all_tagged,
     "daily_activity_detail": activity.daily_activity_detail,
+    "latest_version": crm.latest_version_q,
+    "latest_version_distinct": crm.latest_version_distinct,
+    "latest_composite_key": crm.latest_composite_key,
+    "top_row_per_group": crm.top_row_per_group,
+    "latest_then_terminal": crm.latest_then_terminal,
+    "latest_then_aggregate": crm.latest_then_aggregate,
+    "stage_rollup": crm.stage_rollup,
+    "null_safe_left_join": crm.null_safe_left_join_q,
+    "star_join": crm.star_join,
+    "two_role_join": crm.two_role_join,
+    "on_clause_constant": crm.on_clause_constant,
+    "membership_join": crm.membership_join,
+    "count_distinct_having": crm.count_distinct_having,
+    "string_agg_distinct": crm.string_agg_distinct_q,
+    "code_map_two_else": crm.code_map_two_else,
+    "calendar_columns": crm.calendar_columns_q,
+    "concat_forms": crm.concat_forms,
+    "literal_table_join": crm.literal_table_join,
+    "cond_sum": crm.cond_sum,
+    "sentinel_row": crm.sentinel_row,
+    "fanout_join": crm.fanout_join,
+    "composite_left_join": crm.composite_left_join,
+    "or_and_precedence": crm.or_and_precedence,
+    "similar_to_class": crm.similar_to_class,
+    "spend_union": spend.spend_union,
+    "spend_allocation": spend.spend_allocation,
+    "url_split": pages.url_split,
+    "url_params": pages.url_params,
+    "distinct_dim_enrich": pages.distinct_dim_enrich,
 }

@@ -241,3 +241,251 @@ SELECT engagement_date, engagement_type, coalesce(loc, 'Not Specified') AS hana_
        coalesce(prod, 'Not Specified') AS hana_product, engagements
 FROM g
 """
+
+# ---------------------------------------------------------------- versioned tables, roll-ups, joins
+
+_M = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
+
+ORACLE["latest_version"] = """
+WITH o AS (SELECT *, CASE WHEN NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') THEN o_orderdate END
+                     AS version_ts FROM orders),
+r AS (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY version_ts DESC NULLS FIRST) AS pos FROM o)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, version_ts FROM r WHERE pos = 1
+"""
+
+ORACLE["latest_version_distinct"] = """
+WITH r AS (SELECT o_custkey, o_orderdate,
+                  rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST) AS pos FROM orders)
+SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS order_date FROM r WHERE pos = 1
+"""
+
+ORACLE["latest_composite_key"] = """
+WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
+                  rank() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_shipdate DESC NULLS FIRST) AS pos
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity FROM r WHERE pos = 1
+"""
+
+_TOP = """
+SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS pos FROM orders
+"""
+
+ORACLE["top_row_per_group"] = f"""
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM ({_TOP}) WHERE pos = 1
+"""
+
+ORACLE["latest_then_terminal"] = f"""
+SELECT o_custkey, CAST(o_orderdate AS DATE) AS close_date, o_orderstatus
+FROM ({_TOP}) WHERE pos = 1 AND o_orderstatus IN ('F', 'P')
+"""
+
+ORACLE["latest_then_aggregate"] = f"""
+WITH r AS (SELECT o_orderkey, o_custkey, o_orderpriority,
+                  rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST) AS pos FROM orders),
+l AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN ''
+                              WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS contract
+      FROM r WHERE pos = 1)
+SELECT contract, {_M.format("li.l_extendedprice")} AS billed,
+       CAST(sum(CASE WHEN li.l_linestatus = 'F' THEN CAST(li.l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+         AS paid,
+       count(*) AS n_lines
+FROM l JOIN lineitem li ON li.l_orderkey = l.o_orderkey
+WHERE contract IS NOT NULL AND contract <> ''
+GROUP BY contract
+"""
+
+ORACLE["stage_rollup"] = """
+WITH d AS (SELECT o_orderkey, concat_ws('-', o_orderstatus, o_orderpriority) AS stage_detail FROM orders)
+SELECT o_orderkey, stage_detail,
+       CASE WHEN stage_detail = 'F-5-LOW' THEN 'Closed Lost'
+            WHEN stage_detail = 'O-4-NOT SPECIFIED' THEN 'Negotiation/Proposal'
+            WHEN stage_detail = 'P-3-MEDIUM' THEN 'Touring'
+            WHEN regexp_matches(stage_detail, 'URGENT|HIGH') THEN stage_detail
+            ELSE 'Upper Funnel' END AS pipeline_stage
+FROM d
+"""
+
+ORACLE["null_safe_left_join"] = """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey > 10 THEN o_custkey END AS o_key FROM orders),
+c AS (SELECT CASE WHEN c_custkey <> 1 THEN c_custkey END AS c_key, c_name FROM customer)
+SELECT o.o_orderkey, o.o_key, c.c_name FROM o LEFT JOIN c ON o.o_key IS NOT DISTINCT FROM c.c_key
+"""
+
+ORACLE["star_join"] = f"""
+SELECT r.r_name, n.n_name, c.c_mktsegment, count(*) AS orders, {_M.format("o.o_totalprice")} AS revenue
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE o.o_orderstatus <> 'O'
+GROUP BY 1, 2, 3
+"""
+
+ORACLE["two_role_join"] = """
+SELECT cn.n_name AS cust_nation, sn.n_name AS supp_nation, count(*) AS lines
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation cn ON c.c_nationkey = cn.n_nationkey
+JOIN nation sn ON s.s_nationkey = sn.n_nationkey
+GROUP BY 1, 2
+"""
+
+ORACLE["on_clause_constant"] = """
+SELECT c.c_custkey, c.c_name, n.n_name
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey AND n.n_regionkey = 1
+"""
+
+ORACLE["membership_join"] = """
+WITH m AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'
+           UNION ALL
+           SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000)
+SELECT o.o_orderkey, o.o_custkey FROM orders o JOIN m ON o.o_custkey = m.c_custkey
+"""
+
+ORACLE["count_distinct_having"] = """
+SELECT o_custkey, count(DISTINCT o_orderstatus) AS n_status
+FROM orders WHERE o_orderstatus IN ('F', 'O')
+GROUP BY o_custkey HAVING count(DISTINCT o_orderstatus) = 2
+"""
+
+ORACLE["string_agg_distinct"] = """
+WITH o AS (SELECT o_custkey, coalesce(nullif(o_orderpriority, '5-LOW'), 'NA') AS p FROM orders)
+SELECT o_custkey, string_agg(DISTINCT p, '; ' ORDER BY p) AS priorities FROM o GROUP BY o_custkey
+"""
+
+ORACLE["code_map_two_else"] = """
+SELECT o_orderkey,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'Busy' WHEN '2-HIGH' THEN 'Connected'
+                            WHEN '3-MEDIUM' THEN 'Left voicemail' ELSE 'Not Specified' END AS label_ns,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'Busy' WHEN '2-HIGH' THEN 'Connected'
+                            WHEN '3-MEDIUM' THEN 'Left voicemail' ELSE o_orderpriority END AS label_orig
+FROM orders
+"""
+
+ORACLE["calendar_columns"] = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
+       CAST(isodow(o_orderdate) AS INTEGER) AS order_wday,
+       CAST(date_trunc('week', o_orderdate) AS DATE) AS order_week,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
+       CAST(date_trunc('quarter', o_orderdate) AS DATE) AS order_quarter
+FROM orders
+"""
+
+ORACLE["concat_forms"] = """
+WITH c AS (SELECT c_custkey, c_name, nullif(c_mktsegment, 'HOUSEHOLD') AS seg FROM customer)
+SELECT c_custkey, concat_ws(';', c_name, seg) AS ws, 'Social(' || coalesce(lower(seg), 'NA') || ')' AS pasted FROM c
+"""
+
+ORACLE["literal_table_join"] = """
+SELECT c.c_custkey, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE n.n_name IN ('NATION_3', 'NATION_7', 'NATION_11')
+"""
+
+ORACLE["cond_sum"] = """
+SELECT c_nationkey,
+       CAST(sum(CASE WHEN c_acctbal < 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS discount,
+       CAST(sum(CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS gross
+FROM customer GROUP BY c_nationkey
+"""
+
+ORACLE["sentinel_row"] = """
+SELECT DISTINCT c.c_mktsegment AS segment, n.n_name AS nation, r.r_name AS region
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+UNION ALL
+SELECT 'Not Specified', 'Not Specified', 'Not Specified'
+"""
+
+ORACLE["fanout_join"] = f"""
+WITH cost AS (SELECT l_orderkey, l_suppkey, {_M.format("l_extendedprice")} AS cost FROM lineitem GROUP BY 1, 2)
+SELECT o.o_orderkey, cost.l_suppkey, o.o_orderdate, cost.cost FROM orders o JOIN cost ON o.o_orderkey = cost.l_orderkey
+"""
+
+ORACLE["composite_left_join"] = f"""
+WITH li AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS ship_date, l_quantity, l_returnflag FROM lineitem),
+s AS (SELECT l_partkey, ship_date, {_M.format("l_quantity")} AS qty FROM li GROUP BY 1, 2),
+r AS (SELECT l_partkey, ship_date, {_M.format("l_quantity")} AS returned_qty FROM li WHERE l_returnflag = 'R'
+      GROUP BY 1, 2)
+SELECT s.l_partkey, s.ship_date, s.qty, r.returned_qty
+FROM s LEFT JOIN r ON s.l_partkey = r.l_partkey AND s.ship_date = r.ship_date
+"""
+
+ORACLE["or_and_precedence"] = """
+SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%bolt%' OR p_brand = 'Brand#1' AND p_size < 10
+"""
+
+ORACLE["similar_to_class"] = """
+SELECT p_partkey, p_name,
+       CASE WHEN regexp_matches(lower(p_name), 'ring|gear') THEN 'Tour'
+            WHEN regexp_matches(lower(p_name), 'bolt|rod') THEN 'Call' END AS meeting_type
+FROM part WHERE regexp_matches(lower(p_name), 'ring|gear|bolt|rod')
+"""
+
+# ---------------------------------------------------------------- spend
+
+_LINES = """
+SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS campaign_date, p_name, l_quantity, l_extendedprice,
+       l_returnflag, l_discount
+FROM lineitem JOIN part ON l_partkey = p_partkey
+"""
+
+ORACLE["spend_union"] = f"""
+WITH l AS ({_LINES})
+SELECT 'A' AS source, campaign_date, p_name AS campaign_name, l_quantity AS clicks, l_extendedprice AS spend
+FROM l WHERE l_returnflag = 'A'
+UNION
+SELECT 'N', campaign_date, p_name, {_M.format("l_quantity")}, {_M.format("l_extendedprice")}
+FROM l WHERE l_returnflag = 'N' GROUP BY campaign_date, p_name
+UNION
+SELECT 'R', campaign_date, p_name, l_quantity, l_extendedprice FROM l WHERE l_returnflag = 'R'
+"""
+
+ORACLE["spend_allocation"] = f"""
+WITH l AS ({_LINES}),
+s AS (SELECT l_orderkey, l_linenumber, p_name AS campaign_name, campaign_date,
+             coalesce(CASE WHEN l_discount > 0 THEN l_extendedprice END, 0) AS spend FROM l),
+p AS (SELECT *,
+        CASE WHEN regexp_matches(campaign_name, 'ring', 'i') THEN 'Team'
+             WHEN regexp_matches(campaign_name, 'gear', 'i') THEN 'Meet'
+             WHEN regexp_matches(campaign_name, 'bolt', 'i') THEN 'Share' ELSE 'Non-Specific' END AS hana_product,
+        CASE WHEN regexp_matches(campaign_name, 'small', 'i') THEN 'Dallas'
+             WHEN regexp_matches(campaign_name, 'red', 'i') THEN 'Irvine'
+             WHEN regexp_matches(campaign_name, 'blue', 'i') THEN 'London' ELSE 'Non-Specific' END AS hana_market
+      FROM s)
+SELECT l_orderkey, l_linenumber, hana_product, hana_market,
+       CAST(date_trunc('week', campaign_date) AS DATE) AS spend_week,
+       CAST(date_trunc('month', campaign_date) AS DATE) AS spend_month, spend,
+       CASE WHEN hana_product = 'Team' THEN spend WHEN hana_product = 'Non-Specific'
+            THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END AS "Team",
+       CASE WHEN hana_product = 'Share' THEN spend WHEN hana_product = 'Non-Specific'
+            THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END AS "Share",
+       CASE WHEN hana_product = 'Meet' THEN spend WHEN hana_product = 'Non-Specific'
+            THEN spend * CAST(0.2 AS DOUBLE) ELSE 0.0 END AS "Meet"
+FROM p
+"""
+
+# ---------------------------------------------------------------- pages / URLs
+
+_HOST = r"lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1), ''))"
+
+ORACLE["url_split"] = """
+SELECT page_id, string_split(url, 'utm_source=')[1] AS url, string_split(url, 'utm_source=')[2] AS utm_tail FROM pages
+"""
+
+ORACLE["url_params"] = rf"""
+SELECT page_id, {_HOST} AS host,
+       nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS utm_source,
+       nullif(regexp_extract(url, '[?&]utm_medium=([^&#]*)', 1), '') AS utm_medium,
+       nullif(regexp_extract(url, '[?&]utm_campaign=([^&#]*)', 1), '') AS utm_campaign,
+       regexp_replace(url, '\?.*$', '') AS first_page
+FROM pages
+"""
+
+ORACLE["distinct_dim_enrich"] = rf"""
+WITH p AS (SELECT page_id, {_HOST} AS host FROM pages),
+d AS (SELECT DISTINCT host,
+        CASE WHEN regexp_matches(host, '^blog\.', 'i') THEN 'Blog'
+             WHEN regexp_matches(host, '^m\.', 'i') THEN 'Mobile'
+             WHEN regexp_matches(host, '\.org$', 'i') THEN 'Organisation' ELSE 'Web' END AS site_kind
+      FROM p)
+SELECT p.page_id, p.host, d.site_kind FROM p LEFT JOIN d ON p.host = d.host
+"""
