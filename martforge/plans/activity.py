@@ -167,10 +167,10 @@ def daily_activity_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     contacts = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", "c_acctbal"]).select(
         F.col("c_custkey").alias("user_id"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("Not Specified"))
-         .when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias("hana_location"),
-        F.when(F.col("c_acctbal") > 5000, F.lit("Team")).alias("hana_product"))
+         .when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias("location"),
+        F.when(F.col("c_acctbal") > 5000, F.lit("Suite")).alias("product"))
     df = ev.join(bounded_broadcast(contacts), "user_id", "left")
     df = df.where(F.col("engagement_type").isin("Email", "Call"))
-    g = df.groupBy(event_day().alias("engagement_date"), "engagement_type", "hana_location", "hana_product").agg(
+    g = df.groupBy(event_day().alias("engagement_date"), "engagement_type", "location", "product").agg(
         F.count(F.lit(1)).alias("engagements"))
-    return g.fillna({"hana_location": "Not Specified", "hana_product": "Not Specified"})
+    return g.fillna({"location": "Not Specified", "product": "Not Specified"})

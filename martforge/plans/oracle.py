@@ -230,15 +230,15 @@ c AS (
   SELECT c_custkey AS user_id,
          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Not Specified'
               WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS loc,
-         CASE WHEN c_acctbal > 5000 THEN 'Team' END AS prod
+         CASE WHEN c_acctbal > 5000 THEN 'Suite' END AS prod
   FROM customer),
 g AS (
   SELECT CAST(ev.ts AS DATE) AS engagement_date, ev.engagement_type, c.loc, c.prod, count(*) AS engagements
   FROM ev LEFT JOIN c ON c.user_id = ev.user_id
   WHERE ev.engagement_type IN ('Email', 'Call')
   GROUP BY 1, 2, 3, 4)
-SELECT engagement_date, engagement_type, coalesce(loc, 'Not Specified') AS hana_location,
-       coalesce(prod, 'Not Specified') AS hana_product, engagements
+SELECT engagement_date, engagement_type, coalesce(loc, 'Not Specified') AS location,
+       coalesce(prod, 'Not Specified') AS product, engagements
 FROM g
 """
 
@@ -444,22 +444,22 @@ WITH l AS ({_LINES}),
 s AS (SELECT l_orderkey, l_linenumber, p_name AS campaign_name, campaign_date,
              coalesce(CASE WHEN l_discount > 0 THEN l_extendedprice END, 0) AS spend FROM l),
 p AS (SELECT *,
-        CASE WHEN regexp_matches(campaign_name, 'ring', 'i') THEN 'Team'
-             WHEN regexp_matches(campaign_name, 'gear', 'i') THEN 'Meet'
-             WHEN regexp_matches(campaign_name, 'bolt', 'i') THEN 'Share' ELSE 'Non-Specific' END AS hana_product,
-        CASE WHEN regexp_matches(campaign_name, 'small', 'i') THEN 'Dallas'
-             WHEN regexp_matches(campaign_name, 'red', 'i') THEN 'Irvine'
-             WHEN regexp_matches(campaign_name, 'blue', 'i') THEN 'London' ELSE 'Non-Specific' END AS hana_market
+        CASE WHEN regexp_matches(campaign_name, 'ring', 'i') THEN 'Suite'
+             WHEN regexp_matches(campaign_name, 'gear', 'i') THEN 'Room'
+             WHEN regexp_matches(campaign_name, 'bolt', 'i') THEN 'Desk' ELSE 'Non-Specific' END AS product,
+        CASE WHEN regexp_matches(campaign_name, 'small', 'i') THEN 'North'
+             WHEN regexp_matches(campaign_name, 'red', 'i') THEN 'South'
+             WHEN regexp_matches(campaign_name, 'blue', 'i') THEN 'West' ELSE 'Non-Specific' END AS market
       FROM s)
-SELECT l_orderkey, l_linenumber, hana_product, hana_market,
+SELECT l_orderkey, l_linenumber, product, market,
        CAST(date_trunc('week', campaign_date) AS DATE) AS spend_week,
        CAST(date_trunc('month', campaign_date) AS DATE) AS spend_month, spend,
-       CASE WHEN hana_product = 'Team' THEN spend WHEN hana_product = 'Non-Specific'
-            THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END AS "Team",
-       CASE WHEN hana_product = 'Share' THEN spend WHEN hana_product = 'Non-Specific'
-            THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END AS "Share",
-       CASE WHEN hana_product = 'Meet' THEN spend WHEN hana_product = 'Non-Specific'
-            THEN spend * CAST(0.2 AS DOUBLE) ELSE 0.0 END AS "Meet"
+       CASE WHEN product = 'Suite' THEN spend WHEN product = 'Non-Specific'
+            THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END AS suite,
+       CASE WHEN product = 'Desk' THEN spend WHEN product = 'Non-Specific'
+            THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END AS desk,
+       CASE WHEN product = 'Room' THEN spend WHEN product = 'Non-Specific'
+            THEN spend * CAST(0.2 AS DOUBLE) ELSE 0.0 END AS room
 FROM p
 """
 

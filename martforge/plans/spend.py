@@ -15,11 +15,11 @@ from martforge.sources.io import read_table
 MONEY = "decimal(18,2)"
 
 # Campaign-name patterns -> product, in rule order (first match wins).
-PRODUCT_RULES = [("ring", "Team"), ("gear", "Meet"), ("bolt", "Share")]
+PRODUCT_RULES = [("ring", "Suite"), ("gear", "Room"), ("bolt", "Desk")]
 # Campaign-name patterns -> market, in rule order.
-MARKET_RULES = [("small", "Dallas"), ("red", "Irvine"), ("blue", "London")]
+MARKET_RULES = [("small", "North"), ("red", "South"), ("blue", "West")]
 # Share of unspecified spend per product.
-NON_SPECIFIC_SPLIT = {"Team": 0.4, "Share": 0.4, "Meet": 0.2}
+NON_SPECIFIC_SPLIT = {"Suite": 0.4, "Desk": 0.4, "Room": 0.2}
 
 
 def _campaign_lines(spark, sf_dir) -> DataFrame:
@@ -47,19 +47,19 @@ def spend_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def allocate_spend(df: DataFrame, name_col: str = "campaign_name", date_col: str = "campaign_date",
                    spend_col: str = "spend") -> DataFrame:
     """Numeric NULL -> 0, product / market from the campaign name, week / month,
-    and the spend split into Team / Share / Meet columns."""
+    and the spend split into suite / desk / room columns."""
     df = fill_by_type(df, numeric=0)
     df = df.withColumns({
-        "hana_product": regex_ladder(name_col, PRODUCT_RULES, default="Non-Specific"),
-        "hana_market": regex_ladder(name_col, MARKET_RULES, default="Non-Specific"),
+        "product": regex_ladder(name_col, PRODUCT_RULES, default="Non-Specific"),
+        "market": regex_ladder(name_col, MARKET_RULES, default="Non-Specific"),
         "spend_week": week_start(date_col),
         "spend_month": month_start(date_col),
     })
     spend = F.col(spend_col)
-    prod = F.col("hana_product")
+    prod = F.col("product")
     split = {}
     for product, share in NON_SPECIFIC_SPLIT.items():
-        split[product] = ladder([(prod == product, spend),
+        split[product.lower()] = ladder([(prod == product, spend),
                                  (prod == "Non-Specific", spend * F.lit(share))], default=F.lit(0.0))
     return df.withColumns(split)
 
@@ -70,5 +70,5 @@ def spend_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.to_date("l_shipdate").alias("campaign_date"),
                       F.when(F.col("l_discount") > 0, F.col("l_extendedprice")).alias("spend"))
     out = allocate_spend(df)
-    return out.select("l_orderkey", "l_linenumber", "hana_product", "hana_market", "spend_week", "spend_month",
-                      "spend", "Team", "Share", "Meet")
+    return out.select("l_orderkey", "l_linenumber", "product", "market", "spend_week", "spend_month",
+                      "spend", "suite", "desk", "room")
