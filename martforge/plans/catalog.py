@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import activity, crm, pages, spend, web
+from martforge.plans import activity, crm, pages, spend, web, web_marts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -64,4 +64,7 @@ QUERIES: dict[str, QueryFn] = {
     "url_split": pages.url_split,
     "url_params": pages.url_params,
     "distinct_dim_enrich": pages.distinct_dim_enrich,
+    "attributed_pageviews": web_marts.attributed_pageviews_q,
+    "daily_visitors": web_marts.daily_visitors_q,
+    "form_conversions": web_marts.form_conversions_q,
 }

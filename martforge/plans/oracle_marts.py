@@ -1,0 +1,162 @@
+"""DuckDB oracles of the marts run on adapted driver tables.
+
+Each oracle repeats the adapter derivation (``sources.adapters``) in SQL and
+then the mart logic, independently of the Spark code.
+"""
+
+from __future__ import annotations
+
+from martforge.plans.oracle import ORACLE
+
+_HOST = r"lower(nullif(regexp_extract({c}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1), ''))"
+
+
+def _m(pat: str, col: str, ci: bool = True) -> str:
+    flag = ", 'i'" if ci else ""
+    return f"coalesce(regexp_matches({col}, '{pat}'{flag}), false)"
+
+
+_RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_ALL = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+_VD = "PARTITION BY anonymous_id, seg_date ORDER BY original_timestamp, id"
+
+WEB_SOURCES = rf"""
+n AS (SELECT max(page_id) + 1 AS n FROM pages),
+pv AS (
+  SELECT CAST(e.event_id AS VARCHAR) AS id, e.ts AS original_timestamp,
+         '10.0.0.' || CAST(e.user_id % 120 AS VARCHAR) AS context_ip,
+         CASE WHEN e.event_type = 'purchase' THEN 'cpc' END AS context_campaign_medium,
+         CASE WHEN e.event_type = 'purchase' THEN 'newsletter' END AS context_campaign_source,
+         CASE WHEN e.event_type = 'purchase' THEN 'promo ' || CAST(p.page_id AS VARCHAR) END AS context_campaign_name,
+         CASE WHEN e.event_type = 'click' THEN 'https://www.search.example/'
+              WHEN e.event_type = 'signup' THEN 'https://parent.example/home'
+              WHEN e.event_type <> 'view' THEN p.url END AS referrer,
+         regexp_extract(p.url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1) AS path,
+         CASE WHEN e.event_type = 'click' AND e.value > 100
+              THEN p.url || CASE WHEN contains(p.url, '?') THEN '&' ELSE '?' END || 'gclid=G'
+                   || CAST(e.event_id % 7 AS VARCHAR)
+              ELSE p.url END AS url,
+         CAST(NULL AS VARCHAR) AS user_id,
+         CASE WHEN e.event_type = 'error' THEN '404 Not Found'
+              ELSE upper(substr(e.event_type, 1, 1)) || lower(substr(e.event_type, 2)) END AS title,
+         CAST(e.user_id AS VARCHAR) AS anonymous_id,
+         CASE WHEN e.value > 200 THEN 'ExampleBot/2.1' WHEN e.user_id % 37 = 0 THEN 'Ads-Overview'
+              ELSE 'Browser/' || CAST(e.user_id % 5 AS VARCHAR) END AS context_user_agent
+  FROM events e JOIN pages p ON e.event_id % (SELECT n FROM n) = p.page_id),
+internal AS (SELECT DISTINCT '10.0.0.' || CAST(user_id % 120 AS VARCHAR) AS context_ip FROM events
+             WHERE event_type = 'error' AND value > 200),
+ipo AS (SELECT i.context_ip, c.c_mktsegment AS org FROM (SELECT DISTINCT context_ip FROM pv) i
+        JOIN customer c ON CAST(split_part(i.context_ip, '.', 4) AS BIGINT) = c.c_custkey),
+ua AS (SELECT userAgent,
+              CASE WHEN contains(userAgent, 'Bot') THEN 'ExampleBot' ELSE regexp_extract(userAgent, '^([^/]+)', 1)
+              END AS ua_family,
+              CASE WHEN contains(userAgent, 'Bot') THEN 'Spider' ELSE 'Other' END AS device_family,
+              CAST(NULL AS VARCHAR) AS device_brand, CAST(NULL AS VARCHAR) AS device_model,
+              'Other' AS os_family, regexp_extract(userAgent, '/([0-9]+)', 1) AS os_major
+       FROM (SELECT DISTINCT context_user_agent AS userAgent FROM pv)),
+click_ids AS (SELECT DISTINCT 'G' || CAST(event_id % 7 AS VARCHAR) AS gcl_id FROM events
+              WHERE event_type = 'click' AND value > 100),
+clicks AS (SELECT gcl_id FROM click_ids UNION ALL SELECT gcl_id FROM click_ids WHERE gcl_id = 'G0'),
+forms AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, ts AS original_timestamp, '/contact' AS context_page_path,
+         'https://site.example/contact' AS context_page_url, CAST(user_id AS VARCHAR) AS anonymous_id,
+         CAST(NULL AS VARCHAR) AS digital_tracking_code, 'contact form' AS form_name,
+         CASE WHEN event_type = 'signup' THEN 'lead_form_viewed' ELSE 'lead_form_submitted' END AS event
+  FROM events WHERE event_type IN ('signup', 'purchase'))
+"""
+
+PAGEVIEWS = rf"""
+test_ips AS (SELECT DISTINCT context_ip FROM pv
+             WHERE {_m('qa-|staging|localhost', 'referrer')} OR {_m('qa', 'path')} OR {_m('localhost', 'url')}),
+top AS (SELECT context_ip FROM pv GROUP BY context_ip ORDER BY count(*) DESC, context_ip ASC NULLS FIRST LIMIT 100),
+top_org AS (SELECT t.context_ip FROM top t JOIN ipo ON ipo.context_ip = t.context_ip WHERE {_m('building', 'ipo.org')}),
+excl AS (SELECT context_ip FROM internal UNION SELECT context_ip FROM test_ips UNION SELECT context_ip FROM top_org),
+s1 AS (SELECT * FROM pv WHERE NOT {_m('404', 'title')}
+       AND NOT EXISTS (SELECT 1 FROM excl WHERE excl.context_ip IS NOT DISTINCT FROM pv.context_ip)),
+s2 AS (SELECT s1.*, ua.ua_family, ua.device_family, ua.device_brand, ua.device_model, ua.os_family, ua.os_major
+       FROM s1 LEFT JOIN ua ON s1.context_user_agent IS NOT DISTINCT FROM ua.userAgent
+       WHERE NOT {_m('bot|crawl|spider', 'ua.ua_family')} AND NOT {_m('Ads-Overview', 's1.context_user_agent', False)}),
+s3 AS (SELECT * REPLACE (string_split(url, 'gclid=')[1] AS url), string_split(url, 'gclid=')[2] AS gcl_id FROM s2),
+s4 AS (SELECT s3.* FROM s3 LEFT JOIN clicks c ON s3.gcl_id = c.gcl_id),
+s5 AS (SELECT *, CAST(original_timestamp AS DATE) AS seg_date,
+         CASE WHEN referrer IS NULL THEN 'none' ELSE {_HOST.format(c='referrer')} END AS host,
+         coalesce(context_campaign_name, nullif(regexp_extract(url, '[?&]utm_campaign=([^&#]*)', 1), ''),
+                  CASE WHEN gcl_id IS NOT NULL THEN 'not captured' END) AS cn,
+         coalesce(context_campaign_medium, nullif(regexp_extract(url, '[?&]utm_medium=([^&#]*)', 1), ''),
+                  CASE WHEN gcl_id IS NOT NULL THEN 'cpc' END) AS cm,
+         coalesce(context_campaign_source, nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), ''),
+                  CASE WHEN gcl_id IS NOT NULL THEN 'google' END) AS cs
+       FROM s4),
+f1 AS (SELECT *,
+         coalesce(last_value(cm IGNORE NULLS) OVER ({_VD} {_RUN}), first_value(cm IGNORE NULLS) OVER ({_VD} {_ALL})) AS m1,
+         coalesce(last_value(cs IGNORE NULLS) OVER ({_VD} {_RUN}), first_value(cs IGNORE NULLS) OVER ({_VD} {_ALL}))
+           AS campaign_source,
+         coalesce(last_value(cn IGNORE NULLS) OVER ({_VD} {_RUN}), first_value(cn IGNORE NULLS) OVER ({_VD} {_ALL}))
+           AS campaign_name
+       FROM s5),
+f2 AS (SELECT *, CASE WHEN m1 IS NULL AND {_m('yahoo|bing|duckduckgo|google|search\\.example', 'host')}
+                      THEN 'organic' ELSE m1 END AS m2 FROM f1),
+f3 AS (SELECT *, coalesce(last_value(m2 IGNORE NULLS) OVER ({_VD} {_RUN}),
+                          first_value(m2 IGNORE NULLS) OVER ({_VD} {_ALL})) AS m3 FROM f2),
+f4 AS (SELECT *, CASE WHEN {_m('paid|ppc|cpc', 'm3')} THEN 'paid'
+                      WHEN m3 = 'organic' THEN 'organic'
+                      WHEN m3 IS NOT NULL THEN 'other'
+                      WHEN m3 IS NULL AND host = 'none' THEN 'direct'
+                      WHEN m3 IS NULL AND {_m('parent\\.example', 'host')} THEN 'referral (internal)'
+                      WHEN m3 IS NULL AND {_m('\\.example\\.org', 'host')} THEN NULL
+                      WHEN m3 IS NULL THEN 'referral'
+                      ELSE 'other' END AS m4 FROM f3),
+f5 AS (SELECT *, last_value(m4 IGNORE NULLS) OVER (PARTITION BY anonymous_id ORDER BY original_timestamp, id {_RUN})
+                 AS m5 FROM f4),
+f6 AS (SELECT *, coalesce(m5, first_value(m5 IGNORE NULLS) OVER ({_VD} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+                 AS m6,
+              first_value(url) OVER ({_VD} {_ALL}) AS landing_content FROM f5),
+pve AS (SELECT id, anonymous_id, seg_date, original_timestamp, host, path, url, coalesce(m6, 'unknown') AS campaign_medium,
+               campaign_source, campaign_name, landing_content, ua_family, device_family, device_brand, device_model,
+               os_family, os_major FROM f6)
+"""
+
+ORACLE["attributed_pageviews"] = f"WITH {WEB_SOURCES}, {PAGEVIEWS} SELECT * FROM pve"
+
+_MODE_COLS = ["campaign_medium", "campaign_source", "campaign_name", "city", "location_id", "product"]
+_GK = "seg_date, anonymous_id, landing_content"
+
+DAILY = rf"""
+d AS (SELECT *,
+        CASE WHEN {_m('/fr/', 'path')} THEN 'Paris' WHEN {_m('/de/', 'path')} THEN 'Berlin'
+             WHEN {_m('/es/', 'path')} THEN 'Madrid' END AS city,
+        CASE WHEN {_m('/fr/[0-4]', 'path')} THEN 'FR-1' WHEN {_m('/fr/', 'path')} THEN 'FR-2'
+             WHEN {_m('/de/', 'path')} THEN 'DE-1' END AS location_id,
+        CASE WHEN {_m('promo', 'campaign_name')} OR {_m('promo', 'path')} THEN 'Suite'
+             WHEN {_m('\\.html', 'campaign_name')} OR {_m('\\.html', 'path')} THEN 'Desk'
+             WHEN {_m('/es/', 'campaign_name')} OR {_m('/es/', 'path')} THEN 'Room' END AS product,
+        row_number() OVER (PARTITION BY {_GK} ORDER BY original_timestamp, id) AS pos
+      FROM pve),
+cnt AS ({' UNION ALL '.join(f"SELECT {_GK}, '{c}' AS name, {c} AS v, count(*) AS n, min(pos) AS fp FROM d GROUP BY ALL"
+                            for c in _MODE_COLS)}),
+best AS (SELECT *, row_number() OVER (PARTITION BY {_GK}, name ORDER BY (v IS NULL), n DESC, fp) AS rk FROM cnt),
+dau AS (
+  SELECT seg_date AS dau_date, anonymous_id, landing_content,
+         {', '.join(f"max(v) FILTER (WHERE name = '{c}') AS {c}" for c in _MODE_COLS)}
+  FROM best WHERE rk = 1 GROUP BY {_GK}),
+dau_out AS (
+  SELECT dau_date, anonymous_id, landing_content, campaign_medium, campaign_source, campaign_name, city,
+         location_id AS unit, product AS product_orig,
+         CASE WHEN campaign_medium = 'paid' THEN 1 ELSE 0 END AS true_paid,
+         CAST(isodow(dau_date) AS INTEGER) AS dau_day,
+         CAST(date_trunc('week', dau_date) AS DATE) AS week_start,
+         CAST(date_trunc('month', dau_date) AS DATE) AS month_start,
+         CAST(date_trunc('quarter', dau_date) AS DATE) AS quarter_start
+  FROM dau)
+"""
+
+ORACLE["daily_visitors"] = f"WITH {WEB_SOURCES}, {PAGEVIEWS}, {DAILY} SELECT * FROM dau_out"
+
+ORACLE["form_conversions"] = f"""
+WITH {WEB_SOURCES}, {PAGEVIEWS}, {DAILY},
+fu AS (SELECT DISTINCT * FROM forms)
+SELECT v.dau_date, v.anonymous_id, f.id, f.original_timestamp, f.context_page_path, f.context_page_url,
+       f.digital_tracking_code, f.form_name, f.event
+FROM dau_out v JOIN fu f ON CAST(f.original_timestamp AS DATE) IS NOT DISTINCT FROM v.dau_date
+                        AND f.anonymous_id IS NOT DISTINCT FROM v.anonymous_id
+"""
