@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import activity, crm, pages, spend, web, web_marts
+from martforge.plans import activity, crm, crm_marts, pages, spend, web, web_marts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -67,4 +67,6 @@ QUERIES: dict[str, QueryFn] = {
     "attributed_pageviews": web_marts.attributed_pageviews_q,
     "daily_visitors": web_marts.daily_visitors_q,
     "form_conversions": web_marts.form_conversions_q,
+    "deal_stage_history": crm_marts.deal_stage_history_q,
+    "deal_mart": crm_marts.deal_mart_q,
 }

@@ -160,3 +160,164 @@ SELECT v.dau_date, v.anonymous_id, f.id, f.original_timestamp, f.context_page_pa
 FROM dau_out v JOIN fu f ON CAST(f.original_timestamp AS DATE) IS NOT DISTINCT FROM v.dau_date
                         AND f.anonymous_id IS NOT DISTINCT FROM v.anonymous_id
 """
+
+# ---------------------------------------------------------------- CRM: stage history and deal mart
+
+_HS_LABEL = ("CASE event_type WHEN 'signup' THEN 'Tour Scheduled' WHEN 'view' THEN 'Qualified - Local Fill Opportunity' "
+             "WHEN 'click' THEN 'Contract Negotiation' WHEN 'purchase' THEN 'Closed Won' WHEN 'error' THEN 'Cold/Dead' END")
+_CRM_LABEL = ("CASE event_type WHEN 'signup' THEN 'Touring' WHEN 'view' THEN 'Prospecting' "
+              "WHEN 'click' THEN 'Negotiation/Proposal' WHEN 'purchase' THEN 'Closed Won' WHEN 'error' THEN 'Closed Lost' END")
+_RT = ("CASE {c} WHEN 'FURNITURE' THEN 'Broker-Led' WHEN 'MACHINERY' THEN 'Enterprise' "
+       "WHEN 'HOUSEHOLD' THEN 'Partner' ELSE 'Local Fill' END")
+
+DEAL_HISTORY = rf"""
+ph AS (SELECT user_id + 100000 AS deal_id,
+              CASE WHEN value < 19 THEN 'deal_pipeline_stage_id' ELSE 'dealname' END AS name,
+              'st_' || event_type AS value, ts AS timestamp FROM events WHERE value < 20),
+types AS (SELECT DISTINCT event_type FROM events),
+stages AS (SELECT 'st_' || event_type AS stage_id, 'default' AS pipeline_id, {_HS_LABEL} AS label FROM types
+           UNION ALL SELECT 'st_' || event_type, 'other', upper(event_type) FROM types),
+hs AS (SELECT ph.deal_id, date_trunc('minute', ph.timestamp) AS date_created, s.label AS pipeline_stage
+       FROM ph JOIN stages s ON ph.value = s.stage_id AND s.pipeline_id = 'default'
+       WHERE ph.name = 'deal_pipeline_stage_id'),
+imp AS (SELECT 'OPP' || CAST(user_id AS VARCHAR) AS sid,
+               user_id + CASE WHEN value < 300 THEN 100000 ELSE 200000 END AS hid, ts AS synced FROM events),
+syn AS (SELECT sid, hid FROM (SELECT *, rank() OVER (PARTITION BY sid ORDER BY synced DESC NULLS FIRST) AS pos FROM imp)
+        WHERE pos = 1),
+oh AS (SELECT 'OPP' || CAST(user_id AS VARCHAR) AS opportunity_id, ts AS created_date,
+              CASE WHEN value <= 250 THEN {_CRM_LABEL} END AS stage_name, value > 480 AS is_deleted
+       FROM events WHERE value >= 20),
+op AS (SELECT 'OPP' || CAST(c_custkey AS VARCHAR) AS id, 'RT_' || c_mktsegment AS record_type_id FROM customer),
+rt AS (SELECT 'RT_' || seg AS id, {_RT.format(c='seg')} AS name, 'Opportunity' AS sobject_type
+       FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer)),
+crm AS (SELECT oh.opportunity_id, oh.created_date, oh.stage_name FROM oh
+        JOIN op ON oh.opportunity_id = op.id
+        JOIN rt ON op.record_type_id = rt.id AND rt.sobject_type = 'Opportunity'
+                AND rt.name IN ('Local Fill', 'Broker-Led', 'Enterprise')
+        WHERE oh.is_deleted IS false),
+hboth AS (SELECT syn.sid AS opportunity_id, hs.date_created AS created_date, hs.pipeline_stage AS pipeline_stage_detail,
+                 'HS' AS source FROM hs JOIN syn ON hs.deal_id = syn.hid
+          UNION ALL SELECT opportunity_id, created_date, stage_name, 'SFDC' FROM crm),
+hlag AS (SELECT *, lag(pipeline_stage_detail, 1, '1') OVER (PARTITION BY opportunity_id
+           ORDER BY created_date NULLS FIRST, source NULLS FIRST, pipeline_stage_detail NULLS FIRST) AS prev FROM hboth),
+hist AS (
+  SELECT opportunity_id, created_date AS stage_date, pipeline_stage_detail, source,
+         CASE WHEN pipeline_stage_detail = 'Cold/Dead' THEN 'Closed Lost'
+              WHEN pipeline_stage_detail = 'Contract Negotiation' THEN 'Negotiation/Proposal'
+              WHEN pipeline_stage_detail = 'Tour Scheduled' THEN 'Touring'
+              WHEN regexp_matches(pipeline_stage_detail,
+                   '(Qualified - Local Fill Opportunity|Touring|Negotiation/Proposal|Contract Sent|Closed Won|Closed Lost)')
+                THEN pipeline_stage_detail
+              ELSE 'Upper Funnel' END AS pipeline_stage
+  FROM hlag WHERE pipeline_stage_detail <> prev)
+"""
+
+ORACLE["deal_stage_history"] = f"WITH {DEAL_HISTORY} SELECT * FROM hist"
+
+_D = "CAST(2.0 AS DOUBLE)"
+DEAL_MART = rf"""
+hlast AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY opportunity_id
+                                   ORDER BY stage_date DESC, pipeline_stage DESC) AS rn FROM hist) WHERE rn = 1),
+closed AS (SELECT opportunity_id AS id, stage_date AS close_date FROM hlast
+           WHERE pipeline_stage IN ('Closed Lost', 'Closed Won')),
+hsd AS (SELECT o_custkey + 100000 AS deal_id, max(o_totalprice) AS property_amount FROM orders GROUP BY o_custkey),
+amounts AS (SELECT syn.sid AS salesforce_opportunity_id, hsd.property_amount AS hs_monthly_amount
+            FROM hsd JOIN syn ON hsd.deal_id = syn.hid),
+roles AS (SELECT 'OPP' || CAST(o_custkey AS VARCHAR) AS opportunity_id,
+                 CASE WHEN o_orderpriority = '1-URGENT' THEN 'Broker Contact' ELSE 'Decision Maker' END AS role,
+                 CASE WHEN o_orderstatus = 'F' THEN 'Unknown'
+                      WHEN o_orderstatus = 'O' THEN 'Acct ' || CAST(o_orderkey % 5 AS VARCHAR) END AS account,
+                 'Contact ' || CAST(o_orderkey % 3 AS VARCHAR) AS name FROM orders),
+brokers AS (SELECT DISTINCT opportunity_id, true AS broker_roles FROM roles WHERE regexp_matches(role, 'broker', 'i')),
+contacts AS (SELECT opportunity_id, string_agg(DISTINCT dc, '; ' ORDER BY dc) AS associated_contacts
+             FROM (SELECT opportunity_id, coalesce(coalesce(nullif(account, 'Unknown'), name), 'NA') AS dc FROM roles)
+             GROUP BY opportunity_id),
+span AS (SELECT o_custkey, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey),
+opp AS (
+  SELECT 'OPP' || CAST(c.c_custkey AS VARCHAR) AS id, {_RT.format(c='c.c_mktsegment')} AS record_type,
+         {_RT.format(c='c.c_mktsegment')} AS oppty_type, c.c_name AS name,
+         CASE c.c_mktsegment WHEN 'BUILDING' THEN 'Closed Won' WHEN 'AUTOMOBILE' THEN 'Touring' ELSE 'Upper Funnel' END
+           AS stage_name,
+         span.first_order AS created_date, span.last_order AS customer_create_date,
+         CAST(span.last_order AS DATE) AS anticipated_close_date, CAST(c.c_nationkey AS DOUBLE) AS desks_max_c,
+         CASE WHEN c.c_acctbal > 8000 THEN 'Room' END AS fill_product_c,
+         CASE c.c_nationkey % 5 WHEN 0 THEN 'Online' WHEN 1 THEN 'Offline' WHEN 3 THEN 'Enterprise Referral'
+                                WHEN 4 THEN 'Broker Referral' END AS lead_source0,
+         CASE c.c_custkey % 6 WHEN 0 THEN 'DIRECT_TRAFFIC' WHEN 1 THEN 'ORGANIC_SEARCH' WHEN 2 THEN 'PAID_SEARCH'
+                              WHEN 3 THEN 'PAID_SOCIAL' WHEN 4 THEN '3rd Party Aggregator' END AS data_source_1_c,
+         CASE c.c_custkey % 7 WHEN 0 THEN 'https://own.example/' WHEN 1 THEN 'Blog post' WHEN 2 THEN 'own.example/page'
+                              WHEN 3 THEN 'meetings.example' WHEN 4 THEN 'Facebook ads' WHEN 5 THEN 'LinkedIn'
+                              ELSE 'auto-tagged' END AS data_source_2_c,
+         CASE WHEN c.c_acctbal < 0 THEN 'lead-gen form' END AS data_source_3_c,
+         n.n_name AS location_name, 'LOC' || CAST(c.c_nationkey AS VARCHAR) AS location_id, n.n_name AS city_c,
+         r.r_name AS region_c, c.c_acctbal AS total_deal_amount_c, CAST(12.0 AS DOUBLE) AS term_length_max_c,
+         CAST(span.last_order AS DATE) AS anticipated_start_date,
+         CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN 'price' END AS closed_lost_reason,
+         CASE WHEN c.c_acctbal > 5000 THEN c.c_acctbal END AS price_range_min_c,
+         CASE WHEN c.c_acctbal >= 0 AND c.c_acctbal <= 5000 THEN c.c_acctbal / {_D} END AS budget_min_c,
+         CAST(NULL AS DOUBLE) AS price_range_max_c, CAST(NULL AS DOUBLE) AS budget_max_c,
+         CASE WHEN c.c_acctbal > 0 THEN 'summary ' || c.c_mktsegment END AS executive_summary_c,
+         CASE WHEN c.c_nationkey < 5 THEN 'NAtional account' END AS enterprise_notes_c,
+         CASE WHEN c.c_nationkey > 20 THEN 'TC' || CAST(c.c_nationkey AS VARCHAR) END AS digital_tracking_code_c,
+         c.c_name AS customer_name, 'owner ' || CAST(c.c_custkey % 10 AS VARCHAR) AS owner_name
+  FROM customer c LEFT JOIN span ON c.c_custkey = span.o_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+m AS (SELECT opp.*, closed.close_date AS close_date_h, amounts.hs_monthly_amount, brokers.broker_roles,
+             contacts.associated_contacts, coalesce(opp.lead_source0, opp.oppty_type) AS lead_source
+      FROM opp LEFT JOIN closed ON opp.id IS NOT DISTINCT FROM closed.id
+      LEFT JOIN amounts ON opp.id IS NOT DISTINCT FROM amounts.salesforce_opportunity_id
+      LEFT JOIN brokers ON opp.id IS NOT DISTINCT FROM brokers.opportunity_id
+      LEFT JOIN contacts ON opp.id IS NOT DISTINCT FROM contacts.opportunity_id
+      WHERE opp.record_type = 'Local Fill'),
+m2 AS (SELECT *,
+         CASE WHEN lead_source = 'Online' AND data_source_1_c = 'DIRECT_TRAFFIC' THEN 'Direct'
+              WHEN lead_source = 'Online' AND data_source_1_c = 'ORGANIC_SEARCH' THEN 'Organic'
+              WHEN lead_source = 'Online' AND data_source_1_c IN ('PAID_SEARCH', 'PAID_SOCIAL') THEN 'Paid'
+              WHEN lead_source = 'Offline' AND data_source_1_c = '3rd Party Aggregator' THEN 'Aggregator' END
+           AS digital_channel
+       FROM m)
+SELECT id AS deal_id, name AS deal_name, CAST(created_date AS DATE) AS create_date,
+       CAST(date_trunc('week', created_date) AS DATE) AS create_week,
+       CAST(date_trunc('month', created_date) AS DATE) AS create_month,
+       CAST(date_trunc('quarter', created_date) AS DATE) AS create_quarter,
+       CAST(isodow(created_date) AS INTEGER) AS create_wday,
+       CAST(customer_create_date AS DATE) AS contact_create_date, desks_max_c AS seats, location_name AS unit,
+       location_id, city_c AS city, region_c AS region, stage_name AS pipeline_stage,
+       stage_name AS pipeline_stage_detail,
+       CASE WHEN fill_product_c IS NOT NULL THEN fill_product_c
+            WHEN {_m('enterprise|broker', 'oppty_type')} THEN 'Suite'
+            WHEN desks_max_c > 1 THEN 'Suite' ELSE 'Desk' END AS product,
+       coalesce(price_range_min_c, budget_min_c, price_range_max_c, budget_max_c, hs_monthly_amount) AS monthly_amount,
+       total_deal_amount_c AS total_deal_amount, term_length_max_c AS lease_term, anticipated_start_date,
+       closed_lost_reason,
+       CASE WHEN {_m('enterprise', 'lead_source')} THEN 'Enterprise' WHEN {_m('broker', 'lead_source')} THEN 'Broker'
+            WHEN lead_source = 'Online' THEN 'Marketing' WHEN lead_source = 'Local Fill' THEN 'Local Sales'
+            WHEN data_source_1_c = '3rd Party Aggregator' THEN 'Marketing' ELSE 'Local Sales' END
+         AS acquisition_channel,
+       CASE WHEN digital_channel = 'Paid' AND {_m('lead.gen', 'data_source_3_c', False)}
+              THEN 'Off-platform(' || coalesce(data_source_2_c, 'NA') || ')'
+            WHEN digital_channel = 'Direct' AND {_m('own\\.example/$', 'data_source_2_c')} THEN 'Direct(homepage)'
+            WHEN digital_channel = 'Direct' AND {_m('blog', 'data_source_2_c')} THEN 'Direct(blog)'
+            WHEN digital_channel = 'Direct' AND {_m('own\\.example', 'data_source_2_c')} THEN 'Direct(website)'
+            WHEN digital_channel = 'Direct' AND {_m('meetings\\.example', 'data_source_2_c')}
+              THEN 'Direct(meeting link)'
+            WHEN digital_channel = 'Direct' THEN 'Direct(other)'
+            WHEN digital_channel = 'Organic' THEN lower(data_source_2_c)
+            WHEN digital_channel = 'Paid' AND {_m('facebook', 'data_source_2_c')} THEN 'Paid Social(Facebook)'
+            WHEN digital_channel = 'Paid' AND {_m('linkedin', 'data_source_2_c')} THEN 'Paid Social(LinkedIn)'
+            WHEN digital_channel = 'Paid' AND {_m('auto-tagged', 'data_source_2_c')} THEN 'Paid Search(Google)'
+            WHEN digital_channel = 'Paid' AND data_source_1_c = 'PAID_SEARCH' THEN 'Paid Search(Google*)'
+            ELSE 'Other' END AS acquisition_source,
+       digital_channel, digital_tracking_code_c AS tracking_code, customer_name, associated_contacts, owner_name,
+       coalesce(executive_summary_c, '') || '<br>' || coalesce(enterprise_notes_c, '') AS notes,
+       '<a href=''https://crm.example/opportunity/' || coalesce(id, 'NA') || '/view ''target=''_blank''>'
+         || coalesce(name, 'NA') || '</a>' AS deal_link,
+       CAST(coalesce(close_date_h, anticipated_close_date) AS DATE) AS close_date,
+       CAST(date_trunc('week', CAST(customer_create_date AS DATE)) AS DATE) AS contact_create_week,
+       CASE WHEN broker_roles IS TRUE THEN 'Broker' WHEN oppty_type = 'Broker-Led' THEN 'Broker'
+            WHEN {_m('broker', 'oppty_type')} THEN 'Broker' WHEN {_m('enterprise', 'oppty_type')} THEN 'Enterprise'
+            WHEN {_m('local', 'oppty_type')} THEN 'Local' ELSE 'Unspecified' END AS sales_channel
+FROM m2
+"""
+
+ORACLE["deal_mart"] = f"WITH {DEAL_HISTORY}, {DEAL_MART}"
