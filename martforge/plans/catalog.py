@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import activity, crm, crm_marts, pages, spend, web, web_marts
+from martforge.plans import activity, contact_marts, crm, crm_marts, pages, spend, web, web_marts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -69,4 +69,5 @@ QUERIES: dict[str, QueryFn] = {
     "form_conversions": web_marts.form_conversions_q,
     "deal_stage_history": crm_marts.deal_stage_history_q,
     "deal_mart": crm_marts.deal_mart_q,
+    "contact_mart": contact_marts.contact_mart_q,
 }

@@ -321,3 +321,144 @@ FROM m2
 """
 
 ORACLE["deal_mart"] = f"WITH {DEAL_HISTORY}, {DEAL_MART}"
+
+# ---------------------------------------------------------------- CRM: contact mart
+
+CONTACT_SOURCES = r"""
+span AS (SELECT o_custkey, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey),
+ct AS (
+  SELECT c.c_custkey AS id, span.first_order AS property_createdate,
+         CASE WHEN c.c_custkey % 50 = 0 THEN 'Test' ELSE 'Pat' END AS property_firstname,
+         c.c_name AS property_lastname,
+         CASE WHEN c.c_nationkey = 7 THEN 'OwnCo Ltd' ELSE c.c_mktsegment END AS property_company,
+         CASE WHEN c.c_nationkey <> 3 THEN lower(c.c_name) || '@mail.example' END AS property_email,
+         CASE c.c_nationkey % 6 WHEN 0 THEN 'lead' WHEN 1 THEN 'subscriber' WHEN 2 THEN 'other'
+                                WHEN 3 THEN 'opportunity' WHEN 4 THEN 'customer' END AS property_lifecyclestage,
+         CAST(c.c_nationkey AS BIGINT) AS property_associatedcompanyid,
+         CASE c.c_custkey % 8 WHEN 0 THEN 'DIRECT_TRAFFIC' WHEN 1 THEN 'ORGANIC_SEARCH' WHEN 2 THEN 'PAID_SEARCH'
+              WHEN 3 THEN 'PAID_SOCIAL' WHEN 4 THEN 'SOCIAL_MEDIA' WHEN 5 THEN 'OFFLINE' WHEN 6 THEN 'REFERRALS' END AS src,
+         CASE c.c_custkey % 5 WHEN 0 THEN 'SALESFORCE' WHEN 1 THEN 'Broker portal' WHEN 2 THEN 'Enterprise list'
+              WHEN 3 THEN 'own.example/' ELSE 'Facebook' END AS d1,
+         CASE c.c_custkey % 4 WHEN 0 THEN 'lead-gen' WHEN 1 THEN 'Google' WHEN 2 THEN 'Blog' END AS d2,
+         CASE WHEN c.c_acctbal > 7000 THEN 'https://adwords.example/' END AS first_ref,
+         'https://own.example/lp/' || CAST(c.c_nationkey AS VARCHAR) || '?ref=x' AS first_url,
+         CASE WHEN c.c_custkey % 9 = 0 THEN '3rd Party Aggregator' END AS drill,
+         CASE WHEN c.c_custkey % 11 = 0 THEN '287864' END AS team_ids,
+         CASE WHEN c.c_acctbal > 3000 THEN c.c_acctbal END AS p_budget,
+         CASE WHEN c.c_acctbal > 0 THEN c.c_acctbal / CAST(2.0 AS DOUBLE) END AS p_amount,
+         CASE WHEN c.c_nationkey % 2 = 0 THEN span.last_order END AS p_start, span.first_order AS p_move_in,
+         CASE WHEN c.c_nationkey < 10 THEN 'NATION_' || CAST(c.c_nationkey AS VARCHAR) END AS loc_i,
+         CASE WHEN c.c_custkey % 3 = 0 THEN 'Suite' END AS svc_i,
+         CASE WHEN c.c_custkey % 3 = 1 THEN 'Desk' END AS ws_i,
+         CASE WHEN c.c_custkey % 3 <> 0 THEN span.first_order + INTERVAL 36 HOUR END AS lead_date,
+         span.last_order AS mql_date,
+         CASE WHEN c.c_acctbal < 0 THEN 'budget' END AS disq,
+         'TC' || CAST(c.c_nationkey AS VARCHAR) AS tracking_code,
+         CASE WHEN c.c_custkey % 4 = 0 THEN 'Yes' END AS isr_review,
+         'L' || CAST(c.c_custkey AS VARCHAR) AS salesforce_lead_id
+  FROM customer c LEFT JOIN span ON c.c_custkey = span.o_custkey),
+mem AS (SELECT c_custkey AS contact_id, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 31 ELSE 30 END AS list_id,
+               c_acctbal < -900 AS deleted FROM customer
+        UNION ALL SELECT c_custkey, 30, false FROM customer WHERE c_acctbal > 9900),
+lc AS (SELECT ct.* FROM mem JOIN ct ON mem.contact_id = ct.id WHERE mem.list_id = 30 AND mem.deleted = false),
+comp AS (SELECT CAST(n_nationkey AS BIGINT) AS cid, CASE WHEN n_nationkey <> 4 THEN n_name END AS property_name FROM nation),
+eng AS (SELECT event_id, user_id AS contact_id, event_type, value, ts AS created_at,
+               CASE event_type WHEN 'click' THEN 'EMAIL' WHEN 'view' THEN 'INCOMING_EMAIL' WHEN 'purchase' THEN 'CALL'
+                               WHEN 'signup' THEN 'MEETING' ELSE 'TASK' END AS type
+        FROM events),
+meet AS (SELECT event_id AS engagement_id,
+                CASE event_id % 3 WHEN 0 THEN 'Excited for your TOUR!' WHEN 1 THEN 'Learn more about the space'
+                                  ELSE 'Weekly sync' END AS title,
+                ts + INTERVAL 1 DAY AS start_time FROM events WHERE event_type = 'signup'),
+tours AS (SELECT eng.contact_id, ct.property_email,
+                 CASE WHEN regexp_matches(lower(meet.title), 'excited for your tour|tour of the space') THEN 'Tour'
+                      ELSE 'Call' END AS meeting_type,
+                 meet.start_time AS tour_time, eng.created_at AS create_time
+          FROM meet JOIN eng ON meet.engagement_id = eng.event_id JOIN ct ON eng.contact_id = ct.id
+          WHERE regexp_matches(lower(meet.title), 'excited for your tour|learn more about the space|tour of the space'))
+"""
+
+
+def _sched(kind: str) -> str:
+    k = kind.lower()
+    return f"""
+SELECT property_email, count(*) AS total_scheduled_{k}s,
+       CAST(CASE WHEN count(tour_time) = count(*) THEN max(tour_time) END AS DATE) AS most_recent_scheduled_{k},
+       CAST(CASE WHEN count(create_time) = count(*) THEN min(create_time) END AS DATE) AS first_created_scheduled_{k}
+FROM tours WHERE meeting_type = '{kind}' GROUP BY property_email"""
+
+
+CONTACT_MART = rf"""
+sc AS ({_sched('Call')}),
+st AS ({_sched('Tour')}),
+em AS (SELECT contact_id AS id, min(created_at) FILTER (WHERE type = 'EMAIL') AS first_outbound_email,
+              min(created_at) FILTER (WHERE type = 'INCOMING_EMAIL') AS first_email_response
+       FROM eng WHERE event_type IN ('click', 'view') GROUP BY contact_id),
+cb AS (SELECT contact_id AS id, CASE WHEN count(created_at) = count(*) THEN min(created_at) END AS first_outbound_call,
+              min(created_at) FILTER (WHERE event_id % 8 = 1) AS first_call_connected
+       FROM eng WHERE event_type = 'purchase' GROUP BY contact_id),
+f AS (SELECT lc.*, comp.property_name FROM lc LEFT JOIN comp ON lc.property_associatedcompanyid IS NOT DISTINCT FROM comp.cid
+      WHERE NOT {_m('TEST', 'lc.property_lastname')} AND NOT {_m('TEST', 'lc.property_firstname')}
+        AND NOT {_m('ownco', 'lc.property_company')}
+        AND (lc.property_lifecyclestage IS NULL OR lc.property_lifecyclestage NOT IN ('subscriber', 'other'))),
+g AS (SELECT *, CAST(property_createdate AS DATE) AS create_date,
+        CASE WHEN drill = '3rd Party Aggregator' OR NOT {_m('offline', 'src')} THEN 'Marketing'
+             WHEN d1 = 'SALESFORCE' OR src = 'OFFLINE' THEN 'Sales'
+             WHEN {_m('broker', 'd1')} OR team_ids = '287864' THEN 'Broker'
+             WHEN {_m('enterprise', 'd1')} THEN 'Enterprise' ELSE 'Local' END AS acquisition_channel,
+        CASE WHEN src = 'DIRECT_TRAFFIC' THEN 'Direct' WHEN src = 'ORGANIC_SEARCH' THEN 'Organic'
+             WHEN src IN ('PAID_SEARCH', 'PAID_SOCIAL') THEN 'Paid' WHEN drill = '3rd Party Aggregator' THEN 'Aggregator'
+             WHEN src = 'OFFLINE' THEN 'N/A' ELSE 'Other' END AS digital_channel
+      FROM f),
+h AS (SELECT *,
+        CASE WHEN digital_channel = 'Paid' AND {_m('lead.gen', 'd2', False)} THEN 'Off-platform(' || coalesce(d1, 'NA') || ')'
+             WHEN digital_channel = 'Direct' AND {_m('own\\.example/$', 'd1')} THEN 'Direct(homepage)'
+             WHEN digital_channel = 'Direct' AND {_m('blog', 'd1')} THEN 'Direct(blog)'
+             WHEN digital_channel = 'Direct' AND {_m('own\\.example', 'd1')} THEN 'Direct(website)'
+             WHEN digital_channel = 'Direct' AND {_m('meetings\\.example', 'd1')} THEN 'Direct(meeting link)'
+             WHEN digital_channel = 'Direct' THEN 'Direct(other)'
+             WHEN digital_channel = 'Organic' THEN lower(d2)
+             WHEN digital_channel = 'Other' AND src = 'SOCIAL_MEDIA' THEN 'Social(' || coalesce(lower(d1), 'NA') || ')'
+             WHEN digital_channel = 'Paid' AND {_m('facebook', 'd1')} THEN 'Paid Social(Facebook)'
+             WHEN digital_channel = 'Paid' AND {_m('linkedin', 'd1')} THEN 'Paid Social(LinkedIn)'
+             WHEN digital_channel = 'Paid' AND {_m('auto-tagged', 'd1')} THEN 'Paid Search(Google)'
+             WHEN digital_channel = 'Paid' AND {_m('google|adwords', 'first_ref')} THEN 'Paid Search(Google)'
+             WHEN digital_channel = 'Other' THEN lower(src)
+             WHEN digital_channel = 'N/A' THEN lower(drill)
+             ELSE 'Other' END AS acquisition_source
+      FROM g),
+j AS (SELECT h.*, sc.total_scheduled_calls, sc.most_recent_scheduled_call, sc.first_created_scheduled_call,
+             st.total_scheduled_tours, st.most_recent_scheduled_tour, st.first_created_scheduled_tour,
+             em.first_outbound_email, em.first_email_response, cb.first_outbound_call, cb.first_call_connected
+      FROM h LEFT JOIN sc ON h.property_email IS NOT DISTINCT FROM sc.property_email
+      LEFT JOIN st ON h.property_email IS NOT DISTINCT FROM st.property_email
+      LEFT JOIN em ON h.id IS NOT DISTINCT FROM em.id
+      LEFT JOIN cb ON h.id IS NOT DISTINCT FROM cb.id)
+SELECT id AS contact_id, coalesce(loc_i, 'Not Specified') AS location, property_firstname AS first_name,
+       property_lastname AS last_name, property_email AS contact_email, coalesce(property_name, property_company) AS company,
+       property_associatedcompanyid AS company_id, coalesce(svc_i, ws_i, 'Not Specified') AS product,
+       property_lifecyclestage AS lifecycle_stage, create_date,
+       CAST(date_trunc('week', create_date) AS DATE) AS create_week,
+       CAST(date_trunc('month', create_date) AS DATE) AS create_month,
+       CAST(date_trunc('quarter', create_date) AS DATE) AS create_quarter,
+       CAST(isodow(create_date) AS INTEGER) AS create_wday,
+       lead_date, mql_date, CAST(NULL AS TIMESTAMP) AS sql_date, CAST(NULL AS TIMESTAMP) AS oppty_date,
+       CAST(NULL AS TIMESTAMP) AS customer_date, disq AS disqualify_reason, coalesce(p_budget, p_amount) AS budget,
+       total_scheduled_calls, most_recent_scheduled_call, first_created_scheduled_call, total_scheduled_tours,
+       most_recent_scheduled_tour, first_created_scheduled_tour, first_outbound_email, first_email_response,
+       first_outbound_call, first_call_connected, coalesce(p_start, p_move_in) AS desired_move_in_date, tracking_code,
+       digital_channel, acquisition_channel, acquisition_source, regexp_replace(first_url, '\?.*$', '') AS first_page,
+       isr_review, salesforce_lead_id, CAST(NULL AS VARCHAR) AS salesforce_contact_id,
+       CASE WHEN CAST(first_created_scheduled_tour IS NULL AS INTEGER)
+                 + CAST(first_created_scheduled_call IS NULL AS INTEGER) = 2 THEN 0 ELSE 1 END AS scheduled_meeting,
+       CASE WHEN CAST(first_email_response IS NULL AS INTEGER) + CAST(first_call_connected IS NULL AS INTEGER) < 2
+            THEN 1 ELSE 0 END AS engaged_contact,
+       coalesce(first_outbound_email, TIMESTAMP '2024-02-01 00:00:00') AS first_outreach,
+       CASE WHEN CAST(first_outbound_call IS NULL AS INTEGER) + CAST(first_outbound_email IS NULL AS INTEGER) = 2
+            THEN 1 ELSE 0 END AS no_outreach,
+       round_even((epoch_us(coalesce(first_outbound_email, TIMESTAMP '2024-02-01 00:00:00')) - epoch_us(lead_date))
+                  / 3.6e9, 1) AS time_to_first_contact
+FROM j
+"""
+
+ORACLE["contact_mart"] = f"WITH {CONTACT_SOURCES}, {CONTACT_MART}"

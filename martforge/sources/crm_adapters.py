@@ -144,3 +144,128 @@ def opportunity_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(nat > 20, F.concat(F.lit("TC"), nat.cast("string"))).alias("digital_tracking_code_c"),
         F.col("c_name").alias("customer_name"),
         F.concat(F.lit("owner "), F.pmod(k, F.lit(10)).cast("string")).alias("owner_name"))
+
+
+# ---------------------------------------------------------------- engagement log and contacts
+
+# Call disposition code -> label (the CRM's standard call outcomes).
+DISPOSITION_LABELS = {
+    "9d9162e7-6cf3-4944-bf63-4dff82258764": "Busy",
+    "f240bbac-87c9-4f6e-bf70-924b57d47db7": "Connected",
+    "a4c4c377-d246-4b32-a13b-75a56a4cd0ff": "Left live message",
+    "b2cf5968-551e-4856-9783-52b3da59a7d0": "Left voicemail",
+    "73a0d17f-1163-4015-bdd5-ec830791da20": "No answer",
+    "17b47fee-58de-441e-a44c-c6300d46f273": "Wrong number",
+}
+# Event type -> engagement type.
+ENGAGEMENT_TYPE_OF_EVENT = {"click": "EMAIL", "view": "INCOMING_EMAIL", "purchase": "CALL", "signup": "MEETING",
+                            "error": "TASK"}
+REP_OWNER_ID = 7
+
+
+def engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    return ev.select(F.col("event_id").alias("id"), _map("event_type", ENGAGEMENT_TYPE_OF_EVENT).alias("type"),
+                     F.when(F.col("value") < 50, F.lit(REP_OWNER_ID)).otherwise(F.lit(8)).alias("owner_id"),
+                     F.col("ts").alias("created_at"),
+                     F.when(F.col("event_type") == "signup", F.lit("First tour")).alias("activity_type"))
+
+
+def engagement_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).select(F.col("event_id").alias("engagement_id"), F.col("user_id").alias("contact_id"))
+
+
+def engagement_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir).where(F.col("event_type") == "purchase")
+    slot = F.pmod(F.col("event_id"), F.lit(8))
+    disp = None
+    for i, code in enumerate(DISPOSITION_LABELS):
+        disp = F.when(slot == i, F.lit(code)) if disp is None else disp.when(slot == i, F.lit(code))
+    disp = disp.when(slot == 6, F.lit("00000000-0000-0000-0000-000000000000"))
+    return ev.select(F.col("event_id").alias("engagement_id"), disp.alias("disposition"),
+                     F.when(F.col("value") > 100, F.lit("COMPLETED")).otherwise(F.lit("CALLING")).alias("status"))
+
+
+def engagement_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
+    return ev.select(F.col("event_id").alias("engagement_id"),
+                     F.when(F.col("value") > 60, F.lit("BOUNCED")).otherwise(F.lit("SENT")).alias("status"),
+                     F.concat(F.lit("subject "), F.col("user_id").cast("string")).alias("subject"))
+
+
+def engagement_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir).where(F.col("event_type") == "signup")
+    slot = F.pmod(F.col("event_id"), F.lit(3))
+    title = (F.when(slot == 0, F.lit("Excited for your TOUR!")).when(slot == 1, F.lit("Learn more about the space"))
+             .otherwise(F.lit("Weekly sync")))
+    return ev.select(F.col("event_id").alias("engagement_id"), title.alias("title"),
+                     (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("start_time"))
+
+
+def contact_list_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _customers(spark, sf_dir)
+    base = c.select(F.col("c_custkey").alias("contact_id"),
+                    F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(31)).otherwise(F.lit(30)).alias("contact_list_id"),
+                    (F.col("c_acctbal") < -900).alias("_fivetran_deleted"))
+    dup = c.where(F.col("c_acctbal") > 9900).select(F.col("c_custkey").alias("contact_id"),
+                                                    F.lit(30).alias("contact_list_id"),
+                                                    F.lit(False).alias("_fivetran_deleted"))
+    return base.unionByName(dup)
+
+
+def company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    return n.select(F.col("n_nationkey").cast("long").alias("id"),
+                    F.when(F.col("n_nationkey") != 4, F.col("n_name")).alias("property_name"))
+
+
+def contact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _customers(spark, sf_dir)
+    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
+    span = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"))
+    j = c.join(span, c["c_custkey"] == span["o_custkey"], "left")
+    k, bal, nat, seg = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey"), F.col("c_mktsegment")
+    sources = ["DIRECT_TRAFFIC", "ORGANIC_SEARCH", "PAID_SEARCH", "PAID_SOCIAL", "SOCIAL_MEDIA", "OFFLINE", "REFERRALS"]
+    src = None
+    for i, s in enumerate(sources):
+        src = F.when(F.pmod(k, F.lit(8)) == i, F.lit(s)) if src is None else src.when(F.pmod(k, F.lit(8)) == i, F.lit(s))
+    d1 = (F.when(F.pmod(k, F.lit(5)) == 0, F.lit("SALESFORCE")).when(F.pmod(k, F.lit(5)) == 1, F.lit("Broker portal"))
+          .when(F.pmod(k, F.lit(5)) == 2, F.lit("Enterprise list")).when(F.pmod(k, F.lit(5)) == 3, F.lit("own.example/"))
+          .otherwise(F.lit("Facebook")))
+    d2 = (F.when(F.pmod(k, F.lit(4)) == 0, F.lit("lead-gen")).when(F.pmod(k, F.lit(4)) == 1, F.lit("Google"))
+          .when(F.pmod(k, F.lit(4)) == 2, F.lit("Blog")))
+    stage = (F.when(F.pmod(nat, F.lit(6)) == 0, F.lit("lead")).when(F.pmod(nat, F.lit(6)) == 1, F.lit("subscriber"))
+             .when(F.pmod(nat, F.lit(6)) == 2, F.lit("other")).when(F.pmod(nat, F.lit(6)) == 3, F.lit("opportunity"))
+             .when(F.pmod(nat, F.lit(6)) == 4, F.lit("customer")))
+    return j.select(
+        k.alias("id"), F.col("first_order").alias("property_createdate"),
+        F.when(F.pmod(k, F.lit(50)) == 0, F.lit("Test")).otherwise(F.lit("Pat")).alias("property_firstname"),
+        F.col("c_name").alias("property_lastname"),
+        F.when(nat == 7, F.lit("OwnCo Ltd")).otherwise(seg).alias("property_company"),
+        F.when(nat != 3, F.concat(F.lower(F.col("c_name")), F.lit("@mail.example"))).alias("property_email"),
+        stage.alias("property_lifecyclestage"), nat.cast("long").alias("property_associatedcompanyid"),
+        src.alias("property_hs_analytics_source"), d1.alias("property_hs_analytics_source_data_1"),
+        d2.alias("property_hs_analytics_source_data_2"),
+        F.when(bal > 7000, F.lit("https://adwords.example/")).alias("property_hs_analytics_first_referrer"),
+        F.concat(F.lit("https://own.example/lp/"), nat.cast("string"), F.lit("?ref=x")).alias(
+            "property_hs_analytics_first_url"),
+        F.when(F.pmod(k, F.lit(9)) == 0, F.lit("3rd Party Aggregator")).alias("property_offline_source_drill_down_1"),
+        F.when(F.pmod(k, F.lit(11)) == 0, F.lit("287864")).alias("property_hs_all_team_ids"),
+        F.when(bal > 3000, bal).alias("property_budget"), F.when(bal > 0, bal / F.lit(2.0)).alias("property_amount"),
+        F.when(F.pmod(nat, F.lit(2)) == 0, F.col("last_order")).alias("property_start_date"),
+        F.col("first_order").alias("property_move_in_date"),
+        F.when(nat < 10, F.concat(F.lit("NATION_"), nat.cast("string"))).alias(
+            "property_in_which_location_are_you_interested_"),
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit("Suite")).alias("property_in_which_service_are_you_interested_"),
+        F.when(F.pmod(k, F.lit(3)) == 1, F.lit("Desk")).alias("property_what_type_of_workspace_are_you_interested_in_"),
+        F.when(F.pmod(k, F.lit(3)) != 0, F.col("first_order") + F.expr("INTERVAL 36 HOURS")).alias(
+            "property_hs_lifecyclestage_lead_date"),
+        F.col("last_order").alias("property_hs_lifecyclestage_marketingqualifiedlead_date"),
+        F.lit(None).cast("timestamp_ntz").alias("property_hs_lifecyclestage_salesqualifiedlead_date"),
+        F.lit(None).cast("timestamp_ntz").alias("property_hs_lifecyclestage_opportunity_date"),
+        F.lit(None).cast("timestamp_ntz").alias("property_hs_lifecyclestage_customer_date"),
+        F.when(bal < 0, F.lit("budget")).alias("property_disqualified_reason"),
+        F.concat(F.lit("TC"), nat.cast("string")).alias("property_digital_tracking_code"),
+        F.when(F.pmod(k, F.lit(4)) == 0, F.lit("Yes")).alias("property_isr_review"),
+        F.concat(F.lit("L"), k.cast("string")).alias("property_salesforceleadid"),
+        F.lit(None).cast("string").alias("property_salesforcecontactid"))
