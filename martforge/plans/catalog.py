@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import activity, contact_marts, crm, crm_marts, pages, spend, web, web_marts
+from martforge.plans import activity, activity_marts, contact_marts, crm, crm_marts, pages, spend, web, web_marts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -70,4 +70,7 @@ QUERIES: dict[str, QueryFn] = {
     "deal_stage_history": crm_marts.deal_stage_history_q,
     "deal_mart": crm_marts.deal_mart_q,
     "contact_mart": contact_marts.contact_mart_q,
+    "activity_summary": activity_marts.activity_summary_q,
+    "activity_detail": activity_marts.activity_detail_q,
+    "geo_hierarchy": activity_marts.geo_hierarchy_q,
 }

@@ -462,3 +462,107 @@ FROM j
 """
 
 ORACLE["contact_mart"] = f"WITH {CONTACT_SOURCES}, {CONTACT_MART}"
+
+# ---------------------------------------------------------------- rep activity marts and location hierarchy
+
+_CM_SPLIT = CONTACT_MART.index("SELECT id AS contact_id")
+CONTACT_MART_CTE = CONTACT_MART[:_CM_SPLIT] + ", cm AS (" + CONTACT_MART[_CM_SPLIT:] + ")"
+
+REP = r"""
+reng AS (
+  SELECT user_id AS contact_id, 'Call' AS engagement_type, ts AS created_at,
+         CASE event_id % 8 WHEN 0 THEN 'Busy' WHEN 1 THEN 'Connected' WHEN 2 THEN 'Left live message'
+              WHEN 3 THEN 'Left voicemail' WHEN 4 THEN 'No answer' WHEN 5 THEN 'Wrong number'
+              WHEN 6 THEN '00000000-0000-0000-0000-000000000000' END AS status, '' AS subject
+  FROM events WHERE event_type = 'purchase' AND value < 50
+  UNION
+  SELECT user_id, 'Meeting', ts, '',
+         CASE event_id % 3 WHEN 0 THEN 'Excited for your TOUR!' WHEN 1 THEN 'Learn more about the space'
+              ELSE 'Weekly sync' END
+  FROM events WHERE event_type = 'signup' AND value < 50
+  UNION
+  SELECT user_id, 'Email', ts, CASE WHEN value > 60 THEN 'BOUNCED' ELSE 'SENT' END,
+         'subject ' || CAST(user_id AS VARCHAR)
+  FROM events WHERE event_type = 'click' AND value < 50),
+tdet AS (SELECT event_id, CASE WHEN value > 30 THEN 'CALL' ELSE 'EMAIL' END AS task_type,
+                CASE WHEN value < 100 THEN epoch_us(ts) // 1000 + CAST(floor(value * 3600000.0) AS BIGINT) END
+                  AS completion_date,
+                CASE WHEN value < 100 THEN 'COMPLETED' WHEN value <= 150 THEN 'NOT_STARTED' END AS status
+         FROM events WHERE event_type = 'error' AND value > 1),
+rtask AS (SELECT e.user_id AS contact_id, t.task_type, e.ts AS created_at,
+                 make_timestamp((t.completion_date // 1000) * 1000000) AS completed_date, t.status
+          FROM events e LEFT JOIN tdet t ON e.event_id = t.event_id
+          WHERE e.event_type = 'error' AND e.value < 50),
+lm AS (SELECT n.n_name AS hs_locations, r.r_name AS city, lower(n.n_name) AS site_name
+       FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)
+"""
+
+ACTIVITY_SUMMARY = r"""
+ts1 AS (SELECT contact_id, count(*) AS num_tasks, count(*) FILTER (WHERE status = 'COMPLETED') AS completed_tasks,
+               CASE WHEN count(created_at) = count(*) THEN min(created_at) END AS first_task_create_date,
+               CASE WHEN count(completed_date) = count(*) THEN min(completed_date) END AS first_task_completed_date
+        FROM rtask GROUP BY contact_id),
+ts2 AS (SELECT *, round_even((epoch_us(first_task_completed_date) - epoch_us(first_task_create_date)) / 3.6e9, 1)
+                  AS time_to_first_completed_task FROM ts1),
+hist AS (SELECT user_id AS contact_id, ts AS timestamp, CASE WHEN value < 5 THEN 'Yes' ELSE 'No' END AS status
+         FROM events WHERE event_type = 'view' AND value < 10),
+hl AS (SELECT contact_id, CAST(timestamp AS DATE) AS isr_status_date
+       FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY timestamp DESC, status ASC) AS rn FROM hist)
+       WHERE rn = 1),
+sj AS (SELECT ts2.*, hl.isr_status_date, reng.engagement_type, reng.created_at AS eng_at
+       FROM ts2 LEFT JOIN hl ON ts2.contact_id IS NOT DISTINCT FROM hl.contact_id
+       LEFT JOIN reng ON ts2.contact_id IS NOT DISTINCT FROM reng.contact_id),
+sg AS (SELECT contact_id, num_tasks, completed_tasks, first_task_create_date, first_task_completed_date,
+              time_to_first_completed_task, isr_status_date,
+              count(engagement_type) AS total_engagements,
+              CASE WHEN count(engagement_type) = count(*)
+                   THEN CAST(sum(CAST(engagement_type = 'Email' AS BIGINT)) AS BIGINT) END AS email_engagements,
+              CASE WHEN count(engagement_type) = count(*)
+                   THEN CAST(sum(CAST(engagement_type = 'Call' AS BIGINT)) AS BIGINT) END AS phone_engagements,
+              CASE WHEN count(eng_at) = count(*) THEN min(eng_at) END AS first_eng
+       FROM sj GROUP BY contact_id, num_tasks, completed_tasks, first_task_create_date, first_task_completed_date,
+                        time_to_first_completed_task, isr_status_date),
+ss AS (SELECT contact_id, num_tasks, completed_tasks, CAST(first_task_create_date AS DATE) AS first_task_create_date,
+              CAST(first_task_completed_date AS DATE) AS first_task_completed_date, time_to_first_completed_task,
+              isr_status_date, total_engagements, email_engagements, phone_engagements,
+              round_even((epoch_us(first_eng) - epoch_us(first_task_create_date)) / 3.6e9, 1) AS time_to_first_engagement
+       FROM sg),
+sm AS (SELECT ss.*, cm.create_date AS contact_create_date, cm.isr_review, cm.lifecycle_stage, cm.location, cm.product
+       FROM ss JOIN cm ON ss.contact_id IS NOT DISTINCT FROM cm.contact_id)
+SELECT sm.contact_id, num_tasks, completed_tasks, first_task_create_date, first_task_completed_date,
+       time_to_first_completed_task, isr_status_date, total_engagements, email_engagements, phone_engagements,
+       time_to_first_engagement, contact_create_date, coalesce(isr_review, 'Not Specified') AS isr_review,
+       coalesce(lifecycle_stage, 'Not Specified') AS lifecycle_stage, coalesce(location, 'Not Specified') AS location,
+       coalesce(product, 'Not Specified') AS product, coalesce(lm.city, 'Not Specified') AS city,
+       coalesce(lm.site_name, 'Not Specified') AS site_name
+FROM sm LEFT JOIN lm ON sm.location IS NOT DISTINCT FROM lm.hs_locations
+"""
+
+ORACLE["activity_summary"] = f"WITH {CONTACT_SOURCES}, {CONTACT_MART_CTE}, {REP}, {ACTIVITY_SUMMARY}"
+
+ORACLE["activity_detail"] = f"""
+WITH {CONTACT_SOURCES}, {CONTACT_MART_CTE}, {REP},
+dj AS (SELECT reng.*, cm.location, cm.product FROM reng LEFT JOIN cm ON reng.contact_id IS NOT DISTINCT FROM cm.contact_id
+       WHERE reng.engagement_type IN ('Email', 'Call')),
+dg AS (SELECT CAST(created_at AS DATE) AS engagement_date, engagement_type, location AS loc, product AS prod,
+              count(*) AS engagements FROM dj GROUP BY 1, 2, 3, 4),
+dc AS (SELECT engagement_date, engagement_type, coalesce(loc, 'Not Specified') AS location,
+              coalesce(prod, 'Not Specified') AS product, engagements FROM dg)
+SELECT dc.*, coalesce(lm.city, 'Not Specified') AS city, coalesce(lm.site_name, 'Not Specified') AS site_name
+FROM dc LEFT JOIN lm ON dc.location IS NOT DISTINCT FROM lm.hs_locations
+"""
+
+ORACLE["geo_hierarchy"] = """
+WITH b AS (
+  SELECT DISTINCT 'LOC' || CAST(c.c_nationkey AS VARCHAR) AS location_id, n.n_name AS unit_name,
+         'hood ' || c.c_mktsegment AS neighborhood_name_c,
+         CASE WHEN c.c_nationkey < 12 THEN 'sub ' || CAST(c.c_nationkey AS VARCHAR) END AS submarket_temp_c,
+         n.n_name AS city_c, CAST(NULL AS VARCHAR) AS state_province_c, r.r_name AS sub_region_c,
+         n.n_name AS country_c, r.r_name AS region_c
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT location_id, unit_name AS unit, coalesce(submarket_temp_c, neighborhood_name_c) AS submarket, city_c AS city,
+       state_province_c AS state, country_c AS country, sub_region_c AS sub_region, region_c AS region FROM b
+UNION ALL
+SELECT 'Not Specified', 'Not Specified', 'Not Specified', 'Not Specified', 'Not Specified', 'Not Specified',
+       'Not Specified', 'Not Specified'
+"""

@@ -269,3 +269,48 @@ def contact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(k, F.lit(4)) == 0, F.lit("Yes")).alias("property_isr_review"),
         F.concat(F.lit("L"), k.cast("string")).alias("property_salesforceleadid"),
         F.lit(None).cast("string").alias("property_salesforcecontactid"))
+
+
+def engagement_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task details for most task engagements (some have none: the extract left-joins)."""
+    ev = _events(spark, sf_dir).where((F.col("event_type") == "error") & (F.col("value") > 1))
+    done = F.col("value") < 100
+    ms = F.unix_millis(F.col("ts").cast("timestamp")) + F.floor(F.col("value") * F.lit(3600000.0)).cast("long")
+    return ev.select(F.col("event_id").alias("engagement_id"),
+                     F.when(F.col("value") > 30, F.lit("CALL")).otherwise(F.lit("EMAIL")).alias("task_type"),
+                     F.when(done, ms).alias("completion_date"),
+                     F.when(done, F.lit("COMPLETED")).when(F.col("value") <= 150, F.lit("NOT_STARTED"))
+                     .alias("status"),
+                     F.lit("follow up").alias("subject"), F.lit(None).cast("string").alias("body"))
+
+
+def contact_property_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir).where((F.col("event_type") == "view") & (F.col("value") < 10))
+    return ev.select(F.col("user_id").alias("contact_id"), F.lit("isr_review").alias("name"),
+                     F.when(F.col("value") < 5, F.lit("Yes")).otherwise(F.lit("No")).alias("value"),
+                     F.col("ts").alias("timestamp"))
+
+
+def location_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """External location dimension: location label -> city and site name."""
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
+    return j.select(F.col("n_name").alias("hs_locations"), F.col("r_name").alias("city"),
+                    F.lower(F.col("n_name")).alias("site_name"))
+
+
+def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Building records (one per customer, many duplicates: the extract is DISTINCT)."""
+    c = _customers(spark, sf_dir)
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
+    nat = F.col("c_nationkey")
+    return j.select(F.concat(F.lit("LOC"), nat.cast("string")).alias("building_name_c"),
+                    F.col("n_name").alias("name"),
+                    F.concat(F.lit("hood "), F.col("c_mktsegment")).alias("neighborhood_name_c"),
+                    F.when(nat < 12, F.concat(F.lit("sub "), nat.cast("string"))).alias("submarket_temp_c"),
+                    F.col("n_name").alias("city_c"), F.lit(None).cast("string").alias("state_province_c"),
+                    F.col("r_name").alias("sub_region_c"), F.col("n_name").alias("country_c"),
+                    F.col("r_name").alias("region_c"))
