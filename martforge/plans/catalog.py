@@ -73,4 +73,6 @@ QUERIES: dict[str, QueryFn] = {
     "activity_summary": activity_marts.activity_summary_q,
     "activity_detail": activity_marts.activity_detail_q,
     "geo_hierarchy": activity_marts.geo_hierarchy_q,
+    "marketing_spend": spend.marketing_spend_q,
+    "marketing_spend_allocated": spend.marketing_spend_allocated_q,
 }

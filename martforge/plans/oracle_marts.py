@@ -566,3 +566,88 @@ UNION ALL
 SELECT 'Not Specified', 'Not Specified', 'Not Specified', 'Not Specified', 'Not Specified', 'Not Specified',
        'Not Specified', 'Not Specified'
 """
+
+# ---------------------------------------------------------------- five-network marketing spend (+ allocation)
+
+_MONEY = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
+def _search(flag_cond: str) -> str:
+    return f"""
+SELECT p.p_name AS campaign_name, CAST(l.l_shipdate AS DATE) AS date, CAST(l.l_quantity * 10 AS BIGINT) AS impressions,
+       CAST(l.l_quantity AS BIGINT) AS clicks, CAST(l.l_linenumber AS DOUBLE) AS conversions, l.l_extendedprice AS cost
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE {flag_cond}"""
+
+
+def _search_leg(src: str) -> str:
+    return f"""
+SELECT campaign_name, date AS campaign_date, CAST(sum(impressions) AS BIGINT) AS impressions,
+       CAST(sum(clicks) AS BIGINT) AS clicks, sum(conversions) AS conversions, {_MONEY.format('cost')} AS spend,
+       'Google' AS source
+FROM {src} GROUP BY date, campaign_name"""
+
+
+SPEND = f"""
+la AS (SELECT l_partkey AS campaign_id, l_shipdate AS day, CAST(l_quantity * 10 AS BIGINT) AS impressions,
+              CAST(l_quantity AS BIGINT) AS clicks, CAST(l_linenumber AS BIGINT) AS conv, l_extendedprice AS cost
+       FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'),
+lc AS (SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS gid,
+              CAST(CASE WHEN p_brand = 'Brand#1' THEN 999 ELSE 1 END AS BIGINT) AS account_id FROM part),
+lg AS (SELECT CAST(p_size AS BIGINT) AS id, p_type || ' group' AS name,
+              TIMESTAMP '2024-01-01 00:00:00' + to_seconds(p_partkey) AS lmt FROM part),
+lgl AS (SELECT id, name FROM (SELECT *, rank() OVER (PARTITION BY id ORDER BY lmt DESC NULLS LAST) AS pos FROM lg)
+        WHERE pos = 1),
+leg_li AS (SELECT lgl.name AS campaign_name, CAST(la.day AS DATE) AS campaign_date, la.impressions, la.clicks,
+                  CAST(la.conv AS DOUBLE) AS conversions, la.cost AS spend, 'LinkedIn' AS source
+           FROM la JOIN lc ON la.campaign_id = lc.id JOIN lgl ON lc.gid = lgl.id WHERE lc.account_id NOT IN (999)),
+br AS (SELECT l_partkey AS campaign_id, CAST(l_shipdate AS DATE) AS date, CAST(l_quantity * 10 AS BIGINT) AS impressions,
+              CAST(l_quantity AS BIGINT) AS clicks, CAST(l_linenumber AS BIGINT) AS conversions, l_extendedprice AS spend
+       FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'O'),
+bc AS (SELECT DISTINCT id, name FROM (SELECT p_partkey AS id, p_name AS name FROM part
+                                      UNION ALL SELECT p_partkey, p_name || ' (renamed)' FROM part WHERE p_size > 45)),
+leg_bing AS (SELECT bc.name AS campaign_name, br.date AS campaign_date, CAST(sum(br.impressions) AS BIGINT) AS impressions,
+                    CAST(sum(br.clicks) AS BIGINT) AS clicks, CAST(sum(br.conversions) AS DOUBLE) AS conversions,
+                    {_MONEY.format('br.spend')} AS spend, 'Bing' AS source
+             FROM br JOIN bc ON br.campaign_id = bc.id GROUP BY bc.name, br.date),
+fa AS (SELECT p.p_name AS campaign_name, CAST(l.l_shipdate AS DATE) AS date, l.l_orderkey AS ad_id,
+              CASE WHEN l.l_suppkey = 1 THEN 999 ELSE 2 END AS account_id,
+              CAST(l.l_quantity * 10 AS BIGINT) AS impressions, CAST(l.l_quantity AS BIGINT) AS inline_link_clicks,
+              l.l_extendedprice AS spend
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag = 'N' AND l.l_linestatus = 'F'),
+fx AS (SELECT CAST(l_shipdate AS DATE) AS date, l_orderkey AS ad_id,
+              CASE WHEN l_discount > 0.05 THEN 'onsite_conversion.post_save' WHEN l_discount > 0.02 THEN 'leadgen.other'
+                   ELSE 'link_click' END AS action_type
+       FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'F'),
+fc AS (SELECT date, ad_id, count(*) AS conversions FROM fx
+       WHERE action_type IN ('onsite_conversion.post_save', 'leadgen.other') GROUP BY date, ad_id),
+leg_fb AS (SELECT fa.campaign_name, fa.date AS campaign_date, fa.impressions, fa.inline_link_clicks AS clicks,
+                  CAST(fc.conversions AS DOUBLE) AS conversions, fa.spend, 'Facebook' AS source
+           FROM fa LEFT JOIN fc ON fa.ad_id = fc.ad_id AND fa.date = fc.date WHERE fa.account_id NOT IN (999)),
+sm AS ({_search("l.l_returnflag = 'N' AND l.l_linestatus = 'O'")}),
+su AS ({_search("l.l_returnflag = 'R'")}),
+spend AS (SELECT * FROM leg_li UNION SELECT * FROM leg_bing UNION SELECT * FROM leg_fb
+          UNION {_search_leg('sm')} UNION {_search_leg('su')})
+"""
+
+ORACLE["marketing_spend"] = f"WITH {SPEND} SELECT * FROM spend"
+
+ORACLE["marketing_spend_allocated"] = f"""
+WITH {SPEND},
+f AS (SELECT campaign_name, campaign_date, coalesce(impressions, 0) AS impressions, coalesce(clicks, 0) AS clicks,
+             coalesce(conversions, 0) AS conversions, coalesce(spend, 0) AS spend, source FROM spend),
+p AS (SELECT *,
+        CASE WHEN {_m('ring', 'campaign_name')} THEN 'Suite' WHEN {_m('gear', 'campaign_name')} THEN 'Room'
+             WHEN {_m('bolt', 'campaign_name')} THEN 'Desk' ELSE 'Non-Specific' END AS product,
+        CASE WHEN {_m('small', 'campaign_name')} THEN 'North' WHEN {_m('red', 'campaign_name')} THEN 'South'
+             WHEN {_m('blue', 'campaign_name')} THEN 'West' ELSE 'Non-Specific' END AS market
+      FROM f)
+SELECT *, CAST(date_trunc('week', campaign_date) AS DATE) AS spend_week,
+       CAST(date_trunc('month', campaign_date) AS DATE) AS spend_month,
+       CASE WHEN product = 'Suite' THEN spend WHEN product = 'Non-Specific' THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END
+         AS suite,
+       CASE WHEN product = 'Desk' THEN spend WHEN product = 'Non-Specific' THEN spend * CAST(0.4 AS DOUBLE) ELSE 0.0 END
+         AS desk,
+       CASE WHEN product = 'Room' THEN spend WHEN product = 'Non-Specific' THEN spend * CAST(0.2 AS DOUBLE) ELSE 0.0 END
+         AS room
+FROM p
+"""

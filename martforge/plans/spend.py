@@ -72,3 +72,69 @@ def spend_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = allocate_spend(df)
     return out.select("l_orderkey", "l_linenumber", "product", "market", "spend_week", "spend_month",
                       "spend", "suite", "desk", "room")
+
+
+# ---------------------------------------------------------------- five-network daily spend
+
+def _money(col: str) -> F.Column:
+    return F.sum(F.col(col).cast(MONEY)).cast("double")
+
+
+SPEND_COLUMNS = ["campaign_name", "campaign_date", "impressions", "clicks", "conversions", "spend", "source"]
+
+
+def marketing_spend(li_analytics: DataFrame, li_campaigns: DataFrame, li_groups: DataFrame, bing_report: DataFrame,
+                    bing_campaigns: DataFrame, fb_ads: DataFrame, fb_actions: DataFrame, search_main: DataFrame,
+                    search_uk: DataFrame, excluded_accounts: tuple[int, ...] = (),
+                    conversion_types: tuple[str, ...] = ()) -> DataFrame:
+    """UNION (distinct) of five network legs; two legs are ad-level and not aggregated."""
+    from martforge.operators.history import latest_version
+    groups = latest_version(li_groups, ["id"], "last_modified_time", nulls_first=False).select(
+        F.col("id").alias("group_id"), F.col("name").alias("group_name"))
+    li = (li_analytics.join(li_campaigns, li_analytics["campaign_id"] == li_campaigns["id"])
+          .join(groups, F.col("campaign_group_id") == F.col("group_id")))
+    if excluded_accounts:
+        li = li.where(~F.col("account_id").isin(*excluded_accounts))
+    leg_li = li.select(F.col("group_name").alias("campaign_name"), F.to_date("day").alias("campaign_date"),
+                       "impressions", "clicks", F.col("external_website_conversions").cast("double").alias("conversions"),
+                       F.col("cost_in_usd").alias("spend"), F.lit("LinkedIn").alias("source"))
+
+    names = bing_campaigns.select("id", "name").distinct()
+    bing = bing_report.join(names, bing_report["campaign_id"] == names["id"])
+    leg_bing = bing.groupBy(F.col("name").alias("campaign_name"), F.col("date").alias("campaign_date")).agg(
+        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
+        F.sum("conversions").cast("double").alias("conversions"), _money("spend").alias("spend")).withColumn(
+        "source", F.lit("Bing"))
+
+    conv = (fb_actions.where(F.col("action_type").isin(*conversion_types)) if conversion_types else fb_actions)
+    conv = conv.groupBy("date", "ad_id").agg(F.count(F.lit(1)).alias("conversions"))
+    fb = fb_ads.join(conv, ["ad_id", "date"], "left")
+    if excluded_accounts:
+        fb = fb.where(~F.col("account_id").isin(*excluded_accounts))
+    leg_fb = fb.select("campaign_name", F.col("date").alias("campaign_date"), "impressions",
+                       F.col("inline_link_clicks").alias("clicks"), F.col("conversions").cast("double"), "spend",
+                       F.lit("Facebook").alias("source"))
+
+    def search_leg(df):
+        return df.groupBy(F.col("date").alias("campaign_date"), "campaign_name").agg(
+            F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
+            F.sum("conversions").alias("conversions"), _money("cost").alias("spend")).select(
+            "campaign_name", "campaign_date", "impressions", "clicks", "conversions", "spend",
+            F.lit("Google").alias("source"))
+
+    legs = [leg_li, leg_bing.select(*SPEND_COLUMNS), leg_fb, search_leg(search_main), search_leg(search_uk)]
+    return union_distinct([leg.select(*SPEND_COLUMNS) for leg in legs])
+
+
+def marketing_spend_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import ad_adapters as A
+    return marketing_spend(A.linkedin_analytics(spark, sf_dir), A.linkedin_campaigns(spark, sf_dir),
+                           A.linkedin_groups(spark, sf_dir), A.bing_report(spark, sf_dir),
+                           A.bing_campaigns(spark, sf_dir), A.facebook_ads(spark, sf_dir),
+                           A.facebook_actions(spark, sf_dir), A.search_hourly(spark, sf_dir, "main"),
+                           A.search_hourly(spark, sf_dir, "uk"), excluded_accounts=(A.EXCLUDED_ACCOUNT,),
+                           conversion_types=A.FB_CONVERSION_TYPES)
+
+
+def marketing_spend_allocated_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return allocate_spend(marketing_spend_q(spark, sf_dir))
