@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import activity, activity_marts, contact_marts, crm, crm_marts, pages, spend, web, web_marts
+from martforge.plans import activity, activity_marts, contact_marts, crm, crm_marts, pages, spend, web, web_marts, workspace
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -75,4 +75,8 @@ QUERIES: dict[str, QueryFn] = {
     "geo_hierarchy": activity_marts.geo_hierarchy_q,
     "marketing_spend": spend.marketing_spend_q,
     "marketing_spend_allocated": spend.marketing_spend_allocated_q,
+    "meeting_bookings": workspace.meeting_bookings_q,
+    "contracts": workspace.contracts_q,
+    "teams": workspace.teams_q,
+    "spaces": workspace.spaces_q,
 }

@@ -651,3 +651,159 @@ SELECT *, CAST(date_trunc('week', campaign_date) AS DATE) AS spend_week,
          AS room
 FROM p
 """
+
+# ---------------------------------------------------------------- workspace extracts
+
+_T0 = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+def _latest(src: str, keys: str, order: str) -> str:
+    return (f"(SELECT * EXCLUDE (pos) FROM (SELECT *, rank() OVER (PARTITION BY {keys} ORDER BY {order} DESC NULLS FIRST)"
+            f" AS pos FROM {src}) WHERE pos = 1)")
+
+
+WORKSPACE = f"""
+cw AS (SELECT c_custkey AS id, lower(c_name) || '@member.example' AS email, CAST(NULL AS VARCHAR) AS billingemail,
+              c_mktsegment AS custom6, CASE WHEN c_acctbal > 0 THEN 'Paying' ELSE 'Guest' END AS custom8,
+              c_custkey // 10 AS teamid, {_T0} AS updatedon FROM customer
+       UNION ALL
+       SELECT c_custkey, lower(c_name) || '@member.example', CAST(NULL AS VARCHAR), c_mktsegment,
+              CASE WHEN c_acctbal > 0 THEN 'Paying' ELSE 'Guest' END, c_custkey // 10 + 1, {_T0} + INTERVAL 2 DAY
+       FROM customer WHERE c_acctbal > 9000),
+tm AS (SELECT c_custkey // 10 AS id, CAST(c_nationkey + 1 AS BIGINT) AS businessid, c_custkey // 10 + 1000 AS payingmemberid,
+              (c_custkey // 10) % 2 = 0 AS sharetimepasses, (c_custkey // 10) % 3 = 0 AS shareextraservices,
+              true AS sharebookingcredit, false AS discountextraservices, 'm' || CAST(c_custkey AS VARCHAR) AS coworkerids,
+              '' AS activecontracts,
+              CASE WHEN c_custkey // 10 <> 0 THEN 'Team ' || CAST(c_custkey // 10 AS VARCHAR) || ' ' || lower(c_mktsegment)
+                   END AS name,
+              {_T0} + to_days(c_nationkey) AS updatedon
+       FROM customer),
+sizes AS (SELECT DISTINCT CAST(p_size AS BIGINT) AS id FROM part),
+biz AS (SELECT id, 'Site ' || CAST(id AS VARCHAR) AS name, {_T0} AS updatedon FROM sizes
+        UNION ALL SELECT id, 'Site ' || CAST(id AS VARCHAR) || ' (moved)', {_T0} + INTERVAL 3 DAY FROM sizes WHERE id > 45)
+"""
+
+ORACLE["meeting_bookings"] = f"""
+WITH {WORKSPACE},
+bk AS (SELECT l.l_orderkey AS id, o.o_custkey AS coworkerid, 'Member ' || CAST(o.o_custkey AS VARCHAR) AS coworkerfullname,
+              l.l_partkey AS resourceid, 'Room ' || CAST(l.l_partkey AS VARCHAR) AS resourcename,
+              'Meeting room' AS resourceresourcetypename, o.o_orderpriority AS teamsatthetimeofbooking,
+              'Standard' AS tariffatthetimeofbooking, l.l_shipdate AS fromtime, l.l_shipdate + INTERVAL 1 HOUR AS totime,
+              l.l_tax * CAST(100.0 AS DOUBLE) AS coworkerextraserviceprice, l.l_shipdate AS createdon,
+              CASE WHEN l.l_linenumber <> 3 THEN l.l_shipdate + to_minutes(l.l_linenumber) END AS updatedon,
+              CASE WHEN l.l_returnflag = 'R' THEN 'YES' ELSE 'NO' END AS is_deleted
+       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+vb AS (SELECT DISTINCT * FROM (
+         SELECT id AS booking_id, coworkerid, coworkerfullname, resourceid, resourcename, resourceresourcetypename,
+                teamsatthetimeofbooking, tariffatthetimeofbooking, fromtime, totime, coworkerextraserviceprice, createdon,
+                updatedon, is_deleted,
+                CAST(rank() OVER (PARTITION BY id ORDER BY updatedon DESC NULLS FIRST) AS INTEGER) AS pos
+         FROM bk) WHERE pos = 1),
+res AS (SELECT p_partkey AS id, p_name AS name, p_type AS resourcetypename, CAST(p_size AS BIGINT) AS businessid,
+               {_T0} AS updatedon FROM part
+        UNION ALL SELECT p_partkey, p_name || ' v2', p_type, CAST(p_size - 1 AS BIGINT), {_T0} + INTERVAL 5 DAY
+        FROM part WHERE p_size > 40),
+rooms AS (SELECT DISTINCT r.id AS resource_id, b.id AS business_id, b.name AS location, r.name AS room_name,
+                 r.resourcetypename AS room_size
+          FROM {_latest('biz', 'id', 'updatedon')} b JOIN {_latest('res', 'id', 'updatedon')} r ON b.id = r.businessid),
+types AS (SELECT id AS type_id, custom6 AS member_product, custom8 AS member_type FROM {_latest('cw', 'id', 'updatedon')}),
+mteams AS (SELECT DISTINCT coworker_id, team_name FROM (
+             SELECT cw.id AS coworker_id, t.name AS team_name,
+                    rank() OVER (PARTITION BY cw.id, t.id ORDER BY t.updatedon DESC NULLS FIRST) AS pos
+             FROM cw JOIN tm t ON cw.teamid = t.id WHERE t.name IS NOT NULL) WHERE pos = 1),
+ext AS (SELECT l.l_orderkey * 10 + l.l_linenumber AS id, l.l_orderkey AS bookingid,
+               CASE WHEN l.l_linenumber = 2 THEN o.o_custkey + 1 ELSE o.o_custkey END AS coworkerid,
+               l.l_extendedprice AS price, l.l_shipdate AS updatedon
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        UNION ALL
+        SELECT l.l_orderkey * 10 + l.l_linenumber, l.l_orderkey,
+               CASE WHEN l.l_linenumber = 2 THEN o.o_custkey + 1 ELSE o.o_custkey END, -l.l_extendedprice,
+               l.l_shipdate + INTERVAL 1 DAY
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_discount = 0),
+costs AS (SELECT bookingid,
+                 CAST(sum(CASE WHEN CAST(price AS DECIMAL(18,2)) < 0 THEN CAST(price AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+                   AS discount,
+                 CAST(sum(CASE WHEN CAST(price AS DECIMAL(18,2)) > 0 THEN CAST(price AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+                   AS gross_price
+          FROM {_latest('ext', 'id', 'updatedon')} GROUP BY bookingid, coworkerid),
+md AS (SELECT c_custkey AS coworker_id, lower(c_name) || '@member.example' AS email,
+              'Company ' || CAST(c_nationkey AS VARCHAR) AS companyname FROM customer)
+SELECT vb.*, costs.bookingid, costs.discount, costs.gross_price, md.email, md.companyname, types.member_product,
+       types.member_type, rooms.location, rooms.room_size, mteams.team_name
+FROM vb JOIN md ON vb.coworkerid = md.coworker_id
+LEFT JOIN costs ON vb.booking_id = costs.bookingid
+JOIN types ON md.coworker_id = types.type_id
+JOIN rooms ON vb.resourceid = rooms.resource_id
+LEFT JOIN mteams ON md.coworker_id = mteams.coworker_id
+"""
+
+ORACLE["contracts"] = f"""
+WITH {WORKSPACE},
+ctr AS (SELECT o_orderkey AS id, o_custkey AS coworkerid, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS tariffid,
+               o_orderpriority AS tariffname, CAST(NULL AS VARCHAR) AS nexttariffname, o_orderdate AS createdon,
+               o_orderdate AS startdate, o_orderdate + INTERVAL 365 DAY AS renewaldate,
+               CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 90 DAY END AS cancellationdate,
+               o_orderdate AS invoicedperiod, o_orderdate AS contractterm,
+               CASE WHEN o_orderstatus = 'O' THEN 'true' ELSE 'false' END AS active,
+               CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS cancelled,
+               '' AS floorplandeskids, '' AS floorplandesknames, 'C' || CAST(o_orderkey AS VARCHAR) AS uniqueid,
+               o_totalprice / CAST(100.0 AS DOUBLE) AS tariffprice, o_orderdate AS updatedon FROM orders
+        UNION ALL
+        SELECT o_orderkey, o_custkey, CAST(substr(o_orderpriority, 1, 1) AS BIGINT), o_orderpriority,
+               CAST(NULL AS VARCHAR), o_orderdate, o_orderdate, o_orderdate + INTERVAL 365 DAY,
+               CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 90 DAY END, o_orderdate, o_orderdate,
+               CASE WHEN o_orderstatus = 'O' THEN 'true' ELSE 'false' END,
+               CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END, '', '', 'C' || CAST(o_orderkey AS VARCHAR),
+               o_totalprice / CAST(50.0 AS DOUBLE), o_orderdate + INTERVAL 30 DAY
+        FROM orders WHERE o_orderstatus = 'P'),
+inv AS (SELECT l_orderkey * 10 + l_linenumber AS id,
+               CASE WHEN l_linenumber = 7 THEN '' WHEN l_linenumber = 6 THEN NULL ELSE 'C' || CAST(l_orderkey AS VARCHAR) END
+                 AS contractguid,
+               l_extendedprice AS totalamount, CASE WHEN l_linestatus = 'F' THEN l_extendedprice ELSE 0.0 END AS paidamount,
+               l_shipdate AS updatedon FROM lineitem
+        UNION ALL
+        SELECT l_orderkey * 10 + l_linenumber,
+               CASE WHEN l_linenumber = 7 THEN '' WHEN l_linenumber = 6 THEN NULL ELSE 'C' || CAST(l_orderkey AS VARCHAR) END,
+               l_extendedprice + CAST(10.0 AS DOUBLE), 0.0, l_shipdate + INTERVAL 1 DAY FROM lineitem WHERE l_discount = 0),
+cp AS (SELECT contractguid, count(*) AS num_periods,
+              CAST(sum(CAST(totalamount AS DECIMAL(18,2))) AS DOUBLE) AS total_billed,
+              CAST(sum(CAST(paidamount AS DECIMAL(18,2))) AS DOUBLE) AS total_paid
+       FROM {_latest('inv', 'id', 'updatedon')} WHERE contractguid IS NOT NULL AND contractguid <> ''
+       GROUP BY contractguid),
+tf AS (SELECT DISTINCT o_orderpriority FROM orders),
+tar AS (SELECT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS id, 'Main site' AS businessname, o_orderpriority AS name,
+               CAST(CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS DOUBLE) * CAST(100.0 AS DOUBLE) AS price,
+               {_T0} AS hdp_created_ts FROM tf
+        UNION ALL
+        SELECT 1, 'Main site', o_orderpriority || ' plus', CAST(150.0 AS DOUBLE), {_T0} + INTERVAL 7 DAY FROM tf
+        WHERE CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 1),
+pn AS (SELECT id AS plan_id, businessname, name AS plan_name, price AS plan_price
+       FROM {_latest('tar', 'id', 'hdp_created_ts')}),
+ct AS (SELECT id, email, billingemail, custom6 AS product, custom8 AS customer_role, teamid
+       FROM {_latest('cw', 'id', 'updatedon')}),
+tl AS (SELECT id AS team_id, name AS team_name FROM {_latest('tm', 'id', 'updatedon')})
+SELECT cc.coworkerid, cc.tariffid, cc.tariffname, cc.nexttariffname, cc.createdon, cc.startdate, cc.renewaldate,
+       cc.cancellationdate, cc.invoicedperiod, cc.contractterm, cc.active, cc.cancelled, cc.floorplandeskids,
+       cc.floorplandesknames, cc.uniqueid, cc.tariffprice, ct.*, cp.*, pn.businessname, pn.plan_name, pn.plan_price,
+       tl.team_name
+FROM {_latest('ctr', 'id', 'updatedon')} cc JOIN ct ON cc.coworkerid = ct.id
+LEFT JOIN cp ON cc.uniqueid = cp.contractguid
+LEFT JOIN pn ON cc.tariffid = pn.plan_id
+LEFT JOIN tl ON ct.teamid = tl.team_id
+"""
+
+ORACLE["teams"] = f"""
+WITH {WORKSPACE}
+SELECT nt.id, nt.businessid, nt.name AS business_team_name, nt.payingmemberid, nt.sharetimepasses,
+       nt.shareextraservices, nt.sharebookingcredit, nt.discountextraservices, nt.coworkerids, nt.activecontracts,
+       b.name AS location
+FROM {_latest('tm', 'id', 'updatedon')} nt JOIN {_latest('biz', 'id', 'updatedon')} b ON nt.businessid = b.id
+"""
+
+ORACLE["spaces"] = f"""
+SELECT p_partkey AS id, p_name AS name, CAST(p_size AS BIGINT) AS floorplanid, p_type AS floorplanname,
+       'Site ' || CAST(p_size AS VARCHAR) AS floorplanbusinessname, CAST(p_size AS DOUBLE) AS size,
+       CAST(p_size AS BIGINT) AS capacity, p_partkey AS coworkerid, '' AS coworkercontractids,
+       '' AS coworkercontractstartdates, {_T0} AS createdon, {_T0} + INTERVAL 1 DAY AS updatedon
+FROM part WHERE p_size <= 48
+"""
