@@ -36,9 +36,16 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder).
+
+    Only a local-mode session (tests, bench) without the setting gets a scratch
+    folder; a cluster session without it is an error, because a machine-local
+    folder cannot hold checkpoints that must survive executor loss.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="martforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
