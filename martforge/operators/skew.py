@@ -1,0 +1,42 @@
+"""Hot-group detection for group-ordered operators (fills, lag).
+
+A window puts each group in one task.  ``choose_chunk`` measures the largest
+group with one aggregate (map-side partial counts, a one-row result) and
+returns the segmenting chunk only when some group exceeds the row bound a
+task handles comfortably; otherwise it returns ``None`` and the caller runs
+plain windows on one hash partitioning.
+
+The bound is ``spark.conf`` ``martforge.hotGroupRows`` (default 2,000,000
+rows); ``0`` forces segmenting (used by tests).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_GROUP_ROWS = 2_000_000
+
+
+def hot_group_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("martforge.hotGroupRows", str(HOT_GROUP_ROWS)))
+
+
+def max_group_rows(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest group (bounded driver result: one number)."""
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(top or 0)
+
+
+def choose_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, mode="auto") -> Column | None:
+    """``chunk`` when segmenting is needed (or forced with ``mode=True``), else ``None``."""
+    if mode is True:
+        return chunk
+    if mode is False:
+        return None
+    bound = hot_group_rows(df)
+    if bound <= 0:
+        return chunk
+    return chunk if max_group_rows(df, keys) > bound else None

@@ -29,6 +29,7 @@ from martforge.operators.aggregates import string_agg_distinct
 from martforge.operators.history import change_points, latest_version, top_row
 from martforge.operators.joins import bounded_broadcast, null_safe_join
 from martforge.operators.setops import union_tagged
+from martforge.operators.skew import choose_chunk
 
 # Stage roll-up rules (detail -> main stage), in rule order.
 STAGE_RENAMES = [("Cold/Dead", "Closed Lost"), ("Contract Negotiation", "Negotiation/Proposal"),
@@ -89,8 +90,9 @@ def deal_stage_history(hs_history: DataFrame, synced: DataFrame, crm_history: Da
     crm = crm_history.select("opportunity_id", "created_date", F.col("stage_name").alias("pipeline_stage_detail"))
     both = union_tagged([("HS", hs), ("SFDC", crm)], "source")
     # order ties of the source are undefined: tiebreak by source, then detail
+    chunk = choose_chunk(both, ["opportunity_id"], F.date_trunc("month", F.col("created_date")))
     cp = change_points(both, ["opportunity_id"], ["created_date", "source", "pipeline_stage_detail"],
-                       "pipeline_stage_detail", default="1")
+                       "pipeline_stage_detail", default="1", chunk=chunk)
     return cp.select("opportunity_id", F.col("created_date").alias("stage_date"), "pipeline_stage_detail", "source",
                      stage_rollup().alias("pipeline_stage"))
 

@@ -20,15 +20,16 @@
     ``unknown``.
 
 Brand hosts, IP lists and label patterns are parameters (``WebRules``).
-With ``skew_safe`` the fills are segmented by event hour, see
-``operators.fill``.
+Skew: with ``skew_safe="auto"`` the largest visitor is measured first; only
+when it exceeds the hot-group bound are the fills segmented by event hour
+(``operators.fill``), else one hash partitioning by visitor serves all windows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martforge.functions.dates import month_start, quarter_start, week_start, weekday_mon1
@@ -40,6 +41,7 @@ from martforge.operators.fill import fill, first_in_group
 from martforge.operators.joins import anti_join_any, bounded_broadcast, null_safe_join
 from martforge.operators.mode import modes
 from martforge.operators.setops import union_distinct
+from martforge.operators.skew import choose_chunk
 
 ORDER = ["original_timestamp", "id"]
 
@@ -69,7 +71,7 @@ class WebRules:
     city_rules: tuple[tuple[str, str], ...] = ()
     unit_rules: tuple[tuple[str, str], ...] = ()
     product_rules: tuple[tuple[str, str], ...] = (("suite", "Suite"), ("desk", "Desk"), ("room", "Room"))
-    skew_safe: bool = True
+    skew_safe: object = "auto"                # "auto" | True | False, see operators.skew
 
 
 def testing_traffic_ips(pages: DataFrame, rules: WebRules) -> DataFrame:
@@ -103,7 +105,7 @@ def _medium_ladder(rules: WebRules):
 
 def attributed_pageviews(spark: SparkSession, pages: DataFrame, internal_ips: DataFrame, ip_org: DataFrame,
                          ua_dim: DataFrame, clicks: DataFrame, rules: WebRules = WebRules()) -> DataFrame:
-    chunk = F.date_trunc("hour", F.col("original_timestamp")) if rules.skew_safe else None
+    chunk = choose_chunk(pages, ["anonymous_id"], F.date_trunc("hour", F.col("original_timestamp")), rules.skew_safe)
     by_day = dict(chunk=chunk, chunk_by=["anonymous_id"])
 
     literal = spark.createDataFrame([(ip,) for ip in rules.literal_ips], "context_ip string")
@@ -129,6 +131,8 @@ def attributed_pageviews(spark: SparkSession, pages: DataFrame, internal_ips: Da
         "campaign_source": F.coalesce(F.col("context_campaign_source"), url_param("url", "utm_source"),
                                       F.when(has_click, F.lit("google"))),
     })
+    if chunk is None:  # no hot visitor: one hash partitioning serves every window below
+        df = df.repartition("anonymous_id")
     cols3 = ["campaign_medium", "campaign_source", "campaign_name"]
     df = fill(df, ["anonymous_id", "seg_date"], ORDER, cols3, "downup", **by_day)
     df = df.withColumn("campaign_medium", F.when(
@@ -138,8 +142,13 @@ def attributed_pageviews(spark: SparkSession, pages: DataFrame, internal_ips: Da
     df = df.withColumn("campaign_medium", _medium_ladder(rules))
     df = fill(df, ["anonymous_id"], ORDER, ["campaign_medium"], "down", **by_day)
     df = fill(df, ["anonymous_id", "seg_date"], ORDER, ["campaign_medium"], "up", **by_day)
-    landing = first_in_group(df, ["anonymous_id", "seg_date"], ORDER, "url", "landing_content")
-    df = null_safe_join(df, landing, ["anonymous_id", "seg_date"], "left")
+    if chunk is None:
+        whole_day = Window.partitionBy("anonymous_id", "seg_date").orderBy(*ORDER).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)
+        df = df.withColumn("landing_content", F.first("url").over(whole_day))
+    else:  # hot visitors: grouped first value (partial aggregation) joined back
+        landing = first_in_group(df, ["anonymous_id", "seg_date"], ORDER, "url", "landing_content")
+        df = null_safe_join(df, landing, ["anonymous_id", "seg_date"], "left")
     df = df.fillna({"campaign_medium": "unknown"})
     return df.select(*PAGEVIEW_COLUMNS)
 
