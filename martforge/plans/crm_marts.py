@@ -1,7 +1,7 @@
 """CRM marts: deal stage history across two CRMs and the deal mart.
 
 Extracts (source tables -> extract shape):
-* ``hs_deal_history``: stage-change log of the marketing CRM (property
+* ``marketing_deal_history``: stage-change log of the marketing CRM (property
   history joined to its pipeline stages with a constant in the ON clause),
 * ``crm_deal_history``: stage history of the sales CRM for selected record types,
 * ``synced_deals``: latest id map between the two CRMs (rank = 1, ties kept).
@@ -53,7 +53,7 @@ class DealRules:
 
 # ---------------------------------------------------------------- extracts
 
-def hs_deal_history(property_history: DataFrame, pipeline_stages: DataFrame, rules: DealRules = DealRules()) -> DataFrame:
+def marketing_deal_history(property_history: DataFrame, pipeline_stages: DataFrame, rules: DealRules = DealRules()) -> DataFrame:
     stages = pipeline_stages.where(F.col("pipeline_id") == rules.pipeline_id)
     ph = property_history.where(F.col("name") == "deal_pipeline_stage_id")
     j = ph.join(bounded_broadcast(stages), ph["value"] == stages["stage_id"])
@@ -88,7 +88,7 @@ def deal_stage_history(hs_history: DataFrame, synced: DataFrame, crm_history: Da
         F.col("salesforce_opportunity_id").alias("opportunity_id"), F.col("date_created").alias("created_date"),
         F.col("pipeline_stage").alias("pipeline_stage_detail"))
     crm = crm_history.select("opportunity_id", "created_date", F.col("stage_name").alias("pipeline_stage_detail"))
-    both = union_tagged([("HS", hs), ("SFDC", crm)], "source")
+    both = union_tagged([("MKT", hs), ("SALES", crm)], "source")
     # order ties of the source are undefined: tiebreak by source, then detail
     chunk = choose_chunk(both, ["opportunity_id"], F.date_trunc("month", F.col("created_date")))
     cp = change_points(both, ["opportunity_id"], ["created_date", "source", "pipeline_stage_detail"],
@@ -204,7 +204,7 @@ def deal_mart(opptys: DataFrame, history: DataFrame, amounts: DataFrame, brokers
 
 def deal_stage_history_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.sources import crm_adapters as A
-    hs = hs_deal_history(A.deal_property_history(spark, sf_dir), A.deal_pipeline_stages(spark, sf_dir))
+    hs = marketing_deal_history(A.deal_property_history(spark, sf_dir), A.deal_pipeline_stages(spark, sf_dir))
     crm = crm_deal_history(A.opportunity_history(spark, sf_dir), A.opportunities(spark, sf_dir),
                            A.record_types(spark, sf_dir))
     return deal_stage_history(hs, synced_deals(A.imported_deals(spark, sf_dir)), crm)
@@ -215,4 +215,4 @@ def deal_mart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     synced = synced_deals(A.imported_deals(spark, sf_dir))
     roles = A.opportunity_roles(spark, sf_dir)
     return deal_mart(A.opportunity_wide(spark, sf_dir), deal_stage_history_q(spark, sf_dir),
-                     deal_amounts(A.hs_deals(spark, sf_dir), synced), broker_deals(roles), deal_contacts(roles))
+                     deal_amounts(A.marketing_deals(spark, sf_dir), synced), broker_deals(roles), deal_contacts(roles))

@@ -196,8 +196,8 @@ crm AS (SELECT oh.opportunity_id, oh.created_date, oh.stage_name FROM oh
                 AND rt.name IN ('Local Fill', 'Broker-Led', 'Enterprise')
         WHERE oh.is_deleted IS false),
 hboth AS (SELECT syn.sid AS opportunity_id, hs.date_created AS created_date, hs.pipeline_stage AS pipeline_stage_detail,
-                 'HS' AS source FROM hs JOIN syn ON hs.deal_id = syn.hid
-          UNION ALL SELECT opportunity_id, created_date, stage_name, 'SFDC' FROM crm),
+                 'MKT' AS source FROM hs JOIN syn ON hs.deal_id = syn.hid
+          UNION ALL SELECT opportunity_id, created_date, stage_name, 'SALES' FROM crm),
 hlag AS (SELECT *, lag(pipeline_stage_detail, 1, '1') OVER (PARTITION BY opportunity_id
            ORDER BY created_date NULLS FIRST, source NULLS FIRST, pipeline_stage_detail NULLS FIRST) AS prev FROM hboth),
 hist AS (

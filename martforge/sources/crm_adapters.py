@@ -82,7 +82,7 @@ def imported_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("ts").alias("_fivetran_synced"))
 
 
-def hs_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def marketing_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
     g = o.groupBy("o_custkey").agg(F.max("o_totalprice").alias("property_amount"),
                                    F.max("o_orderdate").alias("property_closedate"))
