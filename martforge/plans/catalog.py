@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import activity, activity_marts, contact_marts, crm, crm_marts, pages, spend, web, web_marts, workspace
+from martforge.plans import (activity, activity_marts, contact_marts, crm, crm_marts, extracts, pages, spend, web,
+                             web_marts, workspace)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -79,4 +80,9 @@ QUERIES: dict[str, QueryFn] = {
     "contracts": workspace.contracts_q,
     "teams": workspace.teams_q,
     "spaces": workspace.spaces_q,
+    "pipeline_moves": extracts.pipeline_moves_q,
+    "second_pipeline_history": extracts.second_pipeline_history_q,
+    "form_hits": extracts.form_hits_q,
+    "deleted_deals": extracts.deleted_deals_q,
+    "tours": extracts.tours_q,
 }

@@ -807,3 +807,76 @@ SELECT p_partkey AS id, p_name AS name, CAST(p_size AS BIGINT) AS floorplanid, p
        '' AS coworkercontractstartdates, {_T0} AS createdon, {_T0} + INTERVAL 1 DAY AS updatedon
 FROM part WHERE p_size <= 48
 """
+
+# ---------------------------------------------------------------- save-only extracts
+
+ORACLE["pipeline_moves"] = """
+WITH h AS (SELECT user_id + 100000 AS deal_id,
+                  CASE WHEN event_type IN ('click', 'view') THEN 'default' WHEN event_type = 'signup' THEN 'other'
+                       ELSE 'archive' END AS value FROM events)
+SELECT deal_id, 'yes' AS broker_pipeline FROM h WHERE value IN ('default', 'other')
+GROUP BY deal_id HAVING count(DISTINCT value) = 2
+"""
+
+ORACLE["second_pipeline_history"] = f"""
+WITH ph AS (SELECT user_id + 100000 AS deal_id,
+                   CASE WHEN value < 19 THEN 'deal_pipeline_stage_id' ELSE 'dealname' END AS name,
+                   'st_' || event_type AS value, ts AS timestamp, 'CRM_UI' AS source,
+                   CAST(event_id AS VARCHAR) AS source_id FROM events WHERE value < 20),
+types AS (SELECT DISTINCT event_type FROM events),
+stages AS (SELECT 'st_' || event_type AS stage_id, 'default' AS pipeline_id, {_HS_LABEL} AS label FROM types
+           UNION ALL SELECT 'st_' || event_type, 'other', upper(event_type) FROM types)
+SELECT ph.deal_id, ph.name, date_trunc('minute', ph.timestamp) AS date_created, s.label AS pipeline_stage,
+       ph.source_id, ph.source
+FROM ph JOIN stages s ON ph.value = s.stage_id AND s.pipeline_id = 'other'
+WHERE ph.name = 'deal_pipeline_stage_id'
+"""
+
+ORACLE["form_hits"] = r"""
+WITH n AS (SELECT max(page_id) + 1 AS n FROM pages),
+h AS (SELECT lower(regexp_extract(p.url, '^[A-Za-z]+://([^/?#:]+)', 1)) AS page_hostname,
+             regexp_extract(p.url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1) AS page_page_path,
+             date_trunc('hour', e.ts) AS visit_start_time, e.user_id AS visit_id,
+             CASE WHEN e.event_type IN ('signup', 'purchase', 'click') THEN 'lead form' ELSE 'page' END
+               AS event_info_category,
+             CASE WHEN e.event_type = 'signup' THEN 'lead form viewed'
+                  WHEN e.event_type = 'purchase' THEN 'lead form submitted'
+                  WHEN e.event_type = 'click' THEN 'lead form closed' ELSE 'scroll' END AS event_info_action
+      FROM events e JOIN pages p ON e.event_id % (SELECT n FROM n) = p.page_id)
+SELECT page_hostname, page_page_path, visit_start_time, visit_id, event_info_action, count(*) AS count
+FROM h WHERE event_info_category = 'lead form' AND event_info_action IN ('lead form viewed', 'lead form submitted')
+GROUP BY page_hostname, page_page_path, visit_start_time, visit_id, event_info_action
+"""
+
+ORACLE["deleted_deals"] = """
+SELECT user_id + 100000 AS deal_id FROM events WHERE event_type = 'error' AND value < 100
+UNION
+SELECT user_id + 100000 FROM events WHERE event_type = 'view' AND value > 150
+"""
+
+ORACLE["tours"] = """
+WITH b AS (SELECT 'B' || CAST(n_nationkey AS VARCHAR) AS b_id, n_name AS unit FROM nation),
+c AS (SELECT 'CT' || CAST(c_custkey AS VARCHAR) AS c_id, c_name AS contact FROM customer),
+o AS (SELECT 'OPP' || CAST(c_custkey AS VARCHAR) AS o_id, 'B' || CAST(c_nationkey AS VARCHAR) AS building_fill_c
+      FROM customer),
+awt AS (SELECT 'AT' || CAST(o_orderkey AS VARCHAR) AS id, 'B' || CAST(o_custkey % 30 AS VARCHAR) AS building_c,
+               'CT' || CAST(o_custkey AS VARCHAR) AS contact_c, 'Tour ' || o_orderstatus AS name,
+               o_orderdate AS created_date, CAST(o_orderdate AS DATE) + 7 AS date_toured_c,
+               o_orderstatus = 'F' AS is_deleted
+        FROM orders WHERE o_orderpriority = '1-URGENT'),
+ev AS (SELECT 'EV' || CAST(event_id AS VARCHAR) AS id, 'OPP' || CAST(user_id AS VARCHAR) AS what_id,
+              'CT' || CAST(user_id AS VARCHAR) AS who_id,
+              CASE event_type WHEN 'signup' THEN 'Tour booked' WHEN 'click' THEN 'tour follow-up'
+                              WHEN 'view' THEN 'Call' ELSE 'Meeting' END AS subject,
+              CASE WHEN value < 30 THEN 'about the tour' ELSE 'general' END AS description,
+              ts AS created_date, CAST(ts AS DATE) AS activity_date, value > 200 AS is_deleted FROM events)
+SELECT awt.id, awt.building_c AS what_id, b.unit, awt.contact_c AS who_id, c.contact, awt.name AS tour_type,
+       awt.created_date, awt.date_toured_c AS activity_date, 'Awareness Tours' AS source
+FROM awt LEFT JOIN b ON awt.building_c = b.b_id LEFT JOIN c ON awt.contact_c = c.c_id
+WHERE awt.is_deleted IS false
+UNION
+SELECT ev.id, ev.what_id, b.unit, ev.who_id, c.contact, ev.subject AS tour_type, ev.created_date, ev.activity_date,
+       'Events' AS source
+FROM ev LEFT JOIN o ON ev.what_id = o.o_id LEFT JOIN b ON o.building_fill_c = b.b_id LEFT JOIN c ON ev.who_id = c.c_id
+WHERE ev.subject LIKE '%Tour%' OR ev.description LIKE '%tour%' AND ev.is_deleted IS false
+"""
