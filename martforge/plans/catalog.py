@@ -85,4 +85,6 @@ QUERIES: dict[str, QueryFn] = {
     "form_hits": extracts.form_hits_q,
     "deleted_deals": extracts.deleted_deals_q,
     "tours": extracts.tours_q,
+    "access_events": extracts.access_events_q,
+    "crm_activity": extracts.crm_activity_q,
 }

@@ -85,3 +85,55 @@ def tours_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.sources import extract_adapters as A
     return tours(A.awareness_tours(spark, sf_dir), A.crm_events(spark, sf_dir), A.buildings(spark, sf_dir),
                  A.contacts(spark, sf_dir), A.opportunities(spark, sf_dir))
+
+
+def access_events(events: DataFrame, links: DataFrame, people: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Granted / denied swipes with member and reader: the link table is used in two
+    roles (person, reader), each the latest link version per (event, object, relation)."""
+    from martforge.operators.history import latest_version
+    lo = latest_version(links.join(events.select(F.col("event_id").alias("e_id")), F.col("event_id") == F.col("e_id")),
+                        ["event_id", "linked_object_id", "relation"], "hdp_created_ts")
+    lo = lo.where(F.col("relation").isin("Person", "Reader")).select("event_id", "linked_object_id", "common_name",
+                                                                     "relation")
+    person = lo.where(F.col("relation") == "Person").select(F.col("event_id").alias("p_event"),
+                                                            F.col("linked_object_id").alias("person_id"))
+    reader = lo.where(F.col("relation") == "Reader").select(F.col("event_id").alias("r_event"),
+                                                            F.col("common_name").alias("reader_name"))
+    emails = latest_version(addresses, ["address_id"], "hdp_created_ts").select(
+        F.col("people_id").alias("e_people"), F.col("mail_to").alias("member_email"))
+    ev = events.where(F.col("message_short").isin("Access Granted", "Access denied"))
+    j = (ev.join(person, ev["event_id"] == F.col("p_event"))
+         .join(reader, ev["event_id"] == F.col("r_event"))
+         .join(people, F.col("person_id") == people["people_id"])
+         .join(emails, people["people_id"] == F.col("e_people")))
+    return j.select(ev["event_id"], "message_short", "published_on", "occurred_on",
+                    people["common_name"].alias("member_name"), "member_email", "reader_name")
+
+
+def crm_activity(tasks: DataFrame, events: DataFrame, users: DataFrame, opportunities: DataFrame,
+                 record_types: DataFrame, excluded_type: str) -> DataFrame:
+    """Tasks and calendar events on opportunities of every record type but one (UNION)."""
+    rt = bounded_broadcast(record_types.where(F.col("name") != excluded_type).select(F.col("id").alias("rt_id")))
+    opp = opportunities.join(rt, F.col("record_type_id") == F.col("rt_id")).select(F.col("id").alias("o_id"))
+    u = bounded_broadcast(users.select(F.col("id").alias("u_id"), "alias", F.col("name").alias("creator")))
+
+    def leg(df, subtype, kind):
+        j = df.join(u, F.col("created_by_id") == F.col("u_id")).join(opp, F.col("what_id") == F.col("o_id"))
+        return j.select(F.col(subtype).alias("subtype"), "subject", "created_date", "activity_date",
+                        F.col("who_id").alias("contact_id"), F.col("what_id").alias("opportunity_id"), "alias",
+                        "creator", F.lit(kind).alias("type"))
+
+    return union_distinct([leg(tasks, "task_subtype", "task"), leg(events, "event_subtype", "event")])
+
+
+def access_events_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import extract_adapters as A
+    return access_events(A.access_events(spark, sf_dir), A.access_links(spark, sf_dir), A.people(spark, sf_dir),
+                         A.addresses(spark, sf_dir))
+
+
+def crm_activity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import crm_adapters as C
+    from martforge.sources import extract_adapters as A
+    return crm_activity(A.crm_tasks(spark, sf_dir), A.crm_calendar_events(spark, sf_dir), A.crm_users(spark, sf_dir),
+                        C.opportunities(spark, sf_dir), C.record_types(spark, sf_dir), "Partner")

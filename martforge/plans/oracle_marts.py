@@ -880,3 +880,68 @@ SELECT ev.id, ev.what_id, b.unit, ev.who_id, c.contact, ev.subject AS tour_type,
 FROM ev LEFT JOIN o ON ev.what_id = o.o_id LEFT JOIN b ON o.building_fill_c = b.b_id LEFT JOIN c ON ev.who_id = c.c_id
 WHERE ev.subject LIKE '%Tour%' OR ev.description LIKE '%tour%' AND ev.is_deleted IS false
 """
+
+ORACLE["access_events"] = """
+WITH ev AS (SELECT 'AE' || CAST(event_id AS VARCHAR) AS event_id,
+                   CASE WHEN event_type = 'view' THEN 'Access Granted' WHEN event_type = 'error' THEN 'Access denied'
+                        ELSE 'Door held' END AS message_short, ts AS published_on, ts AS occurred_on FROM events),
+links AS (
+  SELECT 'AE' || CAST(event_id AS VARCHAR) AS event_id, 'P' || CAST(user_id AS VARCHAR) AS linked_object_id,
+         'person ' || CAST(user_id AS VARCHAR) AS common_name, 'Person' AS relation, ts AS hdp_created_ts FROM events
+  UNION ALL
+  SELECT 'AE' || CAST(event_id AS VARCHAR), 'P' || CAST(user_id AS VARCHAR),
+         'person ' || CAST(user_id AS VARCHAR) || ' (updated)', 'Person', ts + INTERVAL 1 HOUR FROM events WHERE value > 100
+  UNION ALL
+  SELECT 'AE' || CAST(event_id AS VARCHAR), 'R' || CAST(CAST(floor(value / 50) AS BIGINT) AS VARCHAR),
+         'reader ' || CAST(CAST(floor(value / 50) AS BIGINT) AS VARCHAR), 'Reader', ts FROM events
+  UNION ALL
+  SELECT 'AE' || CAST(event_id AS VARCHAR), 'CTRL', 'controller', 'Controller', ts FROM events
+  WHERE event_type = 'signup'),
+lo AS (SELECT * FROM (SELECT l.*, rank() OVER (PARTITION BY l.event_id, l.linked_object_id, l.relation
+                                               ORDER BY l.hdp_created_ts DESC NULLS FIRST) AS pos
+                      FROM ev e JOIN links l ON e.event_id = l.event_id)
+       WHERE pos = 1 AND relation IN ('Person', 'Reader')),
+pl AS (SELECT 'P' || CAST(c_custkey AS VARCHAR) AS people_id, c_name AS common_name FROM customer),
+addr AS (SELECT 'A' || CAST(c_custkey AS VARCHAR) AS address_id, 'P' || CAST(c_custkey AS VARCHAR) AS people_id,
+                lower(c_name) || '@mail.example' AS mail_to, TIMESTAMP '2024-01-01 00:00:00' AS hdp_created_ts
+         FROM customer
+         UNION ALL
+         SELECT 'A' || CAST(c_custkey AS VARCHAR), 'P' || CAST(c_custkey AS VARCHAR),
+                'new.' || lower(c_name) || '@mail.example', TIMESTAMP '2024-01-02 00:00:00' FROM customer
+         WHERE c_acctbal > 5000),
+fe AS (SELECT people_id, mail_to AS member_email FROM (
+         SELECT *, rank() OVER (PARTITION BY address_id ORDER BY hdp_created_ts DESC NULLS FIRST) AS pos FROM addr)
+       WHERE pos = 1)
+SELECT ev.event_id, ev.message_short, ev.published_on, ev.occurred_on, pl.common_name AS member_name, fe.member_email,
+       lo2.common_name AS reader_name
+FROM ev JOIN lo ON ev.event_id = lo.event_id AND lo.relation = 'Person'
+JOIN lo lo2 ON ev.event_id = lo2.event_id AND lo2.relation = 'Reader'
+JOIN pl ON lo.linked_object_id = pl.people_id
+JOIN fe ON pl.people_id = fe.people_id
+WHERE ev.message_short IN ('Access Granted', 'Access denied')
+"""
+
+ORACLE["crm_activity"] = f"""
+WITH u AS (SELECT 'U' || CAST(s_suppkey AS VARCHAR) AS id, 'u' || CAST(s_suppkey AS VARCHAR) AS alias, s_name AS name
+           FROM supplier),
+op AS (SELECT 'OPP' || CAST(c_custkey AS VARCHAR) AS id, 'RT_' || c_mktsegment AS record_type_id FROM customer),
+rt AS (SELECT 'RT_' || seg AS id, {_RT.format(c='seg')} AS name FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer)),
+t AS (SELECT 'Call' AS task_subtype, 'Follow up ' || o_orderpriority AS subject, o_orderdate AS created_date,
+             CAST(o_orderdate AS DATE) AS activity_date, 'CT' || CAST(o_custkey AS VARCHAR) AS who_id,
+             'OPP' || CAST(o_custkey AS VARCHAR) AS what_id, 'U' || CAST(o_orderkey % 10 AS VARCHAR) AS created_by_id
+      FROM orders),
+e AS (SELECT 'Event' AS event_subtype,
+             CASE event_type WHEN 'signup' THEN 'Tour booked' WHEN 'click' THEN 'tour follow-up'
+                             WHEN 'view' THEN 'Call' ELSE 'Meeting' END AS subject,
+             ts AS created_date, CAST(ts AS DATE) AS activity_date, 'CT' || CAST(user_id AS VARCHAR) AS who_id,
+             'OPP' || CAST(user_id AS VARCHAR) AS what_id, 'U' || CAST(user_id % 10 AS VARCHAR) AS created_by_id
+      FROM events)
+SELECT t.task_subtype AS subtype, t.subject, t.created_date, t.activity_date, t.who_id AS contact_id,
+       t.what_id AS opportunity_id, u.alias, u.name AS creator, 'task' AS type
+FROM t JOIN u ON t.created_by_id = u.id JOIN op ON t.what_id = op.id JOIN rt ON op.record_type_id = rt.id
+                                                                    AND rt.name != 'Partner'
+UNION
+SELECT e.event_subtype, e.subject, e.created_date, e.activity_date, e.who_id, e.what_id, u.alias, u.name, 'event'
+FROM e JOIN u ON e.created_by_id = u.id JOIN op ON e.what_id = op.id JOIN rt ON op.record_type_id = rt.id
+                                                                    AND rt.name != 'Partner'
+"""

@@ -91,3 +91,78 @@ def crm_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "description"),
                      F.col("ts").alias("created_date"), F.to_date("ts").alias("activity_date"),
                      (F.col("value") > 200).alias("is_deleted"))
+
+
+# ---------------------------------------------------------------- access control and sales-CRM activity
+
+T0 = "2024-01-01 00:00:00"
+
+
+def access_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    msg = (F.when(F.col("event_type") == "view", F.lit("Access Granted"))
+           .when(F.col("event_type") == "error", F.lit("Access denied")).otherwise(F.lit("Door held")))
+    return ev.select(F.concat(F.lit("AE"), F.col("event_id").cast("string")).alias("event_id"), msg.alias("message_short"),
+                     F.col("ts").alias("published_on"), F.col("ts").alias("occurred_on"))
+
+
+def access_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event -> person / reader / controller links; some person links have a later version."""
+    ev = _events(spark, sf_dir)
+    eid = F.concat(F.lit("AE"), F.col("event_id").cast("string")).alias("event_id")
+    person = F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("linked_object_id")
+    reader_no = F.floor(F.col("value") / F.lit(50)).cast("long").cast("string")
+    p1 = ev.select(eid, person, F.concat(F.lit("person "), F.col("user_id").cast("string")).alias("common_name"),
+                   F.lit("Person").alias("relation"), F.col("ts").alias("hdp_created_ts"))
+    p2 = ev.where(F.col("value") > 100).select(
+        eid, person, F.concat(F.lit("person "), F.col("user_id").cast("string"), F.lit(" (updated)")).alias("common_name"),
+        F.lit("Person").alias("relation"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("hdp_created_ts"))
+    rd = ev.select(eid, F.concat(F.lit("R"), reader_no).alias("linked_object_id"),
+                   F.concat(F.lit("reader "), reader_no).alias("common_name"), F.lit("Reader").alias("relation"),
+                   F.col("ts").alias("hdp_created_ts"))
+    ct = ev.where(F.col("event_type") == "signup").select(
+        eid, F.lit("CTRL").alias("linked_object_id"), F.lit("controller").alias("common_name"),
+        F.lit("Controller").alias("relation"), F.col("ts").alias("hdp_created_ts"))
+    return p1.unionByName(p2).unionByName(rd).unionByName(ct)
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
+    return c.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("people_id"),
+                    F.col("c_name").alias("common_name"))
+
+
+def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_acctbal"])
+    key = [F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("address_id"),
+           F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("people_id")]
+    v1 = c.select(*key, F.concat(F.lower(F.col("c_name")), F.lit("@mail.example")).alias("mail_to"),
+                  F.lit(T0).cast("timestamp_ntz").alias("hdp_created_ts"))
+    v2 = c.where(F.col("c_acctbal") > 5000).select(
+        *key, F.concat(F.lit("new."), F.lower(F.col("c_name")), F.lit("@mail.example")).alias("mail_to"),
+        (F.lit(T0).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")).alias("hdp_created_ts"))
+    return v1.unionByName(v2)
+
+
+def crm_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    return s.select(F.concat(F.lit("U"), F.col("s_suppkey").cast("string")).alias("id"),
+                    F.concat(F.lit("u"), F.col("s_suppkey").cast("string")).alias("alias"), F.col("s_name").alias("name"))
+
+
+def crm_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
+    return o.select(F.lit("Call").alias("task_subtype"), F.concat(F.lit("Follow up "), F.col("o_orderpriority")).alias(
+        "subject"), F.col("o_orderdate").alias("created_date"), F.to_date("o_orderdate").alias("activity_date"),
+                    F.concat(F.lit("CT"), F.col("o_custkey").cast("string")).alias("who_id"),
+                    F.concat(F.lit("OPP"), F.col("o_custkey").cast("string")).alias("what_id"),
+                    F.concat(F.lit("U"), F.pmod(F.col("o_orderkey"), F.lit(10)).cast("string")).alias("created_by_id"))
+
+
+def crm_calendar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = crm_events(spark, sf_dir)
+    raw = _events(spark, sf_dir).select(F.concat(F.lit("EV"), F.col("event_id").cast("string")).alias("rid"),
+                                        F.concat(F.lit("U"), F.pmod(F.col("user_id"), F.lit(10)).cast("string"))
+                                        .alias("created_by_id"))
+    return ev.join(raw, ev["id"] == raw["rid"]).select(F.lit("Event").alias("event_subtype"), "subject", "created_date",
+                                                         "activity_date", "who_id", "what_id", "created_by_id")
