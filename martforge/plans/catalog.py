@@ -87,4 +87,7 @@ QUERIES: dict[str, QueryFn] = {
     "tours": extracts.tours_q,
     "access_events": extracts.access_events_q,
     "crm_activity": extracts.crm_activity_q,
+    "lifecycle_history": extracts.lifecycle_history_q,
+    "deals_with_owner": extracts.deals_with_owner_q,
+    "stage_probabilities": extracts.stage_probabilities_q,
 }

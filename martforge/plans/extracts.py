@@ -137,3 +137,36 @@ def crm_activity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.sources import extract_adapters as A
     return crm_activity(A.crm_tasks(spark, sf_dir), A.crm_calendar_events(spark, sf_dir), A.crm_users(spark, sf_dir),
                         C.opportunities(spark, sf_dir), C.record_types(spark, sf_dir), "Partner")
+
+
+def lifecycle_history(history: DataFrame) -> DataFrame:
+    """Lifecycle-stage changes; the second column is renamed by position in the source."""
+    h = history.where(F.col("name") == "lifecyclestage")
+    cols = h.columns
+    return h.select(*[F.col(c).alias("property_name") if i == 1 else F.col(c) for i, c in enumerate(cols)])
+
+
+def deals_with_owner(deals: DataFrame, owners: DataFrame) -> DataFrame:
+    o = bounded_broadcast(owners.select(F.col("owner_id").alias("o_owner_id"), F.col("email").alias("sales_owner")))
+    return deals.join(o, deals["owner_id"] == F.col("o_owner_id"), "left").drop("o_owner_id")
+
+
+def stage_probabilities(stages: DataFrame, pipelines: DataFrame) -> DataFrame:
+    pl = pipelines.select(F.col("pipeline_id").alias("pl_id"), F.col("label").alias("pipeline"))
+    j = stages.where(F.col("active") == "true").join(pl, F.col("pipeline_id") == F.col("pl_id"))
+    return j.select("pipeline_id", "pipeline", F.col("label").alias("pipeline_stage"), "stage_id", "probability")
+
+
+def lifecycle_history_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import extract_adapters as A
+    return lifecycle_history(A.contact_history(spark, sf_dir))
+
+
+def deals_with_owner_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import extract_adapters as A
+    return deals_with_owner(A.crm_deals(spark, sf_dir), A.crm_owners(spark, sf_dir))
+
+
+def stage_probabilities_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import extract_adapters as A
+    return stage_probabilities(A.pipeline_stage_table(spark, sf_dir), A.pipelines(spark, sf_dir))

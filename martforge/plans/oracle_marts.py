@@ -945,3 +945,30 @@ SELECT e.event_subtype, e.subject, e.created_date, e.activity_date, e.who_id, e.
 FROM e JOIN u ON e.created_by_id = u.id JOIN op ON e.what_id = op.id JOIN rt ON op.record_type_id = rt.id
                                                                     AND rt.name != 'Partner'
 """
+
+ORACLE["lifecycle_history"] = """
+SELECT user_id AS contact_id, 'lifecyclestage' AS property_name,
+       CASE WHEN event_type = 'signup' THEN 'lead' WHEN event_type = 'purchase' THEN 'customer'
+            WHEN event_type = 'view' THEN 'Yes' ELSE 'opportunity' END AS value,
+       ts AS timestamp
+FROM events WHERE value < 20 AND event_type <> 'view'
+"""
+
+ORACLE["deals_with_owner"] = """
+WITH d AS (SELECT o_custkey + 100000 AS deal_id, o_custkey % 150 AS owner_id, max(o_totalprice) AS property_amount,
+                  max(o_orderdate) AS property_closedate FROM orders GROUP BY o_custkey),
+o AS (SELECT s_suppkey AS owner_id, lower(s_name) || '@sales.example' AS email FROM supplier)
+SELECT d.*, o.email AS sales_owner FROM d LEFT JOIN o ON d.owner_id = o.owner_id
+"""
+
+ORACLE["stage_probabilities"] = f"""
+WITH types AS (SELECT DISTINCT event_type FROM events),
+st AS (SELECT 'st_' || event_type AS stage_id, 'default' AS pipeline_id, {_HS_LABEL} AS label FROM types
+       UNION ALL SELECT 'st_' || event_type, 'other', upper(event_type) FROM types),
+ps AS (SELECT *, CAST(length(label) AS DOUBLE) / CAST(40.0 AS DOUBLE) AS probability,
+              CASE WHEN contains(label, 'Dead') OR label = 'ERROR' THEN 'false' ELSE 'true' END AS active FROM st),
+pl AS (SELECT pipeline_id, upper(substr(pipeline_id, 1, 1)) || lower(substr(pipeline_id, 2)) || ' pipeline' AS label
+       FROM (SELECT DISTINCT pipeline_id FROM st))
+SELECT ps.pipeline_id, pl.label AS pipeline, ps.label AS pipeline_stage, ps.stage_id, ps.probability
+FROM ps JOIN pl ON ps.pipeline_id = pl.pipeline_id WHERE ps.active = 'true'
+"""

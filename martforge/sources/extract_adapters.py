@@ -166,3 +166,44 @@ def crm_calendar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         .alias("created_by_id"))
     return ev.join(raw, ev["id"] == raw["rid"]).select(F.lit("Event").alias("event_subtype"), "subject", "created_date",
                                                          "activity_date", "who_id", "what_id", "created_by_id")
+
+
+# ---------------------------------------------------------------- marketing-CRM small extracts
+
+def contact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contact property log with two properties (lifecycle stage and review status)."""
+    ev = _events(spark, sf_dir).where(F.col("value") < 20)
+    name = F.when(F.col("event_type") == "view", F.lit("isr_review")).otherwise(F.lit("lifecyclestage"))
+    value = (F.when(F.col("event_type") == "signup", F.lit("lead")).when(F.col("event_type") == "purchase",
+                                                                          F.lit("customer"))
+             .when(F.col("event_type") == "view", F.lit("Yes")).otherwise(F.lit("opportunity")))
+    return ev.select(F.col("user_id").alias("contact_id"), name.alias("name"), value.alias("value"),
+                     F.col("ts").alias("timestamp"))
+
+
+def crm_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
+    g = o.groupBy("o_custkey").agg(F.max("o_totalprice").alias("property_amount"),
+                                   F.max("o_orderdate").alias("property_closedate"))
+    return g.select((F.col("o_custkey") + 100000).alias("deal_id"),
+                    F.pmod(F.col("o_custkey"), F.lit(150)).alias("owner_id"), "property_amount", "property_closedate")
+
+
+def crm_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    return s.select(F.col("s_suppkey").alias("owner_id"),
+                    F.concat(F.lower(F.col("s_name")), F.lit("@sales.example")).alias("email"))
+
+
+def pipeline_stage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources.crm_adapters import deal_pipeline_stages
+    st = deal_pipeline_stages(spark, sf_dir)
+    return st.select("stage_id", "pipeline_id", "label",
+                     (F.length("label").cast("double") / F.lit(40.0)).alias("probability"),
+                     F.when(F.col("label").contains("Dead") | (F.col("label") == "ERROR"), F.lit("false"))
+                     .otherwise(F.lit("true")).alias("active"))
+
+
+def pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = pipeline_stage_table(spark, sf_dir).select("pipeline_id").distinct()
+    return st.select("pipeline_id", F.concat(F.initcap(F.col("pipeline_id")), F.lit(" pipeline")).alias("label"))
