@@ -90,4 +90,6 @@ QUERIES: dict[str, QueryFn] = {
     "lifecycle_history": extracts.lifecycle_history_q,
     "deals_with_owner": extracts.deals_with_owner_q,
     "stage_probabilities": extracts.stage_probabilities_q,
+    "crm_leads": extracts.crm_leads_q,
+    "chatter_posts": extracts.chatter_posts_q,
 }

@@ -170,3 +170,42 @@ def deals_with_owner_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_probabilities_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.sources import extract_adapters as A
     return stage_probabilities(A.pipeline_stage_table(spark, sf_dir), A.pipelines(spark, sf_dir))
+
+
+LEAD_COLUMNS = ["id", "first_name", "last_name", "company", "contact_company_c", "is_converted", "created_date",
+                "converted_date", "converted_contact_id", "converted_account_id", "converted_opportunity_id",
+                "fill_product_c", "location_c", "lead_source", "source_c", "data_source_1_c", "data_source_2_c",
+                "data_source_3_c", "digital_tracking_code_c"]
+
+
+def crm_leads(leads: DataFrame, record_types: DataFrame, users: DataFrame, lead_type: str) -> DataFrame:
+    """Leads of one record type (constants in the ON clause), not deleted, with their creator."""
+    rt = bounded_broadcast(record_types.where((F.col("sobject_type") == "Lead") & (F.col("name") == lead_type))
+                           .select(F.col("id").alias("rt_id")))
+    u = bounded_broadcast(users.select(F.col("id").alias("u_id"), F.col("name").alias("creator")))
+    j = (leads.where(F.col("is_deleted") == F.lit(False)).join(rt, F.col("record_type_id") == F.col("rt_id"))
+         .join(u, F.col("created_by_id") == F.col("u_id")))
+    return j.select(*LEAD_COLUMNS, "creator")
+
+
+def chatter_posts(feed: DataFrame, opportunities: DataFrame, record_types: DataFrame,
+                  types: tuple[str, ...]) -> DataFrame:
+    """Text posts on opportunities of the listed record types, not deleted."""
+    rt = bounded_broadcast(record_types.where((F.col("sobject_type") == "Opportunity") & F.col("name").isin(*types))
+                           .select(F.col("id").alias("rt_id")))
+    opp = opportunities.join(rt, F.col("record_type_id") == F.col("rt_id")).select(F.col("id").alias("o_id"))
+    j = (feed.where((F.col("type") == "TextPost") & (F.col("is_deleted") == F.lit(False)))
+         .join(opp, F.col("parent_id") == F.col("o_id")))
+    return j.select(F.col("parent_id").alias("opportunity_id"), "created_date", "created_by_id", "body")
+
+
+def crm_leads_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import extract_adapters as A
+    return crm_leads(A.leads(spark, sf_dir), A.lead_record_types(spark, sf_dir), A.crm_users(spark, sf_dir), "Fill")
+
+
+def chatter_posts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import crm_adapters as C
+    from martforge.sources import extract_adapters as A
+    return chatter_posts(A.opportunity_feed(spark, sf_dir), C.opportunities(spark, sf_dir),
+                         C.record_types(spark, sf_dir), ("Broker-Led", "Local Fill", "Enterprise"))

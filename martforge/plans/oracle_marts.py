@@ -972,3 +972,46 @@ pl AS (SELECT pipeline_id, upper(substr(pipeline_id, 1, 1)) || lower(substr(pipe
 SELECT ps.pipeline_id, pl.label AS pipeline, ps.label AS pipeline_stage, ps.stage_id, ps.probability
 FROM ps JOIN pl ON ps.pipeline_id = pl.pipeline_id WHERE ps.active = 'true'
 """
+
+ORACLE["crm_leads"] = """
+WITH l AS (
+  SELECT 'LD' || CAST(c_custkey AS VARCHAR) AS id, 'LRT_' || c_mktsegment AS record_type_id,
+         'U' || CAST(c_custkey % 10 AS VARCHAR) AS created_by_id, 'Pat' AS first_name, c_name AS last_name,
+         c_mktsegment AS company, CAST(NULL AS VARCHAR) AS contact_company_c, c_acctbal > 5000 AS is_converted,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(c_custkey AS INTEGER)) AS created_date,
+         CASE WHEN c_acctbal > 5000
+              THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(c_custkey AS INTEGER)) + INTERVAL 3 DAY END
+           AS converted_date,
+         CASE WHEN c_acctbal > 5000 THEN 'CT' || CAST(c_custkey AS VARCHAR) END AS converted_contact_id,
+         CASE WHEN c_acctbal > 5000 THEN 'AC' || CAST(c_custkey AS VARCHAR) END AS converted_account_id,
+         CASE WHEN c_acctbal > 5000 THEN 'OPP' || CAST(c_custkey AS VARCHAR) END AS converted_opportunity_id,
+         CASE WHEN c_acctbal > 8000 THEN 'Room' END AS fill_product_c,
+         'NATION_' || CAST(c_nationkey AS VARCHAR) AS location_c, 'Online' AS lead_source, 'web' AS source_c,
+         'ORGANIC_SEARCH' AS data_source_1_c, CAST(NULL AS VARCHAR) AS data_source_2_c,
+         CAST(NULL AS VARCHAR) AS data_source_3_c, CAST(NULL AS VARCHAR) AS digital_tracking_code_c,
+         c_acctbal < -900 AS is_deleted
+  FROM customer),
+rt AS (SELECT 'LRT_' || seg AS id, CASE WHEN seg = 'BUILDING' THEN 'Other' ELSE 'Fill' END AS name,
+              CASE WHEN seg = 'MACHINERY' THEN 'Opportunity' ELSE 'Lead' END AS sobject_type
+       FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer)),
+u AS (SELECT 'U' || CAST(s_suppkey AS VARCHAR) AS id, s_name AS name FROM supplier)
+SELECT l.* EXCLUDE (record_type_id, created_by_id, is_deleted), u.name AS creator
+FROM l JOIN rt ON l.record_type_id = rt.id AND rt.sobject_type = 'Lead' AND rt.name = 'Fill'
+JOIN u ON l.created_by_id = u.id
+WHERE l.is_deleted IS false
+"""
+
+ORACLE["chatter_posts"] = f"""
+WITH f AS (SELECT 'OPP' || CAST(user_id AS VARCHAR) AS parent_id, ts AS created_date,
+                  'U' || CAST(user_id % 10 AS VARCHAR) AS created_by_id, 'note ' || event_type AS body,
+                  CASE WHEN event_type IN ('click', 'signup') THEN 'TextPost' ELSE 'TrackedChange' END AS type,
+                  value > 200 AS is_deleted FROM events),
+op AS (SELECT 'OPP' || CAST(c_custkey AS VARCHAR) AS id, 'RT_' || c_mktsegment AS record_type_id FROM customer),
+rt AS (SELECT 'RT_' || seg AS id, {_RT.format(c='seg')} AS name, 'Opportunity' AS sobject_type
+       FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer))
+SELECT f.parent_id AS opportunity_id, f.created_date, f.created_by_id, f.body
+FROM f JOIN op ON f.parent_id = op.id
+JOIN rt ON op.record_type_id = rt.id AND rt.sobject_type = 'Opportunity'
+        AND rt.name IN ('Broker-Led', 'Local Fill', 'Enterprise')
+WHERE f.type = 'TextPost' AND f.is_deleted IS false
+"""

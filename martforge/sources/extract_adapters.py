@@ -207,3 +207,44 @@ def pipeline_stage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = pipeline_stage_table(spark, sf_dir).select("pipeline_id").distinct()
     return st.select("pipeline_id", F.concat(F.initcap(F.col("pipeline_id")), F.lit(" pipeline")).alias("label"))
+
+
+def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    k, bal = F.col("c_custkey"), F.col("c_acctbal")
+    conv = bal > 5000
+    created = F.lit(T0).cast("timestamp_ntz") + F.make_interval(mins=k.cast("int"))
+    return c.select(
+        F.concat(F.lit("LD"), k.cast("string")).alias("id"), F.concat(F.lit("LRT_"), F.col("c_mktsegment")).alias(
+            "record_type_id"), F.concat(F.lit("U"), F.pmod(k, F.lit(10)).cast("string")).alias("created_by_id"),
+        F.lit("Pat").alias("first_name"), F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("company"),
+        F.lit(None).cast("string").alias("contact_company_c"), conv.alias("is_converted"), created.alias("created_date"),
+        F.when(conv, created + F.expr("INTERVAL 3 DAYS")).alias("converted_date"),
+        F.when(conv, F.concat(F.lit("CT"), k.cast("string"))).alias("converted_contact_id"),
+        F.when(conv, F.concat(F.lit("AC"), k.cast("string"))).alias("converted_account_id"),
+        F.when(conv, F.concat(F.lit("OPP"), k.cast("string"))).alias("converted_opportunity_id"),
+        F.when(bal > 8000, F.lit("Room")).alias("fill_product_c"),
+        F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("location_c"),
+        F.lit("Online").alias("lead_source"), F.lit("web").alias("source_c"),
+        F.lit("ORGANIC_SEARCH").alias("data_source_1_c"), F.lit(None).cast("string").alias("data_source_2_c"),
+        F.lit(None).cast("string").alias("data_source_3_c"), F.lit(None).cast("string").alias("digital_tracking_code_c"),
+        (bal < -900).alias("is_deleted"))
+
+
+def lead_record_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seg = read_table(spark, sf_dir, "customer", ["c_mktsegment"]).distinct()
+    s = F.col("c_mktsegment")
+    return seg.select(F.concat(F.lit("LRT_"), s).alias("id"),
+                      F.when(s == "BUILDING", F.lit("Other")).otherwise(F.lit("Fill")).alias("name"),
+                      F.when(s == "MACHINERY", F.lit("Opportunity")).otherwise(F.lit("Lead")).alias("sobject_type"))
+
+
+def opportunity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    return ev.select(F.concat(F.lit("OPP"), F.col("user_id").cast("string")).alias("parent_id"),
+                     F.col("ts").alias("created_date"),
+                     F.concat(F.lit("U"), F.pmod(F.col("user_id"), F.lit(10)).cast("string")).alias("created_by_id"),
+                     F.concat(F.lit("note "), F.col("event_type")).alias("body"),
+                     F.when(F.col("event_type").isin("click", "signup"), F.lit("TextPost"))
+                     .otherwise(F.lit("TrackedChange")).alias("type"),
+                     (F.col("value") > 200).alias("is_deleted"))
