@@ -82,3 +82,25 @@ def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file (the package is on every node)."""
     import public_tokenizers
     return public_tokenizers.path(os.path.basename(name))
+
+
+def append_columns(df: DataFrame, inputs: dict, fn: Callable[[pa.RecordBatch], dict], ddl: str, arrow: pa.Schema,
+                   rows: int = BATCH_ROWS) -> DataFrame:
+    """``df`` with the columns of ``arrow`` appended, made by ``fn`` from the ``inputs`` (columns by name).
+
+    The columns of ``df`` pass through under neutral names, so theirs may be anything.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+    src = df.select(*[df[f"`{c}`"].alias(n) for c, n in zip(df.columns, names)],
+                    *[c.alias(f"in_{n}") for n, c in inputs.items()])
+    given = list(inputs)
+    kept = ", ".join(f"{n} {src.schema[n].dataType.simpleString()}" for n in names)
+
+    def run(batches):
+        for batch in small_batches(batches, rows):
+            made = fn(pa.RecordBatch.from_arrays([batch.column(f"in_{n}") for n in given], given))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], *[pa.array(made[f.name], f.type) for f in arrow]],
+                [*names, *arrow.names])
+
+    return src.mapInArrow(run, f"{kept}, {ddl}").toDF(*df.columns, *arrow.names)

@@ -7,15 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import exact_dedup, line_dedup, sharding, token_files, warc
+from martforge.llm import (bpe, decontam, exact_dedup, langid, line_dedup, sharding, simhash, token_files,
+                           toxicity, warc)
 from martforge.llm.common import new_path, read
 
 
+def _remainder(parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(read(spark, sf_dir, "documents"), "word_bpe_49k.json")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").where(_remainder(4) != 2)
+    grammar = toxicity.train(toxicity.training_rows(docs, labels))
+    score = F.col(toxicity.SCORE)
+    return toxicity.scored(docs.select("doc_id", "text"), grammar).select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), score.alias("score"),
+        F.when(score >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     token_files.write_token_files(read(spark, sf_dir, "documents"), path, "byte_bpe_50k.json", end_id=2)
@@ -23,6 +52,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs.where(_remainder(5) != 0))
+    return langid.predicted(docs.select("doc_id", "text"), model).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), F.col("__lang.lang").alias("lang_pred"),
+        F.col("__lang.score").alias("score"), F.col("__lang.rejected").alias("rejected"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(read(spark, sf_dir, "documents"), n_shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -49,8 +86,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
+    "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
