@@ -64,7 +64,7 @@ def cut_points(sizes: list[int], n_shards: int) -> list[int]:
     """Start positions of shards 1 .. n_shards-1.
 
     No shard exceeds the smallest capacity.  Within it, each shard ends as near to a
-    fair share of what is left as the rest allows, so late shards are not left empty.
+    fair share of what is left as the rest allows, and takes one atom at least, so shards are not left empty.
     """
     capacity, prefix = smallest_capacity(sizes, n_shards), [0, *accumulate(sizes)]
     need, cuts, at = shards_needed(prefix, capacity), [], 0
@@ -74,7 +74,8 @@ def cut_points(sizes: list[int], n_shards: int) -> list[int]:
         end = bisect_right(prefix, fair) - 1
         if end < len(sizes) and prefix[end + 1] - fair < fair - prefix[end]:
             end += 1
-        end = min(max(end, at), most)
+        end = max(end, bisect_right(prefix, prefix[at]))  # at least one atom that holds something
+        end = min(end, most)
         while need[end] > left:
             end += 1
         cuts.append(end)
