@@ -5,8 +5,9 @@ chunked transfer framing.  Of equal payloads of at least ``min_bytes``, the row
 smallest id is a ``response``, the others are ``revisit`` records that refer to it and
 carry no payload.  A record whose block exceeds ``segment_bytes`` is split: the first
 segment and ``continuation`` records, numbered, the last with the total length.
-Files are written by Spark's text writer (its committer drops the files of lost tasks)
-with the record end as line separator, so they are plain WARC files on any store.
+Each record is a gzip member of its own, as archives usually are.  Files are written by Spark's
+text writer (its committer drops the files of lost tasks) on any store; its line separator is an
+empty gzip member, which readers pass over.
 
 Reading.  Files are read whole (their size is bounded when they are written) and cut by
 Content-Length only, never by searching payloads.  Continuation records are grouped by
@@ -23,7 +24,9 @@ wrong total, bad chunk) comes back with ``error`` set and no payload.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +41,11 @@ DATE = "2024-01-01T00:00:00Z"  # the tables hold no crawl time; a fixed one keep
 ID = "urn:x-page:"
 SEGMENT_BYTES = 32_768
 CHUNK_BYTES = 8_192
-PACK_BYTES = 2 << 20   # records are handed to the writer in packs of this size
+PACK_BYTES = 1 << 20   # compressed records are handed to the writer in packs of this size
 PACKS_PER_FILE = 8
+GZIP_LEVEL = 4
+NOTHING = gzip.compress(b"", mtime=0)  # an empty member: the writer's line separator
+READ_BYTES = 4 << 20   # payload bytes in one batch when reading
 SALTS = 16
 
 
@@ -75,7 +81,7 @@ def unchunked(body: bytes) -> bytes:
 
 
 def record(fields: list[tuple[str, str]], block: bytes) -> bytes:
-    """A record without its end (two CRLF), which the writer adds."""
+    """A record without its end (two CRLF)."""
     head = "".join(f"{k}: {v}\r\n" for k, v in [*fields, ("Content-Length", str(len(block)))])
     return VERSION + CRLF + head.encode("utf-8") + CRLF + block
 
@@ -134,22 +140,26 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", text_col: s
         for batch in small_batches(batches):
             for page, uri, payload, owner, revisit in zip(*(c.to_pylist() for c in batch.columns)):
                 some = records_of(page, uri, payload, digest32(payload), owner, revisit, segment_bytes)
-                pack += some
-                size += sum(map(len, some))
+                members = [gzip.compress(r + END, GZIP_LEVEL, mtime=0) for r in some]
+                pack += members
+                size += sum(map(len, members))
                 if size >= PACK_BYTES:
-                    yield pa.RecordBatch.from_pydict({"value": [END.join(pack)]}, schema=schema)
+                    yield pa.RecordBatch.from_pydict({"value": [b"".join(pack)]}, schema=schema)
                     pack, size = [], 0
         if pack:
-            yield pa.RecordBatch.from_pydict({"value": [END.join(pack)]}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"value": [b"".join(pack)]}, schema=schema)
 
     schema = pa.schema([("value", pa.binary())])
     packs = _owned(pages, id_col, text_col, uri_col, min_bytes).mapInArrow(run, "value binary")
     (packs.select(F.col("value").cast("string"))
-     .write.option("lineSep", END.decode()).option("maxRecordsPerFile", PACKS_PER_FILE).text(path))
+     .write.option("encoding", "ISO-8859-1").option("lineSep", NOTHING.decode("latin-1"))
+     .option("maxRecordsPerFile", PACKS_PER_FILE).text(path))
 
 
 def parse_records(data: bytes):
-    """``(header fields in lower case, block)`` of each record, cut by Content-Length."""
+    """``(header fields in lower case, block)`` of each record, cut by Content-Length; gzip members are opened."""
+    if data.startswith(b"\x1f\x8b"):
+        data = gzip.GzipFile(fileobj=io.BytesIO(data)).read()
     at = 0
     while at < len(data):
         if not data.startswith(VERSION, at):
@@ -217,7 +227,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 if not _segmented(fields):
                     rows.append(_decoded(fields, block))
                     size += len(block)
-                if size > PACK_BYTES:
+                if size > READ_BYTES:
                     yield flush(_OUT, rows)
                     rows, size = [], 0
             yield flush(_OUT, rows)
