@@ -6,7 +6,6 @@ functions  column-level semantics (NULL-aware regex, strict aggregates, dates, U
 operators  DataFrame -> DataFrame building blocks (latest version, fills, mode, joins, reshape, ...)
 sources    readers / writers and adapters that give the driver tables a source shape
 plans      composed datasets (extracts and marts) and the registered query catalog
-streaming  intentionally empty: the workload is batch only
 """
 
 __version__ = "0.1.0"

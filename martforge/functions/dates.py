@@ -42,22 +42,29 @@ def calendar_columns(prefix: str, col) -> dict[str, Column]:
     }
 
 
+def _seconds_between(end, start) -> Column:
+    """``end - start`` in seconds; zone-less values stay zone-less (no daylight-saving gaps)."""
+    d = _c(end) - _c(start)
+    part = {u: F.extract(F.lit(u), d).cast("double") for u in ("DAY", "HOUR", "MINUTE", "SECOND")}
+    return ((part["DAY"] * 24 + part["HOUR"]) * 60 + part["MINUTE"]) * 60 + part["SECOND"]
+
+
 def hours_between(end, start, digits: int = 1) -> Column:
     """(end - start) in hours, rounded half-to-even to ``digits``."""
-    micros = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
-    return F.bround(micros.cast("double") / F.lit(3.6e9), digits)
+    return F.bround(_seconds_between(end, start) / F.lit(3600.0), digits)
 
 
 def days_between(end, start, digits: int = 1) -> Column:
-    micros = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
-    return F.bround(micros.cast("double") / F.lit(8.64e10), digits)
+    return F.bround(_seconds_between(end, start) / F.lit(86400.0), digits)
 
 
 def epoch_ms_to_timestamp(col) -> Column:
-    """Epoch milliseconds -> timestamp, integer division by 1000 (sub-second part dropped)."""
-    return F.timestamp_seconds(F.floor(_c(col) / F.lit(1000)).cast("long")).cast("timestamp_ntz")
+    """Epoch milliseconds -> zone-less timestamp, integer division by 1000 (sub-second part dropped)."""
+    seconds = F.call_function("div", _c(col).cast("long"), F.lit(1000).cast("long"))
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def minute_trunc(col) -> Column:
-    """``date_trunc('minute', ts)`` keeping a zone-less timestamp."""
-    return F.date_trunc("minute", _c(col)).cast("timestamp_ntz")
+    """``date_trunc('minute', ts)`` on a zone-less timestamp, without a detour through a time zone."""
+    c = _c(col)
+    return c - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), c).cast("decimal(18,6)"))

@@ -1,7 +1,8 @@
 """URL helpers: host, query parameters, cut at a marker, strip query string.
 
-All are JVM-side string expressions.  A malformed URL yields NULL, never an
-error (``try_parse_url``), as the source's URL parser does.
+All are JVM-side string expressions.  The host is cut leniently, as the source's
+URL parser does: the scheme is optional, characters that RFC 3986 forbids do not
+matter, and a port or user part is left out.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ def _c(x) -> Column:
 
 
 def url_host(col) -> Column:
-    """Lower-cased host of a URL; NULL when it cannot be parsed."""
-    return F.lower(F.try_parse_url(_c(col), F.lit("HOST")))
+    """Lower-cased host of a URL, the scheme being optional; NULL when there is none."""
+    host = F.regexp_extract(_c(col), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    return F.lower(F.nullif(host, F.lit("")))
 
 
 def referrer_host(col, none_label: str = "none") -> Column:

@@ -10,25 +10,21 @@ Every frame is a *running* frame (``unboundedPreceding .. currentRow``);
 unboundedFollowing`` frame is quadratic in Spark and is never used.
 
 Skew: a plain window puts a whole group into one task.  With ``chunk`` (a
-column that is non-decreasing in ``order``, e.g. the hour of the event
+column that is non-decreasing in ``order``, e.g. the minute of the event
 time) the scan is segmented:
 
 1. local fill inside each (group, chunk) with a window,
 2. a per-chunk summary (last / first non-NULL value) via ``groupBy`` with
-   map-side partial aggregation,
+   map-side partial aggregation, over the few columns it needs,
 3. a carry over the (small) summary: nearest non-NULL of earlier / later
    chunks, by a window over chunks of one group,
-4. a join of the carry back on (group, chunk), co-partitioned with step 1.
-
-The repartitioned input is checkpointed (reliably, into ``spark.checkpoint.dir``)
-because steps 1 and 2 both consume it; without the cut each fill would
-re-run its whole upstream plan once per consumer.
+4. a join of the carry back on (group, chunk), which the local window's
+   partitioning serves already.
 
 A hot group is then spread over as many tasks as it has chunks.
 ``chunk_by`` names the subset of ``by`` that, together with the chunk,
-identifies a chunk (e.g. ``by=[visitor, day]``, ``chunk=hour``,
-``chunk_by=[visitor]``, since the hour determines the day).  Fills sharing
-``chunk_by`` and ``chunk`` share one shuffle of the big side.
+identifies a chunk (e.g. ``by=[visitor, day]``, ``chunk=minute``,
+``chunk_by=[visitor]``, since the minute determines the day).
 """
 
 from __future__ import annotations
@@ -39,7 +35,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.operators.keys import surrogate_names, with_surrogates
-from martforge.session import cut_lineage
 
 CHUNK = "__chunk"
 _DIRECTIONS = ("down", "up", "downup", "updown")
@@ -51,7 +46,7 @@ def _order_cols(order: Sequence[str], ascending: bool) -> list[Column]:
 
 def fill(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str],
          direction: str = "down", chunk: Column | None = None,
-         chunk_by: Sequence[str] | None = None, keep_keys: bool = False) -> DataFrame:
+         chunk_by: Sequence[str] | None = None) -> DataFrame:
     if direction not in _DIRECTIONS:
         raise ValueError(f"direction must be one of {_DIRECTIONS}")
     by, order, cols = list(by), list(order), list(cols)
@@ -60,7 +55,7 @@ def fill(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[
     if chunk is None:
         return _fill_plain(df, by, order, cols, direction, need_down, need_up)
     return _fill_chunked(df, by, order, cols, direction, need_down, need_up, chunk,
-                         list(chunk_by) if chunk_by is not None else by, keep_keys)
+                         list(chunk_by) if chunk_by is not None else by)
 
 
 def _combine(direction: str, down: Column | None, up: Column | None) -> Column:
@@ -86,17 +81,11 @@ def _fill_plain(df, by, order, cols, direction, need_down, need_up):
     return df.withColumns(new)
 
 
-def _fill_chunked(df, by, order, cols, direction, need_down, need_up, chunk, chunk_by, keep_keys):
+def _fill_chunked(df, by, order, cols, direction, need_down, need_up, chunk, chunk_by):
     extra = [k for k in by if k not in chunk_by]
     base = with_surrogates(df.withColumn(CHUNK, chunk), chunk_by + [CHUNK])
     part = surrogate_names(chunk_by + [CHUNK])
     group = surrogate_names(chunk_by) + extra
-    # One hash exchange on (group, chunk), written once to the shared checkpoint
-    # dir: the local window and the chunk summary both read it (no recomputation
-    # of the upstream plan), and it keeps its partitioning, so neither the
-    # window nor the carry join shuffles the big side again.
-    base = cut_lineage(base.repartition(*part))
-
     # 1. local fill inside (group, chunk)
     w_down = Window.partitionBy(*part).orderBy(*_order_cols(order, True)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -110,7 +99,7 @@ def _fill_chunked(df, by, order, cols, direction, need_down, need_up, chunk, chu
             local[f"__lu_{c}"] = F.last(c, ignorenulls=True).over(w_up)
     filled = base.withColumns(local)
 
-    # 2. per-chunk summary (already clustered by (group, chunk): no shuffle)
+    # 2. per-chunk summary
     ordkey = F.struct(*[F.col(o) for o in order])
     aggs = []
     for c in cols:
@@ -142,11 +131,7 @@ def _fill_chunked(df, by, order, cols, direction, need_down, need_up, chunk, chu
         up = F.coalesce(F.col(f"__lu_{c}"), F.col(f"__cu_{c}")) if need_up else None
         new[c] = _combine(direction, down, up)
     out = joined.withColumns(new)
-    tmp = [x for x in out.columns if x.startswith(("__ld_", "__lu_", "__cd_", "__cu_"))] + [CHUNK]
-    out = out.drop(*tmp)
-    if not keep_keys:
-        out = out.drop(*[x for x in part if x in out.columns])
-    return out.select(*[c for c in df.columns] + ([x for x in out.columns if x not in df.columns]))
+    return out.select(*df.columns)
 
 
 def first_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str,

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.operators.keys import surrogate_names, with_surrogates
-from martforge.session import cut_lineage
 
 CHUNK = "__chunk"
 
@@ -58,7 +57,6 @@ def lag_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str], col: st
     base = with_surrogates(df.withColumn(CHUNK, chunk), chunk_by + [CHUNK])
     part = surrogate_names(chunk_by + [CHUNK])
     group = surrogate_names(chunk_by) + extra
-    base = cut_lineage(base.repartition(*part))
 
     wl = Window.partitionBy(*part).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     local = base.withColumns({"__lag": F.lag(col, 1).over(wl),

@@ -1,5 +1,6 @@
 """Joins with the source's rules: NULL keys match each other, natural keys are
-resolved explicitly, and a side is broadcast only after its size is checked.
+resolved explicitly.  No join is hinted: Spark broadcasts a side from its size in
+bytes, at planning or, from what a stage really wrote, at run time.
 """
 
 from __future__ import annotations
@@ -11,28 +12,15 @@ from pyspark.sql import functions as F
 
 from martforge.functions.nulls import null_safe_on
 
-# Row bound under which a dimension may be broadcast (checked with a bounded count).
-BROADCAST_MAX_ROWS = 1_000_000
+#: Pieces of the rows without a key in an anti join: NULL matches NULL, and may be the most frequent key.
+NULL_SALTS = 32
 
 
 def _pairs(on) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in on]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is ``df.limit(max_rows + 1).count()``: a bounded job that stops
-    reading once the limit is reached.  Above the bound the plain DataFrame
-    is returned and Spark shuffles (AQE may still switch to a broadcast from
-    runtime statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-                   broadcast_right: bool = False) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
     """Join where NULL keys match (``<=>``).  ``on`` holds names or (left, right) pairs.
 
     For same-named keys the right copy is dropped (natural-join output).
@@ -46,8 +34,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left",
     if rename:
         r = r.withColumnsRenamed(rename)
     rpairs = [(lk, rename.get(rk, rk)) for lk, rk in pairs]
-    if broadcast_right:
-        r = F.broadcast(r)
     cond = null_safe_on(left, r, rpairs)
     out = left.join(r, cond, how)
     if how in ("left_anti", "left_semi", "anti", "semi"):
@@ -55,12 +41,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left",
     return out.drop(*[rk for _, rk in rpairs if rk.startswith("__r_")])
 
 
-def anti_join_any(df: DataFrame, key: str, lists: Sequence[DataFrame], list_key: str | None = None,
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def anti_join_any(df: DataFrame, key: str, lists: Sequence[DataFrame], list_key: str | None = None) -> DataFrame:
     """Drop rows whose ``key`` is in any of ``lists`` (NULL matches NULL).
 
     The lists are unioned and de-duplicated first (one anti join instead of
-    several); the union is broadcast only when its size is checked small.
+    several).  Rows without a key are spread over ``NULL_SALTS`` pieces, so a hot
+    NULL does not meet in one task.
     """
     lk = list_key or key
     keys = None
@@ -70,5 +56,8 @@ def anti_join_any(df: DataFrame, key: str, lists: Sequence[DataFrame], list_key:
         keys = part if keys is None else keys.unionByName(part)
     if keys is None:
         return df
-    keys = bounded_broadcast(keys.distinct(), max_broadcast_rows)
-    return df.join(keys, df[key].eqNullSafe(keys["__excl"]), "left_anti")
+    salts = F.when(F.col("__excl").isNull(), F.sequence(F.lit(0), F.lit(NULL_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    keys = keys.distinct().withColumn("__excl_salt", F.explode(salts))
+    salt = F.when(df[key].isNull(), F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(NULL_SALTS)).cast("int")
+                  ).otherwise(F.lit(0))
+    return df.join(keys, df[key].eqNullSafe(keys["__excl"]) & (salt == keys["__excl_salt"]), "left_anti")

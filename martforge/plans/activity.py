@@ -10,7 +10,7 @@ from martforge.functions.dates import epoch_ms_to_timestamp, hours_between, minu
 from martforge.functions.nulls import matches, not_in_keep_null, strict_max, strict_min, strict_sum
 from martforge.functions.rules import code_map
 from martforge.operators.aggregates import count_if, date_spine, days_per_week, fill_by_type, min_if, top_k_by_count
-from martforge.operators.joins import anti_join_any, bounded_broadcast, null_safe_join
+from martforge.operators.joins import anti_join_any, null_safe_join
 from martforge.operators.reshape import pivot
 from martforge.operators.setops import union_tagged
 from martforge.plans.common import event_day, events
@@ -169,7 +169,7 @@ def daily_activity_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("Not Specified"))
          .when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias("location"),
         F.when(F.col("c_acctbal") > 5000, F.lit("Suite")).alias("product"))
-    df = ev.join(bounded_broadcast(contacts), "user_id", "left")
+    df = ev.join(contacts, "user_id", "left")
     df = df.where(F.col("engagement_type").isin("Email", "Call"))
     g = df.groupBy(event_day().alias("engagement_date"), "engagement_type", "location", "product").agg(
         F.count(F.lit(1)).alias("engagements"))

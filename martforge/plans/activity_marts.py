@@ -19,7 +19,7 @@ from martforge.functions.nulls import strict_min, strict_sum
 from martforge.functions.rules import code_map
 from martforge.operators.aggregates import count_if, fill_by_type
 from martforge.operators.history import top_row
-from martforge.operators.joins import bounded_broadcast, null_safe_join
+from martforge.operators.joins import null_safe_join
 from martforge.operators.setops import append_row, union_distinct
 
 NOT_SPECIFIED = "Not Specified"
@@ -31,17 +31,19 @@ def rep_engagements(engagement: DataFrame, eng_contact: DataFrame, calls: DataFr
                     emails: DataFrame, owner_id: int) -> DataFrame:
     own = engagement.where(F.col("owner_id") == owner_id)
 
-    def leg(kind: str, detail: DataFrame, label: str, status, subject):
+    def leg(kind: str, detail: DataFrame, label: str, status, subject, body):
         ids = own.where(F.col("type") == kind).select(F.col("id").alias("eid"), "created_at")
         j = eng_contact.join(ids, eng_contact["engagement_id"] == ids["eid"]).join(detail, "engagement_id", "left")
         return j.select("contact_id", F.lit(label).alias("engagement_type"), "created_at", status.alias("status"),
-                        subject.alias("subject"))
+                        subject.alias("subject"), body.alias("body"))
 
     return union_distinct([
-        leg("CALL", calls.select("engagement_id", "disposition"), "Call", F.col("disposition"), F.lit("")),
-        leg("MEETING", meetings.select("engagement_id", "title"), "Meeting", F.lit(""), F.col("title")),
-        leg("EMAIL", emails.select("engagement_id", F.col("status").alias("email_status"), "subject"), "Email",
-            F.col("email_status"), F.col("subject")),
+        leg("CALL", calls.select("engagement_id", "disposition", "body"), "Call", F.col("disposition"), F.lit(""),
+            F.col("body")),
+        leg("MEETING", meetings.select("engagement_id", "title", "body"), "Meeting", F.lit(""), F.col("title"),
+            F.col("body")),
+        leg("EMAIL", emails.select("engagement_id", F.col("status").alias("email_status"), "subject", "text"), "Email",
+            F.col("email_status"), F.col("subject"), F.col("text")),
     ])
 
 
@@ -50,7 +52,7 @@ def rep_tasks(engagement: DataFrame, eng_contact: DataFrame, tasks: DataFrame, o
         F.col("id").alias("eid"), "created_at")
     j = eng_contact.join(ids, eng_contact["engagement_id"] == ids["eid"]).join(tasks, "engagement_id", "left")
     return j.select("contact_id", "task_type", "created_at",
-                    epoch_ms_to_timestamp("completion_date").alias("completed_date"), "status", "subject")
+                    epoch_ms_to_timestamp("completion_date").alias("completed_date"), "status", "subject", "body")
 
 
 def review_history(history: DataFrame) -> DataFrame:
@@ -93,7 +95,7 @@ def activity_summary(tasks: DataFrame, history: DataFrame, engagements: DataFram
     c = contacts.select("contact_id", F.col("create_date").alias("contact_create_date"), "isr_review",
                         "lifecycle_stage", "location", "product")
     g = null_safe_join(g, c, ["contact_id"], "inner")
-    g = null_safe_join(g, bounded_broadcast(locations.select("hs_locations", "city", "site_name")),
+    g = null_safe_join(g, locations.select("hs_locations", "city", "site_name"),
                        [("location", "hs_locations")], "left").drop("hs_locations")
     return fill_by_type(g, text=NOT_SPECIFIED)
 
@@ -104,7 +106,7 @@ def activity_detail(engagements: DataFrame, contacts: DataFrame, locations: Data
     g = e.groupBy(F.to_date("created_at").alias("engagement_date"), "engagement_type", "location", "product").agg(
         F.count(F.lit(1)).alias("engagements"))
     g = g.fillna({"location": NOT_SPECIFIED, "product": NOT_SPECIFIED})
-    g = null_safe_join(g, bounded_broadcast(locations.select("hs_locations", "city", "site_name")),
+    g = null_safe_join(g, locations.select("hs_locations", "city", "site_name"),
                        [("location", "hs_locations")], "left").drop("hs_locations")
     return fill_by_type(g, text=NOT_SPECIFIED)
 
@@ -123,6 +125,19 @@ def geo_hierarchy(buildings: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- adapted runs on the driver tables
 
+def rep_engagements_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import crm_adapters as A
+    return rep_engagements(A.engagement(spark, sf_dir), A.engagement_contact(spark, sf_dir),
+                           A.engagement_call(spark, sf_dir), A.engagement_meeting(spark, sf_dir),
+                           A.engagement_email(spark, sf_dir), A.REP_OWNER_ID)
+
+
+def rep_tasks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import crm_adapters as A
+    return rep_tasks(A.engagement(spark, sf_dir), A.engagement_contact(spark, sf_dir),
+                     A.engagement_task(spark, sf_dir), A.REP_OWNER_ID)
+
+
 def _rep_inputs(spark, sf_dir):
     from martforge.sources import crm_adapters as A
     eng, ec = A.engagement(spark, sf_dir), A.engagement_contact(spark, sf_dir)

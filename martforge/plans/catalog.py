@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.plans import (activity, activity_marts, contact_marts, crm, crm_marts, extracts, pages, spend, web,
-                             web_marts, workspace)
+from martforge.plans import (activity, activity_marts, contact_marts, crm, crm_extracts, crm_marts, extracts, pages,
+                             spend, web, web_marts, workspace)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -92,4 +92,15 @@ QUERIES: dict[str, QueryFn] = {
     "stage_probabilities": extracts.stage_probabilities_q,
     "crm_leads": extracts.crm_leads_q,
     "chatter_posts": extracts.chatter_posts_q,
+    "crm_opportunities": crm_extracts.crm_opportunities_q,
+    "opportunity_roles": crm_extracts.opportunity_roles_q,
+    "deal_contact_links": crm_extracts.deal_contact_links_q,
+    "deal_company_links": crm_extracts.deal_company_links_q,
+    "companies": crm_extracts.companies_q,
+    "contact_engagements": contact_marts.contact_engagements_q,
+    "engagements_by_contact": contact_marts.engagements_by_contact_q,
+    "phone_call_log": contact_marts.phone_call_log_q,
+    "tours_and_calls": contact_marts.tours_and_calls_q,
+    "rep_engagements": activity_marts.rep_engagements_q,
+    "rep_tasks": activity_marts.rep_tasks_q,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.functions.dates import minute_trunc
 from martforge.functions.rules import code_map
 from martforge.sources.io import read_table
 
@@ -29,6 +30,6 @@ def event_day(col="ts") -> Column:
     return F.to_date(F.col(col))
 
 
-def hour_chunk(col="ts") -> Column:
-    """Chunk column for segmented scans: the event-time hour (non-decreasing in time order)."""
-    return F.date_trunc("hour", F.col(col))
+def minute_chunk(col="ts") -> Column:
+    """Chunk column for segmented scans: the event-time minute (non-decreasing in time order)."""
+    return minute_trunc(col)

@@ -23,7 +23,7 @@ from martforge.functions.nulls import (eq_or_false, matches, not_in_keep_null, n
 from martforge.functions.rules import code_map, ladder
 from martforge.functions.urls import strip_query
 from martforge.operators.aggregates import min_if
-from martforge.operators.joins import bounded_broadcast, null_safe_join
+from martforge.operators.joins import null_safe_join
 from martforge.operators.reshape import pivot
 
 
@@ -58,7 +58,8 @@ def contact_engagements(eng_contact: DataFrame, engagement: DataFrame) -> DataFr
 
 def phone_call_log(calls: DataFrame, eng_contact: DataFrame, engagement: DataFrame) -> DataFrame:
     j = calls.join(eng_contact, "engagement_id").join(engagement, calls["engagement_id"] == engagement["id"])
-    return j.select("contact_id", "disposition", "created_at", calls["status"])
+    return j.select("contact_id", "disposition", "created_at", "to_number", "from_number", calls["status"],
+                    "external_id", "duration_milliseconds", "body")
 
 
 def email_log(emails: DataFrame, eng_contact: DataFrame, engagement: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def tours_and_calls(meetings: DataFrame, eng_contact: DataFrame, contacts: DataF
     m = meetings.where(matches(title, rules.tour_titles, False))
     j = (m.join(eng_contact, "engagement_id").join(contacts, F.col("contact_id") == contacts["id"])
          .join(engagement, m["engagement_id"] == engagement["id"]))
-    return j.select("contact_id", "property_email", "property_in_which_service_are_you_interested_",
+    return j.select(contacts["id"].alias("contact_id"), "property_email", "property_in_which_service_are_you_interested_",
                     "property_in_which_location_are_you_interested_",
                     F.when(matches(title, rules.tour_class, False), F.lit("Tour")).otherwise(F.lit("Call"))
                     .alias("meeting_type"),
@@ -142,7 +143,7 @@ def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFra
     df = df.where(not_matches("property_lastname", rules.test_name) & not_matches("property_firstname", rules.test_name)
                   & not_matches("property_company", rules.company_drop)
                   & not_in_keep_null("property_lifecyclestage", rules.stages_drop))
-    comp = bounded_broadcast(companies.select(F.col("id").alias("company_key"), "property_name"))
+    comp = companies.select(F.col("id").alias("company_key"), "property_name")
     df = df.join(comp, null_safe_on(df, comp, [("property_associatedcompanyid", "company_key")]), "left").drop(
         "company_key")
     src, d1 = F.col("property_hs_analytics_source"), F.col("property_hs_analytics_source_data_1")
@@ -196,13 +197,37 @@ def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFra
         "scheduled_meeting": F.when(na("first_created_scheduled_tour") + na("first_created_scheduled_call") == 2, 0)
         .otherwise(1),
         "engaged_contact": F.when(na("first_email_response") + na("first_call_connected") < 2, 1).otherwise(0),
-        "first_outreach": F.coalesce(F.col("first_outbound_email"), F.lit(rules.as_of).cast("timestamp_ntz")),
+        "first_outreach": F.coalesce(F.col("first_outbound_email"), F.lit(rules.as_of.isoformat(sep=" ")).cast("timestamp_ntz")),
         "no_outreach": F.when(na("first_outbound_call") + na("first_outbound_email") == 2, 1).otherwise(0),
     })
     return out.withColumn("time_to_first_contact", hours_between("first_outreach", "lead_date"))
 
 
-# ---------------------------------------------------------------- adapted run on the driver tables
+# ---------------------------------------------------------------- adapted runs on the driver tables
+
+ENGAGEMENT_TYPES = ["CALL", "EMAIL", "INCOMING_EMAIL", "MEETING", "TASK"]
+
+
+def contact_engagements_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import crm_adapters as A
+    return contact_engagements(A.engagement_contact(spark, sf_dir), A.engagement(spark, sf_dir))
+
+
+def engagements_by_contact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return engagements_by_contact(contact_engagements_q(spark, sf_dir), ENGAGEMENT_TYPES)
+
+
+def phone_call_log_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import crm_adapters as A
+    return phone_call_log(A.engagement_call(spark, sf_dir), A.engagement_contact(spark, sf_dir),
+                          A.engagement(spark, sf_dir))
+
+
+def tours_and_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.sources import crm_adapters as A
+    return tours_and_calls(A.engagement_meeting(spark, sf_dir), A.engagement_contact(spark, sf_dir),
+                           A.contact(spark, sf_dir), A.engagement(spark, sf_dir))
+
 
 def contact_mart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.sources import crm_adapters as A

@@ -11,11 +11,11 @@ from martforge.functions.nulls import matches, paste
 from martforge.functions.rules import code_map, ladder
 from martforge.operators.aggregates import cond_sums, string_agg_distinct
 from martforge.operators.history import latest_version, top_row
-from martforge.operators.joins import bounded_broadcast, null_safe_join
+from martforge.operators.joins import null_safe_join
 from martforge.operators.setops import append_row
 from martforge.sources.io import read_table
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,6)"
 
 
 def _orders(spark, sf_dir, cols=("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -24,7 +24,7 @@ def _orders(spark, sf_dir, cols=("o_orderkey", "o_custkey", "o_orderstatus", "o_
 
 
 def money_sum(col) -> F.Column:
-    """Exact sum of a money column: DECIMAL(18,2) accumulation, DOUBLE result."""
+    """Exact sum of a money column: DECIMAL(28,6) accumulation, DOUBLE result."""
     return F.sum(F.col(col).cast(MONEY)).cast("double")
 
 
@@ -139,7 +139,7 @@ def two_role_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
          .join(c, F.col("o_custkey") == c["c_custkey"])
-         .join(bounded_broadcast(s), F.col("l_suppkey") == s["s_suppkey"])
+         .join(s, F.col("l_suppkey") == s["s_suppkey"])
          .join(cn, F.col("c_nationkey") == F.col("cn_key"))
          .join(sn, F.col("s_nationkey") == F.col("sn_key")))
     return j.groupBy("cust_nation", "supp_nation").agg(F.count(F.lit(1)).alias("lines"))

@@ -27,9 +27,8 @@ from martforge.functions.nulls import eq_or_false, matches, paste
 from martforge.functions.rules import ladder
 from martforge.operators.aggregates import string_agg_distinct
 from martforge.operators.history import change_points, latest_version, top_row
-from martforge.operators.joins import bounded_broadcast, null_safe_join
+from martforge.operators.joins import null_safe_join
 from martforge.operators.setops import union_tagged
-from martforge.operators.skew import choose_chunk
 
 # Stage roll-up rules (detail -> main stage), in rule order.
 STAGE_RENAMES = [("Cold/Dead", "Closed Lost"), ("Contract Negotiation", "Negotiation/Proposal"),
@@ -56,7 +55,7 @@ class DealRules:
 def marketing_deal_history(property_history: DataFrame, pipeline_stages: DataFrame, rules: DealRules = DealRules()) -> DataFrame:
     stages = pipeline_stages.where(F.col("pipeline_id") == rules.pipeline_id)
     ph = property_history.where(F.col("name") == "deal_pipeline_stage_id")
-    j = ph.join(bounded_broadcast(stages), ph["value"] == stages["stage_id"])
+    j = ph.join(stages, ph["value"] == stages["stage_id"])
     return j.select("deal_id", ph["name"], minute_trunc("timestamp").alias("date_created"),
                     F.col("label").alias("pipeline_stage"), "source_id", "source")
 
@@ -67,7 +66,7 @@ def crm_deal_history(history: DataFrame, opportunities: DataFrame, record_types:
     op = opportunities.select(F.col("id").alias("op_id"), "record_type_id")
     j = (history.where(F.col("is_deleted") == F.lit(False))
          .join(op, history["opportunity_id"] == op["op_id"])
-         .join(bounded_broadcast(rt.select(F.col("id").alias("rt_id"))), F.col("record_type_id") == F.col("rt_id")))
+         .join(rt.select(F.col("id").alias("rt_id")), F.col("record_type_id") == F.col("rt_id")))
     return j.select("opportunity_id", "created_date", "stage_name")
 
 
@@ -84,21 +83,20 @@ def stage_rollup(detail: str = "pipeline_stage_detail"):
 
 
 def deal_stage_history(hs_history: DataFrame, synced: DataFrame, crm_history: DataFrame) -> DataFrame:
-    hs = hs_history.join(synced, hs_history["deal_id"] == synced["hubspot_opportunity_id"]).select(
+    hs = hs_history.join(synced, hs_history["deal_id"].eqNullSafe(synced["hubspot_opportunity_id"])).select(
         F.col("salesforce_opportunity_id").alias("opportunity_id"), F.col("date_created").alias("created_date"),
         F.col("pipeline_stage").alias("pipeline_stage_detail"))
     crm = crm_history.select("opportunity_id", "created_date", F.col("stage_name").alias("pipeline_stage_detail"))
     both = union_tagged([("MKT", hs), ("SALES", crm)], "source")
     # order ties of the source are undefined: tiebreak by source, then detail
-    chunk = choose_chunk(both, ["opportunity_id"], F.date_trunc("month", F.col("created_date")))
     cp = change_points(both, ["opportunity_id"], ["created_date", "source", "pipeline_stage_detail"],
-                       "pipeline_stage_detail", default="1", chunk=chunk)
+                       "pipeline_stage_detail", default="1", chunk=minute_trunc("created_date"))
     return cp.select("opportunity_id", F.col("created_date").alias("stage_date"), "pipeline_stage_detail", "source",
                      stage_rollup().alias("pipeline_stage"))
 
 
 def deal_amounts(hs_deals: DataFrame, synced: DataFrame) -> DataFrame:
-    j = hs_deals.join(synced, hs_deals["deal_id"] == synced["hubspot_opportunity_id"])
+    j = hs_deals.join(synced, hs_deals["deal_id"].eqNullSafe(synced["hubspot_opportunity_id"]))
     return j.select("salesforce_opportunity_id", F.col("property_amount").alias("hs_monthly_amount"),
                     F.col("property_closedate").alias("hs_close_date"))
 
@@ -211,8 +209,9 @@ def deal_stage_history_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deal_mart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martforge.plans.crm_extracts import crm_opportunities_q, opportunity_roles_q
     from martforge.sources import crm_adapters as A
     synced = synced_deals(A.imported_deals(spark, sf_dir))
-    roles = A.opportunity_roles(spark, sf_dir)
-    return deal_mart(A.opportunity_wide(spark, sf_dir), deal_stage_history_q(spark, sf_dir),
+    roles = opportunity_roles_q(spark, sf_dir)
+    return deal_mart(crm_opportunities_q(spark, sf_dir), deal_stage_history_q(spark, sf_dir),
                      deal_amounts(A.marketing_deals(spark, sf_dir), synced), broker_deals(roles), deal_contacts(roles))

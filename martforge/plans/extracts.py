@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators.joins import bounded_broadcast
 from martforge.operators.setops import union_distinct
 from martforge.plans.crm_marts import DealRules, marketing_deal_history
 
@@ -38,7 +37,7 @@ def deleted_deals(deletions: DataFrame, before_webhook: DataFrame, portal_id: in
 
 def tours(awareness: DataFrame, events: DataFrame, buildings: DataFrame, contacts: DataFrame,
           opportunities: DataFrame) -> DataFrame:
-    b = bounded_broadcast(buildings.select(F.col("id").alias("b_id"), F.col("name").alias("unit")))
+    b = buildings.select(F.col("id").alias("b_id"), F.col("name").alias("unit"))
     c = contacts.select(F.col("id").alias("c_id"), F.col("name").alias("contact"))
     leg1 = (awareness.where(F.col("is_deleted") == F.lit(False))
             .join(b, F.col("building_c") == F.col("b_id"), "left")
@@ -113,9 +112,9 @@ def access_events(events: DataFrame, links: DataFrame, people: DataFrame, addres
 def crm_activity(tasks: DataFrame, events: DataFrame, users: DataFrame, opportunities: DataFrame,
                  record_types: DataFrame, excluded_type: str) -> DataFrame:
     """Tasks and calendar events on opportunities of every record type but one (UNION)."""
-    rt = bounded_broadcast(record_types.where(F.col("name") != excluded_type).select(F.col("id").alias("rt_id")))
+    rt = record_types.where(F.col("name") != excluded_type).select(F.col("id").alias("rt_id"))
     opp = opportunities.join(rt, F.col("record_type_id") == F.col("rt_id")).select(F.col("id").alias("o_id"))
-    u = bounded_broadcast(users.select(F.col("id").alias("u_id"), "alias", F.col("name").alias("creator")))
+    u = users.select(F.col("id").alias("u_id"), "alias", F.col("name").alias("creator"))
 
     def leg(df, subtype, kind):
         j = df.join(u, F.col("created_by_id") == F.col("u_id")).join(opp, F.col("what_id") == F.col("o_id"))
@@ -147,7 +146,7 @@ def lifecycle_history(history: DataFrame) -> DataFrame:
 
 
 def deals_with_owner(deals: DataFrame, owners: DataFrame) -> DataFrame:
-    o = bounded_broadcast(owners.select(F.col("owner_id").alias("o_owner_id"), F.col("email").alias("sales_owner")))
+    o = owners.select(F.col("owner_id").alias("o_owner_id"), F.col("email").alias("sales_owner"))
     return deals.join(o, deals["owner_id"] == F.col("o_owner_id"), "left").drop("o_owner_id")
 
 
@@ -180,9 +179,9 @@ LEAD_COLUMNS = ["id", "first_name", "last_name", "company", "contact_company_c",
 
 def crm_leads(leads: DataFrame, record_types: DataFrame, users: DataFrame, lead_type: str) -> DataFrame:
     """Leads of one record type (constants in the ON clause), not deleted, with their creator."""
-    rt = bounded_broadcast(record_types.where((F.col("sobject_type") == "Lead") & (F.col("name") == lead_type))
+    rt = (record_types.where((F.col("sobject_type") == "Lead") & (F.col("name") == lead_type))
                            .select(F.col("id").alias("rt_id")))
-    u = bounded_broadcast(users.select(F.col("id").alias("u_id"), F.col("name").alias("creator")))
+    u = users.select(F.col("id").alias("u_id"), F.col("name").alias("creator"))
     j = (leads.where(F.col("is_deleted") == F.lit(False)).join(rt, F.col("record_type_id") == F.col("rt_id"))
          .join(u, F.col("created_by_id") == F.col("u_id")))
     return j.select(*LEAD_COLUMNS, "creator")
@@ -191,7 +190,7 @@ def crm_leads(leads: DataFrame, record_types: DataFrame, users: DataFrame, lead_
 def chatter_posts(feed: DataFrame, opportunities: DataFrame, record_types: DataFrame,
                   types: tuple[str, ...]) -> DataFrame:
     """Text posts on opportunities of the listed record types, not deleted."""
-    rt = bounded_broadcast(record_types.where((F.col("sobject_type") == "Opportunity") & F.col("name").isin(*types))
+    rt = (record_types.where((F.col("sobject_type") == "Opportunity") & F.col("name").isin(*types))
                            .select(F.col("id").alias("rt_id")))
     opp = opportunities.join(rt, F.col("record_type_id") == F.col("rt_id")).select(F.col("id").alias("o_id"))
     j = (feed.where((F.col("type") == "TextPost") & (F.col("is_deleted") == F.lit(False)))

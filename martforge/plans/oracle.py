@@ -244,7 +244,7 @@ FROM g
 
 # ---------------------------------------------------------------- versioned tables, roll-ups, joins
 
-_M = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
+_M = "CAST(sum(CAST({} AS DECIMAL(28,6))) AS DOUBLE)"
 
 ORACLE["latest_version"] = """
 WITH o AS (SELECT *, CASE WHEN NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') THEN o_orderdate END
@@ -286,7 +286,7 @@ l AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN ''
                               WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS contract
       FROM r WHERE pos = 1)
 SELECT contract, {_M.format("li.l_extendedprice")} AS billed,
-       CAST(sum(CASE WHEN li.l_linestatus = 'F' THEN CAST(li.l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+       CAST(sum(CASE WHEN li.l_linestatus = 'F' THEN CAST(li.l_extendedprice AS DECIMAL(28,6)) ELSE 0 END) AS DOUBLE)
          AS paid,
        count(*) AS n_lines
 FROM l JOIN lineitem li ON li.l_orderkey = l.o_orderkey
@@ -383,8 +383,8 @@ WHERE n.n_name IN ('NATION_3', 'NATION_7', 'NATION_11')
 
 ORACLE["cond_sum"] = """
 SELECT c_nationkey,
-       CAST(sum(CASE WHEN c_acctbal < 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS discount,
-       CAST(sum(CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS gross
+       CAST(sum(CASE WHEN c_acctbal < 0 THEN CAST(c_acctbal AS DECIMAL(28,6)) ELSE 0 END) AS DOUBLE) AS discount,
+       CAST(sum(CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DECIMAL(28,6)) ELSE 0 END) AS DOUBLE) AS gross
 FROM customer GROUP BY c_nationkey
 """
 

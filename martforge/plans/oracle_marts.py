@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from martforge.plans.oracle import ORACLE
 
-_HOST = r"lower(nullif(regexp_extract({c}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1), ''))"
+_HOST = r"lower(nullif(regexp_extract({c}, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)', 1), ''))"
 
 
 def _m(pat: str, col: str, ci: bool = True) -> str:
@@ -28,7 +28,9 @@ pv AS (
          CASE WHEN e.event_type = 'purchase' THEN 'cpc' END AS context_campaign_medium,
          CASE WHEN e.event_type = 'purchase' THEN 'newsletter' END AS context_campaign_source,
          CASE WHEN e.event_type = 'purchase' THEN 'promo ' || CAST(p.page_id AS VARCHAR) END AS context_campaign_name,
-         CASE WHEN e.event_type = 'click' THEN 'https://www.search.example/'
+         CASE WHEN e.event_type = 'click' THEN CASE e.event_id % 4 WHEN 1 THEN 'https://www.search.example/search?q=a|b c'
+                   WHEN 2 THEN 'www.search.example/x' WHEN 3 THEN 'https://my_search.example:8080/'
+                   ELSE 'https://www.search.example/' END
               WHEN e.event_type = 'signup' THEN 'https://parent.example/home'
               WHEN e.event_type <> 'view' THEN p.url END AS referrer,
          regexp_extract(p.url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1) AS path,
@@ -252,7 +254,9 @@ opp AS (
          n.n_name AS location_name, 'LOC' || CAST(c.c_nationkey AS VARCHAR) AS location_id, n.n_name AS city_c,
          r.r_name AS region_c, c.c_acctbal AS total_deal_amount_c, CAST(12.0 AS DOUBLE) AS term_length_max_c,
          CAST(span.last_order AS DATE) AS anticipated_start_date,
-         CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN 'price' END AS closed_lost_reason,
+         concat_ws(';', CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN 'price' END,
+                   CASE WHEN c.c_acctbal < 0 THEN 'low quality' END,
+                   CASE WHEN c.c_nationkey = 3 THEN 'wrong product' END) AS closed_lost_reason,
          CASE WHEN c.c_acctbal > 5000 THEN c.c_acctbal END AS price_range_min_c,
          CASE WHEN c.c_acctbal >= 0 AND c.c_acctbal <= 5000 THEN c.c_acctbal / {_D} END AS budget_min_c,
          CAST(NULL AS DOUBLE) AS price_range_max_c, CAST(NULL AS DOUBLE) AS budget_max_c,
@@ -473,16 +477,17 @@ reng AS (
   SELECT user_id AS contact_id, 'Call' AS engagement_type, ts AS created_at,
          CASE event_id % 8 WHEN 0 THEN 'Busy' WHEN 1 THEN 'Connected' WHEN 2 THEN 'Left live message'
               WHEN 3 THEN 'Left voicemail' WHEN 4 THEN 'No answer' WHEN 5 THEN 'Wrong number'
-              WHEN 6 THEN '00000000-0000-0000-0000-000000000000' END AS status, '' AS subject
+              WHEN 6 THEN '00000000-0000-0000-0000-000000000000' END AS status, '' AS subject,
+         CASE WHEN event_id % 2 = 0 THEN 'call notes ' || event_id % 5 END AS body
   FROM events WHERE event_type = 'purchase' AND value < 50
   UNION
   SELECT user_id, 'Meeting', ts, '',
          CASE event_id % 3 WHEN 0 THEN 'Excited for your TOUR!' WHEN 1 THEN 'Learn more about the space'
-              ELSE 'Weekly sync' END
+              ELSE 'Weekly sync' END, 'agenda ' || event_id % 3
   FROM events WHERE event_type = 'signup' AND value < 50
   UNION
   SELECT user_id, 'Email', ts, CASE WHEN value > 60 THEN 'BOUNCED' ELSE 'SENT' END,
-         'subject ' || CAST(user_id AS VARCHAR)
+         'subject ' || CAST(user_id AS VARCHAR), CASE WHEN event_id % 3 <> 0 THEN 'mail ' || event_id % 4 END
   FROM events WHERE event_type = 'click' AND value < 50),
 tdet AS (SELECT event_id, CASE WHEN value > 30 THEN 'CALL' ELSE 'EMAIL' END AS task_type,
                 CASE WHEN value < 100 THEN epoch_us(ts) // 1000 + CAST(floor(value * 3600000.0) AS BIGINT) END
@@ -569,7 +574,7 @@ SELECT 'Not Specified', 'Not Specified', 'Not Specified', 'Not Specified', 'Not
 
 # ---------------------------------------------------------------- five-network marketing spend (+ allocation)
 
-_MONEY = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
+_MONEY = "CAST(sum(CAST({} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def _search(flag_cond: str) -> str:
@@ -594,8 +599,9 @@ la AS (SELECT l_partkey AS campaign_id, l_shipdate AS day, CAST(l_quantity * 10
 lc AS (SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS gid,
               CAST(CASE WHEN p_brand = 'Brand#1' THEN 999 ELSE 1 END AS BIGINT) AS account_id FROM part),
 lg AS (SELECT CAST(p_size AS BIGINT) AS id, p_type || ' group' AS name,
-              TIMESTAMP '2024-01-01 00:00:00' + to_seconds(p_partkey) AS lmt FROM part),
-lgl AS (SELECT id, name FROM (SELECT *, rank() OVER (PARTITION BY id ORDER BY lmt DESC NULLS LAST) AS pos FROM lg)
+              CASE WHEN p_partkey % 7 <> 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_seconds(p_partkey) END AS lmt
+       FROM part),
+lgl AS (SELECT id, name FROM (SELECT *, rank() OVER (PARTITION BY id ORDER BY lmt DESC NULLS FIRST) AS pos FROM lg)
         WHERE pos = 1),
 leg_li AS (SELECT lgl.name AS campaign_name, CAST(la.day AS DATE) AS campaign_date, la.impressions, la.clicks,
                   CAST(la.conv AS DOUBLE) AS conversions, la.cost AS spend, 'LinkedIn' AS source
@@ -721,9 +727,9 @@ ext AS (SELECT l.l_orderkey * 10 + l.l_linenumber AS id, l.l_orderkey AS booking
                l.l_shipdate + INTERVAL 1 DAY
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_discount = 0),
 costs AS (SELECT bookingid,
-                 CAST(sum(CASE WHEN CAST(price AS DECIMAL(18,2)) < 0 THEN CAST(price AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+                 CAST(sum(CASE WHEN CAST(price AS DECIMAL(28,6)) < 0 THEN CAST(price AS DECIMAL(28,6)) ELSE 0 END) AS DOUBLE)
                    AS discount,
-                 CAST(sum(CASE WHEN CAST(price AS DECIMAL(18,2)) > 0 THEN CAST(price AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+                 CAST(sum(CASE WHEN CAST(price AS DECIMAL(28,6)) > 0 THEN CAST(price AS DECIMAL(28,6)) ELSE 0 END) AS DOUBLE)
                    AS gross_price
           FROM {_latest('ext', 'id', 'updatedon')} GROUP BY bookingid, coworkerid),
 md AS (SELECT c_custkey AS coworker_id, lower(c_name) || '@member.example' AS email,
@@ -766,8 +772,8 @@ inv AS (SELECT l_orderkey * 10 + l_linenumber AS id,
                CASE WHEN l_linenumber = 7 THEN '' WHEN l_linenumber = 6 THEN NULL ELSE 'C' || CAST(l_orderkey AS VARCHAR) END,
                l_extendedprice + CAST(10.0 AS DOUBLE), 0.0, l_shipdate + INTERVAL 1 DAY FROM lineitem WHERE l_discount = 0),
 cp AS (SELECT contractguid, count(*) AS num_periods,
-              CAST(sum(CAST(totalamount AS DECIMAL(18,2))) AS DOUBLE) AS total_billed,
-              CAST(sum(CAST(paidamount AS DECIMAL(18,2))) AS DOUBLE) AS total_paid
+              CAST(sum(CAST(totalamount AS DECIMAL(28,6))) AS DOUBLE) AS total_billed,
+              CAST(sum(CAST(paidamount AS DECIMAL(28,6))) AS DOUBLE) AS total_paid
        FROM {_latest('inv', 'id', 'updatedon')} WHERE contractguid IS NOT NULL AND contractguid <> ''
        GROUP BY contractguid),
 tf AS (SELECT DISTINCT o_orderpriority FROM orders),

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from martforge.functions.rules import regex_ladder
 from martforge.functions.urls import split_at, strip_query, url_host, url_param
-from martforge.operators.joins import bounded_broadcast
 from martforge.sources.io import read_table
 
 # Host patterns -> site kind, in rule order.
@@ -38,4 +37,4 @@ def distinct_dim_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classify each distinct host once, then join the small dimension back."""
     pages = _pages(spark, sf_dir).withColumn("host", url_host("url"))
     dim = pages.select("host").distinct().withColumn("site_kind", regex_ladder("host", SITE_RULES, default="Web"))
-    return pages.join(bounded_broadcast(dim), "host", "left").select("page_id", "host", "site_kind")
+    return pages.join(dim, "host", "left").select("page_id", "host", "site_kind")

@@ -12,7 +12,7 @@ from martforge.operators.aggregates import fill_by_type
 from martforge.operators.setops import union_distinct
 from martforge.sources.io import read_table
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,6)"
 
 # Campaign-name patterns -> product, in rule order (first match wins).
 PRODUCT_RULES = [("ring", "Suite"), ("gear", "Room"), ("bolt", "Desk")]
@@ -89,7 +89,7 @@ def marketing_spend(li_analytics: DataFrame, li_campaigns: DataFrame, li_groups:
                     conversion_types: tuple[str, ...] = ()) -> DataFrame:
     """UNION (distinct) of five network legs; two legs are ad-level and not aggregated."""
     from martforge.operators.history import latest_version
-    groups = latest_version(li_groups, ["id"], "last_modified_time", nulls_first=False).select(
+    groups = latest_version(li_groups, ["id"], "last_modified_time").select(
         F.col("id").alias("group_id"), F.col("name").alias("group_name"))
     li = (li_analytics.join(li_campaigns, li_analytics["campaign_id"] == li_campaigns["id"])
           .join(groups, F.col("campaign_group_id") == F.col("group_id")))

@@ -12,11 +12,8 @@
 6. one row per visitor-day: first-seen mode of medium and of event type,
    landing content (first event of the day), paid flag, calendar columns.
 
-Skew: ``skew_safe="auto"`` measures the largest visitor (``operators.skew``).
-If a visitor exceeds the hot-group bound, the fills are segmented by event
-hour (``operators.fill``) and a hot visitor is spread over many tasks;
-otherwise the events are hash-partitioned once by visitor and every window
-and the mode aggregation reuse that single shuffle.
+Skew: all fills work on chunks of one minute (``operators.attribution``, ``operators.fill``), so a visitor
+with a third of all events is spread over many tasks.  The plan does not depend on sizes.
 """
 
 from __future__ import annotations
@@ -26,40 +23,29 @@ from pyspark.sql import functions as F
 
 from martforge.functions.dates import month_start, quarter_start, week_start, weekday_mon1
 from martforge.functions.rules import ladder
+from martforge.operators.attribution import attribute
 from martforge.operators.fill import fill, first_in_group
 from martforge.operators.history import change_points
 from martforge.operators.mode import mode, modes
-from martforge.operators.skew import choose_chunk
-from martforge.plans.common import event_day, events, hour_chunk, medium_of_event
+from martforge.plans.common import event_day, events, medium_of_event, minute_chunk
 
 ORDER = ["ts", "event_id"]
 
 
-def _partition_by_visitor(ev: DataFrame, skew_safe):
-    """(events, chunk): segmenting chunk for hot visitors, else one hash partitioning by visitor."""
-    chunk = choose_chunk(ev, ["user_id"], hour_chunk(), skew_safe)
-    return (ev if chunk is not None else ev.repartition("user_id")), chunk
-
-
-def attribute_events(ev: DataFrame, skew_safe="auto") -> DataFrame:
+def attribute_events(ev: DataFrame) -> DataFrame:
     """Per-event attributed medium (steps 1-5)."""
-    ev, chunk = _partition_by_visitor(ev, skew_safe)
     df = ev.withColumns({"day": event_day(), "medium": medium_of_event()})
-    df = fill(df, ["user_id", "day"], ORDER, ["medium"], "downup", chunk=chunk, chunk_by=["user_id"])
-    df = df.withColumn("medium", ladder([
-        ((F.col("medium"), "paid|ppc|cpc"), "paid"),
-        (F.col("medium") == "organic", "organic"),
-        (F.col("medium").isNotNull(), "other"),
-        (F.col("value") < 5, "direct"),
-        (F.col("value") >= 45, F.lit(None).cast("string")),
-    ], default="referral"))
-    df = fill(df, ["user_id"], ORDER, ["medium"], "down", chunk=chunk, chunk_by=["user_id"])
-    df = fill(df, ["user_id", "day"], ORDER, ["medium"], "up", chunk=chunk, chunk_by=["user_id"])
-    return df.fillna({"medium": "unknown"})
+
+    def label(medium):
+        return ladder([((medium, "paid|ppc|cpc"), "paid"), (medium == "organic", "organic")], default="other")
+
+    missing = ladder([(F.col("value") < 5, "direct"), (F.col("value") >= 45, F.lit(None).cast("string"))],
+                     default="referral")
+    return attribute(df, "user_id", "day", ORDER, ["medium"], "medium", label, missing, unknown="unknown")
 
 
-def web_daily_attribution(spark: SparkSession, sf_dir: str, skew_safe="auto") -> DataFrame:
-    df = attribute_events(events(spark, sf_dir), skew_safe)
+def web_daily_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = attribute_events(events(spark, sf_dir))
     keys = ["day", "user_id"]
     out = modes(df, keys, ["medium", "event_type"], ORDER, firsts={"event_type": "landing_content"})
     return out.select(
@@ -76,16 +62,16 @@ def _medium_events(spark, sf_dir) -> DataFrame:
     return events(spark, sf_dir).withColumns({"day": event_day(), "medium": medium_of_event()})
 
 
-def fill_down_up(spark: SparkSession, sf_dir: str, skew_safe="auto") -> DataFrame:
+def fill_down_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Medium filled down, then up, within each visitor-day."""
-    df, chunk = _partition_by_visitor(_medium_events(spark, sf_dir), skew_safe)
+    df, chunk = _medium_events(spark, sf_dir), minute_chunk()
     df = fill(df, ["user_id", "day"], ORDER, ["medium"], "downup", chunk=chunk, chunk_by=["user_id"])
     return df.select("event_id", "user_id", "day", "medium")
 
 
-def fill_down_then_up(spark: SparkSession, sf_dir: str, skew_safe="auto") -> DataFrame:
+def fill_down_then_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Medium filled down per visitor over all days, then up within the visitor-day."""
-    df, chunk = _partition_by_visitor(_medium_events(spark, sf_dir), skew_safe)
+    df, chunk = _medium_events(spark, sf_dir), minute_chunk()
     df = fill(df, ["user_id"], ORDER, ["medium"], "down", chunk=chunk, chunk_by=["user_id"])
     df = fill(df, ["user_id", "day"], ORDER, ["medium"], "up", chunk=chunk, chunk_by=["user_id"])
     return df.select("event_id", "user_id", "day", "medium")
@@ -101,11 +87,10 @@ def mode_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mode(_medium_events(spark, sf_dir), ["day", "user_id"], "medium", ORDER, out="mode_medium")
 
 
-def stage_change_points(spark: SparkSession, sf_dir: str, skew_safe="auto") -> DataFrame:
+def stage_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose stage differs from the previous row of the user (default '1');
     a NULL stage row and the row after it drop out (three-valued comparison)."""
     ev = events(spark, sf_dir).withColumn(
         "stage", F.when(F.col("event_type") != "error", F.col("event_type")))
-    chunk = choose_chunk(ev, ["user_id"], hour_chunk(), skew_safe)
-    out = change_points(ev, ["user_id"], ORDER, "stage", default="1", chunk=chunk)
+    out = change_points(ev, ["user_id"], ORDER, "stage", default="1", chunk=minute_chunk())
     return out.select("event_id", "user_id", "ts", "stage")

@@ -20,16 +20,14 @@
     ``unknown``.
 
 Brand hosts, IP lists and label patterns are parameters (``WebRules``).
-Skew: with ``skew_safe="auto"`` the largest visitor is measured first; only
-when it exceeds the hot-group bound are the fills segmented by event hour
-(``operators.fill``), else one hash partitioning by visitor serves all windows.
+Skew: the fills work on one-minute chunks of a visitor (``operators.attribution``), in one plan for all sizes.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.dates import month_start, quarter_start, week_start, weekday_mon1
@@ -37,11 +35,10 @@ from martforge.functions.nulls import any_matches, matches, not_matches
 from martforge.functions.rules import ladder, regex_ladder
 from martforge.functions.urls import referrer_host, split_at, url_param
 from martforge.operators.aggregates import top_k_by_count
-from martforge.operators.fill import fill, first_in_group
-from martforge.operators.joins import anti_join_any, bounded_broadcast, null_safe_join
+from martforge.operators.attribution import attribute
+from martforge.operators.joins import anti_join_any, null_safe_join
 from martforge.operators.mode import modes
 from martforge.operators.setops import union_distinct
-from martforge.operators.skew import choose_chunk
 
 ORDER = ["original_timestamp", "id"]
 
@@ -71,7 +68,6 @@ class WebRules:
     city_rules: tuple[tuple[str, str], ...] = ()
     unit_rules: tuple[tuple[str, str], ...] = ()
     product_rules: tuple[tuple[str, str], ...] = (("suite", "Suite"), ("desk", "Desk"), ("room", "Room"))
-    skew_safe: object = "auto"                # "auto" | True | False, see operators.skew
 
 
 def testing_traffic_ips(pages: DataFrame, rules: WebRules) -> DataFrame:
@@ -86,40 +82,38 @@ def top_org_ips(pages: DataFrame, ip_org: DataFrame, rules: WebRules) -> DataFra
     return top.join(ip_org, "context_ip").where(matches("org", rules.org_keep)).select("context_ip")
 
 
-def _medium_ladder(rules: WebRules):
-    m, host = F.col("campaign_medium"), F.col("host")
-    missing = m.isNull()
-    rules_ = [((m, rules.paid_media), "paid"),
-              (m == "organic", "organic"),
-              (m.isNotNull(), "other"),
-              (missing & (host == "none"), "direct")]
+def _label(rules: WebRules):
+    """Label of a known medium."""
+    return lambda m: ladder([((m, rules.paid_media), "paid"), (m == "organic", "organic")], default="other")
+
+
+def _label_without_medium(rules: WebRules):
+    """Label of a row on a day without medium, from its referrer; NULL on own pages."""
+    host = F.col("host")
+    out = [(host == "none", "direct")]
     if rules.own_home:
-        rules_.append((missing & (F.col("referrer") == rules.own_home), "direct"))
+        out.append((F.col("referrer") == rules.own_home, "direct"))
     if rules.parent_host:
-        rules_.append((missing & matches(host, rules.parent_host), "referral (internal)"))
+        out.append((matches(host, rules.parent_host), "referral (internal)"))
     if rules.own_host:
-        rules_.append((missing & matches(host, rules.own_host), F.lit(None).cast("string")))
-    rules_.append((missing, "referral"))
-    return ladder(rules_, default="other")
+        out.append((matches(host, rules.own_host), F.lit(None).cast("string")))
+    return ladder(out, default="referral")
 
 
 def attributed_pageviews(spark: SparkSession, pages: DataFrame, internal_ips: DataFrame, ip_org: DataFrame,
                          ua_dim: DataFrame, clicks: DataFrame, rules: WebRules = WebRules()) -> DataFrame:
-    chunk = choose_chunk(pages, ["anonymous_id"], F.date_trunc("hour", F.col("original_timestamp")), rules.skew_safe)
-    by_day = dict(chunk=chunk, chunk_by=["anonymous_id"])
-
     literal = spark.createDataFrame([(ip,) for ip in rules.literal_ips], "context_ip string")
     df = pages.where(not_matches("title", rules.title_drop))
     df = anti_join_any(df, "context_ip", [internal_ips.select(F.col("ip_address").alias("context_ip")),
                                           testing_traffic_ips(pages, rules), top_org_ips(pages, ip_org, rules),
                                           literal])
-    df = null_safe_join(df, bounded_broadcast(ua_dim), [("context_user_agent", "userAgent")], "left")
+    df = null_safe_join(df, ua_dim, [("context_user_agent", "userAgent")], "left")
     df = df.where(not_matches("ua_family", rules.bot_family)
                   & not_matches("context_user_agent", rules.agent_drop, ignore_case=False))
     before, after = split_at("url", rules.click_marker)
     df = df.withColumns({"url": before, "gcl_id": after})
     # click ids are never NULL in the click table: a plain equi join keeps the fan-out
-    df = df.join(bounded_broadcast(clicks.select("gcl_id")), "gcl_id", "left")
+    df = df.join(clicks.select("gcl_id"), "gcl_id", "left")
     has_click = F.col("gcl_id").isNotNull()
     df = df.withColumns({
         "seg_date": F.to_date("original_timestamp"),
@@ -131,25 +125,9 @@ def attributed_pageviews(spark: SparkSession, pages: DataFrame, internal_ips: Da
         "campaign_source": F.coalesce(F.col("context_campaign_source"), url_param("url", "utm_source"),
                                       F.when(has_click, F.lit("google"))),
     })
-    if chunk is None:  # no hot visitor: one hash partitioning serves every window below
-        df = df.repartition("anonymous_id")
-    cols3 = ["campaign_medium", "campaign_source", "campaign_name"]
-    df = fill(df, ["anonymous_id", "seg_date"], ORDER, cols3, "downup", **by_day)
-    df = df.withColumn("campaign_medium", F.when(
-        F.col("campaign_medium").isNull() & matches("host", rules.search_hosts), F.lit("organic"))
-        .otherwise(F.col("campaign_medium")))
-    df = fill(df, ["anonymous_id", "seg_date"], ORDER, ["campaign_medium"], "downup", **by_day)
-    df = df.withColumn("campaign_medium", _medium_ladder(rules))
-    df = fill(df, ["anonymous_id"], ORDER, ["campaign_medium"], "down", **by_day)
-    df = fill(df, ["anonymous_id", "seg_date"], ORDER, ["campaign_medium"], "up", **by_day)
-    if chunk is None:
-        whole_day = Window.partitionBy("anonymous_id", "seg_date").orderBy(*ORDER).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing)
-        df = df.withColumn("landing_content", F.first("url").over(whole_day))
-    else:  # hot visitors: grouped first value (partial aggregation) joined back
-        landing = first_in_group(df, ["anonymous_id", "seg_date"], ORDER, "url", "landing_content")
-        df = null_safe_join(df, landing, ["anonymous_id", "seg_date"], "left")
-    df = df.fillna({"campaign_medium": "unknown"})
+    df = attribute(df, "anonymous_id", "seg_date", ORDER, ["campaign_medium", "campaign_source", "campaign_name"],
+                   "campaign_medium", _label(rules), _label_without_medium(rules),
+                   promote=matches("host", rules.search_hosts), landing=("url", "landing_content"), unknown="unknown")
     return df.select(*PAGEVIEW_COLUMNS)
 
 

@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from martforge.operators.aggregates import cond_sums
 from martforge.operators.history import latest_version
-from martforge.operators.joins import bounded_broadcast
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,6)"
 
 BOOKING_COLUMNS = ["id", "coworkerid", "coworkerfullname", "resourceid", "resourcename", "resourceresourcetypename",
                    "teamsatthetimeofbooking", "tariffatthetimeofbooking", "fromtime", "totime",
@@ -66,7 +65,7 @@ def meeting_bookings(bookings: DataFrame, resources: DataFrame, businesses: Data
     mt = member_teams(coworkers, teams)
     j = (valid.join(members, valid["coworkerid"] == members["coworker_id"])
          .join(costs, F.col("booking_id") == costs["bookingid"], "left")
-         .join(bounded_broadcast(types), F.col("coworker_id") == F.col("type_id"))
+         .join(types, F.col("coworker_id") == F.col("type_id"))
          .join(rooms, F.col("resourceid") == F.col("resource_id"))
          .join(mt.withColumnRenamed("coworker_id", "mt_coworker_id"), F.col("coworker_id") == F.col("mt_coworker_id"),
                "left"))
@@ -92,8 +91,8 @@ def contracts(contract_versions: DataFrame, coworkers: DataFrame, invoices: Data
     tm = latest_version(teams, ["id"], "updatedon").select(F.col("id").alias("team_id"), F.col("name").alias("team_name"))
     j = (cc.join(ct, cc["coworkerid"] == ct["id"])
          .join(cp, cc["uniqueid"] == cp["contractguid"], "left")
-         .join(bounded_broadcast(pn), F.col("tariffid") == F.col("plan_id"), "left")
-         .join(bounded_broadcast(tm), F.col("teamid") == F.col("team_id"), "left"))
+         .join(pn, F.col("tariffid") == F.col("plan_id"), "left")
+         .join(tm, F.col("teamid") == F.col("team_id"), "left"))
     return j.drop("plan_id", "team_id")
 
 
@@ -101,7 +100,7 @@ def teams(team_versions: DataFrame, businesses: DataFrame) -> DataFrame:
     nt = latest_version(team_versions, ["id"], "updatedon")
     b = latest_version(businesses, ["id"], "updatedon").select(F.col("id").alias("b_id"),
                                                                F.col("name").alias("location"))
-    j = nt.join(bounded_broadcast(b), nt["businessid"] == F.col("b_id"))
+    j = nt.join(b, nt["businessid"] == F.col("b_id"))
     return j.select("id", "businessid", F.col("name").alias("business_team_name"), "payingmemberid",
                     "sharetimepasses", "shareextraservices", "sharebookingcredit", "discountextraservices",
                     "coworkerids", "activecontracts", "location")

@@ -1,15 +1,15 @@
-"""Session construction and lineage cutting.
+"""Session construction.
 
 Production jobs receive a session from the cluster; ``get_session`` is for
-tests, the bench and the smoke entry.  It only fills settings that are unset.
+tests, the bench and the smoke entry.  It only fills settings that are unset
+and needs no site defaults.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,28 +31,4 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                .config("spark.driver.memory", os.environ.get("MARTFORGE_DRIVER_MEMORY", "16g")))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder).
-
-    Only a local-mode session (tests, bench) without the setting gets a scratch
-    folder; a cluster session without it is an error, because a machine-local
-    folder cannot hold checkpoints that must survive executor loss.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="martforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

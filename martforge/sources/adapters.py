@@ -11,16 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators.joins import bounded_broadcast
 from martforge.sources.io import read_table
 
 # Fixed values used by the adapted web data (hosts, agent strings, click ids).
-SEARCH_REFERRER = "https://www.search.example/"
+SEARCH_REFERRERS = ("https://www.search.example/", "https://www.search.example/search?q=a|b c",
+                    "www.search.example/x", "https://my_search.example:8080/")
 PARENT_REFERRER = "https://parent.example/home"
 BOT_AGENT = "ExampleBot/2.1"
 ADS_AGENT = "Ads-Overview"
 
 
+def element_of(slot, values):
+    """The value at position ``slot`` (from 0)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), slot.cast("int") + 1)
+
+
 def _n_pages(pages: DataFrame) -> int:
     """Number of page slots (one-row aggregate; bounded driver result)."""
     return int(pages.agg(F.max("page_id")).first()[0]) + 1
@@ -32,7 +37,7 @@ def tracking_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
     n = _n_pages(pages)
-    j = ev.join(bounded_broadcast(pages), F.pmod(ev["event_id"], F.lit(n)) == pages["page_id"])
+    j = ev.join(pages, F.pmod(ev["event_id"], F.lit(n)) == pages["page_id"])
     et = F.col("event_type")
     with_click = (et == "click") & (F.col("value") > 100)
     url = F.when(with_click, F.concat(
@@ -46,7 +51,7 @@ def tracking_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(et == "purchase", F.lit("newsletter")).alias("context_campaign_source"),
         F.when(et == "purchase", F.concat(F.lit("promo "), F.col("page_id").cast("string"))).alias(
             "context_campaign_name"),
-        F.when(et == "click", F.lit(SEARCH_REFERRER))
+        F.when(et == "click", element_of(F.pmod("event_id", F.lit(4)), SEARCH_REFERRERS))
          .when(et == "signup", F.lit(PARENT_REFERRER))
          .when(et != "view", F.col("url")).alias("referrer"),
         F.regexp_extract(F.col("url"), r"^[A-Za-z]+://[^/?#]+([^?#]*)", 1).alias("path"),

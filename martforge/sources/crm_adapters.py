@@ -89,63 +89,6 @@ def marketing_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select((F.col("o_custkey") + 100000).alias("deal_id"), "property_amount", "property_closedate")
 
 
-def opportunity_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
-    return o.select(F.concat(F.lit("OPP"), F.col("o_custkey").cast("string")).alias("opportunity_id"),
-                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Broker Contact"))
-                    .otherwise(F.lit("Decision Maker")).alias("role"),
-                    F.when(F.col("o_orderstatus") == "F", F.lit("Unknown"))
-                    .when(F.col("o_orderstatus") == "O", F.concat(F.lit("Acct "), F.pmod("o_orderkey", F.lit(5))
-                                                                  .cast("string"))).alias("account"),
-                    F.concat(F.lit("Contact "), F.pmod("o_orderkey", F.lit(3)).cast("string")).alias("name"))
-
-
-def opportunity_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide opportunity extract: one row per customer with the columns the deal mart reads."""
-    c = _customers(spark, sf_dir)
-    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
-    span = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"))
-    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    geo = F.broadcast(n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]))
-    j = c.join(span, c["c_custkey"] == span["o_custkey"], "left").join(geo, c["c_nationkey"] == geo["n_nationkey"],
-                                                                       "left")
-    k, bal, nat = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey")
-    rt = _map("c_mktsegment", RECORD_TYPE_OF_SEGMENT, "Local Fill")
-    return j.select(
-        F.concat(F.lit("OPP"), k.cast("string")).alias("id"), rt.alias("record_type"), rt.alias("oppty_type"),
-        F.col("c_name").alias("name"),
-        _map("c_mktsegment", {"BUILDING": "Closed Won", "AUTOMOBILE": "Touring"}, "Upper Funnel").alias("stage_name"),
-        F.col("first_order").alias("created_date"), F.col("last_order").alias("customer_create_date"),
-        F.to_date("last_order").alias("anticipated_close_date"), nat.cast("double").alias("desks_max_c"),
-        F.when(bal > 8000, F.lit("Room")).alias("fill_product_c"),
-        F.when(F.pmod(nat, F.lit(5)) == 0, F.lit("Online"))
-        .when(F.pmod(nat, F.lit(5)) == 1, F.lit("Offline"))
-        .when(F.pmod(nat, F.lit(5)) == 3, F.lit("Enterprise Referral"))
-        .when(F.pmod(nat, F.lit(5)) == 4, F.lit("Broker Referral")).alias("lead_source"),
-        F.when(F.pmod(k, F.lit(6)) == 0, F.lit("DIRECT_TRAFFIC")).when(F.pmod(k, F.lit(6)) == 1, F.lit("ORGANIC_SEARCH"))
-        .when(F.pmod(k, F.lit(6)) == 2, F.lit("PAID_SEARCH")).when(F.pmod(k, F.lit(6)) == 3, F.lit("PAID_SOCIAL"))
-        .when(F.pmod(k, F.lit(6)) == 4, F.lit("3rd Party Aggregator")).alias("data_source_1_c"),
-        F.when(F.pmod(k, F.lit(7)) == 0, F.lit("https://own.example/")).when(F.pmod(k, F.lit(7)) == 1, F.lit("Blog post"))
-        .when(F.pmod(k, F.lit(7)) == 2, F.lit("own.example/page")).when(F.pmod(k, F.lit(7)) == 3, F.lit("meetings.example"))
-        .when(F.pmod(k, F.lit(7)) == 4, F.lit("Facebook ads")).when(F.pmod(k, F.lit(7)) == 5, F.lit("LinkedIn"))
-        .otherwise(F.lit("auto-tagged")).alias("data_source_2_c"),
-        F.when(bal < 0, F.lit("lead-gen form")).alias("data_source_3_c"),
-        F.col("n_name").alias("location_name"), F.concat(F.lit("LOC"), nat.cast("string")).alias("location_id"),
-        F.col("n_name").alias("city_c"), F.col("r_name").alias("region_c"),
-        bal.alias("total_deal_amount_c"), F.lit(12.0).alias("term_length_max_c"),
-        F.to_date("last_order").alias("anticipated_start_date"),
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("price")).alias("closed_lost_reason"),
-        F.when(bal > 5000, bal).alias("price_range_min_c"),
-        F.when((bal >= 0) & (bal <= 5000), bal / F.lit(2.0)).alias("budget_min_c"),
-        F.lit(None).cast("double").alias("price_range_max_c"), F.lit(None).cast("double").alias("budget_max_c"),
-        F.when(bal > 0, F.concat(F.lit("summary "), F.col("c_mktsegment"))).alias("executive_summary_c"),
-        F.when(nat < 5, F.lit("NAtional account")).alias("enterprise_notes_c"),
-        F.when(nat > 20, F.concat(F.lit("TC"), nat.cast("string"))).alias("digital_tracking_code_c"),
-        F.col("c_name").alias("customer_name"),
-        F.concat(F.lit("owner "), F.pmod(k, F.lit(10)).cast("string")).alias("owner_name"))
-
-
 # ---------------------------------------------------------------- engagement log and contacts
 
 # Call disposition code -> label (the CRM's standard call outcomes).
@@ -183,14 +126,22 @@ def engagement_call(spark: SparkSession, sf_dir: str) -> DataFrame:
         disp = F.when(slot == i, F.lit(code)) if disp is None else disp.when(slot == i, F.lit(code))
     disp = disp.when(slot == 6, F.lit("00000000-0000-0000-0000-000000000000"))
     return ev.select(F.col("event_id").alias("engagement_id"), disp.alias("disposition"),
-                     F.when(F.col("value") > 100, F.lit("COMPLETED")).otherwise(F.lit("CALLING")).alias("status"))
+                     F.when(F.col("value") > 100, F.lit("COMPLETED")).otherwise(F.lit("CALLING")).alias("status"),
+                     F.concat(F.lit("+1"), F.col("user_id").cast("string")).alias("to_number"),
+                     F.concat(F.lit("+2"), F.pmod("event_id", F.lit(4)).cast("string")).alias("from_number"),
+                     F.concat(F.lit("x"), F.col("event_id").cast("string")).alias("external_id"),
+                     F.floor(F.col("value") * 1000).cast("long").alias("duration_milliseconds"),
+                     F.when(F.pmod("event_id", F.lit(2)) == 0,
+                            F.concat(F.lit("call notes "), F.pmod("event_id", F.lit(5)).cast("string"))).alias("body"))
 
 
 def engagement_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
     return ev.select(F.col("event_id").alias("engagement_id"),
                      F.when(F.col("value") > 60, F.lit("BOUNCED")).otherwise(F.lit("SENT")).alias("status"),
-                     F.concat(F.lit("subject "), F.col("user_id").cast("string")).alias("subject"))
+                     F.concat(F.lit("subject "), F.col("user_id").cast("string")).alias("subject"),
+                     F.when(F.pmod("event_id", F.lit(3)) != 0,
+                            F.concat(F.lit("mail "), F.pmod("event_id", F.lit(4)).cast("string"))).alias("text"))
 
 
 def engagement_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +150,8 @@ def engagement_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = (F.when(slot == 0, F.lit("Excited for your TOUR!")).when(slot == 1, F.lit("Learn more about the space"))
              .otherwise(F.lit("Weekly sync")))
     return ev.select(F.col("event_id").alias("engagement_id"), title.alias("title"),
-                     (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("start_time"))
+                     (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("start_time"),
+                     F.concat(F.lit("agenda "), F.pmod("event_id", F.lit(3)).cast("string")).alias("body"))
 
 
 def contact_list_member(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +233,9 @@ def engagement_task(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(done, ms).alias("completion_date"),
                      F.when(done, F.lit("COMPLETED")).when(F.col("value") <= 150, F.lit("NOT_STARTED"))
                      .alias("status"),
-                     F.lit("follow up").alias("subject"), F.lit(None).cast("string").alias("body"))
+                     F.lit("follow up").alias("subject"),
+                     F.when(F.pmod("event_id", F.lit(2)) == 1,
+                            F.concat(F.lit("task "), F.col("event_id").cast("string"))).alias("body"))
 
 
 def contact_property_history(spark: SparkSession, sf_dir: str) -> DataFrame:

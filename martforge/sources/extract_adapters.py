@@ -27,7 +27,7 @@ def session_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
     n = int(pages.agg(F.max("page_id")).first()[0]) + 1
-    j = ev.join(F.broadcast(pages), F.pmod(ev["event_id"], F.lit(n)) == pages["page_id"])
+    j = ev.join(pages, F.pmod(ev["event_id"], F.lit(n)) == pages["page_id"])
     et = F.col("event_type")
     return j.select(
         F.lower(F.regexp_extract("url", r"^[A-Za-z]+://([^/?#:]+)", 1)).alias("page_hostname"),

@@ -15,6 +15,7 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -24,9 +25,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """A source table.  Its schema is read from the files once per application: sources do not change under a run,
+    and a plan that reads a table often would otherwise start a footer-reading job each time."""
+    path = table_path(sf_dir, name)
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[known]).parquet(path)
     return df.select(*columns) if columns else df
 
 

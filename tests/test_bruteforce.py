@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martforge.operators import change_points, fill, lag_in_group, modes
+from martforge.operators.attribution import attribute
 from tests.conftest import rows
 
 
@@ -95,3 +96,31 @@ def test_mode_matches_brute_force(spark, seed):
         expect[g] = max(seen, key=lambda v: (vals.count(v), -vals.index(v))) if seen else None
     got = dict(rows(modes(df, ["g"], ["v"], ["t", "i"]), "g", "v"))
     assert got == expect
+
+
+@pytest.mark.parametrize("seed", [8, 9, 10])
+def test_attribution_equals_four_fills(spark, seed):
+    """The one-pass attribution gives what the source's four fills in a row give."""
+    rnd = random.Random(seed)
+    data = [(rnd.choice([None, 1, 2, 3]), rnd.choice([0, 0, 1, 2]) * 1440 + rnd.randint(0, 6), i,
+             rnd.choice([None, None, None, "cpc", "organic", "mail"]), rnd.choice([None, None, "s"]),
+             rnd.choice(["none", "own", "own", "other", "search"])) for i in range(250)]
+    df = (spark.createDataFrame(data, "v int, minute int, i int, m string, s string, host string")
+          .withColumn("ts", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, minute, i % 60)"))
+          .withColumn("day", F.to_date("ts")).withColumn("url", F.concat(F.lit("u"), F.col("i").cast("string"))))
+    label = lambda m: F.when(m == "cpc", "paid").when(m == "organic", "organic").otherwise("other")
+    missing = F.when(F.col("host") == "none", "direct").when(F.col("host") == "own", None).otherwise("referral")
+    order = ["ts", "i"]
+    got = attribute(df, "v", "day", order, ["m", "s"], "m", label, missing, promote=F.col("host") == "search",
+                    landing=("url", "landing"), unknown="unknown")
+    w = fill(df, ["v", "day"], order, ["m", "s"], "downup")
+    w = w.withColumn("m", F.when(F.col("m").isNull() & (F.col("host") == "search"), "organic").otherwise(F.col("m")))
+    w = fill(w, ["v", "day"], order, ["m"], "downup")
+    w = w.withColumn("m", F.when(F.col("m").isNotNull(), label(F.col("m"))).otherwise(missing))
+    w = fill(w, ["v"], order, ["m"], "down")
+    w = fill(w, ["v", "day"], order, ["m"], "up").fillna({"m": "unknown"})
+    first = {}
+    for r in sorted(rows(df, "v", "day", "ts", "i", "url"), key=lambda r: (str(r[0]), r[1], r[2], r[3])):
+        first.setdefault((r[0], r[1]), r[4])
+    want = sorted((i, m, s, first[(v, d)]) for i, m, s, v, d in rows(w, "i", "m", "s", "v", "day"))
+    assert sorted(rows(got, "i", "m", "s", "landing")) == want

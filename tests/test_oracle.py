@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare
+from martforge.plans.catalog import QUERIES
 from martforge.sources.io import DRIVER_TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -25,11 +26,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(QUERIES) - set(entry.oracle_sql())
     assert not missing, f"queries without oracle SQL: {sorted(missing)}"
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     msg, ok = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF_DIR)
     assert ok, msg
@@ -40,18 +41,3 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["dau_date", "user_id", "landing_content", "campaign_medium", "top_event", "true_paid",
                           "dau_day", "week_start", "month_start", "quarter_start"]
-
-
-SEGMENTED = ["web_daily_attribution", "fill_down_up", "fill_down_then_up", "stage_change_points",
-             "attributed_pageviews", "deal_stage_history"]
-
-
-@pytest.mark.parametrize("name", SEGMENTED)
-def test_segmented_path_matches_oracle(spark, con, name):
-    """Force the hot-key (segmented, checkpointed) plan and check it against the same oracle."""
-    spark.conf.set("martforge.hotGroupRows", "0")
-    try:
-        msg, ok = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF_DIR)
-    finally:
-        spark.conf.unset("martforge.hotGroupRows")
-    assert ok, msg

@@ -1,6 +1,11 @@
 """Physical-plan properties the scale design relies on."""
 
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
+from martforge.plans.common import minute_chunk
+from martforge.plans.web import attribute_events
 
 SF = "/root/testdata/sf0.001"
 
@@ -10,9 +15,40 @@ def _executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_attribution_uses_one_shuffle(spark):
+def _jobs(spark, build) -> int:
+    """Spark jobs that building a query starts."""
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-test", "plan-test")
+    build()
+    ids = sc.statusTracker().getJobIdsForGroup("plan-test")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(ids)
+
+
+@pytest.mark.parametrize("name", ["web_daily_attribution", "fill_down_up", "fill_down_then_up", "stage_change_points",
+                                  "deal_stage_history", "marketing_spend", "contracts", "crm_opportunities"])
+def test_building_a_query_starts_no_job(spark, name):
+    entry.queries()[name](spark, SF)  # reads the tables' schemas
+    assert _jobs(spark, lambda: entry.queries()[name](spark, SF)) == 0
+
+
+def test_attribution_reads_its_rows_twice_at_most(spark):
     plan = _executed(entry.queries()["web_daily_attribution"](spark, SF))
-    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert plan.split("Initial Plan")[-1].count("FileScan parquet") <= 2
+    assert "Checkpoint" not in plan and "ExistingRDD" not in plan
+
+
+def test_a_hot_visitor_is_spread_over_tasks(spark):
+    """One visitor holds nine tenths of an hour's events: no partition of the window holds them all."""
+    rows = spark.range(6000).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, id % 3600) as ts",
+        "case when id % 10 = 0 then id else 7 end as user_id", "'click' as event_type", "double(id % 60) as value")
+    out = attribute_events(rows)
+    plan = _executed(out)
+    assert "hashpartitioning(__nk_user_id" in plan and "__nk___chunk" in plan
+    dealt = rows.withColumn("m", minute_chunk()).where("user_id = 7").repartition(8, "user_id", "m")
+    assert dealt.select(F.spark_partition_id()).distinct().count() >= 6
+    assert out.count() == 6000
 
 
 def test_latest_version_limits_map_side(spark):
