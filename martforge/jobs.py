@@ -1,108 +1,291 @@
-"""Batch job: build the extracts and the marts, write one Parquet table each.
+"""Batch job: all extracts and marts, one Parquet table each, in a new run folder.
 
-    python -m martforge.jobs --sf-dir /root/testdata/sf0.1 --out <shared folder>
+    python -m martforge.jobs --catalog sources.json --out <shared folder> [--previous <folder of the last run>]
+    python -m martforge.jobs --sf-dir <driver tables> --out <shared folder>
 
-* extracts are written under ``<out>/raw/<name>`` (one table per dataset);
-  with ``--previous`` an extract that cannot be built falls back to the last
-  written snapshot (the source job's "keep the old value" rule),
-* marts are written under ``<out>/marts/<name>``; the attributed page views
-  are partitioned by visit date,
-* marts that feed other marts (the contact mart) are read back from their
-  written table, so the dependants start from storage, not from lineage.
+* Extracts are written under ``<out>/<run>/raw/<name>``.  An extract whose source table is missing (and only that)
+  takes the previous run's table, if ``--previous`` names one; the report says so.  Any other error ends the run.
+* Marts are written under ``<out>/<run>/marts/<name>`` from the written extracts and marts, never from a plan that
+  reads the sources again.  The attributed page views are partitioned by date.
+* A run writes to its own folder, so no table is overwritten while it is read.
 
-``out`` must be a shared location (the cluster's storage), never a
-machine-local temporary folder.
+``out`` must be a shared location (the cluster's storage).
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
+import json
+import logging
 import os
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from martforge.functions.agents import parse_agents
+from martforge.operators.aggregates import date_spine, days_per_week
+from martforge.operators.setops import union_distinct
+from martforge.plans import activity_marts, contact_marts, crm_extracts, crm_marts, extracts, spend, web_marts, workspace
+from martforge.sources.catalog import AdapterCatalog, SourceMissing, TableCatalog
 from martforge.sources.io import write_snapshot
 
+log = logging.getLogger(__name__)
+Source = Callable[[str], DataFrame]
 
-def _extracts() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from martforge.plans import spend, workspace
-    return {
-        "marketing_spend": spend.marketing_spend_q,
-        "meeting_bookings": workspace.meeting_bookings_q,
-        "contracts": workspace.contracts_q,
-        "teams": workspace.teams_q,
-        "spaces": workspace.spaces_q,
-    }
 
+@dataclass(frozen=True)
+class JobParams:
+    """What a run is told: report dates, tenant constants and gates.
 
-def write_extracts(spark: SparkSession, sf_dir: str, out: str, previous: str | None = None) -> dict[str, str]:
+    ``yesterday`` and ``year_ago`` bound the report's calendar; by default the day before ``as_of`` and the same
+    date one year earlier.
+    """
+
+    contact_rules: contact_marts.ContactRules
+    rep_owner_id: int
+    disposition_labels: dict
+    as_of: dt.datetime = dt.datetime(2024, 2, 1)
+    yesterday: dt.date | None = None
+    year_ago: dt.date | None = None
+    include_access_events: bool = False
+    portal_id: int = 0
+    excluded_type: str = "Find"
+    activity_excluded_type: str = "Partner"
+    lead_type: str = "Fill"
+    second_pipeline: str = "other"
+    excluded_accounts: tuple[int, ...] = ()
+    conversion_types: tuple[str, ...] = ()
+    deal_rules: crm_marts.DealRules = crm_marts.DealRules()
+    web_rules: web_marts.WebRules = web_marts.WebRules()
+    spend_rules: spend.SpendRules = field(default_factory=lambda: spend.SpendRules())
+
+    def report_dates(self) -> tuple[dt.date, dt.date]:
+        last = self.yesterday or (self.as_of - dt.timedelta(days=1)).date()
+        first = self.year_ago or (last.replace(year=last.year - 1) if (last.month, last.day) != (2, 29)
+                                  else last.replace(year=last.year - 1, day=28))
+        return first, last
+
+
+def adapter_params() -> JobParams:
+    """Parameters that fit the sources derived from the driver tables."""
+    from martforge.sources import ad_adapters, crm_adapters, extract_adapters
+    labels = dict(crm_adapters.DISPOSITION_LABELS)
+    return JobParams(contact_rules=contact_marts.adapted_rules(), rep_owner_id=crm_adapters.REP_OWNER_ID,
+                     disposition_labels=labels, include_access_events=True, portal_id=extract_adapters.PORTAL_ID,
+                     excluded_accounts=(ad_adapters.EXCLUDED_ACCOUNT,), conversion_types=ad_adapters.FB_CONVERSION_TYPES,
+                     web_rules=web_marts.ADAPTED_RULES, spend_rules=spend.ADAPTED_RULES)
+
+
+def params_from(given: dict) -> JobParams:
+    """Parameters from a dictionary (a JSON file's ``params``); rule groups are dictionaries of their own fields."""
+    kinds = {"contact_rules": contact_marts.ContactRules, "deal_rules": crm_marts.DealRules,
+             "web_rules": web_marts.WebRules, "spend_rules": spend.SpendRules}
+    parse = {"as_of": dt.datetime.fromisoformat, "yesterday": dt.date.fromisoformat, "year_ago": dt.date.fromisoformat}
+
+    def fixed(x):  # JSON has lists where the rules have tuples
+        return tuple(fixed(y) for y in x) if isinstance(x, list) else x
+
+    def value(k, v):
+        if k in kinds:
+            return kinds[k](**{f: parse[f](x) if f in parse else fixed(x) for f, x in v.items()})
+        return parse[k](v) if k in parse else fixed(v)
+
+    return JobParams(**{k: value(k, v) for k, v in given.items()})
+
+
+def _second_rules(p: JobParams) -> crm_marts.DealRules:
+    from dataclasses import replace
+    return replace(p.deal_rules, pipeline_id=p.second_pipeline)
+
+
+#: Every extract of the source job, by name; ``s`` gives a source table, ``p`` the parameters.
+EXTRACTS: dict[str, Callable[[Source, JobParams], DataFrame]] = {
+    "contacts": lambda s, p: contact_marts.list_contacts(s("mkt.contact_list_member"), s("mkt.contact"), p.contact_rules),
+    "lifecycle_history": lambda s, p: extracts.lifecycle_history(s("mkt.contact_history")),
+    "deals_with_owner": lambda s, p: extracts.deals_with_owner(s("mkt.deal"), s("mkt.owner")),
+    "marketing_deal_history": lambda s, p: crm_marts.marketing_deal_history(
+        s("mkt.deal_property_history"), s("mkt.pipeline_stage_labels"), p.deal_rules),
+    "review_history": lambda s, p: activity_marts.review_history(s("mkt.contact_property_history")),
+    "deal_contact_links": lambda s, p: crm_extracts.link_table(s("mkt.deal_contact"), ["deal_id", "contact_id"]),
+    "deal_company_links": lambda s, p: crm_extracts.link_table(s("mkt.deal_company"), ["deal_id", "company_id"]),
+    "companies": lambda s, p: s("mkt.company"),
+    "stage_probabilities": lambda s, p: extracts.stage_probabilities(s("mkt.pipeline_stage"), s("mkt.pipeline")),
+    "contact_engagements": lambda s, p: contact_marts.contact_engagements(s("mkt.engagement_contact"), s("mkt.engagement")),
+    "phone_call_log": lambda s, p: contact_marts.phone_call_log(s("mkt.engagement_call"), s("mkt.engagement_contact"),
+                                                                s("mkt.engagement")),
+    "email_log": lambda s, p: contact_marts.email_log(s("mkt.engagement_email"), s("mkt.engagement_contact"),
+                                                      s("mkt.engagement")),
+    "tours_and_calls": lambda s, p: contact_marts.tours_and_calls(
+        s("mkt.engagement_meeting"), s("mkt.engagement_contact"), s("mkt.contact"), s("mkt.engagement"), p.contact_rules),
+    "pipeline_moves": lambda s, p: extracts.pipeline_moves(
+        s("mkt.deal_pipeline_history"), (p.deal_rules.pipeline_id, p.second_pipeline)),
+    "second_pipeline_history": lambda s, p: crm_marts.marketing_deal_history(
+        s("mkt.deal_property_history"), s("mkt.pipeline_stage_labels"), _second_rules(p)),
+    "form_hits": lambda s, p: extracts.form_hits(s("web.hits")),
+    "marketing_spend": lambda s, p: spend.marketing_spend(
+        s("ads.linkedin_analytics"), s("ads.linkedin_campaigns"), s("ads.linkedin_groups"), s("ads.bing_report"),
+        s("ads.bing_campaigns"), s("ads.facebook_ads"), s("ads.facebook_actions"), s("ads.search_main"),
+        s("ads.search_uk"), p.excluded_accounts, p.conversion_types),
+    "rep_engagements": lambda s, p: activity_marts.rep_engagements(
+        s("mkt.engagement"), s("mkt.engagement_contact"), s("mkt.engagement_call"), s("mkt.engagement_meeting"),
+        s("mkt.engagement_email"), p.rep_owner_id),
+    "rep_tasks": lambda s, p: activity_marts.rep_tasks(s("mkt.engagement"), s("mkt.engagement_contact"),
+                                                       s("mkt.engagement_task"), p.rep_owner_id),
+    "meeting_bookings": lambda s, p: workspace.meeting_bookings(
+        s("ws.bookings"), s("ws.resources"), s("ws.businesses"), s("ws.coworkers"), s("ws.teams"),
+        s("ws.extra_services"), s("ws.members")),
+    "spaces": lambda s, p: workspace.spaces(s("ws.desk_offices")),
+    "contracts": lambda s, p: workspace.contracts(s("ws.contracts"), s("ws.coworkers"), s("ws.invoices"),
+                                                  s("ws.tariffs"), s("ws.teams")),
+    "teams": lambda s, p: workspace.teams(s("ws.teams"), s("ws.businesses")),
+    "space_assignments": lambda s, p: workspace.spaces(s("ws.desk_offices")),
+    "access_events": lambda s, p: extracts.access_events(s("access.events"), s("access.links"), s("access.people"),
+                                                         s("access.addresses")),
+    "deleted_deals": lambda s, p: extracts.deleted_deals(s("mkt.deal_deletion"), s("mkt.deal_deletion_before_webhook"),
+                                                         p.portal_id),
+    "crm_opportunities": lambda s, p: crm_extracts.crm_opportunities(
+        s("crm.opportunities"), s("crm.record_types"), s("crm.accounts"), s("crm.landlord_companies"),
+        s("crm.account_contacts"), s("crm.contacts"), s("crm.users"), s("crm.user_roles"), s("crm.buildings"),
+        p.excluded_type),
+    "crm_deal_history": lambda s, p: crm_marts.crm_deal_history(s("crm.opportunity_history"), s("crm.opportunities"),
+                                                                s("crm.record_types"), p.deal_rules),
+    "crm_leads": lambda s, p: extracts.crm_leads(s("crm.leads"), s("crm.lead_record_types"), s("crm.activity_users"),
+                                                 p.lead_type),
+    "crm_activity": lambda s, p: extracts.crm_activity(s("crm.tasks"), s("crm.calendar_events"), s("crm.activity_users"),
+                                                       s("crm.opportunities"), s("crm.record_types"),
+                                                       p.activity_excluded_type),
+    "opportunity_roles": lambda s, p: crm_extracts.opportunity_roles(
+        s("crm.contact_roles"), s("crm.opportunities"), s("crm.record_types"), s("crm.contacts"),
+        s("crm.landlord_companies"), p.excluded_type),
+    "tours": lambda s, p: extracts.tours(s("crm.awareness_tours"), s("crm.events"), s("crm.buildings"), s("crm.contacts"),
+                                         s("crm.opportunities")),
+    "building_records": lambda s, p: s("crm.building_records").distinct(),
+    "chatter_posts": lambda s, p: extracts.chatter_posts(s("crm.feed"), s("crm.opportunities"), s("crm.record_types"),
+                                                         p.deal_rules.record_types),
+    "internal_ips": lambda s, p: s("web.internal_ips"),
+    "page_views": lambda s, p: s("web.pages"),
+    "ad_clicks": lambda s, p: s("web.ad_clicks"),
+    "tracked_forms": lambda s, p: union_distinct([s("web.forms_viewed"), s("web.forms_submitted")]),
+    "synced_deals": lambda s, p: crm_marts.synced_deals(s("mkt.imported_deal")),
+    "report_weeks": lambda s, p: days_per_week(date_spine(s.spark.range(1), *map(F.lit, p.report_dates()))),
+}
+#: Lookups that are no extracts of their own, but that marts read.
+DIMENSIONS = ("dim.ip_org", "dim.locations")
+
+
+def _sales_contacts(t: Source, p: JobParams) -> DataFrame:
+    tours = t("tours_and_calls")
+    return contact_marts.contact_mart(
+        t("contacts"), t("companies"), contact_marts.scheduled_by_email(tours, "Call"),
+        contact_marts.scheduled_by_email(tours, "Tour"), contact_marts.emails_by_contact(t("email_log")),
+        contact_marts.calls_by_contact(t("phone_call_log"), p.contact_rules), p.contact_rules)
+
+
+def _summary(t: Source, p: JobParams) -> DataFrame:
+    return activity_marts.activity_summary(
+        activity_marts.task_durations(t("rep_tasks")), t("review_history"),
+        activity_marts.recode_engagements(t("rep_engagements"), p.disposition_labels), t("contact_mart"), t("dim.locations"))
+
+
+#: Marts in dependency order; ``t`` gives a written extract or mart.
+MARTS: dict[str, Callable[[Source, JobParams], DataFrame]] = {
+    "attributed_pageviews": lambda t, p: web_marts.attributed_pageviews(
+        t.spark, t("page_views"), t("internal_ips"), t("dim.ip_org"), parse_agents(t("page_views")), t("ad_clicks"),
+        p.web_rules),
+    "daily_visitors": lambda t, p: web_marts.daily_visitors(t("attributed_pageviews"), p.web_rules),
+    "form_conversions": lambda t, p: web_marts.form_conversions(t("daily_visitors"), t("tracked_forms")),
+    "marketing_spend_allocated": lambda t, p: spend.allocate_spend(t("marketing_spend"), p.spend_rules),
+    "deal_stage_history": lambda t, p: crm_marts.deal_stage_history(
+        t("marketing_deal_history"), t("synced_deals"), t("crm_deal_history"), p.deal_rules),
+    "deal_mart": lambda t, p: crm_marts.deal_mart(
+        t("crm_opportunities"), t("deal_stage_history"), crm_marts.deal_amounts(t("deals_with_owner"), t("synced_deals")),
+        crm_marts.broker_deals(t("opportunity_roles")), crm_marts.deal_contacts(t("opportunity_roles")), p.deal_rules),
+    "geo_hierarchy": lambda t, p: activity_marts.geo_hierarchy(t("building_records")),
+    "contact_mart": _sales_contacts,
+    "activity_summary": _summary,
+    "activity_detail": lambda t, p: activity_marts.activity_detail(
+        activity_marts.recode_engagements(t("rep_engagements"), p.disposition_labels), t("contact_mart"),
+        t("dim.locations")),
+}
+PARTITIONED = {"attributed_pageviews": ["seg_date"]}
+
+
+class Written:
+    """Tables that a run has written, read from storage; dimensions come from the sources."""
+
+    def __init__(self, spark: SparkSession, source: Source, paths: dict[str, str]):
+        self.spark, self.source, self.paths = spark, source, paths
+
+    def __call__(self, name: str) -> DataFrame:
+        if name in DIMENSIONS:
+            return self.source(name)
+        df = self.spark.read.parquet(self.paths[name])
+        return df.withColumn("seg_date", F.to_date("seg_date")) if name in PARTITIONED else df
+
+
+def write_extracts(spark: SparkSession, source: Source, out: str, params: JobParams,
+                   previous: str | None = None) -> dict[str, str]:
+    """Write all extracts; name -> path.  A missing source takes the previous run's table."""
     written = {}
-    for name, fn in _extracts().items():
+    for name, build in EXTRACTS.items():
+        if name == "access_events" and not params.include_access_events:
+            continue
         try:
-            df = fn(spark, sf_dir)
-        except Exception:
+            df = build(source, params)
+        except SourceMissing as missing:
             if not previous:
                 raise
-            df = spark.read.parquet(os.path.join(previous, "raw", name))
+            old = os.path.join(previous, "raw", name)
+            log.warning("extract %s: source %s is missing, taking %s", name, missing, old)
+            df = spark.read.parquet(old)
         written[name] = write_snapshot(df, os.path.join(out, "raw"), name)
     return written
 
 
-def write_marts(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
-    from martforge.plans import activity_marts, contact_marts, crm_marts, spend, web_marts
-    marts_dir = os.path.join(out, "marts")
-    written = {}
+def write_marts(spark: SparkSession, source: Source, out: str, params: JobParams, raw: dict[str, str]) -> dict[str, str]:
+    """Write all marts from written tables; name -> path."""
+    paths = dict(raw)
+    tables = Written(spark, source, paths)
+    for name, build in MARTS.items():
+        paths[name] = write_snapshot(build(tables, params), os.path.join(out, "marts"), name, PARTITIONED.get(name))
+    return {name: paths[name] for name in MARTS}
 
-    src = web_marts.adapted_sources(spark, sf_dir)
-    pv = web_marts.attributed_pageviews(spark, src.pages, src.internal_ips, src.ip_org, src.ua_dim, src.clicks,
-                                        web_marts.ADAPTED_RULES)
-    written["attributed_pageviews"] = write_snapshot(pv, marts_dir, "attributed_pageviews", ["seg_date"])
-    pv = spark.read.parquet(written["attributed_pageviews"])
-    dau = web_marts.daily_visitors(pv, web_marts.ADAPTED_RULES)
-    written["daily_visitors"] = write_snapshot(dau, marts_dir, "daily_visitors")
-    dau = spark.read.parquet(written["daily_visitors"])
-    conv = web_marts.form_conversions(dau, web_marts.tracked_forms(src.forms_viewed, src.forms_submitted))
-    written["form_conversions"] = write_snapshot(conv, marts_dir, "form_conversions")
-
-    written["marketing_spend_allocated"] = write_snapshot(spend.marketing_spend_allocated_q(spark, sf_dir), marts_dir,
-                                                          "marketing_spend_allocated")
-    written["deal_stage_history"] = write_snapshot(crm_marts.deal_stage_history_q(spark, sf_dir), marts_dir,
-                                                   "deal_stage_history")
-    written["deal_mart"] = write_snapshot(crm_marts.deal_mart_q(spark, sf_dir), marts_dir, "deal_mart")
-    written["geo_hierarchy"] = write_snapshot(activity_marts.geo_hierarchy_q(spark, sf_dir), marts_dir,
-                                              "geo_hierarchy")
-
-    written["contact_mart"] = write_snapshot(contact_marts.contact_mart_q(spark, sf_dir), marts_dir, "contact_mart")
-    contacts = spark.read.parquet(written["contact_mart"])
-    from martforge.sources import crm_adapters as A
-    _, engagements, tasks = activity_marts._rep_inputs(spark, sf_dir)
-    locations = A.location_map(spark, sf_dir)
-    summary = activity_marts.activity_summary(
-        tasks, activity_marts.review_history(A.contact_property_history(spark, sf_dir)), engagements, contacts,
-        locations)
-    written["activity_summary"] = write_snapshot(summary, marts_dir, "activity_summary")
-    written["activity_detail"] = write_snapshot(activity_marts.activity_detail(engagements, contacts, locations),
-                                                marts_dir, "activity_detail")
-    return written
+
+def run(spark: SparkSession, source: Source, out: str, params: JobParams, previous: str | None = None,
+        run_id: str | None = None) -> dict[str, str]:
+    """One run in a new folder below ``out``; name -> path of everything written."""
+    folder = os.path.join(out, run_id or dt.datetime.now(dt.timezone.utc).strftime("run-%Y%m%dT%H%M%S"))
+    if previous and os.path.normpath(previous) == os.path.normpath(folder):
+        raise ValueError("a run must not write to the folder it falls back on")
+    raw = write_extracts(spark, source, folder, params, previous)
+    return raw | write_marts(spark, source, folder, params, raw)
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--sf-dir", help="driver tables")
+    ap.add_argument("--catalog", help='JSON file: {"sources": {name: place}, "params": {...}}')
     ap.add_argument("--out", required=True, help="shared output folder")
-    ap.add_argument("--previous", default=None, help="folder of the previous run (fallback for extracts)")
-    ap.add_argument("--master", default=None)
+    ap.add_argument("--previous", help="folder of the previous run")
+    ap.add_argument("--master")
     args = ap.parse_args(argv)
+    if bool(args.sf_dir) == bool(args.catalog):
+        ap.error("give either --sf-dir or --catalog")
     if args.master:
         from martforge.session import get_session
         spark = get_session(master=args.master)
     else:
         spark = SparkSession.builder.getOrCreate()
-        from martforge.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-    write_extracts(spark, args.sf_dir, args.out, args.previous)
-    for name, path in write_marts(spark, args.sf_dir, args.out).items():
+    if args.catalog:
+        text = "".join(r[0] + "\n" for r in spark.read.text(args.catalog).toLocalIterator())
+        given = json.loads(text)
+        source, params = TableCatalog(spark, given["sources"]), params_from(given["params"])
+    else:
+        source, params = AdapterCatalog(spark, args.sf_dir), adapter_params()
+    for name, path in run(spark, source, args.out, params, args.previous).items():
         print(f"{name}\t{path}")
 
 

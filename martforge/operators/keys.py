@@ -54,7 +54,3 @@ def with_surrogates(df: DataFrame, keys: list[str]) -> DataFrame:
         new[PREFIX + k] = F.coalesce(F.col(k), _default_for(types[k]))
         new[NULL_PREFIX + k] = F.col(k).isNull()
     return df.withColumns(new) if new else df
-
-
-def drop_surrogates(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(PREFIX) or c.startswith(NULL_PREFIX)])

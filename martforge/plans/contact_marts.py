@@ -25,17 +25,18 @@ from martforge.functions.urls import strip_query
 from martforge.operators.aggregates import min_if
 from martforge.operators.joins import null_safe_join
 from martforge.operators.reshape import pivot
+from martforge.plans.acquisition import acquisition_source
 
 
 @dataclass(frozen=True)
 class ContactRules:
-    contact_list_id: int = 30
+    contact_list_id: int
+    broker_team_id: str
     tour_titles: str = r"excited for your tour|learn more about the space|tour of the space"
     tour_class: str = r"excited for your tour|tour of the space"
     test_name: str = "TEST"
     company_drop: str = r"ownco"
     stages_drop: tuple[str, ...] = ("subscriber", "other")
-    broker_team_id: str = "287864"
     aggregator: str = "3rd Party Aggregator"
     own_home: str = r"own\.example/$"
     own_site: str = r"own\.example"
@@ -46,7 +47,7 @@ class ContactRules:
 
 # ---------------------------------------------------------------- extracts
 
-def list_contacts(members: DataFrame, contacts: DataFrame, rules: ContactRules = ContactRules()) -> DataFrame:
+def list_contacts(members: DataFrame, contacts: DataFrame, rules: ContactRules) -> DataFrame:
     m = members.where((F.col("contact_list_id") == rules.contact_list_id) & (F.col("_fivetran_deleted") == F.lit(False)))
     return m.select("contact_id").join(contacts, F.col("contact_id") == contacts["id"]).drop("contact_id")
 
@@ -68,7 +69,7 @@ def email_log(emails: DataFrame, eng_contact: DataFrame, engagement: DataFrame)
 
 
 def tours_and_calls(meetings: DataFrame, eng_contact: DataFrame, contacts: DataFrame, engagement: DataFrame,
-                    rules: ContactRules = ContactRules()) -> DataFrame:
+                    rules: ContactRules) -> DataFrame:
     title = F.lower(F.col("title"))
     m = meetings.where(matches(title, rules.tour_titles, False))
     j = (m.join(eng_contact, "engagement_id").join(contacts, F.col("contact_id") == contacts["id"])
@@ -103,7 +104,7 @@ def emails_by_contact(emails: DataFrame) -> DataFrame:
         "contact_id", "id")
 
 
-def calls_by_contact(calls: DataFrame, rules: ContactRules = ContactRules()) -> DataFrame:
+def calls_by_contact(calls: DataFrame, rules: ContactRules) -> DataFrame:
     """First call (strict) and first connected call (NULL when there is none)."""
     c = calls.withColumn("disposition", code_map("disposition", dict(rules.disposition_labels),
                                                  default="Not Specified"))
@@ -115,30 +116,18 @@ def calls_by_contact(calls: DataFrame, rules: ContactRules = ContactRules()) ->
 # ---------------------------------------------------------------- the mart
 
 def _acquisition_source(rules: ContactRules):
-    dc = F.col("digital_channel")
-    d1, d2, src = (F.col("property_hs_analytics_source_data_1"), F.col("property_hs_analytics_source_data_2"),
-                   F.col("property_hs_analytics_source"))
-    direct, paid, other = eq_or_false(dc, "Direct"), eq_or_false(dc, "Paid"), eq_or_false(dc, "Other")
-    return ladder([
-        (paid & matches(d2, "lead.gen", False), paste("Off-platform(", d1, ")")),
-        (direct & matches(d1, rules.own_home), "Direct(homepage)"),
-        (direct & matches(d1, "blog"), "Direct(blog)"),
-        (direct & matches(d1, rules.own_site), "Direct(website)"),
-        (direct & matches(d1, rules.meeting_host), "Direct(meeting link)"),
-        (direct, "Direct(other)"),
-        (eq_or_false(dc, "Organic"), F.lower(d2)),
-        (other & eq_or_false(src, "SOCIAL_MEDIA"), paste("Social(", F.lower(d1), ")")),
-        (paid & matches(d1, "facebook"), "Paid Social(Facebook)"),
-        (paid & matches(d1, "linkedin"), "Paid Social(LinkedIn)"),
-        (paid & matches(d1, "auto-tagged"), "Paid Search(Google)"),
-        (paid & matches("property_hs_analytics_first_referrer", "google|adwords"), "Paid Search(Google)"),
-        (other, F.lower(src)),
-        (eq_or_false(dc, "N/A"), F.lower(F.col("property_offline_source_drill_down_1"))),
-    ], default="Other")
+    channel, src = F.col("digital_channel"), F.col("property_hs_analytics_source")
+    d1, d2 = F.col("property_hs_analytics_source_data_1"), F.col("property_hs_analytics_source_data_2")
+    other = eq_or_false(channel, "Other")
+    return acquisition_source(
+        d1, d2, d2, rules, social=[(other & eq_or_false(src, "SOCIAL_MEDIA"), paste("Social(", F.lower(d1), ")"))],
+        last_paid=[(matches("property_hs_analytics_first_referrer", "google|adwords"), "Paid Search(Google)")],
+        last=[(other, F.lower(src)),
+              (eq_or_false(channel, "N/A"), F.lower(F.col("property_offline_source_drill_down_1")))])
 
 
 def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFrame, tours_sched: DataFrame,
-                 emails: DataFrame, calls: DataFrame, rules: ContactRules = ContactRules()) -> DataFrame:
+                 emails: DataFrame, calls: DataFrame, rules: ContactRules) -> DataFrame:
     df = contacts.withColumn("create_date", F.to_date("property_createdate"))
     df = df.where(not_matches("property_lastname", rules.test_name) & not_matches("property_firstname", rules.test_name)
                   & not_matches("property_company", rules.company_drop)
@@ -205,6 +194,13 @@ def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFra
 
 # ---------------------------------------------------------------- adapted runs on the driver tables
 
+def adapted_rules() -> ContactRules:
+    """Rules that fit the contacts derived from the driver tables."""
+    from martforge.sources import crm_adapters as A
+    return ContactRules(contact_list_id=A.CONTACT_LIST_ID, broker_team_id=A.BROKER_TEAM_ID,
+                        disposition_labels=tuple(A.DISPOSITION_LABELS.items()))
+
+
 ENGAGEMENT_TYPES = ["CALL", "EMAIL", "INCOMING_EMAIL", "MEETING", "TASK"]
 
 
@@ -226,12 +222,12 @@ def phone_call_log_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tours_and_calls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.sources import crm_adapters as A
     return tours_and_calls(A.engagement_meeting(spark, sf_dir), A.engagement_contact(spark, sf_dir),
-                           A.contact(spark, sf_dir), A.engagement(spark, sf_dir))
+                           A.contact(spark, sf_dir), A.engagement(spark, sf_dir), adapted_rules())
 
 
 def contact_mart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martforge.sources import crm_adapters as A
-    rules = ContactRules(disposition_labels=tuple(A.DISPOSITION_LABELS.items()))
+    rules = adapted_rules()
     eng, ec = A.engagement(spark, sf_dir), A.engagement_contact(spark, sf_dir)
     contacts_all = A.contact(spark, sf_dir)
     tours = tours_and_calls(A.engagement_meeting(spark, sf_dir), ec, contacts_all, eng, rules)

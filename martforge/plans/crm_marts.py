@@ -29,6 +29,7 @@ from martforge.operators.aggregates import string_agg_distinct
 from martforge.operators.history import change_points, latest_version, top_row
 from martforge.operators.joins import null_safe_join
 from martforge.operators.setops import union_tagged
+from martforge.plans.acquisition import acquisition_source
 
 # Stage roll-up rules (detail -> main stage), in rule order.
 STAGE_RENAMES = [("Cold/Dead", "Closed Lost"), ("Contract Negotiation", "Negotiation/Proposal"),
@@ -48,6 +49,7 @@ class DealRules:
     meeting_host: str = r"meetings\.example"
     aggregator: str = "3rd Party Aggregator"
     products: tuple[str, str] = ("Suite", "Desk")     # (multi-seat product, single-seat product)
+    source_tags: tuple[str, str] = ("MKT", "SALES")   # (marketing CRM, sales CRM) in the stage history
 
 
 # ---------------------------------------------------------------- extracts
@@ -82,12 +84,13 @@ def stage_rollup(detail: str = "pipeline_stage_detail"):
     return ladder([(d == a, b) for a, b in STAGE_RENAMES] + [((d, MAIN_STAGES, False), d)], default="Upper Funnel")
 
 
-def deal_stage_history(hs_history: DataFrame, synced: DataFrame, crm_history: DataFrame) -> DataFrame:
+def deal_stage_history(hs_history: DataFrame, synced: DataFrame, crm_history: DataFrame,
+                       rules: DealRules = DealRules()) -> DataFrame:
     hs = hs_history.join(synced, hs_history["deal_id"].eqNullSafe(synced["hubspot_opportunity_id"])).select(
         F.col("salesforce_opportunity_id").alias("opportunity_id"), F.col("date_created").alias("created_date"),
         F.col("pipeline_stage").alias("pipeline_stage_detail"))
     crm = crm_history.select("opportunity_id", "created_date", F.col("stage_name").alias("pipeline_stage_detail"))
-    both = union_tagged([("MKT", hs), ("SALES", crm)], "source")
+    both = union_tagged(list(zip(rules.source_tags, (hs, crm))), "source")
     # order ties of the source are undefined: tiebreak by source, then detail
     cp = change_points(both, ["opportunity_id"], ["created_date", "source", "pipeline_stage_detail"],
                        "pipeline_stage_detail", default="1", chunk=minute_trunc("created_date"))
@@ -112,22 +115,9 @@ def deal_contacts(roles: DataFrame) -> DataFrame:
 
 
 def _acquisition_source(rules: DealRules):
-    dc, ds1, ds2, ds3 = F.col("digital_channel"), F.col("data_source_1_c"), F.col("data_source_2_c"), F.col(
-        "data_source_3_c")
-    direct, paid = eq_or_false(dc, "Direct"), eq_or_false(dc, "Paid")
-    return ladder([
-        (paid & matches(ds3, "lead.gen", False), paste("Off-platform(", ds2, ")")),
-        (direct & matches(ds2, rules.own_home), "Direct(homepage)"),
-        (direct & matches(ds2, "blog"), "Direct(blog)"),
-        (direct & matches(ds2, rules.own_site), "Direct(website)"),
-        (direct & matches(ds2, rules.meeting_host), "Direct(meeting link)"),
-        (direct, "Direct(other)"),
-        (eq_or_false(dc, "Organic"), F.lower(ds2)),
-        (paid & matches(ds2, "facebook"), "Paid Social(Facebook)"),
-        (paid & matches(ds2, "linkedin"), "Paid Social(LinkedIn)"),
-        (paid & matches(ds2, "auto-tagged"), "Paid Search(Google)"),
-        (paid & eq_or_false(ds1, "PAID_SEARCH"), "Paid Search(Google*)"),
-    ], default="Other")
+    ds1, ds2, ds3 = F.col("data_source_1_c"), F.col("data_source_2_c"), F.col("data_source_3_c")
+    return acquisition_source(ds2, ds3, ds2, rules,
+                              last_paid=[(eq_or_false(ds1, "PAID_SEARCH"), "Paid Search(Google*)")])
 
 
 DEAL_COLUMNS = ["deal_id", "deal_name", "create_date", "create_week", "create_month", "create_quarter", "create_wday",

@@ -20,7 +20,29 @@ _RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _ALL = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 _VD = "PARTITION BY anonymous_id, seg_date ORDER BY original_timestamp, id"
 
-WEB_SOURCES = rf"""
+#: The agents of the adapted page views and their parse, by hand.
+_AGENTS = """
+agents(slot, agent, ua_family, device_family, device_brand, device_model, os_family, os_major) AS (VALUES
+ (0, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/119.0.0.0 Safari/537.36',
+  'Chrome', 'Other', NULL, NULL, 'Windows', '10'),
+ (1, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/119.0.0.0 Safari/537.36 Edg/119.0',
+  'Edge', 'Other', NULL, NULL, 'Windows', '10'),
+ (2, 'Mozilla/5.0 (Macintosh; Intel Mac OS X 13_4) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.5 Safari/605.1.15',
+  'Safari', 'Mac', 'Apple', 'Mac', 'Mac OS X', '13'),
+ (3, 'Mozilla/5.0 (iPhone; CPU iPhone OS 16_5 like Mac OS X) AppleWebKit/605.1.15 Version/16.5 Mobile/15E148 Safari/604.1',
+  'Mobile Safari', 'iPhone', 'Apple', 'iPhone', 'iOS', '16'),
+ (4, 'Mozilla/5.0 (Linux; Android 13; SM-S911B) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/118.0.0.0 Mobile Safari/537.36',
+  'Chrome Mobile', 'Samsung', 'Samsung', 'SM-S911B', 'Android', '13'),
+ (5, 'Mozilla/5.0 (Linux; Android 14; Pixel 8 Pro) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/118.0.0.0 Mobile Safari/537.36',
+  'Chrome Mobile', 'Pixel', 'Google', 'Pixel 8 Pro', 'Android', '14'),
+ (6, 'Mozilla/5.0 (X11; Linux x86_64; rv:120.0) Gecko/20100101 Firefox/120.0', 'Firefox', 'Other', NULL, NULL, 'Linux', NULL),
+ (7, 'curl/8.4.0', 'Other', 'Other', NULL, NULL, 'Other', NULL),
+ (8, 'Mozilla/5.0 (compatible; ExampleBot/2.1; +https://bot.example/about)', 'ExampleBot', 'Spider', NULL, NULL, 'Other', NULL),
+ (9, 'Mozilla/5.0 (iPhone; CPU iPhone OS 15_2 like Mac OS X) Ads-Overview/7.1', 'Other', 'iPhone', 'Apple', 'iPhone', 'iOS',
+  '15')),
+"""
+
+WEB_SOURCES = _AGENTS + rf"""
 n AS (SELECT max(page_id) + 1 AS n FROM pages),
 pv AS (
   SELECT CAST(e.event_id AS VARCHAR) AS id, e.ts AS original_timestamp,
@@ -42,20 +64,15 @@ pv AS (
          CASE WHEN e.event_type = 'error' THEN '404 Not Found'
               ELSE upper(substr(e.event_type, 1, 1)) || lower(substr(e.event_type, 2)) END AS title,
          CAST(e.user_id AS VARCHAR) AS anonymous_id,
-         CASE WHEN e.value > 200 THEN 'ExampleBot/2.1' WHEN e.user_id % 37 = 0 THEN 'Ads-Overview'
-              ELSE 'Browser/' || CAST(e.user_id % 5 AS VARCHAR) END AS context_user_agent
+         (SELECT ua.agent FROM agents ua WHERE ua.slot = CASE WHEN e.value > 200 THEN 8 WHEN e.user_id % 37 = 0 THEN 9
+                                                            ELSE e.user_id % 8 END) AS context_user_agent
   FROM events e JOIN pages p ON e.event_id % (SELECT n FROM n) = p.page_id),
 internal AS (SELECT DISTINCT '10.0.0.' || CAST(user_id % 120 AS VARCHAR) AS context_ip FROM events
              WHERE event_type = 'error' AND value > 200),
 ipo AS (SELECT i.context_ip, c.c_mktsegment AS org FROM (SELECT DISTINCT context_ip FROM pv) i
         JOIN customer c ON CAST(split_part(i.context_ip, '.', 4) AS BIGINT) = c.c_custkey),
-ua AS (SELECT userAgent,
-              CASE WHEN contains(userAgent, 'Bot') THEN 'ExampleBot' ELSE regexp_extract(userAgent, '^([^/]+)', 1)
-              END AS ua_family,
-              CASE WHEN contains(userAgent, 'Bot') THEN 'Spider' ELSE 'Other' END AS device_family,
-              CAST(NULL AS VARCHAR) AS device_brand, CAST(NULL AS VARCHAR) AS device_model,
-              'Other' AS os_family, regexp_extract(userAgent, '/([0-9]+)', 1) AS os_major
-       FROM (SELECT DISTINCT context_user_agent AS userAgent FROM pv)),
+ua AS (SELECT agent AS userAgent, ua_family, device_family, device_brand, device_model, os_family, os_major FROM agents
+       WHERE agent IN (SELECT context_user_agent FROM pv)),
 click_ids AS (SELECT DISTINCT 'G' || CAST(event_id % 7 AS VARCHAR) AS gcl_id FROM events
               WHERE event_type = 'click' AND value > 100),
 clicks AS (SELECT gcl_id FROM click_ids UNION ALL SELECT gcl_id FROM click_ids WHERE gcl_id = 'G0'),
@@ -118,6 +135,8 @@ pve AS (SELECT id, anonymous_id, seg_date, original_timestamp, host, path, url,
                os_family, os_major FROM f6)
 """
 
+ORACLE["user_agents"] = f"WITH {WEB_SOURCES} SELECT * FROM ua"
+
 ORACLE["attributed_pageviews"] = f"WITH {WEB_SOURCES}, {PAGEVIEWS} SELECT * FROM pve"
 
 _MODE_COLS = ["campaign_medium", "campaign_source", "campaign_name", "city", "location_id", "product"]
@@ -347,7 +366,7 @@ ct AS (
          CASE WHEN c.c_acctbal > 7000 THEN 'https://adwords.example/' END AS first_ref,
          'https://own.example/lp/' || CAST(c.c_nationkey AS VARCHAR) || '?ref=x' AS first_url,
          CASE WHEN c.c_custkey % 9 = 0 THEN '3rd Party Aggregator' END AS drill,
-         CASE WHEN c.c_custkey % 11 = 0 THEN '287864' END AS team_ids,
+         CASE WHEN c.c_custkey % 11 = 0 THEN 'team-9' END AS team_ids,
          CASE WHEN c.c_acctbal > 3000 THEN c.c_acctbal END AS p_budget,
          CASE WHEN c.c_acctbal > 0 THEN c.c_acctbal / CAST(2.0 AS DOUBLE) END AS p_amount,
          CASE WHEN c.c_nationkey % 2 = 0 THEN span.last_order END AS p_start, span.first_order AS p_move_in,
@@ -408,7 +427,7 @@ f AS (SELECT lc.*, comp.property_name FROM lc LEFT JOIN comp ON lc.property_asso
 g AS (SELECT *, CAST(property_createdate AS DATE) AS create_date,
         CASE WHEN drill = '3rd Party Aggregator' OR NOT {_m('offline', 'src')} THEN 'Marketing'
              WHEN d1 = 'SALESFORCE' OR src = 'OFFLINE' THEN 'Sales'
-             WHEN {_m('broker', 'd1')} OR team_ids = '287864' THEN 'Broker'
+             WHEN {_m('broker', 'd1')} OR team_ids = 'team-9' THEN 'Broker'
              WHEN {_m('enterprise', 'd1')} THEN 'Enterprise' ELSE 'Local' END AS acquisition_channel,
         CASE WHEN src = 'DIRECT_TRAFFIC' THEN 'Direct' WHEN src = 'ORGANIC_SEARCH' THEN 'Organic'
              WHEN src IN ('PAID_SEARCH', 'PAID_SOCIAL') THEN 'Paid' WHEN drill = '3rd Party Aggregator' THEN 'Aggregator'

@@ -3,6 +3,8 @@ allocation of spend to products (own product 100 %, unspecified 40/40/20)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,22 @@ from martforge.sources.io import read_table
 
 MONEY = "decimal(28,6)"
 
-# Campaign-name patterns -> product, in rule order (first match wins).
-PRODUCT_RULES = [("ring", "Suite"), ("gear", "Room"), ("bolt", "Desk")]
-# Campaign-name patterns -> market, in rule order.
-MARKET_RULES = [("small", "North"), ("red", "South"), ("blue", "West")]
-# Share of unspecified spend per product.
-NON_SPECIFIC_SPLIT = {"Suite": 0.4, "Desk": 0.4, "Room": 0.2}
+
+@dataclass(frozen=True)
+class SpendRules:
+    """How spend is labelled and split: patterns of the campaign name in rule order (first match wins), and the
+    products' shares of spend that no rule places."""
+
+    products: tuple[tuple[str, str], ...] = ()
+    markets: tuple[tuple[str, str], ...] = ()
+    split: tuple[tuple[str, float], ...] = ()
+    unplaced: str = "Non-Specific"
+
+
+#: Rules for campaigns derived from the driver tables.
+ADAPTED_RULES = SpendRules(products=(("ring", "Suite"), ("gear", "Room"), ("bolt", "Desk")),
+                           markets=(("small", "North"), ("red", "South"), ("blue", "West")),
+                           split=(("Suite", 0.4), ("Desk", 0.4), ("Room", 0.2)))
 
 
 def _campaign_lines(spark, sf_dir) -> DataFrame:
@@ -44,23 +56,23 @@ def spend_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.toDF("source", "campaign_date", "campaign_name", "clicks", "spend")
 
 
-def allocate_spend(df: DataFrame, name_col: str = "campaign_name", date_col: str = "campaign_date",
+def allocate_spend(df: DataFrame, rules: SpendRules, name_col: str = "campaign_name", date_col: str = "campaign_date",
                    spend_col: str = "spend") -> DataFrame:
     """Numeric NULL -> 0, product / market from the campaign name, week / month,
-    and the spend split into suite / desk / room columns."""
+    and one column of spend per product of the split."""
     df = fill_by_type(df, numeric=0)
     df = df.withColumns({
-        "product": regex_ladder(name_col, PRODUCT_RULES, default="Non-Specific"),
-        "market": regex_ladder(name_col, MARKET_RULES, default="Non-Specific"),
+        "product": regex_ladder(name_col, rules.products, default=rules.unplaced),
+        "market": regex_ladder(name_col, rules.markets, default=rules.unplaced),
         "spend_week": week_start(date_col),
         "spend_month": month_start(date_col),
     })
     spend = F.col(spend_col)
     prod = F.col("product")
     split = {}
-    for product, share in NON_SPECIFIC_SPLIT.items():
+    for product, share in rules.split:
         split[product.lower()] = ladder([(prod == product, spend),
-                                 (prod == "Non-Specific", spend * F.lit(share))], default=F.lit(0.0))
+                                 (prod == rules.unplaced, spend * F.lit(share))], default=F.lit(0.0))
     return df.withColumns(split)
 
 
@@ -69,7 +81,7 @@ def spend_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = lines.select("l_orderkey", "l_linenumber", F.col("p_name").alias("campaign_name"),
                       F.to_date("l_shipdate").alias("campaign_date"),
                       F.when(F.col("l_discount") > 0, F.col("l_extendedprice")).alias("spend"))
-    out = allocate_spend(df)
+    out = allocate_spend(df, ADAPTED_RULES)
     return out.select("l_orderkey", "l_linenumber", "product", "market", "spend_week", "spend_month",
                       "spend", "suite", "desk", "room")
 
@@ -137,4 +149,4 @@ def marketing_spend_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marketing_spend_allocated_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return allocate_spend(marketing_spend_q(spark, sf_dir))
+    return allocate_spend(marketing_spend_q(spark, sf_dir), ADAPTED_RULES)

@@ -30,6 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.functions.agents import parse_agents
 from martforge.functions.dates import month_start, quarter_start, week_start, weekday_mon1
 from martforge.functions.nulls import any_matches, matches, not_matches
 from martforge.functions.rules import ladder, regex_ladder
@@ -195,7 +196,7 @@ def adapted_sources(spark: SparkSession, sf_dir: str) -> WebSources:
     from martforge.sources import adapters as A
     pages = A.tracking_pages(spark, sf_dir)
     return WebSources(pages=pages, internal_ips=A.internal_ips(spark, sf_dir), ip_org=A.ip_org(spark, sf_dir, pages),
-                      ua_dim=A.ua_dim(pages), clicks=A.click_performance(spark, sf_dir),
+                      ua_dim=parse_agents(pages), clicks=A.click_performance(spark, sf_dir),
                       forms_viewed=A.lead_forms(spark, sf_dir, "viewed"),
                       forms_submitted=A.lead_forms(spark, sf_dir, "submitted"))
 
@@ -212,3 +213,9 @@ def daily_visitors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def form_conversions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = adapted_sources(spark, sf_dir)
     return form_conversions(daily_visitors_q(spark, sf_dir), tracked_forms(src.forms_viewed, src.forms_submitted))
+
+
+def user_agents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct agents of the page views, parsed."""
+    from martforge.sources import adapters as A
+    return parse_agents(A.tracking_pages(spark, sf_dir))

@@ -17,8 +17,17 @@ from martforge.sources.io import read_table
 SEARCH_REFERRERS = ("https://www.search.example/", "https://www.search.example/search?q=a|b c",
                     "www.search.example/x", "https://my_search.example:8080/")
 PARENT_REFERRER = "https://parent.example/home"
-BOT_AGENT = "ExampleBot/2.1"
-ADS_AGENT = "Ads-Overview"
+BOT_AGENT = "Mozilla/5.0 (compatible; ExampleBot/2.1; +https://bot.example/about)"
+ADS_AGENT = "Mozilla/5.0 (iPhone; CPU iPhone OS 15_2 like Mac OS X) Ads-Overview/7.1"
+AGENTS = (
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/119.0.0.0 Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/119.0.0.0 Safari/537.36 Edg/119.0",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 13_4) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.5 Safari/605.1.15",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 16_5 like Mac OS X) AppleWebKit/605.1.15 Version/16.5 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (Linux; Android 13; SM-S911B) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/118.0.0.0 Mobile Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 14; Pixel 8 Pro) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/118.0.0.0 Mobile Safari/537.36",
+    "Mozilla/5.0 (X11; Linux x86_64; rv:120.0) Gecko/20100101 Firefox/120.0",
+    "curl/8.4.0")
 
 
 def element_of(slot, values):
@@ -61,7 +70,7 @@ def tracking_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("anonymous_id"),
         F.when(F.col("value") > 200, F.lit(BOT_AGENT))
          .when(F.pmod(F.col("user_id"), F.lit(37)) == 0, F.lit(ADS_AGENT))
-         .otherwise(F.concat(F.lit("Browser/"), F.pmod(F.col("user_id"), F.lit(5)).cast("string")))
+         .otherwise(element_of(F.pmod(F.col("user_id"), F.lit(8)), AGENTS))
          .alias("context_user_agent"))
 
 
@@ -82,20 +91,6 @@ def ip_org(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
     return ips.join(c, key == c["c_custkey"]).select("context_ip", F.col("c_mktsegment").alias("org"))
 
 
-def ua_dim(pages: DataFrame) -> DataFrame:
-    """Parsed user agents for the distinct agent strings of the tracking table."""
-    ua = pages.select(F.col("context_user_agent").alias("userAgent")).distinct()
-    bot = F.col("userAgent").contains("Bot")
-    return ua.select(
-        "userAgent",
-        F.when(bot, F.lit("ExampleBot")).otherwise(F.regexp_extract("userAgent", r"^([^/]+)", 1)).alias("ua_family"),
-        F.when(bot, F.lit("Spider")).otherwise(F.lit("Other")).alias("device_family"),
-        F.lit(None).cast("string").alias("device_brand"),
-        F.lit(None).cast("string").alias("device_model"),
-        F.lit("Other").alias("os_family"),
-        F.regexp_extract("userAgent", r"/([0-9]+)", 1).alias("os_major"))
-
-
 def click_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad click ids -> campaign; one id is listed twice (fan-out must be kept)."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value"])

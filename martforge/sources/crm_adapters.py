@@ -104,6 +104,8 @@ DISPOSITION_LABELS = {
 ENGAGEMENT_TYPE_OF_EVENT = {"click": "EMAIL", "view": "INCOMING_EMAIL", "purchase": "CALL", "signup": "MEETING",
                             "error": "TASK"}
 REP_OWNER_ID = 7
+CONTACT_LIST_ID = 30
+BROKER_TEAM_ID = "team-9"
 
 
 def engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,10 +159,10 @@ def engagement_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contact_list_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _customers(spark, sf_dir)
     base = c.select(F.col("c_custkey").alias("contact_id"),
-                    F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(31)).otherwise(F.lit(30)).alias("contact_list_id"),
+                    F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(31)).otherwise(F.lit(CONTACT_LIST_ID)).alias("contact_list_id"),
                     (F.col("c_acctbal") < -900).alias("_fivetran_deleted"))
     dup = c.where(F.col("c_acctbal") > 9900).select(F.col("c_custkey").alias("contact_id"),
-                                                    F.lit(30).alias("contact_list_id"),
+                                                    F.lit(CONTACT_LIST_ID).alias("contact_list_id"),
                                                     F.lit(False).alias("_fivetran_deleted"))
     return base.unionByName(dup)
 
@@ -202,7 +204,7 @@ def contact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://own.example/lp/"), nat.cast("string"), F.lit("?ref=x")).alias(
             "property_hs_analytics_first_url"),
         F.when(F.pmod(k, F.lit(9)) == 0, F.lit("3rd Party Aggregator")).alias("property_offline_source_drill_down_1"),
-        F.when(F.pmod(k, F.lit(11)) == 0, F.lit("287864")).alias("property_hs_all_team_ids"),
+        F.when(F.pmod(k, F.lit(11)) == 0, F.lit(BROKER_TEAM_ID)).alias("property_hs_all_team_ids"),
         F.when(bal > 3000, bal).alias("property_budget"), F.when(bal > 0, bal / F.lit(2.0)).alias("property_amount"),
         F.when(F.pmod(nat, F.lit(2)) == 0, F.col("last_order")).alias("property_start_date"),
         F.col("first_order").alias("property_move_in_date"),

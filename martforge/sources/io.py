@@ -4,8 +4,6 @@
   columns are read (``ReadSchema`` in the scan).
 * ``read_jdbc``: a warehouse table read in parallel ranges of a numeric key;
   joins happen in Spark, not in the source.
-* ``read_or_previous``: today's extract, or the last written snapshot when
-  today's extract is missing (the source job keeps old values this way).
 * ``write_snapshot``: overwrite one Parquet table per dataset.
 """
 
@@ -40,12 +38,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str] = DRIVER_TABLES) -> None:
-    for n in names:
-        if os.path.exists(table_path(sf_dir, n)):
-            read_table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
               lower: int, upper: int, num_partitions: int, properties: dict | None = None,
               fetch_size: int = 10_000) -> DataFrame:
@@ -56,17 +48,6 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
                            upperBound=upper, numPartitions=num_partitions, properties=props)
 
 
-def read_or_previous(spark: SparkSession, today_path: str, previous_path: str) -> DataFrame:
-    """Today's extract if it was written, else the previous snapshot."""
-    for p in (today_path, previous_path):
-        if os.path.exists(p) or not p.startswith("/"):
-            try:
-                return spark.read.parquet(p)
-            except Exception:  # missing path on a remote store: try the next one
-                continue
-    raise FileNotFoundError(f"neither {today_path} nor {previous_path} can be read")
-
-
 def write_snapshot(df: DataFrame, out_dir: str, name: str, partition_by: Sequence[str] | None = None) -> str:
     path = os.path.join(out_dir, name)
     w = df.write.mode("overwrite")

@@ -1,14 +1,26 @@
 """Mart-level rules on hand-made fixtures, and the batch job end to end."""
 
+import dataclasses
 import datetime as dt
 import os
-import tempfile
+import subprocess
+import sys
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from martforge.plans import activity_marts, crm_marts
+from martforge import jobs
+from martforge.functions import dates
+from martforge.functions.agents import parse_agents
+from martforge.functions.urls import url_host
+from martforge.plans import activity_marts, crm_marts, spend
+from martforge.plans.catalog import QUERIES
+from martforge.sources.catalog import AdapterCatalog, SourceMissing, TableCatalog
 from tests.conftest import rows
 
+SF = "/root/testdata/sf0.001"
+
 D = dt.datetime
 
 
@@ -53,16 +65,150 @@ def test_geo_hierarchy_sentinel(spark):
     assert len(out) == 2 and ("Not Specified",) * 8 in out
 
 
-def test_batch_job_writes_every_mart(spark):
-    from martforge import jobs
-    out = tempfile.mkdtemp(prefix="martforge-job-")
-    written = jobs.write_marts(spark, "/root/testdata/sf0.001", out)
-    assert set(written) == {"attributed_pageviews", "daily_visitors", "form_conversions", "marketing_spend_allocated",
-                            "deal_stage_history", "deal_mart", "geo_hierarchy", "contact_mart", "activity_summary",
-                            "activity_detail"}
-    for path in written.values():
-        assert os.path.isdir(path)
-    assert spark.read.parquet(written["deal_mart"]).count() > 0
-    raw = jobs.write_extracts(spark, "/root/testdata/sf0.001", out)
-    prev = jobs.write_extracts(spark, "/root/testdata/sf0.001", tempfile.mkdtemp(prefix="martforge-job2-"), previous=out)
-    assert set(raw) == set(prev)
+def test_rep_engagements_keep_calls_that_differ_in_body(spark):
+    eng = spark.createDataFrame([(1, "CALL", 7, D(2024, 1, 1)), (2, "CALL", 7, D(2024, 1, 1)), (3, "CALL", 7, D(2024, 1, 1))],
+                                "id long, type string, owner_id int, created_at timestamp_ntz")
+    links = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "engagement_id long, contact_id long")
+    calls = spark.createDataFrame([(1, "x", "first"), (2, "x", "second"), (3, "x", "second")],
+                                  "engagement_id long, disposition string, body string")
+    none = spark.createDataFrame([], "engagement_id long, title string, body string, status string, subject string, text string")
+    out = rows(activity_marts.rep_engagements(eng, links, calls, none, none, 7), "contact_id", "body")
+    assert sorted(out) == [(5, "first"), (5, "second")]
+
+
+def test_spend_below_a_cent_is_summed_exactly(spark):
+    df = spark.range(1000).selectExpr("'c' as name", "0.004D as cost")
+    assert rows(df.groupBy("name").agg(spend._money("cost").alias("cost")), "cost") == [(4.0,)]
+
+
+def test_spend_follows_the_rules_it_is_given(spark):
+    rules = spend.SpendRules(products=(("alpha", "One"),), markets=(("north", "N"),), split=(("One", 0.75), ("Two", 0.25)),
+                             unplaced="?")
+    df = spark.createDataFrame([("Alpha north", dt.date(2024, 1, 3), 10.0), ("other", dt.date(2024, 1, 3), 8.0)],
+                               "campaign_name string, campaign_date date, spend double")
+    out = rows(spend.allocate_spend(df, rules), "product", "market", "one", "two")
+    assert sorted(out) == [("?", "?", 6.0, 2.0), ("One", "N", 10.0, 0.0)]
+
+
+@pytest.mark.parametrize("url,host", [
+    ("https://www.google.com/search?q=a|b", "www.google.com"), ("https://www.google.com/a b", "www.google.com"),
+    ("www.Google.com/x", "www.google.com"), ("http://my_host:8080/y", "my_host"), ("https://u:p@site.org/z", "site.org"),
+    ("", None), (None, None), ("/only/a/path", None)])
+def test_hosts_are_cut_leniently(spark, url, host):
+    df = spark.createDataFrame([(url,)], "u string")
+    assert rows(df.select(url_host("u").alias("h"))) == [(host,)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    """On 2024-03-10 New York has no 02:00-03:00: zone-less times have."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 01:00:00' AS a, timestamp_ntz'2024-03-10 04:00:00' AS b, "
+                       "timestamp_ntz'2024-03-10 02:30:45' AS c, -1500L AS e, 9007199254740993L AS big")
+        got = rows(df.select(dates.hours_between("b", "a"), dates.minute_trunc("c").cast("string"),
+                             dates.epoch_ms_to_timestamp("e").cast("string"), dates.days_between("a", "b", 3)))
+        assert got == [(3.0, "2024-03-10 02:30:00", "1969-12-31 23:59:59", -0.125)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_null_keys_match_in_the_stage_history(spark):
+    hs = spark.createDataFrame([(None, D(2024, 1, 1), "Touring")], "deal_id long, date_created timestamp_ntz, pipeline_stage string")
+    synced = spark.createDataFrame([("A", None)], "salesforce_opportunity_id string, hubspot_opportunity_id long")
+    crm = spark.createDataFrame([], "opportunity_id string, created_date timestamp_ntz, stage_name string")
+    rules = crm_marts.DealRules(source_tags=("left", "right"))
+    out = rows(crm_marts.deal_stage_history(hs, synced, crm, rules), "opportunity_id", "pipeline_stage", "source")
+    assert out == [("A", "Touring", "left")]
+
+
+def test_agents(spark):
+    df = spark.createDataFrame([("Opera/9.80 (Windows NT 6.1) OPR/12.1",), ("my-crawler/1.0",), (None,), ("",),
+                                ("Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) Chrome/110.0",)], "context_user_agent string")
+    out = {r["userAgent"]: tuple(r)[1:] for r in parse_agents(df).collect()}
+    assert out["Opera/9.80 (Windows NT 6.1) OPR/12.1"] == ("Opera", "Other", None, None, "Windows", "6")
+    assert out["my-crawler/1.0"][:2] == ("my-crawler", "Spider")
+    assert out[None] == out[""] == ("Other", "Other", None, None, "Other", None)
+    assert out["Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) Chrome/110.0"][4:] == ("Chrome OS", "14541")
+
+
+# ---------------------------------------------------------------- the batch job
+
+@pytest.fixture(scope="module")
+def job_run(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("job"))
+    written = jobs.run(spark, AdapterCatalog(spark, SF), out, jobs.adapter_params(), run_id="one")
+    return out, written
+
+
+def test_job_writes_every_extract_and_mart(spark, job_run):
+    out, written = job_run
+    assert set(written) == set(jobs.EXTRACTS) | set(jobs.MARTS) and len(jobs.MARTS) == 10
+    assert all(os.path.isdir(p) and p.startswith(os.path.join(out, "one")) for p in written.values())
+
+
+@pytest.mark.parametrize("name", ["attributed_pageviews", "daily_visitors", "form_conversions", "marketing_spend", "contracts",
+                                  "contact_mart", "activity_summary", "activity_detail", "deal_mart", "crm_opportunities",
+                                  "opportunity_roles", "rep_engagements", "access_events", "geo_hierarchy", "crm_leads"])
+def test_written_tables_hold_the_queries_rows(spark, job_run, name):
+    want = QUERIES[name](spark, SF)
+    got = spark.read.parquet(job_run[1][name])
+    assert got.count() == want.count() > 0
+    assert sorted(got.columns) == sorted(want.columns)
+
+
+def test_access_events_are_gated(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "EXTRACTS", {k: jobs.EXTRACTS[k] for k in ("access_events", "companies")})
+    params = dataclasses.replace(jobs.adapter_params(), include_access_events=False)
+    assert set(jobs.write_extracts(spark, AdapterCatalog(spark, SF), str(tmp_path), params)) == {"companies"}
+
+
+def test_a_missing_source_takes_the_previous_run_and_a_bug_does_not(spark, job_run, tmp_path, monkeypatch):
+    out, written = job_run
+    real = AdapterCatalog(spark, SF)
+
+    def without_company(name):
+        if name == "mkt.company":
+            raise SourceMissing(name)
+        return real(name)
+
+    monkeypatch.setattr(jobs, "EXTRACTS", {"companies": jobs.EXTRACTS["companies"]})
+    params = jobs.adapter_params()
+    with pytest.raises(SourceMissing):
+        jobs.write_extracts(spark, without_company, str(tmp_path / "a"), params)
+    got = jobs.write_extracts(spark, without_company, str(tmp_path / "b"), params, os.path.join(out, "one"))
+    assert spark.read.parquet(got["companies"]).count() == spark.read.parquet(written["companies"]).count() == 25
+    monkeypatch.setattr(jobs, "EXTRACTS", {"companies": lambda s, p: s("mkt.company").select("no_such_column")})
+    with pytest.raises(AnalysisException):
+        jobs.write_extracts(spark, real, str(tmp_path / "c"), params, os.path.join(out, "one"))
+    with pytest.raises(ValueError):
+        jobs.run(spark, real, out, params, os.path.join(out, "one"), run_id="one")
+
+
+def test_sources_by_path_and_by_sql(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], "`Deal ID` long, Name string").write.parquet(str(tmp_path / "t"))
+    source = TableCatalog(spark, {"t": {"parquet": str(tmp_path / "t")}, "gone": {"parquet": str(tmp_path / "none")},
+                                  "q": {"sql": "SELECT id AS ID FROM range(10) WHERE id < :top", "args": {"top": 3}}})
+    assert source("t").columns == ["deal_id", "name"]
+    assert source("q").count() == 3 and source("q").columns == ["id"]
+    for name in ("gone", "unknown"):
+        with pytest.raises(SourceMissing):
+            source(name)
+
+
+def test_parameters_from_json():
+    p = jobs.params_from({"contact_rules": {"contact_list_id": 4, "broker_team_id": "t", "stages_drop": ["a"]},
+                          "rep_owner_id": 3, "disposition_labels": {}, "as_of": "2024-03-01T00:00:00",
+                          "spend_rules": {"products": [["x", "X"]]}})
+    assert p.report_dates() == (dt.date(2023, 2, 28), dt.date(2024, 2, 29))
+    assert p.contact_rules.stages_drop == ("a",) and p.spend_rules.products == (("x", "X"),)
+
+
+def test_a_session_starts_without_site_defaults(tmp_path):
+    code = ("from martforge.session import get_session; s = get_session('local[1]', 1); "
+            "print('ROWS', s.range(3).count()); s.stop()")
+    env = {k: v for k, v in os.environ.items() if not k.startswith("SPARK_")} | {
+        "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        "MARTFORGE_DRIVER_MEMORY": "1g"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert "ROWS 3" in done.stdout, done.stderr[-2000:]
