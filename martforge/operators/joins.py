@@ -41,6 +41,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left") ->
     return out.drop(*[rk for _, rk in rpairs if rk.startswith("__r_")])
 
 
+def null_salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``null_safe_join`` on ``key`` for a ``right`` side with few rows per key and a ``left`` side with many NULLs.
+
+    Rows without a key are spread over ``NULL_SALTS`` pieces, and the right side's NULL rows are repeated for each.
+    """
+    salts = F.when(F.col(key).isNull(), F.sequence(F.lit(0), F.lit(NULL_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    r = right.withColumn("__r_salt", F.explode(salts)).withColumnRenamed(key, "__r_key")
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(NULL_SALTS)).cast("int")
+                  ).otherwise(F.lit(0))
+    l = left.withColumn("__salt", salt)
+    return l.join(r, l[key].eqNullSafe(r["__r_key"]) & (l["__salt"] == r["__r_salt"]), how).drop(
+        "__salt", "__r_salt", "__r_key")
+
+
 def anti_join_any(df: DataFrame, key: str, lists: Sequence[DataFrame], list_key: str | None = None) -> DataFrame:
     """Drop rows whose ``key`` is in any of ``lists`` (NULL matches NULL).
 

@@ -1,23 +1,51 @@
 """First-seen mode: most frequent non-NULL value per group, ties to the value
 seen first, NULL when the group has no value.
 
-Two aggregation stages, both with map-side partial aggregation, so a hot
-group never has to be gathered in one task:
-
-1. ``groupBy(group, column, value)`` -> count and first position,
-2. ``groupBy(group, column)`` -> ``min_by(value, (value is null, -count, first))``.
-
-Several columns are stacked into (column, value) rows first, so any number
-of modes costs the same two shuffles; a final pivot on an explicit column
-list turns them back into columns.
+The rows are reduced before anything else, by a hash aggregation with map-side
+partial sums: (group, all columns) -> count and first position, where the
+position is one fixed-width number.  Only this small result is stacked into
+(column, value) rows, counted per value, and reduced to the best value per
+column; a pivot on an explicit column list turns them back into columns.  No
+task gathers a group's rows, and any number of modes costs the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _position(df: DataFrame, order: Sequence[str]) -> Column:
+    """The place of a row in ``order`` as one comparable value.
+
+    A time or number and an optional numeric tiebreak fit one DECIMAL, which hash aggregation can keep; a textual
+    tiebreak counts as the number it spells, or by its hash.  Other orders compare as a struct.
+    """
+    types = [df.schema[o].dataType for o in order]
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if not 1 <= len(order) <= 2 or not isinstance(types[-1], (*whole, T.StringType)) and len(order) == 2:
+        return F.struct(*[F.col(o) for o in order])
+    first = F.col(order[0])
+    if isinstance(types[0], T.TimestampNTZType):
+        seconds = (F.date_diff(F.to_date(first), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(first)) * 60
+        micros = F.extract(F.lit("SECOND"), first).cast("decimal(18,6)") * 1_000_000
+        place = ((seconds + F.minute(first)) * 60).cast("decimal(19,0)") * 1_000_000 + micros
+    elif isinstance(types[0], whole):
+        place = first
+    else:
+        return F.struct(*[F.col(o) for o in order])
+    place = F.coalesce(place.cast("decimal(18,0)"), F.lit(-(10 ** 18 - 1)).cast("decimal(18,0)"))
+    if len(order) == 1:
+        return place.cast("decimal(38,0)")
+    tie = F.col(order[1])
+    if isinstance(types[1], T.StringType):
+        tie = F.coalesce(tie.try_cast("decimal(19,0)"), F.pmod(F.xxhash64(tie), F.lit(10 ** 18)).cast("decimal(19,0)"))
+    return (place * F.lit(Decimal(10 ** 19))).cast("decimal(38,0)") + F.coalesce(
+        tie.cast("decimal(19,0)"), F.lit(0).cast("decimal(19,0)"))
 
 
 def modes(df: DataFrame, by: Sequence[str], cols: Sequence[str], order: Sequence[str],
@@ -30,12 +58,14 @@ def modes(df: DataFrame, by: Sequence[str], cols: Sequence[str], order: Sequence
     by, cols, order = list(by), list(cols), list(order)
     firsts = dict(firsts or {})
     types = {f.name: f.dataType for f in df.schema.fields}
-    ordkey = F.struct(*[F.col(o) for o in order])
-    stacked = df.select(*by, ordkey.alias("__ord"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols
-    ])).alias("__kv")).select(*by, "__ord", "__kv.name", "__kv.value")
-    counted = stacked.groupBy(*by, "name", "value").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__ord").alias("__first"))
+    values = [f"__v{i}" for i in range(len(cols))]
+    reduced = (df.select(*by, *[F.col(c).cast("string").alias(v) for c, v in zip(cols, values)],
+                         _position(df, order).alias("__at"))
+               .groupBy(*by, *values).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__at")))
+    stacked = reduced.select(*by, "__n", "__at", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(v).alias("value")) for c, v in zip(cols, values)])).alias("__kv"))
+    counted = stacked.groupBy(*by, F.col("__kv.name").alias("name"), F.col("__kv.value").alias("value")).agg(
+        F.sum("__n").alias("__n"), F.min("__at").alias("__first"))
     best = counted.groupBy(*by, "name").agg(
         F.min_by(F.col("value"), F.struct(F.col("value").isNull(), -F.col("__n"), F.col("__first"))).alias("value"),
         F.min_by(F.col("value"), F.col("__first")).alias("first"))

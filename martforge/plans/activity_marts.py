@@ -80,14 +80,12 @@ def activity_summary(tasks: DataFrame, history: DataFrame, engagements: DataFram
     last = top_row(history, ["contact_id"], [F.col("timestamp").desc(), F.col("status").asc()]).select(
         "contact_id", F.to_date("timestamp").alias("isr_status_date"))
     j = null_safe_join(t, last, ["contact_id"], "left")
-    j = null_safe_join(j, engagements.select("contact_id", "engagement_type", "created_at"), ["contact_id"], "left")
-    keys = ["contact_id", "num_tasks", "completed_tasks", "first_task_create_date", "first_task_completed_date",
-            "time_to_first_completed_task", "isr_status_date"]
-    g = j.groupBy(*keys).agg(
+    e = engagements.groupBy("contact_id").agg(
         F.count("engagement_type").alias("total_engagements"),
         strict_sum((F.col("engagement_type") == "Email").cast("long")).alias("email_engagements"),
         strict_sum((F.col("engagement_type") == "Call").cast("long")).alias("phone_engagements"),
         strict_min("created_at").alias("__first_eng"))
+    g = null_safe_join(j, e, ["contact_id"], "left").fillna({"total_engagements": 0})
     g = g.withColumn("time_to_first_engagement", hours_between("__first_eng", "first_task_create_date")).drop(
         "__first_eng")
     g = g.withColumns({"first_task_create_date": F.to_date("first_task_create_date"),

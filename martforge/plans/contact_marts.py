@@ -23,7 +23,7 @@ from martforge.functions.nulls import (eq_or_false, matches, not_in_keep_null, n
 from martforge.functions.rules import code_map, ladder
 from martforge.functions.urls import strip_query
 from martforge.operators.aggregates import min_if
-from martforge.operators.joins import null_safe_join
+from martforge.operators.joins import null_safe_join, null_salted_join
 from martforge.operators.reshape import pivot
 from martforge.plans.acquisition import acquisition_source
 
@@ -158,8 +158,8 @@ def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFra
         "company": F.coalesce("property_name", "property_company"),
     })
     df = df.withColumn("acquisition_source", _acquisition_source(rules))
-    df = null_safe_join(df, calls_sched, ["property_email"], "left")
-    df = null_safe_join(df, tours_sched, ["property_email"], "left")
+    df = null_salted_join(df, calls_sched, "property_email")  # many contacts have no e-mail
+    df = null_salted_join(df, tours_sched, "property_email")
     df = null_safe_join(df, emails, ["id"], "left")
     df = null_safe_join(df, calls, ["id"], "left")
     out = df.select(

@@ -90,9 +90,11 @@ def access_events(events: DataFrame, links: DataFrame, people: DataFrame, addres
     """Granted / denied swipes with member and reader: the link table is used in two
     roles (person, reader), each the latest link version per (event, object, relation)."""
     from martforge.operators.history import latest_version
-    lo = latest_version(links.join(events.select(F.col("event_id").alias("e_id")), F.col("event_id") == F.col("e_id")),
+    ev = events.where(F.col("message_short").isin("Access Granted", "Access denied"))
+    wanted = links.where(F.col("relation").isin("Person", "Reader"))
+    lo = latest_version(wanted.join(ev.select(F.col("event_id").alias("e_id")), F.col("event_id") == F.col("e_id")),
                         ["event_id", "linked_object_id", "relation"], "hdp_created_ts")
-    lo = lo.where(F.col("relation").isin("Person", "Reader")).select("event_id", "linked_object_id", "common_name",
+    lo = lo.select("event_id", "linked_object_id", "common_name",
                                                                      "relation")
     person = lo.where(F.col("relation") == "Person").select(F.col("event_id").alias("p_event"),
                                                             F.col("linked_object_id").alias("person_id"))
@@ -100,7 +102,6 @@ def access_events(events: DataFrame, links: DataFrame, people: DataFrame, addres
                                                             F.col("common_name").alias("reader_name"))
     emails = latest_version(addresses, ["address_id"], "hdp_created_ts").select(
         F.col("people_id").alias("e_people"), F.col("mail_to").alias("member_email"))
-    ev = events.where(F.col("message_short").isin("Access Granted", "Access denied"))
     j = (ev.join(person, ev["event_id"] == F.col("p_event"))
          .join(reader, ev["event_id"] == F.col("r_event"))
          .join(people, F.col("person_id") == people["people_id"])

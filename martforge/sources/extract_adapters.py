@@ -90,6 +90,7 @@ def crm_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("value") < 30, F.lit("about the tour")).otherwise(F.lit("general")).alias(
                          "description"),
                      F.col("ts").alias("created_date"), F.to_date("ts").alias("activity_date"),
+                     F.concat(F.lit("U"), F.pmod(F.col("user_id"), F.lit(10)).cast("string")).alias("created_by_id"),
                      (F.col("value") > 200).alias("is_deleted"))
 
 
@@ -160,12 +161,8 @@ def crm_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crm_calendar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = crm_events(spark, sf_dir)
-    raw = _events(spark, sf_dir).select(F.concat(F.lit("EV"), F.col("event_id").cast("string")).alias("rid"),
-                                        F.concat(F.lit("U"), F.pmod(F.col("user_id"), F.lit(10)).cast("string"))
-                                        .alias("created_by_id"))
-    return ev.join(raw, ev["id"] == raw["rid"]).select(F.lit("Event").alias("event_subtype"), "subject", "created_date",
-                                                         "activity_date", "who_id", "what_id", "created_by_id")
+    return crm_events(spark, sf_dir).select(F.lit("Event").alias("event_subtype"), "subject", "created_date",
+                                            "activity_date", "who_id", "what_id", "created_by_id")
 
 
 # ---------------------------------------------------------------- marketing-CRM small extracts
