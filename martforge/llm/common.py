@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space of all contracts here: space and 0x09-0x0D (what ``bytes.split()`` splits at).
 ASCII_WS = b" \t\n\x0b\x0c\r"
@@ -17,7 +19,29 @@ ASCII_WS = b" \t\n\x0b\x0c\r"
 BATCH_ROWS = 512
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: their Python may not have it on its path."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="martforge-code-"), "martforge-code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)  # the driver serves it to every executor
+    _SHIPPED.add(app)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of the given folder; every query begins here."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -39,8 +63,23 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+_MADE: dict[str, SparkSession] = {}
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_root(spark)}/llm-{tag}-{uuid.uuid4().hex[:12]}"
+    """A new folder below the shared root; ``release`` deletes it when its readers are done."""
+    path = f"{shared_root(spark)}/llm-{tag}-{uuid.uuid4().hex[:12]}"
+    _MADE[path] = spark
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this application has written.
+
+    Call it once their results are stored; results still to be computed read them.
+    """
+    for path in [p for p, s in _MADE.items() if s.sparkContext.applicationId == spark.sparkContext.applicationId]:
+        drop_path(spark, path)
 
 
 def written(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
@@ -60,6 +99,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store once nothing reads it any more."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    _MADE.pop(path, None)
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
@@ -78,6 +118,15 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, schema)
 
 
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if it has fewer), the same for the same keys: those whose key hash lies
+    below the share wanted.  No row is gathered to choose them; keys should be different."""
+    n = df.count()
+    if n <= rows:
+        return df
+    return df.where(F.shiftrightunsigned(F.xxhash64(key), 1) < F.lit(int((1 << 63) * (rows / n))))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file (the package is on every node)."""
     import public_tokenizers

@@ -96,3 +96,25 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_intermediate_tables_can_be_released(spark):
+    from martforge.llm import common
+    path = common.new_path(spark, "release")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    common.release(spark)
+    assert not os.path.exists(local) and path not in common._MADE
+
+
+def test_queries_run_from_any_folder(tmp_path):
+    """The executors get the package from the driver, whatever their Python path."""
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = (f"import sys; sys.path.insert(0, {root!r}); from martforge.session import get_session; "
+            f"s = get_session('local[2]', 2); from martforge.llm.queries import QUERIES; "
+            f"print('ROWS', QUERIES['op2_exact_dedup'](s, {SF!r}).count())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"MARTFORGE_DRIVER_MEMORY": "2g"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "ROWS 200" in done.stdout, done.stderr[-2000:]
