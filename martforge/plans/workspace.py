@@ -63,12 +63,13 @@ def meeting_bookings(bookings: DataFrame, resources: DataFrame, businesses: Data
                                                                                                 "gross_price"))
              .select("bookingid", F.col("discount").cast("double"), F.col("gross_price").cast("double")))
     mt = member_teams(coworkers, teams)
-    j = (valid.join(members, valid["coworkerid"] == members["coworker_id"])
-         .join(costs, F.col("booking_id") == costs["bookingid"], "left")
+    # joined key by key (booking, member, room), so the bookings are shuffled once for each
+    j = (valid.join(costs, F.col("booking_id") == costs["bookingid"], "left")
+         .join(members, valid["coworkerid"] == members["coworker_id"])
          .join(types, F.col("coworker_id") == F.col("type_id"))
-         .join(rooms, F.col("resourceid") == F.col("resource_id"))
          .join(mt.withColumnRenamed("coworker_id", "mt_coworker_id"), F.col("coworker_id") == F.col("mt_coworker_id"),
-               "left"))
+               "left")
+         .join(rooms, F.col("resourceid") == F.col("resource_id")))
     return j.select("booking_id", *BOOKING_COLUMNS[1:], "pos", "bookingid", "discount", "gross_price", "email",
                     "companyname", "member_product", "member_type", "location", "room_size", "team_name")
 

@@ -19,6 +19,13 @@ def _ts(days) -> F.Column:
     return F.lit(T0).cast("timestamp_ntz") + F.make_interval(days=days)
 
 
+def _versioned(rows: DataFrame, key, first, later, has_later) -> DataFrame:
+    """Rows with their first version and, where ``has_later``, a later one: each table is read once."""
+    versions = F.when(has_later, F.array(F.struct(*first), F.struct(*later))).otherwise(F.array(F.struct(*first)))
+    return rows.select(*key, F.explode(versions).alias("v")).select(
+        *[c for c in rows.select(*key).columns], "v.*")
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One version per line item of an order (the order is the booking)."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_tax", "l_returnflag",
@@ -44,13 +51,11 @@ def _parts(spark, sf_dir):
 
 def resource(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _parts(spark, sf_dir)
-    v1 = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("resourcetypename"),
-                  F.col("p_size").cast("long").alias("businessid"), _ts(F.lit(0)).alias("updatedon"))
-    v2 = p.where(F.col("p_size") > 40).select(
-        F.col("p_partkey").alias("id"), F.concat(F.col("p_name"), F.lit(" v2")).alias("name"),
-        F.col("p_type").alias("resourcetypename"), (F.col("p_size") - 1).cast("long").alias("businessid"),
-        _ts(F.lit(5)).alias("updatedon"))
-    return v1.unionByName(v2)
+    return _versioned(
+        p, [F.col("p_partkey").alias("id"), F.col("p_type").alias("resourcetypename")],
+        [F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("businessid"), _ts(F.lit(0)).alias("updatedon")],
+        [F.concat(F.col("p_name"), F.lit(" v2")).alias("name"), (F.col("p_size") - 1).cast("long").alias("businessid"),
+         _ts(F.lit(5)).alias("updatedon")], F.col("p_size") > 40)
 
 
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,9 +79,8 @@ def coworker(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("billingemail"), F.col("c_mktsegment").alias("custom6"),
             F.when(F.col("c_acctbal") > 0, F.lit("Paying")).otherwise(F.lit("Guest")).alias("custom8")]
     tid = F.floor(F.col("c_custkey") / F.lit(10)).cast("long")
-    v1 = c.select(*base, tid.alias("teamid"), _ts(F.lit(0)).alias("updatedon"))
-    v2 = c.where(F.col("c_acctbal") > 9000).select(*base, (tid + 1).alias("teamid"), _ts(F.lit(2)).alias("updatedon"))
-    return v1.unionByName(v2)
+    return _versioned(c, base, [tid.alias("teamid"), _ts(F.lit(0)).alias("updatedon")],
+                      [(tid + 1).alias("teamid"), _ts(F.lit(2)).alias("updatedon")], F.col("c_acctbal") > 9000)
 
 
 def team(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,10 +107,10 @@ def extra_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     key = [(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("bookingid"),
            F.when(F.col("l_linenumber") == 2, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).alias("coworkerid")]
-    v1 = j.select(*key, F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("updatedon"))
-    v2 = j.where(F.col("l_discount") == 0).select(*key, (-F.col("l_extendedprice")).alias("price"),
-                                                  (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("updatedon"))
-    return v1.unionByName(v2)
+    return _versioned(
+        j, key, [F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("updatedon")],
+        [(-F.col("l_extendedprice")).alias("price"), (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("updatedon")],
+        F.col("l_discount") == 0)
 
 
 def member_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
