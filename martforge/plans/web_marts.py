@@ -201,18 +201,22 @@ def adapted_sources(spark: SparkSession, sf_dir: str) -> WebSources:
                       forms_submitted=A.lead_forms(spark, sf_dir, "submitted"))
 
 
-def attributed_pageviews_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = adapted_sources(spark, sf_dir)
+def _adapted_pageviews(spark: SparkSession, src: WebSources) -> DataFrame:
     return attributed_pageviews(spark, src.pages, src.internal_ips, src.ip_org, src.ua_dim, src.clicks, ADAPTED_RULES)
 
 
+def attributed_pageviews_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _adapted_pageviews(spark, adapted_sources(spark, sf_dir))
+
+
 def daily_visitors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_visitors(attributed_pageviews_q(spark, sf_dir), ADAPTED_RULES)
 
 
 def form_conversions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = adapted_sources(spark, sf_dir)
-    return form_conversions(daily_visitors_q(spark, sf_dir), tracked_forms(src.forms_viewed, src.forms_submitted))
+    visitors = daily_visitors(_adapted_pageviews(spark, src), ADAPTED_RULES)
+    return form_conversions(visitors, tracked_forms(src.forms_viewed, src.forms_submitted))
 
 
 def user_agents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
