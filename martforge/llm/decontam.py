@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ MIN_OVERLAP = 0.8
 MIN_PART = 0.5
 K1, B = 1.2, 0.75
 INDEX_BYTES = 4 << 20
-MAX_BLOCKS = 64      # blocks of items in one index
+MAX_BLOCKS = 128     # blocks of items in one index
 GROUP_WORDS = 150_000
 
 WORD = re.compile(r"[^\W_]+")
@@ -112,22 +113,25 @@ class BlockMaxIndex:
         self.block_items = max(1, -(-n // MAX_BLOCKS))
         self.n_blocks = -(-n // self.block_items)
         self.block_max = np.zeros((len(self.vocabulary), self.n_blocks), np.float32)
-        self.postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
+        postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         for i, own in enumerate(counts):
             length = K1 * (1 - B + B * len(self.items[i][1]) / mean)
             impact = {t: float(idf[t]) * f * (K1 + 1) / (f + length) for t, f in own.items()}
             total = sum(impact.values())
             for t, x in impact.items():
-                self.postings[t].append((i, x / total))
+                postings[t].append((i, x / total))
                 b = i // self.block_items
                 self.block_max[t, b] = max(self.block_max[t, b], x / total)
         self.most = self.block_max.max(axis=1) if n else np.zeros(0, np.float32)
+        self.posting_start = np.cumsum([0, *map(len, postings)])
+        self.posting_item = np.array([i for p in postings for i, _ in p], np.int64)
+        self.posting_impact = np.array([x for p in postings for _, x in p])
         self.segment = max(SHINGLE, self.longest + self.longest // 4)
 
-    def passages(self, texts: list[list[str]], threshold: float) -> Iterator[tuple[int, int, list[int]]]:
-        """``(text, first word, blocks)`` of the passages that the bounds leave."""
+    def passages(self, texts: list[list[str]], threshold: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``(text, first word, blocks, terms)`` of the passages that the bounds leave."""
         term, size = self.vocabulary.get, self.segment
-        terms = [np.fromiter((term(w, -1) for w in t), np.int64, len(t)) for t in texts]
+        terms = [np.fromiter(map(term, t, repeat(-1)), np.int64, len(t)) for t in texts]
         lengths = np.array([-(-len(t) // size) for t in terms])
         first = np.cumsum(lengths) - lengths  # the text's first segment
         last = first + lengths - 1
@@ -163,16 +167,17 @@ class BlockMaxIndex:
                 text = int(np.searchsorted(first, s, side="right")) - 1
                 while lengths[text] == 0:
                     text -= 1
-                yield text, int(s - first[text]) * size, blocks.tolist()
-
-    def score(self, passage: list[str], blocks: list[int]) -> dict[int, float]:
-        """Exact scores of the items of some blocks."""
-        allowed, out = set(blocks), {}
-        for t in {self.vocabulary[w] for w in passage if w in self.vocabulary}:
-            for i, x in self.postings[t]:
-                if i // self.block_items in allowed:
-                    out[i] = out.get(i, 0.0) + x
-        return out
+                a, b = np.searchsorted(segment_of, (s, s + 1 + bool(follows[s])))
+                yield text, int(s - first[text]) * size, blocks, np.unique(term_of[a:b])
+
+    def score(self, terms: np.ndarray, blocks: np.ndarray) -> list[tuple[int, float]]:
+        """Exact scores of the items of some blocks, for a passage's different terms."""
+        starts, sizes = self.posting_start[terms], self.posting_start[terms + 1] - self.posting_start[terms]
+        at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        scores = np.bincount(self.posting_item[at], self.posting_impact[at], len(self.items))
+        items = (blocks[:, None] * self.block_items + np.arange(self.block_items)[None, :]).ravel()
+        items = items[items < len(self.items)]
+        return list(zip(items.tolist(), scores[items].tolist()))
 
     def matches(self, texts: list[list[str]], threshold: float = THRESHOLD, min_overlap: float = MIN_OVERLAP,
                 min_part: float = MIN_PART) -> list[list[dict]]:
@@ -180,10 +185,9 @@ class BlockMaxIndex:
         best: list[dict[int, dict]] = [{} for _ in texts]
         if not self.items:
             return [[] for _ in texts]
-        for text, at, blocks in self.passages(texts, threshold):
-            passage = texts[text][at:at + 2 * self.segment]
-            have = None
-            for i, score in self.score(passage, blocks).items():
+        for text, at, blocks, terms in self.passages(texts, threshold):
+            passage, have = texts[text][at:at + 2 * self.segment], None
+            for i, score in self.score(terms, blocks):
                 if score < threshold:
                     continue
                 have = have or shingles(passage)

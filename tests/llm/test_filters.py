@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,10 +133,10 @@ def test_bounds_never_lose_a_scored_passage():
     for _ in range(40):
         text = decontam.words_of(" ".join(prose(rnd, 60) + index_text for index_text in
                                           (" ".join(index.items[rnd.randrange(300)][1]), "")))
-        left = {(at, b) for _, at, blocks in index.passages([text], 0.4) for b in blocks}
+        left = {(at, int(b)) for _, at, blocks, _ in index.passages([text], 0.4) for b in blocks}
         for at in range(0, len(text), index.segment):
-            scores = index.score(text[at:at + 2 * index.segment], list(range(index.n_blocks)))
-            for i, s in scores.items():
+            terms = np.array(sorted({index.vocabulary[w] for w in text[at:at + 2 * index.segment] if w in index.vocabulary}))
+            for i, s in index.score(terms, np.arange(index.n_blocks)):
                 assert s < 0.4 or (at, i // index.block_items) in left
 
 
@@ -169,7 +170,6 @@ def test_language_identification(spark):
 
 
 def test_kneser_ney_probabilities_sum_to_one():
-    import numpy as np
     words = ["there", "then", "on", "other", "thorn"]
     keys, _ = langid.grams(words)
     unique, counts = np.unique(keys, return_counts=True)
