@@ -146,11 +146,11 @@ def test_pivot_fill(spark):
 
 
 def test_spend_split(spark):
-    from martforge.plans.spend import allocate_spend
+    from martforge.plans.spend import ADAPTED_RULES, allocate_spend
     df = spark.createDataFrame([("ring x", dt.date(2024, 1, 3), 100.0), ("plate", dt.date(2024, 1, 3), 100.0),
                                 ("gear", dt.date(2024, 1, 3), None)],
                                "campaign_name string, campaign_date date, spend double")
-    out = rows(allocate_spend(df), "suite", "desk", "room")
+    out = rows(allocate_spend(df, ADAPTED_RULES), "suite", "desk", "room")
     assert out == [(100.0, 0.0, 0.0), (40.0, 40.0, 20.0), (0.0, 0.0, 0.0)]
 
 
