@@ -15,7 +15,7 @@ from martforge.operators.joins import null_safe_join
 from martforge.operators.setops import append_row
 from martforge.sources.io import read_table
 
-MONEY = "decimal(28,6)"
+MONEY = "decimal(18,6)"
 
 
 def _orders(spark, sf_dir, cols=("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -24,7 +24,7 @@ def _orders(spark, sf_dir, cols=("o_orderkey", "o_custkey", "o_orderstatus", "o_
 
 
 def money_sum(col) -> F.Column:
-    """Exact sum of a money column: DECIMAL(28,6) accumulation, DOUBLE result."""
+    """Exact sum of a money column: DECIMAL(18,6) rows (up to 10^12), DECIMAL(28,6) sums, DOUBLE result."""
     return F.sum(F.col(col).cast(MONEY)).cast("double")
 
 

@@ -14,7 +14,7 @@ from martforge.operators.aggregates import fill_by_type
 from martforge.operators.setops import union_distinct
 from martforge.sources.io import read_table
 
-MONEY = "decimal(28,6)"
+MONEY = "decimal(18,6)"
 
 
 @dataclass(frozen=True)

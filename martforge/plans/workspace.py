@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from martforge.operators.aggregates import cond_sums
 from martforge.operators.history import latest_version
 
-MONEY = "decimal(28,6)"
+MONEY = "decimal(18,6)"
 
 BOOKING_COLUMNS = ["id", "coworkerid", "coworkerfullname", "resourceid", "resourcename", "resourceresourcetypename",
                    "teamsatthetimeofbooking", "tariffatthetimeofbooking", "fromtime", "totime",
