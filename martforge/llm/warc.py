@@ -42,7 +42,7 @@ ID = "urn:x-page:"
 SEGMENT_BYTES = 32_768
 CHUNK_BYTES = 8_192
 PACK_BYTES = 1 << 20   # compressed records are handed to the writer in packs of this size
-PACKS_PER_FILE = 8
+PACKS_PER_FILE = 64    # so a file has 64 MB at most, and one record more
 GZIP_LEVEL = 4
 NOTHING = gzip.compress(b"", mtime=0)  # an empty member: the writer's line separator
 READ_BYTES = 4 << 20   # payload bytes in one batch when reading
@@ -157,24 +157,27 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", text_col: s
 
 
 def parse_records(data: bytes):
-    """``(header fields in lower case, block)`` of each record, cut by Content-Length; gzip members are opened."""
+    """``(header fields in lower case, block)`` of each record, cut by Content-Length.
+
+    Gzip members are opened as they are read, so one record is held beside the file's bytes.
+    """
+    stream = io.BytesIO(data)
     if data.startswith(b"\x1f\x8b"):
-        data = gzip.GzipFile(fileobj=io.BytesIO(data)).read()
-    at = 0
-    while at < len(data):
-        if not data.startswith(VERSION, at):
-            raise ValueError(f"no record begins at byte {at}")
-        head = data.find(END, at)
+        stream = gzip.GzipFile(fileobj=stream)
+    while line := stream.readline():
+        if line != VERSION + CRLF:
+            raise ValueError(f"no record begins with {line[:40]!r}")
         fields = {}
-        for line in data[at:head].split(CRLF)[1:]:
+        while (line := stream.readline()) != CRLF:
+            if not line:
+                raise ValueError("a record's head has no end")
             name, _, value = line.partition(b":")
             fields[name.strip().lower().decode("ascii", "replace")] = value.strip().decode("utf-8", "replace")
-        start = head + 4
-        end = start + int(fields["content-length"])
-        if data[end:end + 4] != END:
-            raise ValueError(f"record at byte {at} has a wrong length")
-        yield fields, data[start:end]
-        at = end + 4
+        size = int(fields["content-length"])
+        block = stream.read(size)
+        if len(block) != size or stream.read(len(END)) != END:
+            raise ValueError(f"record {fields.get('warc-record-id')} has a wrong length")
+        yield fields, block
 
 
 def http_payload(block: bytes) -> tuple[bytes, int]:
