@@ -17,8 +17,7 @@ scope states.  A clause's score is the sum over its path.  Isolated words do not
 features are its best clause and the saturated sum over its clauses, and a logistic function, fitted on the
 training rows, maps them to 0 .. 1.
 
-Training uses at most ``TRAIN_ROWS`` labelled rows (those with the smallest hash of the id), each different text
-once.  Scoring reads every whole text; texts without any terminal skip the automaton.
+Training uses about ``TRAIN_ROWS`` labelled rows (chosen by the hash of the id), each different text once.  Scoring reads every whole text; texts without any terminal skip the automaton.
 
 Defined cases: null and empty texts have no clause and get the base score; repeated ids keep their rows; rows without
 a label are never learned from; without training rows of both kinds no insults are known and the score is 0.05
@@ -35,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import append_columns, drop_path, new_path, small_batches
+from martforge.llm.common import append_columns, bounded_sample, drop_path, new_path, small_batches
 
 TRAIN_ROWS = 30_000
 MAX_TERMS = 5_000
@@ -259,12 +258,12 @@ def _chosen(strong: list[str], weights: dict[str, float], toxic: dict[str, int])
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic",
                   rows: int = TRAIN_ROWS) -> DataFrame:
-    """Labelled texts of at most ``rows`` ids, those with the smallest hashes: ``(text, label_col)``."""
-    picked = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-              .groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.max(label_col).alias(label_col))
-              .orderBy(F.xxhash64("__id"), "__id").limit(rows))
+    """Labelled texts of about ``rows`` ids, chosen by the hashes of the ids: ``(text, label_col)``."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("__id"), label_col)
+    picked = bounded_sample(known, F.col("__id"), rows).groupBy("__id").agg(F.max(label_col).alias(label_col))
     src = docs.select(F.col(id_col).cast("long").alias("__id"), F.col("text"))
-    return src.join(F.broadcast(picked), "__id").select("text", label_col)  # at most ``rows`` rows of 16 bytes
+    return src.join(F.broadcast(picked), "__id").select("text", label_col)  # about ``rows`` rows of 16 bytes
 
 
 SCORE = "__toxicity"
