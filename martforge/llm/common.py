@@ -95,6 +95,12 @@ def written(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` cut off from its lineage by a reliable checkpoint in the shared folder."""
+    shared_root(df.sparkSession)  # sets a folder where a local session has none
+    return df.checkpoint()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store once nothing reads it any more."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from martforge.llm.common import checkpointed
+
 N_ATOMS = 65_536      # ordered atomic groups; bounds what the driver reads
 SLOT_BUCKETS = 4_096  # rows of a shard are numbered in this many independent pieces
 OVERHEAD = 16         # bytes a row takes beside its text
@@ -95,12 +97,12 @@ def assign_shards(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", t
     bits = n_atoms.bit_length() - 1
     if 1 << bits != n_atoms:
         raise ValueError("n_atoms must be a power of two")
-    rows = docs.select(
+    rows = checkpointed(docs.select(
         F.col(id_col).alias("_id"),
         (F.octet_length(text).cast("long") + F.lit(overhead)).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.shiftrightunsigned(F.xxhash64(text), 64 - bits).cast("int").alias("atom"),
-    ).checkpoint()
+    ))
     found = rows.groupBy("atom").agg(F.sum("size").alias("size")).collect()
     sizes = [0] * n_atoms
     for r in found:

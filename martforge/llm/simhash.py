@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import map_batches, small_batches, written
+from martforge.llm.common import checkpointed, map_batches, small_batches, written
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -257,10 +257,10 @@ def components(edges: DataFrame) -> DataFrame:
         return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = edges.checkpoint()
+    edges = checkpointed(edges)
     seen = state(edges)
     while True:
-        edges = star(star(edges, True), False).checkpoint()
+        edges = checkpointed(star(star(edges, True), False))
         now = state(edges)
         if now == seen:
             break

@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from martforge.llm.common import small_batches, tokenizer_path
+from martforge.llm.common import checkpointed, small_batches, tokenizer_path
 
 MAGIC = b"MFTB"
 END = b"\nEND"
 HEAD = struct.Struct("<4sBBHIQ")
 BLOCK_IDS = 131_072     # a block is closed once it has this many ids
-BLOCKS_PER_FILE = 64
+BLOCKS_PER_FILE = 256   # 64 MB at 16 bits
 NULL_ID = -(1 << 63)
 
 
@@ -226,7 +226,7 @@ def document_starts(spark: SparkSession, path: str) -> DataFrame:
 
     Only one sum a file is put in order in one task.
     """
-    docs = read_token_files(spark, path).checkpoint()
+    docs = checkpointed(read_token_files(spark, path))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = (docs.groupBy("file").agg(F.sum("n_tokens").alias("n"))
              .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))

@@ -108,13 +108,15 @@ def test_intermediate_tables_can_be_released(spark):
     assert not os.path.exists(local) and path not in common._MADE
 
 
-def test_queries_run_from_any_folder(tmp_path):
-    """The executors get the package from the driver, whatever their Python path."""
+@pytest.mark.parametrize("name", ["op2_exact_dedup", "op3_simhash", "op8_sharding"])
+def test_queries_run_from_any_folder_without_site_defaults(tmp_path, name):
+    """The executors get the package from the driver; a local session without a checkpoint folder gets one."""
     import subprocess
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     code = (f"import sys; sys.path.insert(0, {root!r}); from martforge.session import get_session; "
             f"s = get_session('local[2]', 2); from martforge.llm.queries import QUERIES; "
-            f"print('ROWS', QUERIES['op2_exact_dedup'](s, {SF!r}).count())")
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"MARTFORGE_DRIVER_MEMORY": "2g"}
+            f"print('ROWS', QUERIES[{name!r}](s, {SF!r}).count())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("SPARK_")}
+    env |= {"MARTFORGE_DRIVER_MEMORY": "2g", "SPARK_CONF_DIR": str(tmp_path)}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "ROWS 200" in done.stdout, done.stderr[-2000:]
