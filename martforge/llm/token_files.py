@@ -24,6 +24,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +105,7 @@ def read_document(data: bytes, block_number: int, position: int) -> np.ndarray:
 
 
 _WORD_CACHE: dict[str, dict] = {}
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000  # pieces of one generation of the table
 
 
 def _plain_pieces() -> tuple[re.Pattern, re.Pattern]:
@@ -140,7 +141,8 @@ class ByteLevelEncoder:
         self.vocabulary = max([*ranks.values(), *self.special.values()]) + 1
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.odd, self.cut = _plain_pieces()
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}  # ids of known pieces as native 32-bit numbers
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
@@ -149,16 +151,19 @@ class ByteLevelEncoder:
             return np.concatenate(parts)
         if self.odd.search(text):
             return np.array(self.slow.encode_ordinary(text), np.uint32)
-        known, found = self.pieces, self.cut.findall(text)
-        try:
-            return np.frombuffer(b"".join([known[p] for p in found]), np.uint32)
-        except KeyError:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            for p in found:
-                if p not in known:
-                    known[p] = np.array(self.slow.encode_ordinary(p), np.uint32).tobytes()
-            return np.frombuffer(b"".join([known[p] for p in found]), np.uint32)
+        if len(self.pieces) > CACHE_WORDS:  # two generations: pieces that do not come again are dropped
+            self.pieces, self.older = {}, self.pieces
+        found = self.cut.findall(text)
+        fresh = set(found).difference(self.pieces)
+        if fresh:
+            self._learn(fresh)
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, found)), np.uint32)
+
+    def _learn(self, fresh: set[str]) -> None:
+        """Put pieces into the current generation of the table."""
+        encode, older = self.slow.encode_ordinary, self.older
+        for p in fresh:
+            self.pieces[p] = older.get(p) or array("I", encode(p)).tobytes()
 
 
 def encoder(name: str) -> ByteLevelEncoder:

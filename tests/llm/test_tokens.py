@@ -102,6 +102,15 @@ def test_byte_level_ids_match_the_library():
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_the_piece_table_stays_bounded(monkeypatch):
+    texts = [t for _, t in awkward(n=60) if t and len(t) < 5000]
+    want = [token_files.ByteLevelEncoder("byte_bpe_50k.json").encode(t).tolist() for t in texts]
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 40)
+    own = token_files.ByteLevelEncoder("byte_bpe_50k.json")
+    assert [own.encode(t).tolist() for t in texts] == want == [own.encode(t).tolist() for t in texts]
+    assert len(own.pieces) < 2000
+
+
 def test_token_files(spark):
     library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     rows = awkward(n=30)
