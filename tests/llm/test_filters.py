@@ -180,3 +180,32 @@ def test_kneser_ney_probabilities_sum_to_one():
         assert model.probability(wanted, len(alphabet)).sum() == pytest.approx(1.0)
     # "on" ends a word once and begins one; continuation counts, not raw counts, rank the lowest order
     assert model.levels[-1][1].sum() < 1
+
+
+def test_the_stored_model_equals_the_one_in_memory(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PIECE_ROWS", 40)
+    rows = languages(80) + [(900, "하늘 中文字 😀a ﷺ", "ko")]
+    model = langid.train(table(spark, rows))
+    assert max(len(p) for m in model.models for p in m.pieces.values()) > 3
+    counts = {}
+    for _, text, lang in rows:
+        for key in langid.grams(langid.words_of(text))[0]:
+            counts.setdefault(lang, Counter())[int(key)] += 1
+    every = np.array(sorted(set().union(*counts.values())), np.uint64)
+    assert model.characters == len(np.unique(every & np.uint64(0xFFFF))) + 1
+    wanted = np.append(every, every ^ np.uint64(0x0001_0002_0001_0000))
+    for lang, m in zip(model.languages, model.models):
+        keys = np.array(sorted(counts[lang]), np.uint64)
+        whole = langid.KneserNey(keys, np.array([counts[lang][int(k)] for k in keys]))
+        np.testing.assert_allclose(m.probability(wanted, model.characters), whole.probability(wanted, model.characters))
+
+
+def test_a_language_with_many_sequences_crowds_out_none(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(i, "".join(map(chr, 0x4E00 + rnd.integers(0, 5000, 4000))), "aa") for i in range(420)]
+    rows += [(1000, "bluntern thurbing", "zz")]
+    model = langid.train(table(spark, rows), calibration_rows=0)
+    assert model.languages == ["aa", "zz"]
+    assert sum(p[2] for p in model.models[0].pieces[langid.ORDER]) > 1_600_000
+    got = langid.predicted(table(spark, [(1, "thurbing bluntern")]), model).collect()
+    assert got[0]["__lang"]["lang"] == "zz"
