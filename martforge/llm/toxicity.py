@@ -31,16 +31,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.llm.common import append_columns, bounded_sample, drop_path, new_path, small_batches
 
 TRAIN_ROWS = 30_000
-MAX_TERMS = 5_000
-MAX_CANDIDATES = 100_000
 MIN_TEXTS = 4           # toxic texts that must hold a terminal, at least
-MIN_SHARE = 0.005       # and this share of all toxic texts
 MIN_WEIGHT = 3.0        # log ratio
 MIN_EVIDENCE = 15.0     # log likelihood ratio statistic: a few chance meetings make no terminal
 STEM_LENGTHS = (4, 5, 6)
@@ -134,7 +131,7 @@ class Grammar:
         return float(1.0 / (1.0 + math.exp(-min(50.0, max(-50.0, a + b * best + c * total)))))
 
     def fit(self, features: np.ndarray, labels: np.ndarray) -> None:
-        """Logistic regression by Newton steps, with a small ridge so separable data stays finite.
+        """Logistic regression by Newton steps (halved until the loss falls), with a small ridge so separable data stays finite.
 
         More matched weight never lowers a score: a feature with a negative coefficient is left out.
         """
@@ -143,10 +140,17 @@ class Grammar:
             x = np.column_stack((np.ones(len(features)), features[:, used]))
             w, ridge = np.zeros(x.shape[1]), np.diag([1e-3, 0.05, 0.05][:x.shape[1]])
             w[0] = -2.0
+
+            def loss(w):
+                z = x @ w
+                return (np.logaddexp(0, z) - labels * z).sum() + w @ ridge @ w / 2
+
             for _ in range(60):
                 p = 1 / (1 + np.exp(-(x @ w).clip(-30, 30)))
                 step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge + 1e-9 * np.eye(x.shape[1]),
-                                       x.T @ (labels - p) - ridge @ w).clip(-1, 1)
+                                       x.T @ (labels - p) - ridge @ w)
+                while abs(step).max() >= 1e-6 and loss(w + step) > loss(w):
+                    step = step / 2  # a whole step can jump over the minimum and swing
                 w = w + step
                 if abs(step).max() < 1e-6:
                     break
@@ -158,11 +162,11 @@ class Grammar:
         self.coefficients[[0, *[u + 1 for u in used]]] = w
 
 
-def evidence(k1: int, n1: int, k2: int, n2: int) -> float:
+def evidence(k1: Column, n1: int, k2: Column, n2: int) -> Column:
     """Log likelihood ratio statistic of two shares, k1 of n1 and k2 of n2."""
-    p = (k1 + k2) / (n1 + n2)
+    p = (k1 + k2) / F.lit(float(n1 + n2))
     cells = ((k1, n1 * p), (n1 - k1, n1 * (1 - p)), (k2, n2 * p), (n2 - k2, n2 * (1 - p)))
-    return 2 * sum(seen * math.log(seen / expected) for seen, expected in cells if seen)
+    return 2 * sum(F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells)
 
 
 def _terms(text: str) -> set[str]:
@@ -171,8 +175,8 @@ def _terms(text: str) -> set[str]:
     return words | {w[:n] + "*" for n in STEM_LENGTHS for w in words if len(w) >= n}
 
 
-def _counts(batches, wanted=None):
-    """``(term, toxic texts, clean texts)`` of a task, of the wanted terms or of all."""
+def _counts(batches):
+    """``(term, toxic texts, clean texts)`` of a task."""
     schema = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
     toxic: dict[str, int] = {}
     clean: dict[str, int] = {}
@@ -186,11 +190,8 @@ def _counts(batches, wanted=None):
 
     for batch in small_batches(batches):
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            terms = _terms(text)
-            if wanted is not None:
-                terms &= wanted
             counts = toxic if label else clean
-            for t in terms:
+            for t in _terms(text):
                 counts[t] = counts.get(t, 0) + 1
         if len(toxic) + len(clean) > 500_000:
             yield from flush()
@@ -213,19 +214,15 @@ def _trained(rows: DataFrame) -> Grammar:
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
         return Grammar({}, {})
-    least = max(MIN_TEXTS, math.ceil(MIN_SHARE * n_toxic))
-    ddl = "term string, toxic long, clean long"
-    found = (rows.where("label = 1").mapInArrow(_counts, ddl).groupBy("term").agg(F.sum("toxic").alias("toxic"))
-             .where(F.col("toxic") >= least).orderBy(F.desc("toxic"), "term").limit(MAX_CANDIDATES).collect())
+    k, c = F.col("toxic"), F.col("clean")
+    weight = F.log((k + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
+    found = (rows.mapInArrow(_counts, "term string, toxic long, clean long").groupBy("term")
+             .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+             .where((k >= MIN_TEXTS) & (weight >= MIN_WEIGHT) & (evidence(k, n_toxic, c, n_clean) >= MIN_EVIDENCE))
+             .select("term", "toxic", weight.alias("weight")).collect())  # only the terms that pass
     toxic = {r["term"]: r["toxic"] for r in found}
-    wanted = frozenset(toxic)  # at most MAX_CANDIDATES terms
-    clean = {r["term"]: r["clean"] for r in rows.where("label = 0")
-             .mapInArrow(lambda b: _counts(b, wanted), ddl).groupBy("term").agg(F.sum("clean").alias("clean")).collect()}
-    weights = {t: math.log((k + 0.5) / (n_toxic + 1)) - math.log((clean.get(t, 0) + 0.5) / (n_clean + 1))
-               for t, k in toxic.items()}
-    strong = sorted((t for t, w in weights.items() if w >= MIN_WEIGHT
-                     and evidence(toxic[t], n_toxic, clean.get(t, 0), n_clean) >= MIN_EVIDENCE), key=lambda t: (-weights[t] * toxic[t], t))
-    grammar = Grammar(*_chosen(strong, weights, toxic))
+    weights = {r["term"]: r["weight"] for r in found}
+    grammar = Grammar(*_chosen(sorted(weights, key=lambda t: (-weights[t] * toxic[t], t)), weights, toxic))
     sample = append_columns(rows, {"text": rows["text"]}, lambda b: _feature_columns(grammar, b),
                             "best double, total double",
                             pa.schema([("best", pa.float64()), ("total", pa.float64())]))
@@ -242,18 +239,25 @@ def _feature_columns(grammar: Grammar, batch: pa.RecordBatch) -> dict:
 
 def _chosen(strong: list[str], weights: dict[str, float], toxic: dict[str, int]) -> tuple[dict, dict]:
     """Words and beginnings without repeats: a beginning that one word or a longer beginning explains is left out."""
-    stems = {t[:-1] for t in strong if t.endswith("*")}
     words = [t for t in strong if not t.endswith("*")]
+    stems = [t[:-1] for t in strong if t.endswith("*")]
+    under: dict[str, list[str]] = {}   # words by their beginnings
+    beyond: dict[str, list[str]] = {}  # longer beginnings by shorter ones
+    for n in STEM_LENGTHS:
+        for w in words:
+            if len(w) >= n:
+                under.setdefault(w[:n], []).append(w)
+        for s in stems:
+            if len(s) > n:
+                beyond.setdefault(s[:n], []).append(s)
     kept = {}
     for stem in stems:
-        n = toxic[stem + "*"]
-        below = [w for w in words if w.startswith(stem)]
+        n, below = toxic[stem + "*"], under.get(stem, [])
         explained = any(toxic[w] >= 0.9 * n for w in below)
-        longer = any(s != stem and s.startswith(stem) and toxic[s + "*"] >= 0.9 * n for s in stems)
+        longer = any(toxic[s + "*"] >= 0.9 * n for s in beyond.get(stem, []))
         if not explained and not longer and (len(below) >= STEM_WORDS or n >= 2 * max([toxic[w] for w in below], default=0)):
             kept[stem] = weights[stem + "*"]
-    chosen = {w: weights[w] for w in words if not any(w.startswith(s) for s in kept)}
-    return dict(list(chosen.items())[:MAX_TERMS]), kept
+    return {w: weights[w] for w in words if kept.keys().isdisjoint({w[:n] for n in STEM_LENGTHS})}, kept
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic",
@@ -271,7 +275,7 @@ SCORE = "__toxicity"
 
 def scored(docs: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
     """``docs`` with the column ``SCORE``."""
-    shared = docs.sparkSession.sparkContext.broadcast(grammar)  # at most MAX_TERMS words and as many beginnings
+    shared = docs.sparkSession.sparkContext.broadcast(grammar)  # the terms of the training rows that passed
 
     def run(batch: pa.RecordBatch) -> dict:
         return {SCORE: [shared.value.score(t) for t in batch.column(0).to_pylist()]}

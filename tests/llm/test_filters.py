@@ -49,6 +49,16 @@ def test_toxicity_without_training_rows(spark):
     assert grammar.words == {} and abs(grammar.score(None) - 0.05) < 0.01
 
 
+def test_rare_insults_are_learned_among_many_toxic_texts(spark):
+    rnd = random.Random(6)
+    rare = [a + b + "kwul" for a in "zxqvj" for b in "aeiouyäö"]  # each in 5 of 1 200 toxic texts
+    insult = lambda k: rare[k // 6 % 40] if k % 6 == 0 else "idiot"
+    rows = [(prose(rnd, 6) + (f" {insult(i // 10)}." if i % 10 == 0 else ""), int(i % 10 == 0)) for i in range(12_000)]
+    grammar = toxicity.train(spark.createDataFrame(rows, "text string, toxic int").repartition(3))
+    assert {"idiot", *rare} <= set(grammar.words)
+    assert all(grammar.score(f"the {w} there") >= 0.3 for w in rare) and grammar.score("the thing there") < 0.3
+
+
 def test_the_automaton_scores_clauses():
     grammar = toxicity.Grammar({"idiot": 4.0}, {"lowei": 3.0})
     score = lambda s: grammar.features(s)[0]
