@@ -17,7 +17,8 @@ scope states.  A clause's score is the sum over its path.  Isolated words do not
 features are its best clause and the saturated sum over its clauses, and a logistic function, fitted on the
 training rows, maps them to 0 .. 1.
 
-Training uses about ``TRAIN_ROWS`` labelled rows (chosen by the hash of the id), each different text once.  Scoring reads every whole text; texts without any terminal skip the automaton.
+Training uses about ``TRAIN_ROWS`` labelled rows (chosen by the hash of the id), each different text once,
+with the label of most of its copies (ties are toxic).  Scoring reads every whole text; texts without any terminal skip the automaton.
 
 Defined cases: null and empty texts have no clause and get the base score; repeated ids keep their rows; rows without
 a label are never learned from; without training rows of both kinds no insults are known and the score is 0.05
@@ -201,7 +202,8 @@ def _counts(batches):
 def train(rows: DataFrame, text_col: str = "text", label_col: str = "toxic") -> Grammar:
     """A grammar from labelled rows (a bounded sample, see ``training_rows``)."""
     rows = rows.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(
-        F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["text"])
+        F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
+    rows = rows.groupBy("text").agg((F.avg("label") >= 0.5).cast("int").alias("label"))  # majority; ties are toxic
     path = new_path(rows.sparkSession, "toxicity")
     rows.write.parquet(path)
     grammar = _trained(rows.sparkSession.read.schema(rows.schema).parquet(path))

@@ -59,6 +59,13 @@ def test_rare_insults_are_learned_among_many_toxic_texts(spark):
     assert all(grammar.score(f"the {w} there") >= 0.3 for w in rare) and grammar.score("the thing there") < 0.3
 
 
+def test_copies_of_a_text_learn_from_their_majority(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "_trained", lambda rows: {r["text"]: r["label"] for r in rows.collect()})
+    rows = [("a", 0), ("a", 1), ("a", 1), ("b", 1), ("b", 0), ("b", 0), ("c", 0), ("c", 1), ("d", 0), ("d", None), (None, 1)]
+    got = toxicity.train(spark.createDataFrame(rows, "text string, toxic int").coalesce(1))
+    assert got == {"a": 1, "b": 0, "c": 1, "d": 0}
+
+
 def test_the_automaton_scores_clauses():
     grammar = toxicity.Grammar({"idiot": 4.0}, {"lowei": 3.0})
     score = lambda s: grammar.features(s)[0]
