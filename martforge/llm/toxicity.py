@@ -13,8 +13,9 @@ Grammar.  A clause is what lies between sentence marks and line breaks.  Five tr
 * reported speech: after a word of saying, or inside quotation marks, what is added is scaled.
 
 Their composition is the product automaton: the weight of an insult or threat arc times the factors of the
-scope states.  A clause's score is the sum over its path.  Isolated words do not count: a text's
-features are its best clause and the saturated sum over its clauses, and a logistic function, fitted on the
+scope states.  A clause's score is the sum over its path.  A lone insult is an accepting pattern of its own and adds its
+whole weight, because the labels of the tables call such texts toxic; a target only strengthens it, and a threat verb
+alone adds nothing.  A text's features are its best clause and the saturated sum over its clauses, and a logistic function, fitted on the
 training rows, maps them to 0 .. 1.
 
 Training uses about ``TRAIN_ROWS`` labelled rows (chosen by the hash of the id), each different text once,
