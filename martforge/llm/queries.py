@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import (bpe, decontam, exact_dedup, langid, line_dedup, sharding, simhash, token_files,
-                           toxicity, warc)
+from martforge.llm import (bpe, decontam, divergence, exact_dedup, langid, line_dedup, sharding, simhash, sketch,
+                           token_files, toxicity, vector_codes, warc)
 from martforge.llm.common import new_path, read
 
 
@@ -85,6 +85,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(revisit, page("refers_to")).alias("refers_to"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(books.sha256() if books else "").alias("codebooks_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -96,4 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_fingerprints": op13_fingerprints,
 }
