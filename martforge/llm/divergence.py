@@ -1,15 +1,13 @@
 """Source divergence audit: which terms set the sources of a language apart, over the terms that are common enough.
 
-Common terms are found by Iceberg prefix refinement.  Terms are cut to their first ``width`` bytes; a prefix that
-occurs in fewer than ``min_docs`` documents of its language is dropped with every term below it; kept prefixes are
-extended to twice the width, until no term is longer than the width.  A term shorter than the width is its own
-prefix, so what remains are complete terms with their exact document counts.  Rare terms (the long tail of any
-corpus) are never grouped as whole terms.
+Common terms are found by Iceberg prefix refinement.  Terms are cut to their first ``width`` bytes, and each document
+counts each of its prefixes once; a prefix in fewer than ``min_docs`` documents of its language is dropped with every
+term below it.  Only kept prefixes are extended, to twice the width, until none is as long as the width.  A term
+shorter than the width is its own prefix, so what remains are complete terms with their exact document counts.
 
-A prefix is counted once per document without gathering the document again: its terms are sorted, and a term is
-stored with the least width at which it differs from the term before it (``new_at``).  Its prefix of a width is the
-document's first of that kind exactly if ``new_at`` is not above the width, and so the stored rows can be summed over
-documents where the texts are read.
+Each level is a pass over the texts.  Tasks sum prefixes before anything is shuffled and leave out those whose shorter
+prefix was dropped.  They know the kept ones from a bitmap of fixed size (``SLOTS`` bits over hashes): a collision lets a
+prefix through that its own exact count then drops, so results do not depend on it.
 
 Distances are whole numbers: ``p = 1 + floor(1e9 (count + 5) / (N + 5 V))`` in decimals.  Distances between the
 sources of a language are summed over blocks of terms, so nothing is emitted per term and pair of sources.
@@ -22,8 +20,9 @@ result; terms and texts may be of any length; other columns, whatever their name
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,92 +33,121 @@ from pyspark.sql.window import Window
 from martforge.llm.common import small_batches, written
 
 MIN_DOCS = 30
-FIRST_WIDTH = 4          # bytes of the first prefixes
+FIRST_WIDTH = 6          # bytes of the first prefixes
+SLOTS = 1 << 24          # bits of the bitmap of kept prefixes: 2 MB, the bound of what is sent to the tasks
 SCALE, SMOOTH = 1_000_000_000, 5
 TOP_TERMS = 50
-HELD_TERMS = 300_000     # rows summed in a task before they are passed on
+HELD = 400_000           # prefixes or terms summed in a task before they are passed on
 CELLS = 2_000_000        # numbers of a block of terms x sources
 
 #: Bytes of terms: ASCII letters (A-Z lower-cased) and all bytes of other characters; the rest separates.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-_ROWS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("new_at", pa.int32()),
-                   ("docs", pa.int64()), ("n", pa.int64())])
 _SUMS = pa.schema([("lang", pa.string()), ("i", pa.int32()), ("j", pa.int32()), ("value", pa.int64())])
 
 
-def document_terms(text: str, first_width: int = FIRST_WIDTH) -> Iterator[tuple[bytes, int, int]]:
-    """``(term, new_at, occurrences)`` of one text, terms ascending."""
-    counts = Counter(text.encode().translate(_TERM_BYTES).split(b" "))
-    counts.pop(b"", None)
-    before = b""
-    for term in sorted(counts):
-        width = first_width
-        while term[:width] == before[:width]:
-            width *= 2
-        yield term, width, counts[term]
-        before = term
+def words_of(text: str) -> list[bytes]:
+    """The terms of a text, in order, repeats included."""
+    return text.encode().translate(_TERM_BYTES).split()
 
 
-def term_rows(docs: DataFrame, first_width: int = FIRST_WIDTH, held: int = HELD_TERMS) -> DataFrame:
-    """``lang, source, term, new_at, docs, n``, summed over the documents that a task holds.
+def bitmap_of(prefixes: DataFrame, slots: int = SLOTS) -> bytes:
+    """One bit for each hash of the ``lang, term`` rows."""
+    slot = F.crc32(F.concat(F.col("lang").cast("binary"), F.col("term"))) % slots + 1
+    found = prefixes.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()  # 4 KB each, slots / 32 768 rows
+    size = 4096
+    out = bytearray(max(slots // 8, size))
+    for r in found:
+        out[(r["bucket"] - 1) * size:r["bucket"] * size] = r["bits"]
+    return bytes(out[:max(slots // 8, 1)])
 
-    Each group also has a row of the empty term, so groups without terms are known.
+
+def _known(bits: bytes, lang: str, prefix: bytes, slots: int) -> bool:
+    slot = zlib.crc32(prefix, zlib.crc32(lang.encode())) % slots
+    return bool(bits[slot >> 3] >> (slot & 7) & 1)
+
+
+def _summed(docs: DataFrame, keys: list[str], add: Callable[[Counter, list[bytes]], None],
+            keep: Callable[[str, bytes], bool], held: int) -> DataFrame:
+    """``*keys, term, n``: counters over the words of each group's texts, summed where the texts are read.
+
+    A group also has a row of the empty term (n = 0), so groups without terms are known.
     """
+    schema = pa.schema([*[(k, pa.string()) for k in keys], ("term", pa.binary()), ("n", pa.int64())])
+
     def run(batches):
-        sums: dict[tuple[str, str], dict] = {}
+        sums: dict[tuple, Counter] = {}
         size = 0
 
         def out():
-            flat = [(*group, *key, *v) for group, terms in sums.items() for key, v in terms.items()]
-            for at in range(0, len(flat), 50_000):
-                columns = list(zip(*flat[at:at + 50_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS)], schema=_ROWS)
+            for group, counter in sums.items():
+                terms = [b"", *(t for t in counter if keep(group[0], t))]
+                for at in range(0, len(terms), 50_000):
+                    part = terms[at:at + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array([k] * len(part), pa.string()) for k in group], pa.array(part, pa.binary()),
+                         pa.array([counter[t] for t in part], pa.int64())], schema=schema)
 
         for batch in small_batches(batches):
-            texts, langs, sources = (batch.column(i) for i in range(3))
-            for i in range(batch.num_rows):
-                group = (langs[i].as_py(), sources[i].as_py())
-                terms = sums.get(group)
-                if terms is None:
-                    terms = sums[group] = {(b"", 0): [0, 0]}
-                before = len(terms)
-                for term, new_at, n in document_terms(texts[i].as_py(), first_width):
-                    seen = terms.get((term, new_at))
-                    if seen is None:
-                        terms[term, new_at] = [1, n]
-                    else:
-                        seen[0] += 1
-                        seen[1] += n
-                size += len(terms) - before
+            groups = zip(*(batch.column(k).to_pylist() for k in keys))
+            for group, text in zip(groups, batch.column("t")):
+                counter = sums.get(group)
+                if counter is None:
+                    counter = sums[group] = Counter()
+                size -= len(counter)
+                add(counter, words_of(text.as_py()))
+                size += len(counter)
                 if size >= held:
                     yield from out()
                     sums, size = {}, 0
         yield from out()
 
-    text, lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("text", "lang", "source"))
-    return docs.select(text.alias("t"), lang.alias("l"), source.alias("s")).mapInArrow(
-        run, "lang string, source string, term binary, new_at int, docs long, n long")
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in (("text", "t"), *((k, k) for k in keys))]
+    return docs.select(*named).mapInArrow(run, ", ".join(f"{k} string" for k in keys) + ", term binary, n long")
+
+
+def prefix_counts(docs: DataFrame, width: int, parents: tuple[bytes, int] | None = None, held: int = HELD,
+                  slots: int = SLOTS) -> DataFrame:
+    """``lang, term, n``: in how many documents each prefix of ``width`` bytes (or shorter term) occurs, as partial sums.
+
+    ``parents`` are the bitmap and the width of the prefixes kept before: only longer terms below them count.
+    """
+    bits, before = parents or (b"", 0)
+
+    def add(counter, words):
+        counter.update({w[:width] for w in words if len(w) >= before})
+
+    def keep(lang, prefix):
+        return not before or _known(bits, lang, prefix[:before], slots)
+
+    return _summed(docs, ["lang"], add, keep, held)
 
 
-def common_terms(rows: DataFrame, min_docs: int = MIN_DOCS, first_width: int = FIRST_WIDTH) -> DataFrame:
+def common_terms(docs: DataFrame, min_docs: int = MIN_DOCS, first_width: int = FIRST_WIDTH, held: int = HELD,
+                 slots: int = SLOTS) -> DataFrame:
     """``lang, term, docs`` of the terms in at least ``min_docs`` documents of a language, level by level."""
-    width, alive, kept = first_width, rows.where(F.octet_length("term") > 0), None
+    width, parents, kept = first_width, None, None
     while True:
-        prefix = F.substring("term", 1, width)
-        level = written(alive.where(F.col("new_at") <= width).groupBy("lang", prefix.alias("term"))
-                        .agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs), "prefixes")
+        counts = prefix_counts(docs, width, parents, held, slots).where(F.octet_length("term") > 0)
+        level = written(counts.groupBy("lang", "term").agg(F.sum("n").alias("docs")).where(F.col("docs") >= min_docs),
+                        "prefixes")
         whole = level.where(F.octet_length("term") < width)
         kept = whole if kept is None else kept.unionByName(whole)
-        longer = level.where(F.octet_length("term") == width).select(
-            F.col("lang").alias("__lang"), F.col("term").alias("__prefix"))
+        longer = level.where(F.octet_length("term") == width)
         if longer.isEmpty():
             return kept
-        # only terms below a kept prefix go on; what was kept at this width was kept at all before
-        alive = rows.join(longer, (F.col("lang") == F.col("__lang")) & (prefix == F.col("__prefix")), "left_semi")
+        parents = (bitmap_of(longer, slots), width)
         width *= 2
 
 
+def term_counts(docs: DataFrame, kept: DataFrame, held: int = HELD, slots: int = SLOTS) -> DataFrame:
+    """``lang, source, term, n``: occurrences of (at least) the kept terms, and the empty term of each group."""
+    bits = bitmap_of(kept, slots)
+    return _summed(docs, ["lang", "source"], lambda counter, words: counter.update(words),
+                   lambda lang, term: _known(bits, lang, term, slots), held)
+
+
 def share(count: Column, total: Column, kept: Column) -> Column:
     """``1 + floor(SCALE (count + SMOOTH) / (total + SMOOTH kept))`` in decimals; ``kept`` must not be 0."""
     wide = lambda c: c.cast("decimal(19,0)")
@@ -154,20 +182,16 @@ def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(np.arange(i + 1, size, dtype=np.int32)), pa.array(value)], schema=_SUMS)
 
 
-
-
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, first_width: int = FIRST_WIDTH) -> DataFrame:
     """``lang, source, part, item, value, rank``: ``pair`` rows (other sources) and ``term`` rows (``top`` terms)."""
-    rows = written(term_rows(docs, first_width), "terms")
-    kept = written(common_terms(rows, min_docs, first_width), "kept")
-    # lang and source of every group; the sums of kept terms; the number of kept terms of the language
-    cells = written(rows.where(F.octet_length("term") > 0)
-                    .join(kept.select("lang", "term"), ["lang", "term"], "left_semi")
-                    .groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "cells")
+    kept = written(common_terms(docs, min_docs, first_width), "kept")
+    # occurrences of kept terms by language and source; the empty term stands for its group
+    sums = written(term_counts(docs, kept).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "terms")
+    cells = written(sums.join(kept.select("lang", "term"), ["lang", "term"], "left_semi"), "cells")
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     of_lang = Window.partitionBy("lang")
     groups = written(
-        rows.where(F.octet_length("term") == 0).select("lang", "source").distinct()
+        sums.where(F.octet_length("term") == 0).select("lang", "source")
         .join(cells.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
         .join(sizes, "lang", "left").fillna(0, ["total", "kept"])
         .withColumn("lang_total", F.sum("total").over(of_lang))
@@ -182,11 +206,11 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, first
     # a group's p of a term that it does not hold, as one array a language, in the order of its sources
     rest = (groups.where("kept > 0").groupBy("lang").agg(F.sort_array(F.collect_list(F.struct(
         "at", share(F.lit(0), F.col("total"), F.col("kept")).alias("p")))).alias("rest")))
-    sums = (terms.select("lang", "found.at", "found.p").join(rest.select("lang", F.col("rest.p").alias("rest")), "lang")
+    apart = (terms.select("lang", "found.at", "found.p").join(rest.select("lang", F.col("rest.p").alias("rest")), "lang")
             .select("lang", "rest", "at", "p")
             .mapInArrow(_block_sums, "lang string, i int, j int, value long")
             .groupBy("lang", "i", "j").agg(F.sum("value").alias("value")))
-    both = sums.unionByName(sums.select("lang", F.col("j").alias("i"), F.col("i").alias("j"), "value"))
+    both = apart.unionByName(apart.select("lang", F.col("j").alias("i"), F.col("i").alias("j"), "value"))
     others = groups.select(F.col("lang").alias("__lang"), F.col("source").alias("item"), F.col("at").alias("j"))
     pairs = (groups.select("lang", "source", F.col("at").alias("i"))
              .join(others, (F.col("lang") == F.col("__lang")) & (F.col("i") != F.col("j")))  # the result's own rows
