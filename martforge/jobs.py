@@ -1,13 +1,15 @@
 """Batch job: all extracts and marts, one Parquet table each, in a new run folder.
 
-    python -m martforge.jobs --catalog sources.json --out <shared folder> [--previous <folder of the last run>]
+    python -m martforge.jobs --catalog sources.json --out <shared folder>
     python -m martforge.jobs --sf-dir <driver tables> --out <shared folder>
 
-* Extracts are written under ``<out>/<run>/raw/<name>``.  An extract whose source table is missing (and only that)
-  takes the previous run's table, if ``--previous`` names one; the report says so.  Any other error ends the run.
+* Extracts are written under ``<out>/<run>/raw/<name>``.  An extract that is gated off, or whose source table is missing
+  (and only that), is carried over from the newest complete run below ``out`` that has it; the manifest names the
+  run that computed it.  A missing source without such a run, and any other error, end the run.
 * Marts are written under ``<out>/<run>/marts/<name>`` from the written extracts and marts, never from a plan that
   reads the sources again.  The attributed page views are partitioned by date.
-* A run writes to its own folder, so no table is overwritten while it is read.
+* Every table is read back and checked; the manifest is written last and publishes the run (``sources.runs``).
+* One clock: ``JobParams.as_of`` bounds the calendar and stands for "now" in the marts.
 
 ``out`` must be a shared location (the cluster's storage).
 """
@@ -18,19 +20,19 @@ import argparse
 import datetime as dt
 import json
 import logging
-import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martforge.functions.agents import parse_agents
 from martforge.operators.aggregates import date_spine, days_per_week
 from martforge.operators.setops import union_distinct
 from martforge.plans import activity_marts, contact_marts, crm_extracts, crm_marts, extracts, spend, web_marts, workspace
 from martforge.sources.catalog import AdapterCatalog, SourceMissing, TableCatalog
-from martforge.sources.io import write_snapshot
+from martforge.sources.runs import TableEntry, newest_with, published, publish, write_table
 
 log = logging.getLogger(__name__)
 Source = Callable[[str], DataFrame]
@@ -40,14 +42,14 @@ Source = Callable[[str], DataFrame]
 class JobParams:
     """What a run is told: report dates, tenant constants and gates.
 
-    ``yesterday`` and ``year_ago`` bound the report's calendar; by default the day before ``as_of`` and the same
-    date one year earlier.
+    ``as_of`` is the run's only clock.  ``yesterday`` and ``year_ago`` bound the report's calendar; by default the day
+    before ``as_of`` and the same date one year earlier.
     """
 
     contact_rules: contact_marts.ContactRules
     rep_owner_id: int
     disposition_labels: dict
-    as_of: dt.datetime = dt.datetime(2024, 2, 1)
+    as_of: dt.datetime
     yesterday: dt.date | None = None
     year_ago: dt.date | None = None
     include_access_events: bool = False
@@ -56,7 +58,8 @@ class JobParams:
     activity_excluded_type: str = "Partner"
     lead_type: str = "Fill"
     second_pipeline: str = "other"
-    excluded_accounts: tuple[int, ...] = ()
+    linkedin_excluded: tuple[int, ...] = ()
+    facebook_excluded: tuple[int, ...] = ()
     conversion_types: tuple[str, ...] = ()
     deal_rules: crm_marts.DealRules = crm_marts.DealRules()
     web_rules: web_marts.WebRules = web_marts.WebRules()
@@ -75,7 +78,8 @@ def adapter_params() -> JobParams:
     labels = dict(crm_adapters.DISPOSITION_LABELS)
     return JobParams(contact_rules=contact_marts.adapted_rules(), rep_owner_id=crm_adapters.REP_OWNER_ID,
                      disposition_labels=labels, include_access_events=True, portal_id=extract_adapters.PORTAL_ID,
-                     excluded_accounts=(ad_adapters.EXCLUDED_ACCOUNT,), conversion_types=ad_adapters.FB_CONVERSION_TYPES,
+                     as_of=contact_marts.ADAPTED_AS_OF, linkedin_excluded=ad_adapters.LINKEDIN_EXCLUDED,
+                     facebook_excluded=ad_adapters.FACEBOOK_EXCLUDED, conversion_types=ad_adapters.FB_CONVERSION_TYPES,
                      web_rules=web_marts.ADAPTED_RULES, spend_rules=spend.ADAPTED_RULES)
 
 
@@ -128,7 +132,7 @@ EXTRACTS: dict[str, Callable[[Source, JobParams], DataFrame]] = {
     "marketing_spend": lambda s, p: spend.marketing_spend(
         s("ads.linkedin_analytics"), s("ads.linkedin_campaigns"), s("ads.linkedin_groups"), s("ads.bing_report"),
         s("ads.bing_campaigns"), s("ads.facebook_ads"), s("ads.facebook_actions"), s("ads.search_main"),
-        s("ads.search_uk"), p.excluded_accounts, p.conversion_types),
+        s("ads.search_uk"), p.linkedin_excluded, p.facebook_excluded, p.conversion_types),
     "rep_engagements": lambda s, p: activity_marts.rep_engagements(
         s("mkt.engagement"), s("mkt.engagement_contact"), s("mkt.engagement_call"), s("mkt.engagement_meeting"),
         s("mkt.engagement_email"), p.rep_owner_id),
@@ -181,7 +185,7 @@ def _sales_contacts(t: Source, p: JobParams) -> DataFrame:
     return contact_marts.contact_mart(
         t("contacts"), t("companies"), contact_marts.scheduled_by_email(tours, "Call"),
         contact_marts.scheduled_by_email(tours, "Tour"), contact_marts.emails_by_contact(t("email_log")),
-        contact_marts.calls_by_contact(t("phone_call_log"), p.contact_rules), p.contact_rules)
+        contact_marts.calls_by_contact(t("phone_call_log"), p.contact_rules), p.contact_rules, p.as_of)
 
 
 def _summary(t: Source, p: JobParams) -> DataFrame:
@@ -211,57 +215,69 @@ MARTS: dict[str, Callable[[Source, JobParams], DataFrame]] = {
         t("dim.locations")),
 }
 PARTITIONED = {"attributed_pageviews": ["seg_date"]}
+#: Columns that must not repeat in a written table.
+KEYS = {"daily_visitors": ["dau_date", "anonymous_id", "landing_content"], "report_weeks": ["report_week"]}
+#: Extracts that run only if the parameter of this name is set.
+GATES = {"access_events": "include_access_events"}
 
 
 class Written:
-    """Tables that a run has written, read from storage; dimensions come from the sources."""
+    """Tables that the run has written, read from storage; dimensions come from the sources."""
 
-    def __init__(self, spark: SparkSession, source: Source, paths: dict[str, str]):
-        self.spark, self.source, self.paths = spark, source, paths
+    def __init__(self, spark: SparkSession, source: Source, folder: str, entries: dict[str, TableEntry]):
+        self.spark, self.source, self.folder, self.entries = spark, source, folder, entries
 
     def __call__(self, name: str) -> DataFrame:
         if name in DIMENSIONS:
             return self.source(name)
-        df = self.spark.read.parquet(self.paths[name])
-        return df.withColumn("seg_date", F.to_date("seg_date")) if name in PARTITIONED else df
+        entry = self.entries[name]
+        return self.spark.read.schema(StructType.fromJson(json.loads(entry.schema))).parquet(
+            f"{self.folder}/{entry.folder}/{name}")
 
 
-def write_extracts(spark: SparkSession, source: Source, out: str, params: JobParams,
-                   previous: str | None = None) -> dict[str, str]:
-    """Write all extracts; name -> path.  A missing source takes the previous run's table."""
-    written = {}
+def write_extracts(spark: SparkSession, source: Source, out: str, run_id: str, params: JobParams) -> dict[str, TableEntry]:
+    """Write all extracts of a run; those that are gated off or missing come from an earlier run."""
+    written, earlier = {}, published(spark, out)
     for name, build in EXTRACTS.items():
-        if name == "access_events" and not params.include_access_events:
-            continue
-        try:
-            df = build(source, params)
-        except SourceMissing as missing:
-            if not previous:
-                raise
-            old = os.path.join(previous, "raw", name)
-            log.warning("extract %s: source %s is missing, taking %s", name, missing, old)
-            df = spark.read.parquet(old)
-        written[name] = write_snapshot(df, os.path.join(out, "raw"), name)
+        df, origin, reason = None, run_id, None
+        if name in GATES and not getattr(params, GATES[name]):
+            reason = f"{GATES[name]} is off"
+        else:
+            try:
+                df = build(source, params)
+            except SourceMissing as missing:
+                reason = missing
+        if df is None:
+            old = newest_with(spark, out, name, earlier)
+            if old is None and isinstance(reason, SourceMissing):
+                raise reason
+            if old is None:
+                log.warning("extract %s: %s and no complete run has it; left out", name, reason)
+                continue
+            df, origin = old[0], old[1].origin
+            log.warning("extract %s: %s; carried over from run %s", name, reason, origin)
+        written[name] = write_table(df, out, run_id, "raw", name, origin, keys=KEYS.get(name, ()))
     return written
 
 
-def write_marts(spark: SparkSession, source: Source, out: str, params: JobParams, raw: dict[str, str]) -> dict[str, str]:
-    """Write all marts from written tables; name -> path."""
-    paths = dict(raw)
-    tables = Written(spark, source, paths)
+def write_marts(spark: SparkSession, source: Source, out: str, run_id: str, params: JobParams,
+                raw: dict[str, TableEntry]) -> dict[str, TableEntry]:
+    """Write all marts of a run from its written tables."""
+    entries = dict(raw)
+    tables = Written(spark, source, f"{out}/{run_id}", entries)
     for name, build in MARTS.items():
-        paths[name] = write_snapshot(build(tables, params), os.path.join(out, "marts"), name, PARTITIONED.get(name))
-    return {name: paths[name] for name in MARTS}
+        entries[name] = write_table(build(tables, params), out, run_id, "marts", name,
+                                    partition_by=PARTITIONED.get(name, ()), keys=KEYS.get(name, ()))
+    return {name: entries[name] for name in MARTS}
 
 
-def run(spark: SparkSession, source: Source, out: str, params: JobParams, previous: str | None = None,
-        run_id: str | None = None) -> dict[str, str]:
-    """One run in a new folder below ``out``; name -> path of everything written."""
-    folder = os.path.join(out, run_id or dt.datetime.now(dt.timezone.utc).strftime("run-%Y%m%dT%H%M%S"))
-    if previous and os.path.normpath(previous) == os.path.normpath(folder):
-        raise ValueError("a run must not write to the folder it falls back on")
-    raw = write_extracts(spark, source, folder, params, previous)
-    return raw | write_marts(spark, source, folder, params, raw)
+def run(spark: SparkSession, source: Source, out: str, params: JobParams, run_id: str | None = None) -> dict[str, TableEntry]:
+    """One run in a new folder below ``out``, published when all of it is written and checked."""
+    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("run-%Y%m%dT%H%M%S")
+    raw = write_extracts(spark, source, out, run_id, params)
+    entries = raw | write_marts(spark, source, out, run_id, params, raw)
+    publish(spark, out, run_id, params.as_of, list(entries.values()))
+    return entries
 
 
 def main(argv=None) -> None:
@@ -269,7 +285,6 @@ def main(argv=None) -> None:
     ap.add_argument("--sf-dir", help="driver tables")
     ap.add_argument("--catalog", help='JSON file: {"sources": {name: place}, "params": {...}}')
     ap.add_argument("--out", required=True, help="shared output folder")
-    ap.add_argument("--previous", help="folder of the previous run")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
     if bool(args.sf_dir) == bool(args.catalog):
@@ -285,8 +300,8 @@ def main(argv=None) -> None:
         source, params = TableCatalog(spark, given["sources"]), params_from(given["params"])
     else:
         source, params = AdapterCatalog(spark, args.sf_dir), adapter_params()
-    for name, path in run(spark, source, args.out, params, args.previous).items():
-        print(f"{name}\t{path}")
+    for name, entry in run(spark, source, args.out, params).items():
+        print(f"{name}\t{entry.rows} rows, computed by {entry.origin}")
 
 
 if __name__ == "__main__":

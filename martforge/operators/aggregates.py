@@ -28,6 +28,18 @@ def string_agg_distinct(col, sep: str = "; ", na: str | None = "NA") -> Column:
     return F.array_join(F.array_sort(F.collect_set(c)), sep)
 
 
+def join_distinct(df: DataFrame, by: Sequence[str], col: str, out: str, sep: str = "; ", na: str | None = "NA") -> DataFrame:
+    """``by, out``: the sorted distinct values of ``col`` per group, joined by ``sep``; NULL prints as ``na`` when given.
+
+    A hash aggregation reduces copies first, so a group's buffer holds each of its values once, however many rows
+    it has: the bound is the length of the result text.
+    """
+    c = F.col(col) if na is None else F.coalesce(F.col(col), F.lit(na))
+    pairs = df.select(*by, c.alias("__text")).distinct()
+    quoted = sep.replace("\\", "\\\\").replace("'", "\\'")
+    return pairs.groupBy(*by).agg(F.expr(f"coalesce(listagg(__text, '{quoted}') WITHIN GROUP (ORDER BY __text), '')").alias(out))
+
+
 def fill_by_type(df: DataFrame, numeric=None, text=None) -> DataFrame:
     """Replace NULL in every numeric column with ``numeric`` and/or every string
     column with ``text`` (the schema is inspected, not the data)."""

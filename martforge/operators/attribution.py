@@ -12,10 +12,12 @@ each needs the whole table again.  They compose:
 * the last two fills need, per chunk, the labelled medium of its last row.
 
 So every carry follows from one summary row per (visitor, chunk), with chunks
-of one minute: running windows inside a chunk give the local values, windows over
-the summary give what earlier and later chunks contribute, and one join brings
-it back.  A visitor with a third of all rows is spread over as many tasks as it
-has minutes; the plan is the same at every size.
+of one minute: running windows inside a chunk give the local values and, at its
+last row, the summary; windows over the summaries give what earlier and later
+chunks contribute, and one join brings it back.  Rows and summaries read one
+exchange (``operators.layout``), so what stands before it is computed once.  A
+visitor with a third of all rows is spread over as many tasks as it has
+minutes; the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -26,38 +28,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.functions.dates import minute_trunc
-from martforge.operators.keys import surrogate_names, with_surrogates
-
-CHUNK = "__chunk"
+from martforge.operators.keys import surrogate_names
+from martforge.operators.layout import CHUNK, chunk_position, deal, in_chunk, last_rows, value
 
 
 def attribute(df: DataFrame, visitor: str, day: str, order: Sequence[str], cols: Sequence[str], medium: str,
               label: Callable[[Column], Column], missing: Column, promote: Column | None = None,
               promoted: str = "organic", landing: tuple[str, str] | None = None,
-              unknown: str | None = None) -> DataFrame:
+              unknown: str | None = None, position: str | None = None) -> DataFrame:
     """``df`` with ``cols`` filled per visitor-day and ``medium`` (one of them) attributed.
 
     ``label`` maps a known medium, ``missing`` is the row's label without one (may be NULL), ``promote`` marks
     rows that give their whole day the medium ``promoted`` if it has none.  ``landing`` is (source column, name):
-    its value on the first row of the visitor-day, NULL kept.  ``order`` begins with the event time.
+    its value on the first row of the visitor-day, NULL kept.  ``order`` begins with the event time.  ``position`` names
+    a column for a row's place in the visitor's ``order``, as one number.
     """
     cols, order = list(cols), list(order)
-    rows = df.withColumns({CHUNK: minute_trunc(order[0]), "__miss": missing,
-                           "__prom": F.coalesce(promote, F.lit(False)) if promote is not None else F.lit(False)})
-    rows = with_surrogates(rows, [visitor, CHUNK])
-    part = surrogate_names([visitor, CHUNK])
-    person = surrogate_names([visitor])
-    key = F.struct(*[F.col(o) for o in order])
+    marked = df.withColumns({"__miss": missing, "__prom": F.coalesce(promote, F.lit(False)) if promote is not None
+                             else F.lit(False)})
+    dealt = deal(marked, [visitor], minute_trunc(order[0]))
+    part, person = surrogate_names([visitor, CHUNK]), surrogate_names([visitor])
     values = [*cols, "__miss"]
 
     # what each chunk contributes to others
-    aggs = [F.max("__prom").alias("__p")]
-    for c in values:
-        present = F.when(F.col(c).isNotNull(), key)
-        aggs += [F.max_by(c, present).alias(f"__last_{c}"), F.min_by(c, present).alias(f"__first_{c}")]
-    if landing:
-        aggs.append(F.min_by(landing[0], key).alias("__land"))
-    summary = rows.groupBy(*part, day, CHUNK).agg(*aggs)
+    summary = last_rows(dealt, part, order, [day, CHUNK], {f"__last_{c}": c for c in values},
+                        {f"__first_{c}": c for c in values}, {"__p": "__prom"},
+                        {"__land": landing[0]} if landing else {})
     ordered = Window.partitionBy(*person, day).orderBy(F.col(CHUNK).asc_nulls_first())
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -78,9 +74,12 @@ def attribute(df: DataFrame, visitor: str, day: str, order: Sequence[str], cols:
         *part, *[f"__in_{c}" for c in cols], *[f"__day_{c}" for c in values], "__day_p", "__in_label",
         *(["__day_land"] if landing else []))
 
-    running = Window.partitionBy(*part).orderBy(*[F.col(o).asc_nulls_first() for o in order]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+    inside = in_chunk(part, order)
+    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = dealt.select(*part, *[value(c).alias(c) for c in [*marked.columns, CHUNK]])
     local = rows.withColumns({f"__run_{c}": F.last(c, ignorenulls=True).over(running) for c in values})
+    if position:
+        local = local.withColumn(position, chunk_position(CHUNK, F.row_number().over(inside)))
     out = local.join(carried, part, "left")
     filled = {c: F.coalesce(F.col(f"__run_{c}"), F.col(f"__in_{c}"), F.col(f"__day_{c}")) for c in cols}
     own = (F.when(F.col(f"__day_{medium}").isNotNull(), label(filled[medium]))
@@ -90,4 +89,4 @@ def attribute(df: DataFrame, visitor: str, day: str, order: Sequence[str], cols:
     result = [made.get(c, F.col(c)).alias(c) for c in df.columns]
     if landing:
         result.append(F.col("__day_land").alias(landing[1]))
-    return out.select(*result)
+    return out.select(*result, *([position] if position else []))

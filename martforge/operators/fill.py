@@ -11,20 +11,19 @@ unboundedFollowing`` frame is quadratic in Spark and is never used.
 
 Skew: a plain window puts a whole group into one task.  With ``chunk`` (a
 column that is non-decreasing in ``order``, e.g. the minute of the event
-time) the scan is segmented:
+time) the scan is segmented over one layout (``operators.layout``):
 
-1. local fill inside each (group, chunk) with a window,
-2. a per-chunk summary (last / first non-NULL value) via ``groupBy`` with
-   map-side partial aggregation, over the few columns it needs,
-3. a carry over the (small) summary: nearest non-NULL of earlier / later
-   chunks, by a window over chunks of one group,
-4. a join of the carry back on (group, chunk), which the local window's
-   partitioning serves already.
+1. the rows are dealt by (group, chunk), once,
+2. a running window inside each chunk gives the local values,
+3. the chunk's last row is its summary; a window over the summaries gives
+   the nearest non-NULL value of earlier / later chunks,
+4. a join brings it back on (group, chunk), as which the rows are dealt.
 
 A hot group is then spread over as many tasks as it has chunks.
 ``chunk_by`` names the subset of ``by`` that, together with the chunk,
 identifies a chunk (e.g. ``by=[visitor, day]``, ``chunk=minute``,
-``chunk_by=[visitor]``, since the minute determines the day).
+``chunk_by=[visitor]``, since the minute determines the day).  Without
+``chunk`` (no column that grows with the order) a plain window is used.
 """
 
 from __future__ import annotations
@@ -34,9 +33,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.operators.keys import surrogate_names, with_surrogates
+from martforge.operators.keys import surrogate_names
+from martforge.operators.layout import CHUNK, deal, in_chunk, last_rows, value
 
-CHUNK = "__chunk"
 _DIRECTIONS = ("down", "up", "downup", "updown")
 
 
@@ -83,55 +82,34 @@ def _fill_plain(df, by, order, cols, direction, need_down, need_up):
 
 def _fill_chunked(df, by, order, cols, direction, need_down, need_up, chunk, chunk_by):
     extra = [k for k in by if k not in chunk_by]
-    base = with_surrogates(df.withColumn(CHUNK, chunk), chunk_by + [CHUNK])
-    part = surrogate_names(chunk_by + [CHUNK])
-    group = surrogate_names(chunk_by) + extra
-    # 1. local fill inside (group, chunk)
-    w_down = Window.partitionBy(*part).orderBy(*_order_cols(order, True)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    w_up = Window.partitionBy(*part).orderBy(*_order_cols(order, False)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = {}
+    part, group = surrogate_names([*chunk_by, CHUNK]), [*surrogate_names(chunk_by), *extra]
+    dealt = deal(df, chunk_by, chunk)
+    # a chunk's contribution to others, and what it takes from them (one row per chunk)
+    ends = last_rows(dealt, part, order, [*extra, CHUNK], {f"__sl_{c}": c for c in cols} if need_down else {},
+                     {f"__sf_{c}": c for c in cols} if need_up else {})
+    before = Window.partitionBy(*group).orderBy(F.col(CHUNK).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*group).orderBy(F.col(CHUNK).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = []
     for c in cols:
         if need_down:
-            local[f"__ld_{c}"] = F.last(c, ignorenulls=True).over(w_down)
+            carried.append(F.last(f"__sl_{c}", ignorenulls=True).over(before).alias(f"__cd_{c}"))
         if need_up:
-            local[f"__lu_{c}"] = F.last(c, ignorenulls=True).over(w_up)
-    filled = base.withColumns(local)
-
-    # 2. per-chunk summary
-    ordkey = F.struct(*[F.col(o) for o in order])
-    aggs = []
-    for c in cols:
-        present = F.when(F.col(c).isNotNull(), ordkey)
-        if need_down:
-            aggs.append(F.max_by(F.col(c), present).alias(f"__sl_{c}"))
-        if need_up:
-            aggs.append(F.min_by(F.col(c), present).alias(f"__sf_{c}"))
-    summary = base.groupBy(*part, *extra, CHUNK).agg(*aggs)
-
-    # 3. carry from neighbouring chunks of the same group (one row per chunk)
-    wc_down = Window.partitionBy(*group).orderBy(F.col(CHUNK).asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    wc_up = Window.partitionBy(*group).orderBy(F.col(CHUNK).desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    carry_cols = []
+            carried.append(F.last(f"__sf_{c}", ignorenulls=True).over(after).alias(f"__cu_{c}"))
+    carry = ends.select(*part, *carried)
+    # the local values
+    rows = dealt.select(*part, *[value(c).alias(c) for c in df.columns])
+    down = in_chunk(part, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    up = in_chunk(part, order, ascending=False).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = {}
     for c in cols:
         if need_down:
-            carry_cols.append(F.last(f"__sl_{c}", ignorenulls=True).over(wc_down).alias(f"__cd_{c}"))
+            local[f"__ld_{c}"] = F.last(c, ignorenulls=True).over(down)
         if need_up:
-            carry_cols.append(F.last(f"__sf_{c}", ignorenulls=True).over(wc_up).alias(f"__cu_{c}"))
-    carry = summary.select(*part, *carry_cols)
-
-    # 4. join back on (group, chunk); same keys as the local window's partitioning
-    joined = filled.join(carry, on=part, how="left")
-    new = {}
-    for c in cols:
-        down = F.coalesce(F.col(f"__ld_{c}"), F.col(f"__cd_{c}")) if need_down else None
-        up = F.coalesce(F.col(f"__lu_{c}"), F.col(f"__cu_{c}")) if need_up else None
-        new[c] = _combine(direction, down, up)
-    out = joined.withColumns(new)
-    return out.select(*df.columns)
+            local[f"__lu_{c}"] = F.last(c, ignorenulls=True).over(up)
+    joined = rows.withColumns(local).join(carry, on=part, how="left")
+    new = {c: _combine(direction, F.coalesce(f"__ld_{c}", f"__cd_{c}") if need_down else None,
+                       F.coalesce(f"__lu_{c}", f"__cu_{c}") if need_up else None) for c in cols}
+    return joined.withColumns(new).select(*df.columns)
 
 
 def first_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str,

@@ -9,7 +9,8 @@ only its own top rows of a key: a hot key is cut down map-side.
 ``change_points`` keeps rows whose value differs from the previous row of
 the group (``lag`` with a default; NULL comparisons drop the row).  With a
 ``chunk`` column the lag is segmented like the fills: the first row of a
-chunk takes the last value of the previous chunk from a small summary.
+chunk takes the last value of the previous chunk from a small summary
+(``operators.layout``).  Without ``chunk`` a plain window is used.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.operators.keys import surrogate_names, with_surrogates
+from martforge.operators.keys import surrogate_names
+from martforge.operators.layout import CHUNK, deal, in_chunk, last_rows, value
 
-CHUNK = "__chunk"
 
 
 def _ordering(order) -> list[Column]:
@@ -54,24 +55,17 @@ def lag_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str], col: st
 
     chunk_by = list(chunk_by) if chunk_by is not None else by
     extra = [k for k in by if k not in chunk_by]
-    base = with_surrogates(df.withColumn(CHUNK, chunk), chunk_by + [CHUNK])
-    part = surrogate_names(chunk_by + [CHUNK])
-    group = surrogate_names(chunk_by) + extra
-
-    wl = Window.partitionBy(*part).orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    local = base.withColumns({"__lag": F.lag(col, 1).over(wl),
-                              "__first": F.lag(F.lit(1), 1).over(wl).isNull()})
-    ordkey = F.struct(*[F.col(o) for o in order])
-    summary = base.groupBy(*part, *extra, CHUNK).agg(F.max_by(F.col(col), ordkey).alias("__last"))
-    wc = Window.partitionBy(*group).orderBy(F.col(CHUNK).asc_nulls_first())
-    carry = summary.select(*part, F.lag("__last", 1).over(wc).alias("__prev"),
-                           F.lag(F.lit(1), 1).over(wc).isNotNull().alias("__has_prev"))
-    joined = local.join(carry, on=part, how="left")
-    value = (F.when(~F.col("__first"), F.col("__lag"))
-             .when(F.col("__has_prev"), F.col("__prev"))
-             .otherwise(dflt.cast(df.schema[col].dataType)))
-    res = joined.withColumn(out, value)
-    return res.select(*df.columns, out)
+    part, group = surrogate_names([*chunk_by, CHUNK]), [*surrogate_names(chunk_by), *extra]
+    dealt = deal(df, chunk_by, chunk)
+    between = Window.partitionBy(*group).orderBy(F.col(CHUNK).asc_nulls_first())
+    carry = last_rows(dealt, part, order, list(dict.fromkeys([*extra, CHUNK, col]))).select(
+        *part, F.lag(col, 1).over(between).alias("__prev"), F.lag(F.lit(1), 1).over(between).isNotNull().alias("__has_prev"))
+    ordered = in_chunk(part, order)
+    rows = dealt.select(*part, *[value(c).alias(c) for c in df.columns])
+    local = rows.withColumns({"__lag": F.lag(col, 1).over(ordered), "__first": F.lag(F.lit(1), 1).over(ordered).isNull()})
+    previous = (F.when(~F.col("__first"), F.col("__lag")).when(F.col("__has_prev"), F.col("__prev"))
+                .otherwise(dflt.cast(df.schema[col].dataType)))
+    return local.join(carry, on=part, how="left").withColumn(out, previous).select(*df.columns, out)
 
 
 def change_points(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str,

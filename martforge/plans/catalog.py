@@ -69,6 +69,7 @@ QUERIES: dict[str, QueryFn] = {
     "daily_visitors": web_marts.daily_visitors_q,
     "form_conversions": web_marts.form_conversions_q,
     "user_agents": web_marts.user_agents_q,
+    "ip_range_lookup": web_marts.ip_range_lookup_q,
     "deal_stage_history": crm_marts.deal_stage_history_q,
     "deal_mart": crm_marts.deal_mart_q,
     "contact_mart": contact_marts.contact_mart_q,

@@ -41,7 +41,6 @@ class ContactRules:
     own_home: str = r"own\.example/$"
     own_site: str = r"own\.example"
     meeting_host: str = r"meetings\.example"
-    as_of: dt.datetime = dt.datetime(2024, 2, 1)
     disposition_labels: tuple[tuple[str, str], ...] = ()
 
 
@@ -127,7 +126,8 @@ def _acquisition_source(rules: ContactRules):
 
 
 def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFrame, tours_sched: DataFrame,
-                 emails: DataFrame, calls: DataFrame, rules: ContactRules) -> DataFrame:
+                 emails: DataFrame, calls: DataFrame, rules: ContactRules, as_of: dt.datetime) -> DataFrame:
+    """``as_of`` is the run's clock: contacts without outreach count up to it."""
     df = contacts.withColumn("create_date", F.to_date("property_createdate"))
     df = df.where(not_matches("property_lastname", rules.test_name) & not_matches("property_firstname", rules.test_name)
                   & not_matches("property_company", rules.company_drop)
@@ -186,7 +186,7 @@ def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFra
         "scheduled_meeting": F.when(na("first_created_scheduled_tour") + na("first_created_scheduled_call") == 2, 0)
         .otherwise(1),
         "engaged_contact": F.when(na("first_email_response") + na("first_call_connected") < 2, 1).otherwise(0),
-        "first_outreach": F.coalesce(F.col("first_outbound_email"), F.lit(rules.as_of.isoformat(sep=" ")).cast("timestamp_ntz")),
+        "first_outreach": F.coalesce(F.col("first_outbound_email"), F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")),
         "no_outreach": F.when(na("first_outbound_call") + na("first_outbound_email") == 2, 1).otherwise(0),
     })
     return out.withColumn("time_to_first_contact", hours_between("first_outreach", "lead_date"))
@@ -194,6 +194,10 @@ def contact_mart(contacts: DataFrame, companies: DataFrame, calls_sched: DataFra
 
 # ---------------------------------------------------------------- adapted runs on the driver tables
 
+#: The clock of the runs on the driver tables, whose events end at this time.
+ADAPTED_AS_OF = dt.datetime(2024, 2, 1)
+
+
 def adapted_rules() -> ContactRules:
     """Rules that fit the contacts derived from the driver tables."""
     from martforge.sources import crm_adapters as A
@@ -235,4 +239,4 @@ def contact_mart_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         list_contacts(A.contact_list_member(spark, sf_dir), contacts_all, rules), A.company(spark, sf_dir),
         scheduled_by_email(tours, "Call"), scheduled_by_email(tours, "Tour"),
         emails_by_contact(email_log(A.engagement_email(spark, sf_dir), ec, eng)),
-        calls_by_contact(phone_call_log(A.engagement_call(spark, sf_dir), ec, eng), rules), rules)
+        calls_by_contact(phone_call_log(A.engagement_call(spark, sf_dir), ec, eng), rules), rules, ADAPTED_AS_OF)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martforge.functions.dates import calendar_columns
 from martforge.functions.nulls import matches, paste
 from martforge.functions.rules import code_map, ladder
-from martforge.operators.aggregates import cond_sums, string_agg_distinct
+from martforge.operators.aggregates import cond_sums, join_distinct
 from martforge.operators.history import latest_version, top_row
 from martforge.operators.joins import null_safe_join
 from martforge.operators.setops import append_row
@@ -174,7 +174,7 @@ def string_agg_distinct_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted distinct priorities per customer; one value replaced by NULL prints 'NA'."""
     o = _orders(spark, sf_dir, ("o_custkey", "o_orderpriority")).withColumn(
         "p", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
-    return o.groupBy("o_custkey").agg(string_agg_distinct("p").alias("priorities"))
+    return join_distinct(o, ["o_custkey"], "p", "priorities")
 
 
 # Code -> label map for the two-else recode.

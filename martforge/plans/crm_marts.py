@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from martforge.functions.dates import minute_trunc, month_start, quarter_start, week_start, weekday_mon1
 from martforge.functions.nulls import eq_or_false, matches, paste
 from martforge.functions.rules import ladder
-from martforge.operators.aggregates import string_agg_distinct
+from martforge.operators.aggregates import join_distinct
 from martforge.operators.history import change_points, latest_version, top_row
 from martforge.operators.joins import null_safe_join
 from martforge.operators.setops import union_tagged
@@ -111,7 +111,7 @@ def broker_deals(roles: DataFrame) -> DataFrame:
 
 def deal_contacts(roles: DataFrame) -> DataFrame:
     r = roles.withColumn("deal_contact", F.coalesce(F.nullif(F.col("account"), F.lit("Unknown")), F.col("name")))
-    return r.groupBy("opportunity_id").agg(string_agg_distinct("deal_contact").alias("associated_contacts"))
+    return join_distinct(r, ["opportunity_id"], "deal_contact", "associated_contacts")
 
 
 def _acquisition_source(rules: DealRules):

@@ -36,7 +36,7 @@ agents(slot, agent, ua_family, device_family, device_brand, device_model, os_fam
  (5, 'Mozilla/5.0 (Linux; Android 14; Pixel 8 Pro) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/118.0.0.0 Mobile Safari/537.36',
   'Chrome Mobile', 'Pixel', 'Google', 'Pixel 8 Pro', 'Android', '14'),
  (6, 'Mozilla/5.0 (X11; Linux x86_64; rv:120.0) Gecko/20100101 Firefox/120.0', 'Firefox', 'Other', NULL, NULL, 'Linux', NULL),
- (7, 'curl/8.4.0', 'Other', 'Other', NULL, NULL, 'Other', NULL),
+ (7, 'curl/8.4.0', 'curl', 'Other', NULL, NULL, 'Other', NULL),
  (8, 'Mozilla/5.0 (compatible; ExampleBot/2.1; +https://bot.example/about)', 'ExampleBot', 'Spider', NULL, NULL, 'Other', NULL),
  (9, 'Mozilla/5.0 (iPhone; CPU iPhone OS 15_2 like Mac OS X) Ads-Overview/7.1', 'Other', 'iPhone', 'Apple', 'iPhone', 'iOS',
   '15')),
@@ -616,7 +616,7 @@ la AS (SELECT l_partkey AS campaign_id, l_shipdate AS day, CAST(l_quantity * 10
               CAST(l_quantity AS BIGINT) AS clicks, CAST(l_linenumber AS BIGINT) AS conv, l_extendedprice AS cost
        FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'),
 lc AS (SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS gid,
-              CAST(CASE WHEN p_brand = 'Brand#1' THEN 999 ELSE 1 END AS BIGINT) AS account_id FROM part),
+              CAST(CASE WHEN p_brand = 'Brand#1' THEN 999 WHEN p_brand = 'Brand#2' THEN 998 ELSE 1 END AS BIGINT) AS account_id FROM part),
 lg AS (SELECT CAST(p_size AS BIGINT) AS id, p_type || ' group' AS name,
               CASE WHEN p_partkey % 7 <> 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_seconds(p_partkey) END AS lmt
        FROM part),
@@ -635,7 +635,7 @@ leg_bing AS (SELECT bc.name AS campaign_name, br.date AS campaign_date, CAST(sum
                     {_MONEY.format('br.spend')} AS spend, 'Bing' AS source
              FROM br JOIN bc ON br.campaign_id = bc.id GROUP BY bc.name, br.date),
 fa AS (SELECT p.p_name AS campaign_name, CAST(l.l_shipdate AS DATE) AS date, l.l_orderkey AS ad_id,
-              CASE WHEN l.l_suppkey = 1 THEN 999 ELSE 2 END AS account_id,
+              CASE WHEN l.l_suppkey = 1 THEN 998 WHEN l.l_suppkey = 2 THEN 999 ELSE 2 END AS account_id,
               CAST(l.l_quantity * 10 AS BIGINT) AS impressions, CAST(l.l_quantity AS BIGINT) AS inline_link_clicks,
               l.l_extendedprice AS spend
        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag = 'N' AND l.l_linestatus = 'F'),
@@ -647,7 +647,7 @@ fc AS (SELECT date, ad_id, count(*) AS conversions FROM fx
        WHERE action_type IN ('onsite_conversion.post_save', 'leadgen.other') GROUP BY date, ad_id),
 leg_fb AS (SELECT fa.campaign_name, fa.date AS campaign_date, fa.impressions, fa.inline_link_clicks AS clicks,
                   CAST(fc.conversions AS DOUBLE) AS conversions, fa.spend, 'Facebook' AS source
-           FROM fa LEFT JOIN fc ON fa.ad_id = fc.ad_id AND fa.date = fc.date WHERE fa.account_id NOT IN (999)),
+           FROM fa LEFT JOIN fc ON fa.ad_id = fc.ad_id AND fa.date = fc.date WHERE fa.account_id NOT IN (998)),
 sm AS ({_search("l.l_returnflag = 'N' AND l.l_linestatus = 'O'")}),
 su AS ({_search("l.l_returnflag = 'R'")}),
 spend AS (SELECT * FROM leg_li UNION SELECT * FROM leg_bing UNION SELECT * FROM leg_fb
@@ -1040,3 +1040,23 @@ JOIN rt ON op.record_type_id = rt.id AND rt.sobject_type = 'Opportunity'
         AND rt.name IN ('Broker-Led', 'Local Fill', 'Enterprise')
 WHERE f.type = 'TextPost' AND f.is_deleted IS false
 """
+
+# Ranges: networks of customers (one of 256 addresses each, nested in one of 65 536 per nation) and odd ranges that
+# begin and end inside them; every seventh visitor has an IPv6 address.
+ORACLE["ip_range_lookup"] = """
+WITH a AS (
+  SELECT DISTINCT user_id AS u FROM events
+), x AS (
+  SELECT CASE WHEN u % 7 = 0 THEN '2001:db8:' || to_hex(u % 25) || '::' || to_hex(u % 4096)
+              ELSE '10.' || (u % 25) || '.' || (u % 211) || '.' || (u % 256) END AS context_ip,
+         u % 7 = 0 AS v6, (u % 25)::HUGEINT AS n, CASE WHEN u % 7 = 0 THEN (u % 4096)::HUGEINT ELSE 256 * (u % 211) + u % 256 END AS k
+  FROM a
+), r AS (
+  SELECT false AS v6, n_nationkey::HUGEINT AS n, 0::HUGEINT AS lo, 65535::HUGEINT AS hi, n_name AS org FROM nation
+  UNION ALL SELECT false, c_nationkey, 256 * (c_custkey % 256), 256 * (c_custkey % 256) + 255, c_name FROM customer WHERE c_custkey % 3 = 0
+  UNION ALL SELECT false, s_nationkey, 256 * (s_suppkey % 200) + 17, 256 * (s_suppkey % 200) + 300, s_name FROM supplier
+  UNION ALL SELECT true, s_nationkey, 64 * (s_suppkey % 61) + 1, 64 * (s_suppkey % 61) + 64, s_name || ' v6' FROM supplier
+)
+SELECT context_ip, org FROM (SELECT DISTINCT * FROM x) x JOIN r ON x.v6 = r.v6 AND x.n = r.n AND x.k BETWEEN r.lo AND r.hi
+QUALIFY row_number() OVER (PARTITION BY context_ip ORDER BY r.lo DESC, r.hi ASC, org ASC) = 1
+"""

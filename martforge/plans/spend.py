@@ -97,16 +97,19 @@ SPEND_COLUMNS = ["campaign_name", "campaign_date", "impressions", "clicks", "con
 
 def marketing_spend(li_analytics: DataFrame, li_campaigns: DataFrame, li_groups: DataFrame, bing_report: DataFrame,
                     bing_campaigns: DataFrame, fb_ads: DataFrame, fb_actions: DataFrame, search_main: DataFrame,
-                    search_uk: DataFrame, excluded_accounts: tuple[int, ...] = (),
-                    conversion_types: tuple[str, ...] = ()) -> DataFrame:
-    """UNION (distinct) of five network legs; two legs are ad-level and not aggregated."""
+                    search_uk: DataFrame, linkedin_excluded: tuple[int, ...] = (),
+                    facebook_excluded: tuple[int, ...] = (), conversion_types: tuple[str, ...] = ()) -> DataFrame:
+    """UNION (distinct) of five network legs; two legs are ad-level and not aggregated.
+
+    Account numbers are a network's own: each of the two networks with accounts has its list.
+    """
     from martforge.operators.history import latest_version
     groups = latest_version(li_groups, ["id"], "last_modified_time").select(
         F.col("id").alias("group_id"), F.col("name").alias("group_name"))
     li = (li_analytics.join(li_campaigns, li_analytics["campaign_id"] == li_campaigns["id"])
           .join(groups, F.col("campaign_group_id") == F.col("group_id")))
-    if excluded_accounts:
-        li = li.where(~F.col("account_id").isin(*excluded_accounts))
+    if linkedin_excluded:
+        li = li.where(~F.col("account_id").isin(*linkedin_excluded))
     leg_li = li.select(F.col("group_name").alias("campaign_name"), F.to_date("day").alias("campaign_date"),
                        "impressions", "clicks", F.col("external_website_conversions").cast("double").alias("conversions"),
                        F.col("cost_in_usd").alias("spend"), F.lit("LinkedIn").alias("source"))
@@ -121,8 +124,8 @@ def marketing_spend(li_analytics: DataFrame, li_campaigns: DataFrame, li_groups:
     conv = (fb_actions.where(F.col("action_type").isin(*conversion_types)) if conversion_types else fb_actions)
     conv = conv.groupBy("date", "ad_id").agg(F.count(F.lit(1)).alias("conversions"))
     fb = fb_ads.join(conv, ["ad_id", "date"], "left")
-    if excluded_accounts:
-        fb = fb.where(~F.col("account_id").isin(*excluded_accounts))
+    if facebook_excluded:
+        fb = fb.where(~F.col("account_id").isin(*facebook_excluded))
     leg_fb = fb.select("campaign_name", F.col("date").alias("campaign_date"), "impressions",
                        F.col("inline_link_clicks").alias("clicks"), F.col("conversions").cast("double"), "spend",
                        F.lit("Facebook").alias("source"))
@@ -144,8 +147,8 @@ def marketing_spend_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                            A.linkedin_groups(spark, sf_dir), A.bing_report(spark, sf_dir),
                            A.bing_campaigns(spark, sf_dir), A.facebook_ads(spark, sf_dir),
                            A.facebook_actions(spark, sf_dir), A.search_hourly(spark, sf_dir, "main"),
-                           A.search_hourly(spark, sf_dir, "uk"), excluded_accounts=(A.EXCLUDED_ACCOUNT,),
-                           conversion_types=A.FB_CONVERSION_TYPES)
+                           A.search_hourly(spark, sf_dir, "uk"), linkedin_excluded=A.LINKEDIN_EXCLUDED,
+                           facebook_excluded=A.FACEBOOK_EXCLUDED, conversion_types=A.FB_CONVERSION_TYPES)
 
 
 def marketing_spend_allocated_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,8 @@ def web_daily_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- operator-level queries on events
 
 def _medium_events(spark, sf_dir) -> DataFrame:
-    return events(spark, sf_dir).withColumns({"day": event_day(), "medium": medium_of_event()})
+    return events(spark, sf_dir).select("event_id", "ts", "user_id", event_day().alias("day"),
+                                        medium_of_event().alias("medium"))
 
 
 def fill_down_up(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +91,7 @@ def mode_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose stage differs from the previous row of the user (default '1');
     a NULL stage row and the row after it drop out (three-valued comparison)."""
-    ev = events(spark, sf_dir).withColumn(
-        "stage", F.when(F.col("event_type") != "error", F.col("event_type")))
+    ev = events(spark, sf_dir).select(
+        "event_id", "user_id", "ts", F.when(F.col("event_type") != "error", F.col("event_type")).alias("stage"))
     out = change_points(ev, ["user_id"], ORDER, "stage", default="1", chunk=minute_chunk())
     return out.select("event_id", "user_id", "ts", "stage")

@@ -35,13 +35,14 @@ from martforge.functions.dates import month_start, quarter_start, week_start, we
 from martforge.functions.nulls import any_matches, matches, not_matches
 from martforge.functions.rules import ladder, regex_ladder
 from martforge.functions.urls import referrer_host, split_at, url_param
-from martforge.operators.aggregates import top_k_by_count
 from martforge.operators.attribution import attribute
+from martforge.operators.ip_ranges import lookup
 from martforge.operators.joins import anti_join_any, null_safe_join
 from martforge.operators.mode import modes
 from martforge.operators.setops import union_distinct
 
 ORDER = ["original_timestamp", "id"]
+POSITION = "__position"
 
 PAGEVIEW_COLUMNS = ["id", "anonymous_id", "seg_date", "original_timestamp", "host", "path", "url",
                     "campaign_medium", "campaign_source", "campaign_name", "landing_content", "ua_family",
@@ -71,16 +72,21 @@ class WebRules:
     product_rules: tuple[tuple[str, str], ...] = (("suite", "Suite"), ("desk", "Desk"), ("room", "Room"))
 
 
-def testing_traffic_ips(pages: DataFrame, rules: WebRules) -> DataFrame:
-    """IPs seen with a test referrer, path or URL."""
-    cond = any_matches([("referrer", rules.test_referrer), ("path", rules.test_path), ("url", rules.test_url)])
-    return pages.where(cond).select("context_ip").distinct()
+def ip_profile(pages: DataFrame, rules: WebRules) -> DataFrame:
+    """One row per address: its page views, and whether any has a test referrer, path or URL."""
+    test = any_matches([("referrer", rules.test_referrer), ("path", rules.test_path), ("url", rules.test_url)])
+    return pages.groupBy("context_ip").agg(F.count(F.lit(1)).alias("views"),
+                                           F.max(F.coalesce(test, F.lit(False))).alias("test"))
 
 
-def top_org_ips(pages: DataFrame, ip_org: DataFrame, rules: WebRules) -> DataFrame:
-    """Most active IPs whose organisation matches ``org_keep``."""
-    top = top_k_by_count(pages, "context_ip", rules.top_ips, "pv")
-    return top.join(ip_org, "context_ip").where(matches("org", rules.org_keep)).select("context_ip")
+def excluded_ips(profile: DataFrame, ip_org: DataFrame, rules: WebRules) -> list[DataFrame]:
+    """Addresses of test traffic, and the most active addresses whose organisation matches ``org_keep``.
+
+    Both lists use all columns of the profile, so they read one aggregation of the page views.
+    """
+    testing = profile.where(F.col("test") & (F.col("views") > 0)).select("context_ip")
+    top = profile.orderBy(F.desc("views"), F.asc_nulls_first("context_ip")).limit(rules.top_ips).where(~F.col("test"))
+    return [testing, top.join(ip_org, "context_ip").where(matches("org", rules.org_keep)).select("context_ip")]
 
 
 def _label(rules: WebRules):
@@ -102,12 +108,13 @@ def _label_without_medium(rules: WebRules):
 
 
 def attributed_pageviews(spark: SparkSession, pages: DataFrame, internal_ips: DataFrame, ip_org: DataFrame,
-                         ua_dim: DataFrame, clicks: DataFrame, rules: WebRules = WebRules()) -> DataFrame:
+                         ua_dim: DataFrame, clicks: DataFrame, rules: WebRules = WebRules(),
+                         position: str | None = None) -> DataFrame:
+    """``position`` names a further column, a row's place in its visitor's order (``operators.mode`` reads it)."""
     literal = spark.createDataFrame([(ip,) for ip in rules.literal_ips], "context_ip string")
     df = pages.where(not_matches("title", rules.title_drop))
     df = anti_join_any(df, "context_ip", [internal_ips.select(F.col("ip_address").alias("context_ip")),
-                                          testing_traffic_ips(pages, rules), top_org_ips(pages, ip_org, rules),
-                                          literal])
+                                          *excluded_ips(ip_profile(pages, rules), ip_org, rules), literal])
     df = null_safe_join(df, ua_dim, [("context_user_agent", "userAgent")], "left")
     df = df.where(not_matches("ua_family", rules.bot_family)
                   & not_matches("context_user_agent", rules.agent_drop, ignore_case=False))
@@ -126,10 +133,12 @@ def attributed_pageviews(spark: SparkSession, pages: DataFrame, internal_ips: Da
         "campaign_source": F.coalesce(F.col("context_campaign_source"), url_param("url", "utm_source"),
                                       F.when(has_click, F.lit("google"))),
     })
+    df = df.select(*[c for c in PAGEVIEW_COLUMNS if c != "landing_content"], "referrer")  # what the dealt rows carry
     df = attribute(df, "anonymous_id", "seg_date", ORDER, ["campaign_medium", "campaign_source", "campaign_name"],
                    "campaign_medium", _label(rules), _label_without_medium(rules),
-                   promote=matches("host", rules.search_hosts), landing=("url", "landing_content"), unknown="unknown")
-    return df.select(*PAGEVIEW_COLUMNS)
+                   promote=matches("host", rules.search_hosts), landing=("url", "landing_content"), unknown="unknown",
+                   position=position)
+    return df.select(*PAGEVIEW_COLUMNS, *([position] if position else []))
 
 
 def daily_visitors(pageviews: DataFrame, rules: WebRules = WebRules()) -> DataFrame:
@@ -143,7 +152,7 @@ def daily_visitors(pageviews: DataFrame, rules: WebRules = WebRules()) -> DataFr
     })
     keys = ["seg_date", "anonymous_id", "landing_content"]
     cols = ["campaign_medium", "campaign_source", "campaign_name", "city", "location_id", "product"]
-    m = modes(df, keys, cols, ORDER)
+    m = modes(df, keys, cols, [POSITION] if POSITION in pageviews.columns else ORDER)
     return m.select(
         F.col("seg_date").alias("dau_date"), "anonymous_id", "landing_content", "campaign_medium",
         "campaign_source", "campaign_name", "city", F.col("location_id").alias("unit"),
@@ -195,14 +204,15 @@ ADAPTED_RULES = WebRules(
 def adapted_sources(spark: SparkSession, sf_dir: str) -> WebSources:
     from martforge.sources import adapters as A
     pages = A.tracking_pages(spark, sf_dir)
-    return WebSources(pages=pages, internal_ips=A.internal_ips(spark, sf_dir), ip_org=A.ip_org(spark, sf_dir, pages),
+    return WebSources(pages=pages, internal_ips=A.internal_ips(spark, sf_dir), ip_org=A.ip_org(spark, sf_dir),
                       ua_dim=parse_agents(pages), clicks=A.click_performance(spark, sf_dir),
                       forms_viewed=A.lead_forms(spark, sf_dir, "viewed"),
                       forms_submitted=A.lead_forms(spark, sf_dir, "submitted"))
 
 
-def _adapted_pageviews(spark: SparkSession, src: WebSources) -> DataFrame:
-    return attributed_pageviews(spark, src.pages, src.internal_ips, src.ip_org, src.ua_dim, src.clicks, ADAPTED_RULES)
+def _adapted_pageviews(spark: SparkSession, src: WebSources, position: str | None = None) -> DataFrame:
+    return attributed_pageviews(spark, src.pages, src.internal_ips, src.ip_org, src.ua_dim, src.clicks, ADAPTED_RULES,
+                                position)
 
 
 def attributed_pageviews_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,12 +220,12 @@ def attributed_pageviews_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_visitors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_visitors(attributed_pageviews_q(spark, sf_dir), ADAPTED_RULES)
+    return daily_visitors(_adapted_pageviews(spark, adapted_sources(spark, sf_dir), POSITION), ADAPTED_RULES)
 
 
 def form_conversions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = adapted_sources(spark, sf_dir)
-    visitors = daily_visitors(_adapted_pageviews(spark, src), ADAPTED_RULES)
+    visitors = daily_visitors(_adapted_pageviews(spark, src, POSITION), ADAPTED_RULES)
     return form_conversions(visitors, tracked_forms(src.forms_viewed, src.forms_submitted))
 
 
@@ -223,3 +233,9 @@ def user_agents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct agents of the page views, parsed."""
     from martforge.sources import adapters as A
     return parse_agents(A.tracking_pages(spark, sf_dir))
+
+
+def ip_range_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Organisation of each visitor's address, from a dimension of address ranges."""
+    from martforge.sources import adapters as A
+    return lookup(A.visitor_addresses(spark, sf_dir), "context_ip", A.address_ranges(spark, sf_dir), "first", "last", ["org"])

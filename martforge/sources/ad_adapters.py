@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from martforge.sources.io import read_table
 
-EXCLUDED_ACCOUNT = 999
+#: Each network has an account of both numbers; each excludes another one.
+LINKEDIN_EXCLUDED, FACEBOOK_EXCLUDED = (999,), (998,)
 FB_CONVERSION_TYPES = ("onsite_conversion.post_save", "leadgen.other")
 
 
@@ -45,8 +46,8 @@ def linkedin_analytics(spark, sf_dir) -> DataFrame:
 def linkedin_campaigns(spark, sf_dir) -> DataFrame:
     p = _parts(spark, sf_dir)
     return p.select(F.col("p_partkey").alias("id"), F.col("p_size").cast("long").alias("campaign_group_id"),
-                    F.when(F.col("p_brand") == "Brand#1", F.lit(EXCLUDED_ACCOUNT)).otherwise(F.lit(1))
-                    .cast("long").alias("account_id"))
+                    F.when(F.col("p_brand") == "Brand#1", F.lit(999)).when(F.col("p_brand") == "Brand#2", F.lit(998))
+                    .otherwise(F.lit(1)).cast("long").alias("account_id"))
 
 
 def linkedin_groups(spark, sf_dir) -> DataFrame:
@@ -76,8 +77,8 @@ def facebook_ads(spark, sf_dir) -> DataFrame:
     li = _lines(spark, sf_dir, "N", "F").join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
     return li.select(F.col("p_name").alias("campaign_name"), F.to_date("l_shipdate").alias("date"),
                      F.col("l_orderkey").alias("ad_id"),
-                     F.when(F.col("l_suppkey") == 1, F.lit(EXCLUDED_ACCOUNT)).otherwise(F.lit(2)).cast("long")
-                     .alias("account_id"),
+                     F.when(F.col("l_suppkey") == 1, F.lit(998)).when(F.col("l_suppkey") == 2, F.lit(999))
+                     .otherwise(F.lit(2)).cast("long").alias("account_id"),
                      (F.col("l_quantity") * F.lit(10)).cast("long").alias("impressions"),
                      F.col("l_quantity").cast("long").alias("inline_link_clicks"),
                      F.col("l_extendedprice").alias("spend"))

@@ -82,13 +82,11 @@ def internal_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def ip_org(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
-    """IP -> organisation lookup for the distinct addresses of the tracking table
-    (the segment of the customer whose key is the last address byte)."""
-    ips = pages.select("context_ip").distinct()
+def ip_org(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IP -> organisation lookup: the segment of the customer whose key is the last address byte."""
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    key = F.element_at(F.split(F.col("context_ip"), r"\."), 4).cast("long")
-    return ips.join(c, key == c["c_custkey"]).select("context_ip", F.col("c_mktsegment").alias("org"))
+    return c.where(F.col("c_custkey").between(0, 119)).select(
+        F.concat(F.lit("10.0.0."), F.col("c_custkey").cast("string")).alias("context_ip"), F.col("c_mktsegment").alias("org"))
 
 
 def click_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,3 +109,33 @@ def lead_forms(spark: SparkSession, sf_dir: str, event: str) -> DataFrame:
         F.col("user_id").cast("string").alias("anonymous_id"),
         F.lit(None).cast("string").alias("digital_tracking_code"),
         F.lit("contact form").alias("form_name"), F.lit(f"lead_form_{event}").alias("event"))
+
+
+def visitor_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``context_ip`` of the events' users: an address in their nation's network, every seventh an IPv6 one."""
+    u = F.col("user_id")
+    six = F.concat(F.lit("2001:db8:"), F.hex(u % 25), F.lit("::"), F.hex(u % 4096))
+    four = F.concat_ws(".", F.lit("10"), u % 25, u % 211, u % 256)
+    return read_table(spark, sf_dir, "events", ["user_id"]).select(F.when(u % 7 == 0, six).otherwise(four).alias("context_ip"))
+
+
+def address_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``first, last, org``: nations' networks, customers' nested and adjacent ones, suppliers' ranges across them."""
+    def four(nation, number):
+        return F.concat_ws(".", F.lit("10"), F.col(nation), F.call_function("div", number, F.lit(256)), number % 256)
+
+    def rows(df, nation, lo, hi, org):
+        return df.select(four(nation, lo).alias("first"), four(nation, hi).alias("last"), org.alias("org"))
+
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"]).where(F.col("c_custkey") % 3 == 0)
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
+    net, odd, six = F.col("c_custkey") % 256 * 256, F.col("s_suppkey") % 200 * 256, F.col("s_suppkey") % 61 * 64
+    v6 = lambda k: F.concat(F.lit("2001:db8:"), F.hex("s_nationkey"), F.lit("::"), F.hex(k))
+    legs = [rows(n, "n_nationkey", F.lit(0).cast("long"), F.lit(65_535).cast("long"), F.col("n_name")),
+            rows(c, "c_nationkey", net, net + 255, F.col("c_name")), rows(s, "s_nationkey", odd + 17, odd + 300, F.col("s_name")),
+            s.select(v6(six + 1).alias("first"), v6(six + 64).alias("last"), F.concat("s_name", F.lit(" v6")).alias("org"))]
+    out = legs[0]
+    for leg in legs[1:]:
+        out = out.unionByName(leg)
+    return out

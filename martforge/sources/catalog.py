@@ -64,8 +64,6 @@ class AdapterCatalog:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __call__(self, name: str) -> DataFrame:
-        if name == "dim.ip_org":
-            return adapters.ip_org(self.spark, self.sf_dir, self("web.pages"))
         if name not in ADAPTERS:
             raise SourceMissing(name)
         return ADAPTERS[name](self.spark, self.sf_dir)
@@ -103,4 +101,5 @@ ADAPTERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crm.leads": _X.leads, "crm.lead_record_types": _X.lead_record_types, "crm.activity_users": _X.crm_users,
     "crm.tasks": _X.crm_tasks, "crm.calendar_events": _X.crm_calendar_events, "crm.awareness_tours": _X.awareness_tours,
     "crm.events": _X.crm_events, "crm.feed": _X.opportunity_feed, "dim.locations": _M.location_map,
+    "dim.ip_org": adapters.ip_org,
 }

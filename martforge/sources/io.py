@@ -1,10 +1,9 @@
-"""Readers and writers.
+"""Readers.
 
 * ``read_table``: Parquet table with an explicit column list, so only those
   columns are read (``ReadSchema`` in the scan).
 * ``read_jdbc``: a warehouse table read in parallel ranges of a numeric key;
   joins happen in Spark, not in the source.
-* ``write_snapshot``: overwrite one Parquet table per dataset.
 """
 
 from __future__ import annotations
@@ -46,12 +45,3 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
     props.setdefault("fetchsize", str(fetch_size))
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
                            upperBound=upper, numPartitions=num_partitions, properties=props)
-
-
-def write_snapshot(df: DataFrame, out_dir: str, name: str, partition_by: Sequence[str] | None = None) -> str:
-    path = os.path.join(out_dir, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from martforge import jobs
 from martforge.functions import dates
-from martforge.functions.agents import parse_agents
 from martforge.functions.urls import url_host
 from martforge.plans import activity_marts, crm_marts, spend
 from martforge.plans.catalog import QUERIES
+from martforge.sources import runs
 from martforge.sources.catalog import AdapterCatalog, SourceMissing, TableCatalog
 from tests.conftest import rows
 
@@ -122,16 +122,6 @@ def test_null_keys_match_in_the_stage_history(spark):
     assert out == [("A", "Touring", "left")]
 
 
-def test_agents(spark):
-    df = spark.createDataFrame([("Opera/9.80 (Windows NT 6.1) OPR/12.1",), ("my-crawler/1.0",), (None,), ("",),
-                                ("Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) Chrome/110.0",)], "context_user_agent string")
-    out = {r["userAgent"]: tuple(r)[1:] for r in parse_agents(df).collect()}
-    assert out["Opera/9.80 (Windows NT 6.1) OPR/12.1"] == ("Opera", "Other", None, None, "Windows", "6")
-    assert out["my-crawler/1.0"][:2] == ("my-crawler", "Spider")
-    assert out[None] == out[""] == ("Other", "Other", None, None, "Other", None)
-    assert out["Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) Chrome/110.0"][4:] == ("Chrome OS", "14541")
-
-
 # ---------------------------------------------------------------- the batch job
 
 @pytest.fixture(scope="module")
@@ -144,7 +134,8 @@ def job_run(spark, tmp_path_factory):
 def test_job_writes_every_extract_and_mart(spark, job_run):
     out, written = job_run
     assert set(written) == set(jobs.EXTRACTS) | set(jobs.MARTS) and len(jobs.MARTS) == 10
-    assert all(os.path.isdir(p) and p.startswith(os.path.join(out, "one")) for p in written.values())
+    assert [r["run"] for r in runs.published(spark, out)] == ["one"]
+    assert all(e.origin == "one" and os.path.isdir(os.path.join(out, "one", e.folder, e.name)) for e in written.values())
 
 
 @pytest.mark.parametrize("name", ["attributed_pageviews", "daily_visitors", "form_conversions", "marketing_spend", "contracts",
@@ -152,37 +143,96 @@ def test_job_writes_every_extract_and_mart(spark, job_run):
                                   "opportunity_roles", "rep_engagements", "access_events", "geo_hierarchy", "crm_leads"])
 def test_written_tables_hold_the_queries_rows(spark, job_run, name):
     want = QUERIES[name](spark, SF)
-    got = spark.read.parquet(job_run[1][name])
-    assert got.count() == want.count() > 0
+    got = runs.read_run(spark, job_run[0], "one", name)
+    assert got.count() == want.count() == job_run[1][name].rows > 0
     assert sorted(got.columns) == sorted(want.columns)
 
 
-def test_access_events_are_gated(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(jobs, "EXTRACTS", {k: jobs.EXTRACTS[k] for k in ("access_events", "companies")})
-    params = dataclasses.replace(jobs.adapter_params(), include_access_events=False)
-    assert set(jobs.write_extracts(spark, AdapterCatalog(spark, SF), str(tmp_path), params)) == {"companies"}
+def _only(monkeypatch, *names):
+    monkeypatch.setattr(jobs, "EXTRACTS", {k: jobs.EXTRACTS[k] for k in names})
+    monkeypatch.setattr(jobs, "MARTS", {})
 
 
-def test_a_missing_source_takes_the_previous_run_and_a_bug_does_not(spark, job_run, tmp_path, monkeypatch):
-    out, written = job_run
-    real = AdapterCatalog(spark, SF)
+def test_gated_and_missing_extracts_are_carried_over(spark, tmp_path, monkeypatch):
+    """... from the newest complete run that has them; the manifest keeps the run that computed them."""
+    _only(monkeypatch, "access_events", "companies")
+    out, real = str(tmp_path), AdapterCatalog(spark, SF)
+    on = jobs.adapter_params()
+    off = dataclasses.replace(on, include_access_events=False)
 
     def without_company(name):
         if name == "mkt.company":
             raise SourceMissing(name)
         return real(name)
 
-    monkeypatch.setattr(jobs, "EXTRACTS", {"companies": jobs.EXTRACTS["companies"]})
-    params = jobs.adapter_params()
+    first = jobs.run(spark, real, out, off, "a")
+    assert set(first) == {"companies"}  # nothing to carry over yet
+    events = jobs.run(spark, real, out, on, "b")["access_events"]
+    carried = jobs.run(spark, without_company, out, off, "c")
+    assert {e.name: (e.origin, e.rows) for e in carried.values()} == {"access_events": ("b", events.rows), "companies": ("b", 25)}
+    assert jobs.run(spark, real, out, off, "d")["access_events"].origin == "b"  # not "c", which only carried it
+    assert sorted(runs.read_run(spark, out, "d", "access_events").collect(), key=str) == sorted(
+        jobs.EXTRACTS["access_events"](real, on).collect(), key=str)
     with pytest.raises(SourceMissing):
-        jobs.write_extracts(spark, without_company, str(tmp_path / "a"), params)
-    got = jobs.write_extracts(spark, without_company, str(tmp_path / "b"), params, os.path.join(out, "one"))
-    assert spark.read.parquet(got["companies"]).count() == spark.read.parquet(written["companies"]).count() == 25
+        jobs.run(spark, without_company, str(tmp_path / "empty"), off, "a")
+
+
+def test_a_run_killed_half_way_is_no_run(spark, tmp_path, monkeypatch):
+    _only(monkeypatch, "access_events", "companies")
+    out, real, params = str(tmp_path), AdapterCatalog(spark, SF), jobs.adapter_params()
+    jobs.run(spark, real, out, params, "a")
+
+    def dies(s, p):
+        raise KeyboardInterrupt
+
+    monkeypatch.setitem(jobs.EXTRACTS, "companies", dies)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.run(spark, real, out, params, "b")
+    assert os.path.isdir(os.path.join(out, "b", "raw", "access_events"))  # written, not published
+    assert [r["run"] for r in runs.published(spark, out)] == ["a"]
+    with pytest.raises(LookupError):
+        runs.read_run(spark, out, "b", "access_events")
+    assert runs.newest_with(spark, out, "access_events")[1].origin == "a"
+
+
+def test_half_a_manifest_is_none(spark, tmp_path):
+    entry = runs.write_table(spark.range(3), str(tmp_path), "a", "raw", "t")
+    row = [("a", "2024", "2024", 2, "t", "raw", "a", entry.rows, entry.schema)]
+    spark.createDataFrame(row, runs.MANIFEST_COLUMNS).write.json(str(tmp_path / "a" / runs.MANIFEST))
+    assert runs.published(spark, str(tmp_path)) == [] and runs.newest_with(spark, str(tmp_path), "t") is None
+    assert runs.published(spark, str(tmp_path / "none")) == []
+
+
+def test_a_table_with_repeated_keys_is_not_published(spark, tmp_path):
+    rows_ = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    with pytest.raises(runs.RunFailed):
+        runs.write_table(rows_, str(tmp_path), "a", "raw", "t", keys=["k"])
+    assert runs.write_table(rows_, str(tmp_path), "a", "raw", "u", keys=["k", "v"]).rows == 2
+
+
+def test_a_bug_ends_the_run(spark, job_run, monkeypatch):
+    out, _ = job_run
     monkeypatch.setattr(jobs, "EXTRACTS", {"companies": lambda s, p: s("mkt.company").select("no_such_column")})
     with pytest.raises(AnalysisException):
-        jobs.write_extracts(spark, real, str(tmp_path / "c"), params, os.path.join(out, "one"))
-    with pytest.raises(ValueError):
-        jobs.run(spark, real, out, params, os.path.join(out, "one"), run_id="one")
+        jobs.run(spark, AdapterCatalog(spark, SF), out, jobs.adapter_params(), "bug")
+    monkeypatch.setattr(jobs, "EXTRACTS", {"companies": lambda s, p: s("mkt.company")})
+    with pytest.raises(AnalysisException):  # a run's folder is never written twice
+        jobs.run(spark, AdapterCatalog(spark, SF), out, jobs.adapter_params(), "one")
+
+
+def test_one_clock_moves_the_marts(spark):
+    """``time_to_first_contact`` of a contact without outreach counts up to the run's ``as_of``."""
+    source, params = AdapterCatalog(spark, SF), jobs.adapter_params()
+    tables = {n: jobs.EXTRACTS[n](source, params) for n in ("contacts", "companies", "tours_and_calls", "email_log", "phone_call_log")}
+
+    def hours(days):
+        p = dataclasses.replace(params, as_of=params.as_of + dt.timedelta(days=days))
+        mart = jobs.MARTS["contact_mart"](tables.__getitem__, p)
+        return dict(mart.where("first_outbound_email IS NULL AND lead_date IS NOT NULL")
+                    .select("contact_id", "time_to_first_contact").distinct().collect()), p.report_dates()[1]
+
+    (early, last), (late, later) = hours(0), hours(10)
+    assert early and all(late[k] == pytest.approx(v + 240) for k, v in early.items()) and (later - last).days == 10
 
 
 def test_sources_by_path_and_by_sql(spark, tmp_path):

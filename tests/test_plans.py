@@ -32,10 +32,30 @@ def test_building_a_query_starts_no_job(spark, name):
     assert _jobs(spark, lambda: entry.queries()[name](spark, SF)) == 0
 
 
-def test_attribution_reads_its_rows_twice_at_most(spark):
-    plan = _executed(entry.queries()["web_daily_attribution"](spark, SF))
-    assert plan.split("Initial Plan")[-1].count("FileScan parquet") <= 2
-    assert "Checkpoint" not in plan and "ExistingRDD" not in plan
+def _final(df) -> str:
+    """The plan that ran, without the one that adaptive execution began with."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan.split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["fill_down_up", "fill_down_then_up", "stage_change_points", "web_daily_attribution"])
+def test_rows_and_summaries_read_one_exchange(spark, name):
+    plan = _final(entry.queries()[name](spark, SF))
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+    assert "SortAggregate" not in plan and "Checkpoint" not in plan and "ExistingRDD" not in plan
+
+
+def test_page_views_are_read_three_times(spark):
+    """Once for the rows, once for the profile of the addresses, once for the agents."""
+    for name in ("attributed_pageviews", "daily_visitors"):
+        plan = _final(entry.queries()[name](spark, SF))
+        assert plan.count("pages.parquet") == 3 and "SortAggregate" not in plan
+
+
+def test_modes_hold_no_text_in_buffers(spark):
+    assert "SortAggregate" not in _final(entry.queries()["mode_first_seen"](spark, SF))
 
 
 def test_a_hot_visitor_is_spread_over_tasks(spark):

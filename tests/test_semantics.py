@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from martforge.functions import (epoch_ms_to_timestamp, hours_between, matches, not_in_keep_null, paste,
@@ -184,3 +185,25 @@ def test_hours_between_half_even(spark):
 def test_append_sentinel(spark):
     df = spark.createDataFrame([("x", "y")], "a string, b string")
     assert sorted(rows(append_row(df, ["Not Specified"] * 2))) == [("Not Specified", "Not Specified"), ("x", "y")]
+
+
+@pytest.mark.parametrize("ids", [["10", "9"], ["0b5e6c1a-aaaa", "9f00-bbbb", "a000-cccc", "A000-dddd"]])
+def test_modes_and_first_rows_agree_on_textual_tiebreaks(spark, ids):
+    """Equal times: the smallest id as text is first, in the mode, the first value and the first row alike."""
+    from martforge.operators.fill import first_in_group
+    from martforge.operators.mode import mode, modes
+    rows = spark.createDataFrame([("g", i, f"v{i}") for i in reversed(ids)], "g string, id string, v string").withColumn(
+        "t", F.expr("timestamp_ntz'2024-01-01 10:00:30'"))
+    first = f"v{min(ids)}"
+    assert mode(rows, ["g"], "v", ["t", "id"]).collect()[0]["v"] == first
+    both = modes(rows, ["g"], ["v", "id"], ["t", "id"], firsts={"v": "f"}).collect()[0]
+    assert (both["v"], both["id"], both["f"]) == (first, min(ids), first)
+    assert first_in_group(rows, ["g"], ["t", "id"], "v", "f").collect()[0]["f"] == first
+
+
+def test_modes_without_values_and_times(spark):
+    from martforge.operators.mode import modes
+    rows = spark.createDataFrame([("a", None, "1", None), ("a", None, "2", "x"), ("b", None, "1", None), (None, None, "3", "y")],
+                                 "g string, t timestamp_ntz, id string, v string").withColumn("w", F.lit(1))
+    got = {r["g"]: (r["v"], r["w"], r["f"]) for r in modes(rows, ["g"], ["v", "w"], ["t", "id"], firsts={"v": "f"}).collect()}
+    assert got == {"a": ("x", 1, None), "b": (None, 1, None), None: ("y", 1, "y")}
