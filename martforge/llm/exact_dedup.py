@@ -8,8 +8,8 @@ the row with the most code points in its original text, then the smallest id, st
    of all rows share leaves each task once.  A full trie is handed on and a new one begun.
 2. Representatives are dealt out by (length, content hash).  In each partition their full
    byte strings are inserted into a compressed radix trie, whose terminal nodes keep
-   the smallest identifier.  Beyond ``memory`` bytes of labels, the largest
-   subtree is spilled to a file and read on its own later.
+   the smallest identifier.  Beyond ``memory`` bytes of labels, the heaviest
+   subtree is spilled to a file in Spark's local folder and read on its own later.
 3. Members find their class through their representative's number, which is
    shared by rows of one task at most.
 
@@ -42,36 +42,39 @@ LOCAL_MEMORY = 48 << 20   # bytes of labels after which a reading task hands its
 class PatriciaTrie:
     """Byte strings in a compressed radix trie; each holds its smallest identifier.
 
-    A node is ``[label, children by first byte, terminal]``.  ``insert`` returns the smallest
+    A node is ``[label, children by first byte, terminal, file]``.  ``insert`` returns the smallest
     identifier of the key so far (None if its subtree is spilled); ``owners`` yields
     ``(tag, owner)`` for each inserted ``(key, identifier, tag)``.
+
+    A spilled subtree is the one below the lowest node that holds half of its branch: the node keeps its label, however
+    long, and its file holds what follows.  None of its children has half of it, so a row is written again at
+    most once for each halving, whatever its keys share.  A node above a file stays; its other children can go.
     """
 
     def __init__(self, memory: int = TRIE_MEMORY):
         self.memory, self.used, self.children = memory, 0, {}
-        self.weight: dict[int, int] = {}   # label bytes below each first byte
-        self.spilled: dict[int, str] = {}  # first byte: file of (rest of key, identifier, tag)
-        self.empty: list | None = None     # terminal of the empty key
+        self.weight: dict[int, int] = {}  # label bytes held below each first byte
+        self.spilled: list[str] = []      # files of (rest of key, identifier, tag)
+        self.empty: list | None = None    # terminal of the empty key
 
     def insert(self, key: bytes, identifier, tag):
         if not key:
             self.empty = _merge(self.empty, identifier, tag)
             return self.empty[0]
-        first = key[0]
-        if first in self.spilled:
-            self._append(first, [(key[1:], identifier, tag)])
-            return None
         before, children, at = self.used, self.children, 0
         while True:
             node = children.get(key[at])
             if node is None:
                 terminal = _merge(None, identifier, tag)
-                children[key[at]] = [key[at:], {}, terminal]
-                self.used += len(key) - at + 200
+                children[key[at]] = [key[at:], {}, terminal, None]
+                self.used += len(key) - at + NODE_BYTES
                 break
             label = node[0]
             if key.startswith(label, at):
                 at += len(label)
+                if node[3]:
+                    _append(node[3], [(key[at:], identifier, tag)])
+                    return None
                 if at == len(key):
                     terminal = node[2] = _merge(node[2], identifier, tag)
                     self.used += 64
@@ -79,50 +82,115 @@ class PatriciaTrie:
                 children = node[1]
                 continue
             same = len(os.path.commonprefix((label, key[at:at + len(label)])))
-            node[0], node[1], node[2] = label[:same], {label[same]: [label[same:], node[1], node[2]]}, None
-            self.used += 200
+            node[:] = [label[:same], {label[same]: [label[same:], *node[1:]]}, None, None]
+            self.used += NODE_BYTES
             if at + same == len(key):
                 terminal = node[2] = _merge(None, identifier, tag)
                 break
             at += same
             children = node[1]
-        self.weight[first] = self.weight.get(first, 0) + self.used - before
-        while self.used > self.memory and self.children:
-            self._spill(max(self.weight, key=self.weight.get))
+        self.weight[key[0]] = self.weight.get(key[0], 0) + self.used - before
+        while self.used > self.memory and any(map(self._spill, sorted(self.weight, key=self.weight.get, reverse=True))):
+            pass
         return terminal[0]
 
-    def _append(self, first: int, rows: list) -> None:
-        with open(self.spilled[first], "ab") as f:
-            for row in rows:
-                pickle.dump(row, f, protocol=5)
-
-    def _spill(self, first: int) -> None:
-        handle, self.spilled[first] = tempfile.mkstemp(prefix="trie-", suffix=".spill")
+    def _spill(self, first: int) -> bool:
+        """Move the heavy part of a branch to a file; whether there was any (the last key of all cannot move)."""
+        below, order, split = {}, [self.children[first]], set()
+        for node in order:  # grows: every node after its parent
+            order += node[1].values()
+        for node in reversed(order):
+            below[id(node)] = sum(below[id(c)] + len(c[0]) + NODE_BYTES + 64 * _tags(c) for c in node[1].values())
+            if node[3] or any(id(c) in split for c in node[1].values()):
+                split.add(id(node))  # part of it is in a file already
+        alone = len(order) == 1 and len(self.children) == 1
+
+        def gain(node) -> int:
+            if id(node) in split or alone:
+                return 0
+            return below[id(node)] if node[1] else len(node[0]) - 1 + 64 * _tags(node)
+
+        node = max(order, key=gain)
+        gone = whole = gain(node)
+        while node[1]:
+            heavy = max(node[1].values(), key=lambda c: below[id(c)])
+            if below[id(heavy)] < whole / 2 or not heavy[1]:
+                break
+            node = heavy
+            gone = below[id(node)]
+        if gone <= 0:
+            return False
+        handle, path = tempfile.mkstemp(prefix="trie-", suffix=".spill", dir=spill_folder())
         os.close(handle)
-        top = self.children.pop(first)
-        for key, terminal in _walk(top, b""):
-            self._append(first, [(key[1:], terminal[0], tag) for tag in terminal[1]])
-        self.used -= self.weight.pop(first)
-
-    def owners(self):
+        self.spilled.append(path)
+        if not node[1]:  # a single key: all but its first byte goes
+            node[0], rest = node[0][:1], node[0][1:]
+        else:
+            rest = b""
+        _append(path, ((rest, node[2][0], tag) for tag in node[2][1]) if node[2] else ())
+        for child in node[1].values():
+            _append(path, ((key, terminal[0], tag) for key, terminal in _walk(child, b"") for tag in terminal[1]))
+        node[1:] = [{}, None, path]
+        self.used -= gone
+        self.weight[first] -= gone
+        return True
+
+    def _held(self):
         if self.empty:
             yield from ((tag, self.empty[0]) for tag in self.empty[1])
         for top in self.children.values():
             for _, terminal in _walk(top, None):
                 yield from ((tag, terminal[0]) for tag in terminal[1])
         self.children = {}
-        for path in self.spilled.values():
-            below = PatriciaTrie(self.memory)
+
+    def owners(self):
+        files = self.spilled
+        try:
+            yield from self._held()
+            while files:
+                below = PatriciaTrie(self.memory)
+                try:
+                    for row in _rows(files[-1]):
+                        below.insert(*row)
+                finally:
+                    os.unlink(files.pop())
+                    files += below.spilled
+                yield from below._held()
+        finally:
+            self.drop()
+
+    def drop(self) -> None:
+        """Delete what is spilled."""
+        while self.spilled:
+            os.unlink(self.spilled.pop())
+
+
+NODE_BYTES = 200  # what a node takes beside its label
+
+
+def _tags(node) -> int:
+    return max(0, len(node[2][1]) - 1) if node[2] else 0
+
+
+def spill_folder() -> str | None:
+    """Spark's own local folder on this machine, which the cluster manager clears; the default one outside Spark."""
+    folder = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
+    return folder if folder and os.path.isdir(folder) else None
+
+
+def _append(path: str, rows) -> None:
+    with open(path, "ab") as f:
+        for row in rows:
+            pickle.dump(row, f, protocol=5)
+
+
+def _rows(path: str):
+    with open(path, "rb") as f:
+        while True:
             try:
-                with open(path, "rb") as f:
-                    while True:
-                        try:
-                            below.insert(*pickle.load(f))
-                        except EOFError:
-                            break
-            finally:
-                os.unlink(path)
-            yield from below.owners()
+                yield pickle.load(f)
+            except EOFError:
+                return
 
 
 def _merge(terminal, identifier, tag):
@@ -197,18 +265,21 @@ def _local(batches):
 def _classes(batches):
     """Class of each representative in a partition: the smallest representative with the same bytes."""
     trie = PatriciaTrie()
-    for batch in small_batches(batches):
-        for key, rep in zip(batch.column("key").to_pylist(), batch.column("rep").to_pylist()):
-            trie.insert(key, rep, rep)
     reps, classes = [], []
     schema = pa.schema([("rep", pa.int64()), ("class", pa.int64())])
-    for rep, owner in trie.owners():
-        reps.append(rep)
-        classes.append(owner)
-        if len(reps) == 50_000:
-            yield pa.RecordBatch.from_pydict({"rep": reps, "class": classes}, schema=schema)
-            reps, classes = [], []
-    yield pa.RecordBatch.from_pydict({"rep": reps, "class": classes}, schema=schema)
+    try:
+        for batch in small_batches(batches):
+            for key, rep in zip(batch.column("key").to_pylist(), batch.column("rep").to_pylist()):
+                trie.insert(key, rep, rep)
+        for rep, owner in trie.owners():
+            reps.append(rep)
+            classes.append(owner)
+            if len(reps) == 50_000:
+                yield pa.RecordBatch.from_pydict({"rep": reps, "class": classes}, schema=schema)
+                reps, classes = [], []
+        yield pa.RecordBatch.from_pydict({"rep": reps, "class": classes}, schema=schema)
+    finally:
+        trie.drop()  # also when the task fails
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

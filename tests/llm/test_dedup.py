@@ -38,6 +38,28 @@ def test_exact_duplicates_of_an_empty_table(spark):
     assert exact_dedup.exact_duplicates(table(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("shared", [0, 200, 2_000, 20_000])
+def test_trie_spills_below_long_shared_beginnings(shared, tmp_path, monkeypatch):
+    """A licence text before every key: no recursion, few rewrites of a row, files in Spark's folder and none left."""
+    monkeypatch.setenv("SPARK_LOCAL_DIRS", str(tmp_path))
+    written = []
+    real = exact_dedup._append
+    monkeypatch.setattr(exact_dedup, "_append", lambda path, rows: (lambda r: (written.append(len(r)), real(path, r)))(list(rows)))
+    rnd = random.Random(shared)
+    keys = [b"L" * shared + bytes(rnd.choices(b"abc", k=rnd.randint(0, 30))) for _ in range(600)]
+    keys += [b"L" * shared + b"c" * k for k in range(300)]  # each the beginning of the next
+    rows = [(rnd.choice(keys), i, i) for i in range(3_000)]
+    trie = exact_dedup.PatriciaTrie(shared + 12_000)
+    for row in rows:
+        trie.insert(*row)
+    assert trie.spilled and all(str(tmp_path) in f for f in trie.spilled)
+    want = {}
+    for key, i, _ in rows:
+        want[key] = min(want.get(key, i), i)
+    assert dict(trie.owners()) == {i: want[key] for key, i, _ in rows}
+    assert sum(written) < 12 * len(rows) and list(tmp_path.iterdir()) == []
+
+
 def test_trie_spills_subtrees_and_still_finds_all_owners():
     rnd = random.Random(3)
     keys = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
