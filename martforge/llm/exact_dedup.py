@@ -112,14 +112,14 @@ class PatriciaTrie:
 
         node = max(order, key=gain)
         gone = whole = gain(node)
+        if gone <= 0:
+            return False
         while node[1]:
             heavy = max(node[1].values(), key=lambda c: below[id(c)])
             if below[id(heavy)] < whole / 2 or not heavy[1]:
                 break
             node = heavy
             gone = below[id(node)]
-        if gone <= 0:
-            return False
         handle, path = tempfile.mkstemp(prefix="trie-", suffix=".spill", dir=spill_folder())
         os.close(handle)
         self.spilled.append(path)
