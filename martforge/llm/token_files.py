@@ -28,7 +28,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -226,14 +226,23 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, "file string, id long, position long, first long, n_tokens long, ids_crc32 long")
 
 
+def file_order(name: str) -> tuple[Column, Column]:
+    """``task, part``: the numbers in a written file's name, which order files as they were written.
+
+    As text, the 1000th part of a task would come before its 999th, and task 100000 before task 99999.
+    """
+    number = lambda pattern: F.regexp_extract(F.regexp_extract(name, r"[^/]+$", 0), pattern, 1).cast("long")
+    return number(r"^part-(\d+)-").alias("task"), number(r"-c(\d+)\.").alias("part")
+
+
 def document_starts(spark: SparkSession, path: str) -> DataFrame:
     """``(id, start, n_tokens, ids_crc32)`` over all files: ``start`` counts the ids of all documents before.
 
     Only one sum a file is put in order in one task.
     """
     docs = checkpointed(read_token_files(spark, path))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (docs.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (docs.groupBy("file").agg(F.sum("n_tokens").alias("n")).select("file", "n", *file_order("file"))
              .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
     return docs.join(bases, "file").select(
         F.when(F.col("id") != NULL_ID, F.col("id")).alias("id"), (F.col("base") + F.col("first")).alias("start"),

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from martforge.llm import bpe, token_files
@@ -128,3 +129,25 @@ def test_token_files(spark):
     empty = new_path(spark, "test-tokens-empty")
     token_files.write_token_files(table(spark, []), empty)
     assert token_files.document_starts(spark, empty).collect() == []
+
+
+def test_files_follow_each_other_by_number(spark):
+    """The 1000th part of a task comes after its 999th, task 100000 after task 99999."""
+    names = [f"file:/x/part-12/part-{task:05d}-8a-4b-c{part:03d}.txt" for task in (0, 7, 99_999, 100_000) for part in (0, 9, 999, 1000)]
+    rows = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "file string, k int")
+    got = rows.select("k", *token_files.file_order("file")).orderBy("task", "part").collect()
+    assert [r["k"] for r in got] == list(range(len(names)))
+
+
+def test_starts_over_a_thousand_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 1)
+    monkeypatch.setattr(token_files, "BLOCKS_PER_FILE", 1)
+    docs = spark.range(1050).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")).coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        token_files.write_token_files(docs, str(tmp_path / "t"))
+        got = {r["id"]: (r["start"], r["n_tokens"]) for r in token_files.document_starts(spark, str(tmp_path / "t")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(list((tmp_path / "t").glob("part-*"))) == 1050
+    assert got == {k: (3 * k, 3) for k in range(1050)}
