@@ -15,8 +15,14 @@ whole.  For a batch of texts at once:
 4. an item counts if the passage holds ``min_overlap`` of its ``shingle``-word shingles, and parts of its question
    and of its answer (``min_part`` of either's words in a row).
 
-Both bounds only overestimate, so nothing above the threshold is lost.  Items are taken in blocks of bounded bytes:
-one index of at most ``INDEX_BYTES`` of text is sent to the executors at a time.
+Both bounds only overestimate, so nothing above the threshold is lost.
+
+The statistics of BM25 (number of items, document frequencies, mean length) and the length of passages are those of the
+whole benchmark: Spark counts them once, and each item carries the frequencies of its own words.  Only the
+postings are cut, into indexes of at most ``INDEX_BYTES`` of item text, so results do not depend on where the cuts
+fall.  The driver holds one item block at a time; the indexes together grow with the benchmark and are broadcast one by
+one (a few times their text: postings, and block maxima only where a block has the term).  One pass over the
+documents tokenises each text once and looks it up in every index.
 
 Question and answer: an item's text after ``Answer:`` is its answer, else what follows the last question
 mark, else its last line, else its last sentence; an item of one sentence is all question.
@@ -30,14 +36,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import append_columns
+from martforge.llm.common import append_columns, written
 
 THRESHOLD = 0.5
 SHINGLE = 5
@@ -88,31 +95,51 @@ def share_of(part: list[str], passage: list[str], size: int) -> float:
     return sum(covered) / len(part)
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items with words: their number, total and largest number of words."""
+
+    items: int
+    words: int
+    longest: int
+
+
 class BlockMaxIndex:
-    """Inverted index of some items with block maxima."""
+    """Inverted index of some items with block maxima.
+
+    ``items`` are ``(id, text)``, or ``(id, text, document frequency of each word)`` with the ``statistics`` of all
+    items that the index is a part of; without them, the items given are all.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple], statistics: Statistics | None = None):
         self.items, counts = [], []
-        for item, text in items:
+        known: dict[str, int] = {}
+        for item, text, *frequencies in items:
             words = words_of(text)
             if words:
                 question, answer = question_answer(text)
                 self.items.append((item, words, words_of(question), words_of(answer)))
+                if frequencies:
+                    known.update(frequencies[0])
         n = len(self.items)
-        self.longest = max((len(x[1]) for x in self.items), default=0)
-        self.vocabulary: dict[str, int] = {}
+        longest = max((len(x[1]) for x in self.items), default=0)
+        whole = statistics or Statistics(n, sum(len(x[1]) for x in self.items), longest)
+        # numbered in the order of the words, so a score is the same sum in every cut
+        self.vocabulary = {w: t for t, w in enumerate(sorted({w for x in self.items for w in x[1]}))}
         for _, words, _, _ in self.items:
             own: dict[int, int] = {}
             for w in words:
-                t = self.vocabulary.setdefault(w, len(self.vocabulary))
+                t = self.vocabulary[w]
                 own[t] = own.get(t, 0) + 1
             counts.append(own)
-        df = np.bincount([t for own in counts for t in own], minlength=len(self.vocabulary))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        mean = np.mean([len(x[1]) for x in self.items]) if n else 1.0
+        if statistics:
+            df = np.array([known[w] for w in self.vocabulary], np.int64)
+        else:
+            df = np.bincount([t for own in counts for t in own], minlength=len(self.vocabulary))
+        idf = np.log1p((whole.items - df + 0.5) / (df + 0.5))
+        mean = whole.words / max(1, whole.items)
         self.block_items = max(1, -(-n // MAX_BLOCKS))
         self.n_blocks = -(-n // self.block_items)
-        self.block_max = np.zeros((len(self.vocabulary), self.n_blocks), np.float32)
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         for i, own in enumerate(counts):
             length = K1 * (1 - B + B * len(self.items[i][1]) / mean)
@@ -120,13 +147,19 @@ class BlockMaxIndex:
             total = sum(impact.values())
             for t, x in impact.items():
                 postings[t].append((i, x / total))
-                b = i // self.block_items
-                self.block_max[t, b] = max(self.block_max[t, b], x / total)
-        self.most = self.block_max.max(axis=1) if n else np.zeros(0, np.float32)
         self.posting_start = np.cumsum([0, *map(len, postings)])
         self.posting_item = np.array([i for p in postings for i, _ in p], np.int64)
         self.posting_impact = np.array([x for p in postings for _, x in p])
-        self.segment = max(SHINGLE, self.longest + self.longest // 4)
+        # the largest impact of a term in each block that has it, and over all
+        term = np.repeat(np.arange(len(postings)), np.diff(self.posting_start))
+        place, at = np.unique(term * max(1, self.n_blocks) + self.posting_item // self.block_items, return_inverse=True)
+        self.max_impact = np.zeros(len(place), np.float32)
+        np.maximum.at(self.max_impact, at, self.posting_impact.astype(np.float32))
+        self.max_block = (place % max(1, self.n_blocks)).astype(np.int32)
+        self.max_start = np.searchsorted(place, np.arange(len(postings) + 1) * max(1, self.n_blocks))
+        self.most = np.zeros(len(postings), np.float32)
+        np.maximum.at(self.most, place // max(1, self.n_blocks), self.max_impact)
+        self.segment = max(SHINGLE, whole.longest + whole.longest // 4)
 
     def passages(self, texts: list[list[str]], threshold: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """``(text, first word, blocks, terms)`` of the passages that the bounds leave."""
@@ -153,13 +186,15 @@ class BlockMaxIndex:
         segment_of, term_of = segment_of[keep], term_of[keep]
         if not len(segment_of):
             return
-        starts = np.flatnonzero(np.append(True, segment_of[1:] != segment_of[:-1]))
         sums = np.zeros((n + 1, self.n_blocks), np.float32)
-        step = max(1, 2_000_000 // (self.n_blocks * size))
-        for at in range(0, len(starts), step):
-            some = starts[at:at + step]
-            end = starts[at + step] if at + step < len(starts) else len(segment_of)
-            sums[segment_of[some]] = np.add.reduceat(self.block_max[term_of[some[0]:end]], some - some[0], axis=0)
+        step = 500_000
+        for at in range(0, len(segment_of), step):
+            some, own = term_of[at:at + step], segment_of[at:at + step]
+            sizes = self.max_start[some + 1] - self.max_start[some]
+            places = np.repeat(self.max_start[some] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            cells = np.repeat(own, sizes) * self.n_blocks + self.max_block[places]
+            used, cell = np.unique(cells, return_inverse=True)
+            sums.reshape(-1)[used] += np.bincount(cell, self.max_impact[places], len(used)).astype(np.float32)
         for s in np.flatnonzero(alive):
             both = sums[s] + sums[s + 1] if follows[s] else sums[s]
             blocks = np.flatnonzero(both >= threshold - slack)
@@ -206,18 +241,40 @@ class BlockMaxIndex:
         return [[found[i] for i in sorted(found)] for found in best]
 
 
+def item_rows(bench: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, Statistics]:
+    """``item, text, frequencies`` of the items with words, and the statistics of all; counted in Spark."""
+    schema = pa.schema([("words", pa.list_(pa.string())), ("size", pa.int64())])
+
+    def run(batch):
+        found = [words_of(t or "") for t in batch.column("text").to_pylist()]
+        return {"words": [sorted(set(w)) for w in found], "size": [len(w) for w in found]}
+
+    given = bench.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text")).withColumn(
+        "key", F.monotonically_increasing_id())
+    items = written(append_columns(given, {"text": given["text"]}, run, "words array<string>, size long", schema)
+                    .where("size > 0"), "items")
+    total = items.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"), F.max("size").alias("longest")).first()
+    words = items.select("key", F.explode("words").alias("word"))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    of_item = words.join(counts, "word").groupBy("key").agg(  # an item's own words
+        F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("frequencies"))
+    return (items.join(of_item, "key").select("item", "text", "frequencies"),
+            Statistics(total["n"], total["words"] or 0, total["longest"] or 0))
+
+
 def indexes(bench: DataFrame, item_col: str, text_col: str) -> Iterator[BlockMaxIndex]:
     """Indexes of at most ``INDEX_BYTES`` of item text each, made one after the other."""
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    rows, statistics = item_rows(bench, item_col, text_col)
     items, size = [], 0
-    rows = bench.where(F.col(text_col).isNotNull()).select(F.col(item_col).cast("long"), F.col(text_col))
-    for item, text in rows.toLocalIterator():
+    for item, text, frequencies in rows.toLocalIterator():
         if items and size + len(text) > INDEX_BYTES:
-            yield BlockMaxIndex(sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+            yield BlockMaxIndex(sorted(items, key=order), statistics)
             items, size = [], 0
-        items.append((item, text))
+        items.append((item, text, frequencies))
         size += len(text)
     if items:
-        yield BlockMaxIndex(sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+        yield BlockMaxIndex(sorted(items, key=order), statistics)
 
 
 HIT = ("item_id long, first_word long, bm25_share double, overlap double, question_overlap double, "
@@ -231,30 +288,30 @@ def with_matches(docs: DataFrame, bench: DataFrame, text_col: str = "text", item
                  item_text: str = "text", threshold: float = THRESHOLD, min_overlap: float = MIN_OVERLAP) -> DataFrame:
     """``docs`` with the column ``HITS``: the benchmark items found in each text (empty: clean)."""
     schema = pa.schema([("found", pa.list_(_HIT))])
-    found: Column | None = None
-    out, columns, made = docs, list(docs.columns), []
-    for k, index in enumerate(indexes(bench, item_col, item_text)):
-        shared = docs.sparkSession.sparkContext.broadcast(index)  # at most INDEX_BYTES of text
-
-        def run(batch: pa.RecordBatch, shared=shared) -> dict:
-            result, group, size = [], [], 0
-            for text in batch.column("text").to_pylist():
-                group.append(words_of(text or ""))
-                size += len(group[-1])
-                if size > GROUP_WORDS:
-                    result += shared.value.matches(group, threshold, min_overlap)
-                    group, size = [], 0
-            if group:
-                result += shared.value.matches(group, threshold, min_overlap)
-            return {"found": result}
-
-        out = append_columns(out, {"text": out[f"`{text_col}`"]}, run, f"found array<struct<{_ddl()}>>", schema)
-        made.append(f"{HITS}_{k}")
-        out = out.toDF(*columns, *made)
-    if not made:
+    context = docs.sparkSession.sparkContext
+    shared = [context.broadcast(index) for index in indexes(bench, item_col, item_text)]  # INDEX_BYTES of text each
+    if not shared:
         return docs.withColumn(HITS, F.array().cast(f"array<struct<{_ddl()}>>"))
-    found = F.concat(*[F.col(m) for m in made])
-    return out.withColumn(HITS, found).drop(*made)
+
+    def matches(group: list[list[str]]) -> list[list[dict]]:
+        found: list[list[dict]] = [[] for _ in group]
+        for index in shared:
+            for own, more in zip(found, index.value.matches(group, threshold, min_overlap)):
+                own += more
+        return found
+
+    def run(batch: pa.RecordBatch) -> dict:
+        result, group, size = [], [], 0
+        for text in batch.column("text").to_pylist():
+            group.append(words_of(text or ""))
+            size += len(group[-1])
+            if size > GROUP_WORDS:
+                result += matches(group)
+                group, size = [], 0
+        return {"found": result + (matches(group) if group else [])}
+
+    made = append_columns(docs, {"text": docs[f"`{text_col}`"]}, run, f"found array<struct<{_ddl()}>>", schema)
+    return made.toDF(*docs.columns, HITS)
 
 
 def _ddl() -> str:
