@@ -20,7 +20,7 @@ table writes no blocks; other columns are ignored.
 
 from __future__ import annotations
 
-import json
+import os
 import re
 import struct
 import zlib
@@ -121,36 +121,29 @@ def _plain_pieces() -> tuple[re.Pattern, re.Pattern]:
 
 
 class ByteLevelEncoder:
-    """Ids of the public byte-level BPE vocabulary, as its tokenizer file gives them.
+    """Ids of the public byte-level BPE vocabulary, by the tokenizers library.
 
-    The tokenizer's own merging is tiktoken's (the same ranks, read from the same file); pieces are kept by
-    text, since words repeat.  The kept pieces are bounded by ``CACHE_WORDS``.
+    Plain texts are cut into the tokenizer's pieces here; the library encodes the pieces not seen before, many at a
+    time, and they are kept by text, since words repeat (bounded by ``CACHE_WORDS``).  Other texts, and those with a
+    special token's string, go to the library whole.
     """
 
     def __init__(self, name: str):
-        import tiktoken
-        with open(tokenizer_path(name), encoding="utf-8") as f:
-            spec = json.load(f)
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in set(shown)]
-        to_byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        ranks = {bytes(to_byte[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in self.special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.slow = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.vocabulary = max([*ranks.values(), *self.special.values()]) + 1
-        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
+        from tokenizers import Tokenizer
+        self.library = Tokenizer.from_file(tokenizer_path(name))
+        self.library.no_truncation()
+        self.library.no_padding()
+        added = self.library.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        self.vocabulary = max([*self.library.get_vocab(with_added_tokens=True).values(), *added]) + 1
         self.odd, self.cut = _plain_pieces()
         self.pieces: dict[str, bytes] = {}  # ids of known pieces as native 32-bit numbers
         self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            parts = [np.array([self.special[x]], np.uint32) if x in self.special else self.encode(x)
-                     for x in self.split.split(text) if x]
-            return np.concatenate(parts)
-        if self.odd.search(text):
-            return np.array(self.slow.encode_ordinary(text), np.uint32)
+        if self.odd.search(text) or any(s in text for s in self.special):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         if len(self.pieces) > CACHE_WORDS:  # two generations: pieces that do not come again are dropped
             self.pieces, self.older = {}, self.pieces
         found = self.cut.findall(text)
@@ -161,9 +154,15 @@ class ByteLevelEncoder:
 
     def _learn(self, fresh: set[str]) -> None:
         """Put pieces into the current generation of the table."""
-        encode, older = self.slow.encode_ordinary, self.older
+        unseen = []
         for p in fresh:
-            self.pieces[p] = older.get(p) or array("I", encode(p)).tobytes()
+            known = self.older.get(p)
+            if known is None:
+                unseen.append(p)
+            else:
+                self.pieces[p] = known
+        for p, e in zip(unseen, self.library.encode_batch_fast(unseen, add_special_tokens=False)):
+            self.pieces[p] = array("I", e.ids).tobytes()
 
 
 def encoder(name: str) -> ByteLevelEncoder:
