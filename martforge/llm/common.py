@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,6 +109,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
     _MADE.pop(path, None)
 
 
+def share_files(spark: SparkSession, path: str) -> list[str]:
+    """Have Spark bring the files of a Parquet table in the shared folder to every executor; their names there.
+
+    Executors fetch them through Spark's own file layer, whatever store holds them, also those that start later.
+    """
+    names = []
+    for file in sorted(spark.read.parquet(path).inputFiles()):
+        spark.sparkContext.addFile(file)
+        names.append(file.rsplit("/", 1)[1])
+    return names
+
+
+def executor_file(name: str) -> str:
+    """Local place of a file of ``share_files`` in a task."""
+    return SparkFiles.get(name)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``rows`` rows, so what is built beside a batch stays small."""
     for batch in batches:

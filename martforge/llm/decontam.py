@@ -19,10 +19,12 @@ Both bounds only overestimate, so nothing above the threshold is lost.
 
 The statistics of BM25 (number of items, document frequencies, mean length) and the length of passages are those of the
 whole benchmark: Spark counts them once, and each item carries the frequencies of its own words.  Only the
-postings are cut, into indexes of at most ``INDEX_BYTES`` of item text, so results do not depend on where the cuts
-fall.  The driver holds one item block at a time; the indexes together grow with the benchmark and are broadcast one by
-one (a few times their text: postings, and block maxima only where a block has the term).  One pass over the
-documents tokenises each text once and looks it up in every index.
+postings are cut, by hashes of the items, into indexes of about ``INDEX_BYTES`` of item text (one larger item makes its
+own larger), so results do not depend on where the cuts fall.  A task builds an index from its items and writes it
+to the shared folder (a few times its text: postings, and block maxima only where a block has the term);
+neither items nor indexes pass through the driver's memory, and nothing is broadcast.  Spark brings the files to the
+executors.  One pass over the documents tokenises each text once and looks a group of texts up in one index
+after the other; a worker keeps up to ``HELD_BYTES`` of indexes and holds one more at a time.
 
 Question and answer: an item's text after ``Answer:`` is its answer, else what follows the last question
 mark, else its last line, else its last sentence; an item of one sentence is all question.
@@ -34,6 +36,7 @@ columns pass through.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,10 +44,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import append_columns, written
+from martforge.llm.common import append_columns, executor_file, new_path, share_files, written
 
 THRESHOLD = 0.5
 SHINGLE = 5
@@ -53,6 +57,7 @@ MIN_PART = 0.5
 K1, B = 1.2, 0.75
 INDEX_BYTES = 4 << 20
 MAX_BLOCKS = 128     # blocks of items in one index
+HELD_BYTES = 64 << 20  # indexes that a worker keeps between groups of texts, in bytes of their files
 GROUP_WORDS = 150_000
 
 WORD = re.compile(r"[^\W_]+")
@@ -102,6 +107,7 @@ class Statistics:
     items: int
     words: int
     longest: int
+    text_bytes: int = 0
 
 
 class BlockMaxIndex:
@@ -126,6 +132,8 @@ class BlockMaxIndex:
         whole = statistics or Statistics(n, sum(len(x[1]) for x in self.items), longest)
         # numbered in the order of the words, so a score is the same sum in every cut
         self.vocabulary = {w: t for t, w in enumerate(sorted({w for x in self.items for w in x[1]}))}
+        one = {w: w for w in self.vocabulary}  # an image holds each word once
+        self.items = [(item, *([one[w] for w in part] for part in parts)) for item, *parts in self.items]
         for _, words, _, _ in self.items:
             own: dict[int, int] = {}
             for w in words:
@@ -242,7 +250,7 @@ class BlockMaxIndex:
 
 
 def item_rows(bench: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, Statistics]:
-    """``item, text, frequencies`` of the items with words, and the statistics of all; counted in Spark."""
+    """``key, item, text, frequencies`` of the items with words, and the statistics of all; counted in Spark."""
     schema = pa.schema([("words", pa.list_(pa.string())), ("size", pa.int64())])
 
     def run(batch):
@@ -253,28 +261,53 @@ def item_rows(bench: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame
         "key", F.monotonically_increasing_id())
     items = written(append_columns(given, {"text": given["text"]}, run, "words array<string>, size long", schema)
                     .where("size > 0"), "items")
-    total = items.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"), F.max("size").alias("longest")).first()
+    total = items.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"), F.max("size").alias("longest"),
+                      F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
     words = items.select("key", F.explode("words").alias("word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     of_item = words.join(counts, "word").groupBy("key").agg(  # an item's own words
         F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("frequencies"))
-    return (items.join(of_item, "key").select("item", "text", "frequencies"),
-            Statistics(total["n"], total["words"] or 0, total["longest"] or 0))
+    return (items.join(of_item, "key").select("key", "item", "text", "frequencies"),
+            Statistics(total["n"], total["words"] or 0, total["longest"] or 0, total["bytes"] or 0))
 
 
-def indexes(bench: DataFrame, item_col: str, text_col: str) -> Iterator[BlockMaxIndex]:
-    """Indexes of at most ``INDEX_BYTES`` of item text each, made one after the other."""
-    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+def _order(item: tuple) -> tuple:
+    return item[0] is None, item[0] or 0, item[1]
+
+
+def index_files(bench: DataFrame, item_col: str, text_col: str) -> list[str]:
+    """Names of the index files on the executors, each an index of about ``INDEX_BYTES`` of item text."""
     rows, statistics = item_rows(bench, item_col, text_col)
-    items, size = [], 0
-    for item, text, frequencies in rows.toLocalIterator():
-        if items and size + len(text) > INDEX_BYTES:
-            yield BlockMaxIndex(sorted(items, key=order), statistics)
-            items, size = [], 0
-        items.append((item, text, frequencies))
-        size += len(text)
-    if items:
-        yield BlockMaxIndex(sorted(items, key=order), statistics)
+    cuts = -(-statistics.text_bytes // INDEX_BYTES)
+    if not cuts:
+        return []
+    schema = pa.schema([("cut", pa.int64()), ("image", pa.binary())])
+
+    def build(key: tuple, group: pa.Table) -> pa.Table:
+        items = zip(group["item"].to_pylist(), group["text"].to_pylist(), map(dict, group["frequencies"].to_pylist()))
+        index = BlockMaxIndex(sorted(items, key=_order), statistics)
+        image = pickle.dumps(index, protocol=pickle.HIGHEST_PROTOCOL)
+        return pa.table({"cut": [key[0].as_py()], "image": pa.array([image], pa.binary())}, schema=schema)
+
+    spark, path = bench.sparkSession, new_path(bench.sparkSession, "indexes")
+    made = (rows.withColumn("cut", F.pmod(F.xxhash64("key"), F.lit(cuts))).groupBy("cut")
+            .applyInArrow(build, "cut long, image binary"))
+    made.write.option("maxRecordsPerFile", 1).parquet(path)
+    return share_files(spark, path)
+
+
+_HELD: dict[str, tuple[BlockMaxIndex, int]] = {}
+
+
+def held_index(name: str) -> BlockMaxIndex:
+    """The index of a file; the first ones, ``HELD_BYTES`` together, stay in the worker."""
+    if name in _HELD:
+        return _HELD[name][0]
+    image = pq.read_table(executor_file(name), columns=["image"]).column("image")[0].as_buffer()
+    index = pickle.loads(image)
+    if sum(size for _, size in _HELD.values()) + image.size <= HELD_BYTES:
+        _HELD[name] = index, image.size
+    return index
 
 
 HIT = ("item_id long, first_word long, bm25_share double, overlap double, question_overlap double, "
@@ -288,15 +321,14 @@ def with_matches(docs: DataFrame, bench: DataFrame, text_col: str = "text", item
                  item_text: str = "text", threshold: float = THRESHOLD, min_overlap: float = MIN_OVERLAP) -> DataFrame:
     """``docs`` with the column ``HITS``: the benchmark items found in each text (empty: clean)."""
     schema = pa.schema([("found", pa.list_(_HIT))])
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(index) for index in indexes(bench, item_col, item_text)]  # INDEX_BYTES of text each
-    if not shared:
+    files = index_files(bench, item_col, item_text)
+    if not files:
         return docs.withColumn(HITS, F.array().cast(f"array<struct<{_ddl()}>>"))
 
     def matches(group: list[list[str]]) -> list[list[dict]]:
         found: list[list[dict]] = [[] for _ in group]
-        for index in shared:
-            for own, more in zip(found, index.value.matches(group, threshold, min_overlap)):
+        for name in files:
+            for own, more in zip(found, held_index(name).matches(group, threshold, min_overlap)):
                 own += more
         return found
 

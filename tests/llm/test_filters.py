@@ -1,9 +1,12 @@
 """Toxicity, decontamination and language identification."""
 
+import pickle
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +161,39 @@ def test_decontamination_in_several_indexes(spark, monkeypatch):
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(i, i) for i in range(30)]
 
 
+def test_a_worker_keeps_a_bounded_number_of_indexes(spark, tmp_path, monkeypatch):
+    rnd = random.Random(3)
+    names = []
+    for k in range(4):
+        index = decontam.BlockMaxIndex([(k * 10 + i, prose(rnd, 30)) for i in range(10)])
+        names.append(str(tmp_path / f"{k}.parquet"))
+        pq.write_table(pa.table({"image": [pickle.dumps(index)]}), names[-1])
+    size = len(pickle.dumps(index))
+    monkeypatch.setattr(decontam, "executor_file", lambda name: name)
+    monkeypatch.setattr(decontam, "_HELD", {})
+    monkeypatch.setattr(decontam, "HELD_BYTES", int(2.5 * size))
+    for _ in range(2):
+        got = [decontam.held_index(n).items[0][0] for n in names]
+        assert got == [0, 10, 20, 30] and sum(b for _, b in decontam._HELD.values()) <= 2.5 * size
+    assert len(decontam._HELD) == 2
+
+
+def test_indexes_are_neither_collected_nor_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 500)
+    rnd = random.Random(8)
+    bench = spark.createDataFrame([(k, prose(rnd, 30)) for k in range(40)], "item_id long, text string")
+
+    def fail(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", fail)
+    monkeypatch.setattr(type(bench), "toLocalIterator", fail)
+    names = decontam.index_files(bench, "item_id", "text")
+    assert len(names) == len(set(names)) > 5
+    held = [item for n in names for item, *_ in decontam.held_index(n).items]
+    assert sorted(held) == list(range(40))
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
