@@ -4,16 +4,20 @@ Terminals.  Insults are learned: words, and word beginnings that many words shar
 more toxic than clean training texts; their weight is the smoothed log ratio.  Threat verbs, intent words, targets,
 negations and words of reported speech are fixed lists.
 
-Grammar.  A clause is what lies between sentence marks and line breaks.  Five transducers read its symbols in step:
-
-* insult: an insult adds its weight, more if a target stands in the clause before or after it;
-* threat: intent, threat verb, target in this order add a fixed weight;
-* target: remembers that a target was seen;
-* negation: a negation word scales what the next tokens add;
-* reported speech: after a word of saying, or inside quotation marks, what is added is scaled.
-
-Their composition is the product automaton: the weight of an insult or threat arc times the factors of the
-scope states.  A clause's score is the sum over its path.  A lone insult is an accepting pattern of its own and adds its
+Grammar.  A clause is what lies between sentence marks and line breaks; its tokens are words, with contractions
+and elisions taken apart (``i'll``: i will, ``don't``: do not, ``t'es``: te es), and quotation marks.  A token's symbol is its word
+class.  Five weighted transducers, each a table of states and arcs, read the symbols:
+
+* ``NEGATION``: a negation word scales what the next tokens add;
+* ``REPORTED``: after a word of saying, or inside quotation marks, what is added is scaled;
+* ``threat``: reads the symbol with the factor of the two before; intent, threat verb, target in this order add a fixed
+  weight times the verb's factor, and so does an imperative verb that opens the clause right before a reflexive;
+* ``TARGET``: remembers that a target was seen; its final weight scales the clause's insults;
+* insult: one state, an arc for each learned terminal, whose weight is scaled by the factor.
+
+``compose`` makes one deterministic table of them (``PRODUCT``), built once: negation and reported speech
+in parallel, their factor fed to threats and insults, the target beside them.  A clause's score is the weight of its path.
+A lone insult is an accepting pattern of its own and adds its
 whole weight, because the labels of the tables call such texts toxic; a target only strengthens it, and a threat verb
 alone adds nothing.  A text's features are its best clause and the saturated sum over its clauses, and a logistic function, fitted on the
 training rows, maps them to 0 .. 1.
@@ -30,6 +34,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Hashable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -47,27 +53,155 @@ STEM_WORDS = 4          # different words that a learned beginning must cover
 
 #: Closed word classes of the grammar, English, German, French and Spanish.
 TARGETS = frozenset("you your yours u he she they them him her his their these those du dich dir ihr euch sie er "
-                    "tu toi vous ils elles il elle tú usted ustedes ellos ellas él ella".split())
-NEGATIONS = frozenset("not no never neither nor without isn't aren't wasn't don't doesn't nicht kein keine nie "
+                    "tu te toi vous ils elles il elle tú usted ustedes ellos ellas él ella".split())
+REFLEXIVES = frozenset("yourself yourselves himself herself themselves themself urself".split())
+NEGATIONS = frozenset("not no never neither nor without nicht kein keine nie "
                       "niemals ohne ne pas jamais sans nunca jamás sin".split())
 REPORTS = frozenset("said says say called wrote writes reported quoted quote according claims claimed sagte sagt schrieb "
                     "nannte dit disait écrit appelé dijo dice escribió llamó".split())
-INTENTS = frozenset("will gonna going should must werde werden will soll vais va vas voy debe".split())
+INTENTS = frozenset("will gonna going should must werde werden soll vais va vas voy debe".split())
 THREATS = frozenset("kill hurt beat shoot stab punch destroy töten schlagen verletzen tuer frapper blesser matar "
                     "golpear herir".split())
+OPENERS = frozenset("go just please now and so then".split())  # may stand before an imperative
+QUOTES = frozenset("\"“”„«»")
+CLASSES = {"target": TARGETS, "reflexive": REFLEXIVES, "negation": NEGATIONS, "report": REPORTS, "intent": INTENTS,
+           "verb": THREATS, "opener": OPENERS, "quote": QUOTES}
+SYMBOLS = ("other", *CLASSES)
+CLASS_OF = {word: SYMBOLS.index(name) for name, members in CLASSES.items() for word in members}
+
+#: What the parts of contractions and elisions stand for.
+ENDINGS = {"ll": "will", "re": "are", "ve": "have", "m": "am", "d": "would", "s": "is"}
+CUT_STEMS = {"wo": "will", "ca": "can", "sha": "shall"}
+ELISIONS = {"t": "te", "n": "ne"}
+
 THREAT_WEIGHT = 4.0
 TARGET_BONUS = 1.25
 NEGATED, NEGATION_SCOPE = 0.6, 3
-REPORTED = 0.7
+REPORTED_FACTOR = 0.7
 
-TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”„«»]")
+TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[\"“”„«»]")
 CLAUSE = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W\d_]+")
-QUOTES = frozenset("\"“”„«»")
+
+
+def tokens_of(clause: str) -> list[str]:
+    """Words and quotation marks of a lower-case clause; contractions and elisions as the words they stand for."""
+    out = []
+    for token in TOKEN.findall(clause.replace("’", "'")):
+        parts = token.split("'")
+        if len(parts) == 1:
+            out.append(token)
+        elif parts[-1] == "t" and parts[-2].endswith("n"):
+            stem = parts[-2][:-1]
+            out += [*parts[:-2], CUT_STEMS.get(stem, stem), "not"] if stem else [*parts[:-2], "not"]
+        else:
+            out += [ELISIONS.get(p, p) for p in parts[:-1]]
+            out.append(ENDINGS.get(parts[-1], parts[-1]))
+    return out
+
+
+class Transducer(NamedTuple):
+    """A weighted automaton: ``arcs[state, input] = (state, output)``; a state without a final weight has 1."""
+
+    start: Hashable
+    arcs: dict[tuple[Hashable, Hashable], tuple[Hashable, Hashable]]
+    final: dict[Hashable, float]
+
+    def run(self, inputs) -> tuple[list, float]:
+        """The outputs along a path, and its final weight."""
+        state, out = self.start, []
+        for x in inputs:
+            state, y = self.arcs[state, x]
+            out.append(y)
+        return out, self.final.get(state, 1.0)
+
+
+def _scaling(start: Hashable, factor: dict[Hashable, float], moves: dict) -> Transducer:
+    """A transducer whose states scale by ``factor`` what they read; ``moves[state, symbol]`` (or ``"other"``) is next."""
+    arcs = {(q, x): (moves.get((q, x), moves[q, "other"]), f) for q, f in factor.items() for x in SYMBOLS}
+    return Transducer(start, arcs, {})
+
+
+#: States: tokens of scope left.  A quotation mark takes none.
+NEGATION = _scaling(0, {n: NEGATED if n else 1.0 for n in range(NEGATION_SCOPE + 1)},
+                    {(n, x): {"other": max(0, n - 1), "negation": NEGATION_SCOPE, "quote": n}[x]
+                     for n in range(NEGATION_SCOPE + 1) for x in ("other", "negation", "quote")})
+
+#: States: after a word of saying, inside quotation marks.
+REPORTED = _scaling("plain", {"plain": 1.0, "told": REPORTED_FACTOR, "quoted": REPORTED_FACTOR, "both": REPORTED_FACTOR},
+                    {("plain", "other"): "plain", ("plain", "report"): "told", ("plain", "quote"): "quoted",
+                     ("told", "other"): "told", ("told", "quote"): "both",
+                     ("quoted", "other"): "quoted", ("quoted", "report"): "both", ("quoted", "quote"): "plain",
+                     ("both", "other"): "both", ("both", "quote"): "told"})
+
+TARGET = Transducer("none", {(q, x): ("seen" if x in ("target", "reflexive") else q, 1.0)
+                             for q in ("none", "seen") for x in SYMBOLS}, {"seen": TARGET_BONUS})
+
+FACTORS = tuple(sorted({a * b for a in (1.0, NEGATED) for b in (1.0, REPORTED_FACTOR)}))
+
+
+def threat(factors: tuple[float, ...] = FACTORS) -> Transducer:
+    """Reads ``(symbol, factor)``.  States: phase, and the factor of a verb that waits for its target (0: none).
+
+    Phases: ``open`` (only openers so far), ``idle``, ``intent``, ``order`` (an imperative was read just before).
+    """
+    arcs = {}
+    for phase in ("open", "idle", "intent", "order"):
+        for waits in (0.0, *factors):
+            for f in factors:
+                for x in SYMBOLS:
+                    after, weight = (phase if phase == "intent" else "idle", waits), 0.0
+                    if x == "quote" or (x == "opener" and phase == "open"):
+                        after = phase, waits
+                    elif x == "intent":
+                        after = "intent", waits
+                    elif x == "verb" and phase == "intent":
+                        after = "idle", f
+                    elif x == "verb" and phase == "open":
+                        after = "order", f
+                    elif phase == "order":  # only a reflexive right after it makes the imperative a threat
+                        after, weight = ("idle", 0.0), THREAT_WEIGHT * waits if x == "reflexive" else 0.0
+                    elif x in ("target", "reflexive") and waits:
+                        after, weight = (after[0], 0.0), THREAT_WEIGHT * waits
+                    arcs[(phase, waits), (x, f)] = after, weight
+    return Transducer(("open", 0.0), arcs, {})
+
+
+def both(a: Transducer, b: Transducer) -> Transducer:
+    """Both read the same symbols; their outputs are multiplied."""
+    arcs = {((p, q), x): ((p2, q2), u * v) for (p, x), (p2, u) in a.arcs.items()
+            for (q, y), (q2, v) in b.arcs.items() if x == y}
+    return Transducer((a.start, b.start), arcs, {})
+
+
+def compose(scope: Transducer, after: Transducer, beside: Transducer) -> tuple[list[list[tuple]], list[float]]:
+    """The product over the states that can be reached: rows of ``(next state, factor, weight)`` by symbol, final weights.
+
+    ``after`` reads each symbol with the output of ``scope``; ``beside`` reads the symbols and gives the final weight.
+    """
+    states = [(scope.start, after.start, beside.start)]
+    number = {states[0]: 0}
+    rows = []
+    for p, q, r in states:  # grows while it is read
+        row = []
+        for x in SYMBOLS:
+            p2, factor = scope.arcs[p, x]
+            q2, weight = after.arcs[q, (x, factor)]
+            to = p2, q2, beside.arcs[r, x][0]
+            if to not in number:
+                number[to] = len(states)
+                states.append(to)
+            row.append((number[to], factor, weight))
+        rows.append(row)
+    return rows, [beside.final.get(r, 1.0) for _, _, r in states]
+
+
+SCOPE = both(NEGATION, REPORTED)
+PRODUCT, FINAL = compose(SCOPE, threat(), TARGET)
 
 
 class Grammar:
-    """Learned terminals and the composed automaton."""
+    """Learned terminals, and the score of texts by the product automaton."""
 
     def __init__(self, words: dict[str, float], stems: dict[str, float]):
         self.words, self.stems = words, stems
@@ -90,41 +224,19 @@ class Grammar:
 
     def clause_score(self, tokens: list[str]) -> float:
         """Weight of the clause's path through the product automaton."""
-        total, waiting = 0.0, 0.0       # waiting: insults that a later target would strengthen
-        target = quoted = told = False  # target automaton; reported speech
-        negated = intent = verb = 0     # tokens of scope left; threat automaton
+        state, insults, threats = 0, 0.0, 0.0
         for token in tokens:
-            if token in QUOTES:
-                quoted = not quoted
-                continue
-            factor = (NEGATED if negated else 1.0) * (REPORTED if told or quoted else 1.0)
-            negated = max(0, negated - 1)
-            if token in NEGATIONS:
-                negated = NEGATION_SCOPE
-            if token in REPORTS:
-                told = True
-            if token in TARGETS:
-                if verb:
-                    total += THREAT_WEIGHT * verb
-                    verb = 0
-                total += waiting * (TARGET_BONUS - 1)
-                target, waiting = True, 0.0
-            if token in THREATS and intent:
-                verb, intent = factor, 0
-            if token in INTENTS:
-                intent = 1
-            weight = self.insult(token) * factor
-            if weight:
-                total += weight * (TARGET_BONUS if target else 1.0)
-                waiting += 0.0 if target else weight
-        return total
+            state, factor, weight = PRODUCT[state][CLASS_OF.get(token, 0)]
+            threats += weight
+            insults += self.insult(token) * factor
+        return insults * FINAL[state] + threats
 
     def features(self, text: str | None) -> tuple[float, float]:
         """Best clause and saturated sum over clauses."""
         low = (text or "").lower()
         if not self.fires(set(WORD.findall(low))):
             return 0.0, 0.0
-        scores = [self.clause_score(TOKEN.findall(c)) for c in CLAUSE.split(low)]
+        scores = [self.clause_score(tokens_of(c)) for c in CLAUSE.split(low)]
         return max(scores), math.log1p(sum(scores))
 
     def score(self, text: str | None) -> float:

@@ -76,13 +76,58 @@ def test_the_automaton_scores_clauses():
     assert score("you idiot") == score("an idiot they are") == 5.0
     assert score("not an idiot") == pytest.approx(4.0 * toxicity.NEGATED)
     assert score("she said idiot") < score("you are an idiot")
-    assert score('the "idiot" there') == pytest.approx(4.0 * toxicity.REPORTED)
+    assert score('the "idiot" there') == pytest.approx(4.0 * toxicity.REPORTED_FACTOR)
     assert score("loweiung") == 3.0 and score("aloweiung") == 0.0 and score("idiots") == 0.0
     assert score("we will kill you") == toxicity.THREAT_WEIGHT and score("kill the process") == 0.0
     assert score("idiot. idiot") == 4.0 and grammar.features("idiot. idiot")[1] > grammar.features("idiot")[1]
     assert grammar.features(None) == (0.0, 0.0)
 
 
+def test_the_sentences_of_the_grammar():
+    grammar = toxicity.Grammar({"moron": 4.0, "not": 0.0}, {})
+    score = lambda s: grammar.features(s)[0]
+    for threat in ("I'll kill you", "i will kill you", "I’ll kill you", "go kill yourself", "just go kill yourself", "Kill yourself"):
+        assert score(threat) == toxicity.THREAT_WEIGHT, threat
+    assert score("you're a moron") == score("you are a moron") == score("you’re a moron") == 4.0 * toxicity.TARGET_BONUS
+    assert score("don't be a moron") == score("don’t be a moron") == pytest.approx(4.0 * toxicity.NEGATED)
+    assert score("he won't kill you") == pytest.approx(toxicity.THREAT_WEIGHT * toxicity.NEGATED)
+    for harmless in ("kill the process before you leave", "please kill the lights", "to kill yourself", "you kill it", "i'll go"):
+        assert score(harmless) == 0.0, harmless
+    assert toxicity.tokens_of("t'es l'idiot n'est can't o'clock's") == "te es l idiot ne est can not o is".replace(
+        "o is", "o clock is").split()
+
+
+def test_each_transducer_alone():
+    symbols = lambda s: [toxicity.SYMBOLS[toxicity.CLASS_OF.get(t, 0)] for t in toxicity.tokens_of(s)]
+    n, r, w, b = toxicity.NEGATED, toxicity.REPORTED_FACTOR, toxicity.THREAT_WEIGHT, toxicity.TARGET_BONUS
+    assert toxicity.NEGATION.run(symbols("a not b c d e")) == ([1, 1, n, n, n, 1], 1)
+    assert toxicity.NEGATION.run(symbols('not "a b" c d')) == ([1, n, n, n, n, n, 1], 1)
+    assert toxicity.REPORTED.run(symbols('a "b" c said d "e" f')) == ([1, 1, r, r, 1, 1, r, r, r, r, r], 1)
+    assert toxicity.TARGET.run(symbols("a b"))[1] == 1 and toxicity.TARGET.run(symbols("a you b"))[1] == b
+    threat = lambda s, f=1.0: sum(toxicity.threat().run([(x, f) for x in symbols(s)])[0])
+    assert threat("we will kill you") == w and threat("we will kill you", r) == w * r and threat("we will kill") == 0
+    assert threat("will kill you and will beat him") == 2 * w and threat("go kill yourself") == w
+    words = [x for some in toxicity.CLASSES.values() for x in some]
+    assert len(words) == len(set(words)) == len(toxicity.CLASS_OF)
+
+
+def test_the_product_is_the_cascade_of_the_transducers():
+    rnd = random.Random(7)
+    grammar = toxicity.Grammar({"idiot": 4.0, "kill": 3.0, "you": 1.5}, {"lowei": 2.0})
+    words = ["x", "idiot", "loweiung"] + [w for some in toxicity.CLASSES.values() for w in sorted(some)[:2]] + ["kill", "will", "you"]
+    some, threat = 0, toxicity.threat()
+    for _ in range(3000):
+        clause = [rnd.choice(words) for _ in range(rnd.randint(0, 14))]
+        symbols = [toxicity.SYMBOLS[toxicity.CLASS_OF.get(t, 0)] for t in clause]
+        factors = [a * b for a, b in zip(toxicity.NEGATION.run(symbols)[0], toxicity.REPORTED.run(symbols)[0])]
+        threats = sum(threat.run(zip(symbols, factors))[0])
+        insults = sum(grammar.insult(t) * f for t, f in zip(clause, factors))
+        want = insults * toxicity.TARGET.run(symbols)[1] + threats
+        assert grammar.clause_score(clause) == pytest.approx(want)
+        some += threats > 0
+    assert some > 200 and len(toxicity.PRODUCT) > 50
+
+
 BENCH = ["The quick onble thing erou ran over the hill?\nBecause the onbler erth was there.",
          "Onth ther ingou bleth on er the ou. Question: who erth? Answer: the ingble onou thon",
          "one two three", "single sentence of six little words", "", None, "!!!"]

@@ -57,6 +57,25 @@ def test_op4_holds_out_a_fold(spark, con):
     assert all(r["held_out"] == (fold(r["doc_id"], 4) == 2) and r["predicted"] == int(r["score"] >= 0.3) for r in got)
 
 
+def test_op4_on_held_out_rows(spark):
+    """9 of 14 held-out toxic texts and no false alarm; the other labelled texts hold no toxic word at all."""
+    folder = SF.replace("sf0.001", "sf0.01")
+    truth = {r["doc_id"]: r["toxic"] for r in read(spark, folder, "labels").collect()}
+    held = [r for r in QUERIES["op4_toxicity"](spark, folder).collect() if r["held_out"] and r["doc_id"] in truth]
+    caught = [r["predicted"] for r in held if truth[r["doc_id"]]]
+    alarms = sum(r["predicted"] for r in held if not truth[r["doc_id"]])
+    assert sum(caught) >= 0.6 * len(caught) > 0 and alarms <= 0.01 * len(held)
+
+
+def test_op4_never_reads_held_out_labels(spark, tmp_path):
+    os.symlink(f"{SF}/documents.parquet", tmp_path / "documents.parquet")
+    labels = read(spark, SF, "labels")
+    rows = [r.asDict() | ({"toxic": 1 - r["toxic"]} if fold(r["doc_id"], 4) == 2 else {}) for r in labels.collect()]
+    spark.createDataFrame(rows, labels.schema).write.parquet(str(tmp_path / "labels.parquet"))
+    scores = lambda folder: sorted((r["doc_id"], r["score"]) for r in QUERIES["op4_toxicity"](spark, folder).collect())
+    assert scores(str(tmp_path)) == scores(SF)
+
+
 def test_op5_against_brute_force(spark, con):
     from tests.llm.test_filters import matches_brute
     docs = con.execute("SELECT doc_id, text FROM documents").fetchall()
