@@ -113,9 +113,11 @@ def share_files(spark: SparkSession, path: str) -> list[str]:
     """Have Spark bring the files of a Parquet table in the shared folder to every executor; their names there.
 
     Executors fetch them through Spark's own file layer, whatever store holds them, also those that start later.
+    Files without rows, which empty tasks may write, are left out.
     """
     names = []
-    for file in sorted(spark.read.parquet(path).inputFiles()):
+    found = spark.read.parquet(path).select(F.input_file_name().alias("file")).distinct().collect()  # a name a file
+    for file in sorted(r["file"] for r in found):
         spark.sparkContext.addFile(file)
         names.append(file.rsplit("/", 1)[1])
     return names

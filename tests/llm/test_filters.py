@@ -239,6 +239,18 @@ def test_indexes_are_neither_collected_nor_broadcast(spark, monkeypatch):
     assert sorted(held) == list(range(40))
 
 
+def test_empty_tasks_leave_no_index(spark):
+    bench = spark.createDataFrame([(1, "some words of one item"), (2, "other words of the next one")], "item_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # every shuffle partition is a task of its own
+    try:
+        names = decontam.index_files(bench, "item_id", "text")
+        got = decontam.contaminated(table(spark, [(7, "x some words of one item y")]), bench).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(names) == 1 and [i for i, *_ in decontam.held_index(names[0]).items] == [1, 2]
+    assert [(r["doc_id"], r["item_id"]) for r in got] == [(7, 1)]
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
