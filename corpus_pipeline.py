@@ -35,7 +35,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """The document with the smallest id of each SimHash component (rows that repeat an id stay or go together)."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
     kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
-            .distinct().hint("shuffle_hash"))
+            .distinct())
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
 
 
