@@ -96,6 +96,21 @@ def written(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, tag: str, key: str) -> DataFrame:
+    """As ``written``, dealt by ``key`` into as many buckets as a shuffle has partitions, each a sorted file.
+
+    Buckets of two such tables hold the same keys, so Spark joins and aggregates them by ``key`` without an exchange.
+    The catalog knows the table only until it is read here; its files are those of ``new_path``.
+    """
+    spark = df.sparkSession
+    path, name = new_path(spark, tag), f"llm_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # a table with a path of its own keeps its files
+    return table
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut off from its lineage by a reliable checkpoint in the shared folder."""
     shared_root(df.sparkSession)  # sets a folder where a local session has none

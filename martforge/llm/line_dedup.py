@@ -11,7 +11,8 @@ documents already; since ids descend, their owner cannot change), adds what is l
 as its own run, and when a level holds ``fan_out`` runs, they are compacted into one
 run of the next level.  A line found in a third of all documents therefore stops
 growing the state after the first batch.  The last compaction gives every key's
-total.
+total.  All runs are dealt into the same buckets by key, a sorted file each, so a stored run
+meets a batch or another run bucket by bucket and is never exchanged again.
 
 Hashes are 128 bits (XXH3), so different lines do not meet at any real size.  Texts
 are read twice and shuffled once, to meet their lists of lines to drop; all
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import ASCII_WS, map_batches, small_batches, written
+from martforge.llm.common import ASCII_WS, bucketed, map_batches, small_batches, written
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -63,13 +64,30 @@ def _hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Data
     return map_batches(src, run, "id long, key binary", pa.schema([("id", pa.int64()), ("key", pa.binary())]))
 
 
-def _compact(runs: list[DataFrame], tag: str) -> DataFrame:
-    """One sorted run with the totals of several."""
-    rows = runs[0]
-    for r in runs[1:]:
-        rows = rows.unionByName(r)
-    rows = rows.groupBy("key").agg(F.sum("n").alias("n"), F.max("owner").alias("owner"))
-    return written(rows.sortWithinPartitions("key"), tag)
+def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The totals of two runs: a merge join, bucket by bucket.  (A union of bucketed scans would be aggregated without
+    an exchange too, but Spark 4.1 lays such scans end to end instead of bucket to bucket.)"""
+    b = b.select("key", F.col("n").alias("n2"), F.col("owner").alias("owner2"))
+    return a.join(b.hint("merge"), "key", "full_outer").select(
+        "key", (F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n"),
+        F.greatest("owner", "owner2").alias("owner"))
+
+
+def _totals(runs: list[DataFrame], tag: str) -> DataFrame:
+    """The totals of several runs, two at a time; all but the last result are stored runs again."""
+    total = runs[0]
+    for i, r in enumerate(runs[1:], 1):
+        total = _merged(total, r)
+        if i < len(runs) - 1:
+            total = bucketed(total, tag, "key")
+    return total
+
+
+def _unsettled(own: DataFrame, runs: list[DataFrame], min_docs: int) -> DataFrame:
+    """The rows of a batch whose keys no run has settled."""
+    for r in runs:
+        own = own.join(r.where(F.col("n") >= min_docs).select("key").hint("merge"), "key", "left_anti")
+    return own
 
 
 def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, fan_out: int = FAN_OUT) -> DataFrame:
@@ -79,25 +97,21 @@ def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, fan_out: int = FA
     the documents up to the batch in which the key settled.
     """
     levels: dict[int, list[DataFrame]] = {}
-    settled: DataFrame | None = None
     batches = sorted(r[0] for r in lines.select("batch").distinct().collect())
     for b in batches:
         own = lines.where(F.col("batch") == b).groupBy("key").agg(
             F.count_distinct("id").alias("n"), F.max("id").alias("owner"))
-        if settled is not None:
-            own = own.join(settled.select("key"), "key", "left_anti")
-        runs, level = [written(own.sortWithinPartitions("key"), f"lines-run{b}")], 0
+        if levels:
+            own = _unsettled(own, [r for runs in levels.values() for r in runs], min_docs)
+        runs, level = [bucketed(own, f"lines-run{b}", "key")], 0
         while len(levels.get(level, [])) + len(runs) >= fan_out:
-            runs, level = [_compact(levels.pop(level, []) + runs, f"lines-level{level + 1}")], level + 1
+            tag = f"lines-level{level + 1}"
+            runs, level = [bucketed(_totals(levels.pop(level, []) + runs, tag), tag, "key")], level + 1
         levels.setdefault(level, []).extend(runs)
-        every = [r for runs in levels.values() for r in runs]
-        settled = every[0].where(F.col("n") >= min_docs)
-        for r in every[1:]:
-            settled = settled.unionByName(r.where(F.col("n") >= min_docs))
     every = [r for runs in levels.values() for r in runs]
     if not every:
         return lines.sparkSession.createDataFrame([], "key binary, n long, owner long")
-    return (every[0] if len(every) == 1 else _compact(every, "lines-last")).where(F.col("n") >= min_docs)
+    return _totals(every, "lines-last").where(F.col("n") >= min_docs)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
@@ -119,7 +133,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = [f"c{i}" for i in range(len(rest))]
     src = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"),
                       *[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names)])
-    joined = src.join(lost.hint("shuffle_hash"), src["_doc"].cast("long") == lost["id"], "left").drop("id")
+    joined = src.join(lost, src["_doc"].cast("long") == lost["id"], "left").drop("id")
     fields = {f.name: f for f in joined.schema.fields}
     out = f"_doc {fields['_doc'].dataType.simpleString()}, _text binary, _n_lines long, _n_dropped long" + "".join(
         f", {n} {fields[n].dataType.simpleString()}" for n in names)

@@ -8,8 +8,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from martforge.llm import exact_dedup, line_dedup, simhash
+from martforge.llm.common import bucketed
 from tests.llm.helpers import awkward, table
 
 WS = re.compile(r"[\x20\x09-\x0D]")
@@ -105,6 +107,23 @@ def test_dedup_lines(spark, batches, fan_out):
     assert all(r["c0"] == r["doc_id"] and r["in_text"] == "y" and r["n"] is None for r in got.collect())
 
 
+def test_runs_of_lines_are_never_exchanged_again(spark):
+    lines = spark.createDataFrame([(b, i, bytes([i % 11])) for b in range(3) for i in range(60 * b, 200)],
+                                  "batch int, id long, key binary")
+    runs = [bucketed(lines.where(F.col("batch") == b).where(F.col("key") != bytes([b])).groupBy("key").agg(
+        F.count_distinct("id").alias("n"), F.max("id").alias("owner")), "test-run", "key") for b in range(3)]
+    for plan in (line_dedup._merged(*runs[:2]), line_dedup._unsettled(runs[0], runs[1:], 18), line_dedup._totals(runs, "t")):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Bucketed: true") >= 2 and "SortMergeJoin" in text and "Exchange" not in text
+    totals = [(r["key"][0], r["n"], r["owner"]) for r in line_dedup._totals(runs, "t").collect()]
+    assert sorted(totals) == [
+        (k, sum(len([i for i in range(60 * b, 200) if i % 11 == k]) for b in range(3) if b != k),
+         max(i for i in range(200) if i % 11 == k)) for k in range(11)]
+    settled = {r["key"][0] for r in runs[1].where("n >= 12").collect()}
+    left = [r["key"][0] for r in line_dedup._unsettled(runs[0], [runs[1]], 12).collect()]
+    assert settled and left and sorted(left) == sorted(set(range(1, 11)) - settled)
+
+
 def test_dedup_lines_of_an_empty_table(spark):
     assert line_dedup.dedup_lines(table(spark, [])).collect() == []
 
