@@ -1,7 +1,9 @@
 """Toxicity, decontamination and language identification."""
 
+import math
 import pickle
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -332,6 +334,51 @@ def test_the_stored_model_equals_the_one_in_memory(spark, monkeypatch):
         np.testing.assert_allclose(m.probability(wanted, model.characters), whole.probability(wanted, model.characters))
 
 
+def kneser_ney_brute(texts, characters):
+    """Log probability of a word from strings and dictionaries alone, written from the formulas."""
+    counts = [Counter()]
+    for text in texts:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            padded = "\x01\x01\x01" + word + "\x02"
+            counts[0].update(padded[i - 3:i + 1] for i in range(3, len(padded)))
+    for _ in range(3):
+        counts.append(Counter(gram[1:] for gram in counts[-1]))
+
+    def discount(c):
+        once, twice = (sum(v == n for v in c.values()) for n in (1, 2))
+        return min(0.95, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
+
+    discounts = [discount(c) for c in counts]
+
+    def p(gram):
+        if not gram:
+            return 1 / characters
+        c, d = counts[4 - len(gram)], discounts[4 - len(gram)]
+        after = [v for g, v in c.items() if g[:-1] == gram[:-1]]
+        if not after:
+            return p(gram[1:])
+        return (max(0.0, c[gram] - d) + d * len(after) * p(gram[1:])) / sum(after)
+
+    return lambda word: sum(math.log(p(("\x01\x01\x01" + word + "\x02")[i - 3:i + 1])) for i in range(3, len(word) + 4))
+
+
+@pytest.mark.parametrize("held", [langid.HELD_BYTES, 2_000])
+def test_word_probabilities_equal_brute_force(spark, monkeypatch, held):
+    monkeypatch.setattr(langid, "PIECE_ROWS", 40)
+    monkeypatch.setattr(langid, "HELD_BYTES", held)
+    langid._HELD.clear()
+    rows = languages(40)
+    model = langid.train(table(spark, rows), calibration_rows=0)
+    characters = len({c for _, text, _ in rows for w in langid.words_of(text) for c in w}) + 2  # word end, all others
+    words = sorted({w for _, text, _ in rows for w in langid.words_of(text)})[::9] + ["zqx", "ñandú"]
+    found = model.word_logs(words)
+    for i, lang in enumerate(model.languages):
+        brute = kneser_ney_brute([text for _, text, x in rows if x == lang], characters)
+        np.testing.assert_allclose(found[:, i], [brute(w) for w in words], rtol=1e-5)
+    sizes = [b.size for b in langid._HELD.values()]
+    assert len(sizes) > 3 and sum(sizes) - max(sizes) <= held
+
+
 def test_a_language_with_many_sequences_crowds_out_none(spark):
     rnd = np.random.default_rng(3)
     rows = [(i, "".join(map(chr, 0x4E00 + rnd.integers(0, 5000, 4000))), "aa") for i in range(420)]
