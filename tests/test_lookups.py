@@ -138,3 +138,23 @@ def test_each_network_has_its_own_accounts(spark):
     none, one = n(), n(linkedin_excluded=(2,))  # account 2 exists in the second network only
     assert one == none
     assert n(facebook_excluded=(2,))["LinkedIn"] == none["LinkedIn"] and n(facebook_excluded=(2,)).get("Facebook", 0) < none["Facebook"]
+
+
+def test_tied_group_versions_do_not_multiply_spend_rows(spark, monkeypatch):
+    """Versions without a time tie as latest; a line meets each of their names once, before the UNION too."""
+    from martforge.plans import spend
+    make = spark.createDataFrame
+    analytics = make([(1, "2024-01-02", 10, 1, 2, 3.5), (1, "2024-01-03", 20, 2, 0, None)],
+                     "campaign_id long, day string, impressions long, clicks long, external_website_conversions long, cost_in_usd double")
+    campaigns = make([(1, 7, 5)], "id long, campaign_group_id long, account_id long")
+    groups = make([(7, n, None) for n in ("a", "b", None) for _ in range(40)] + [(7, "old", "2024-01-01")], "id long, name string, t string")
+    groups = groups.select("id", "name", F.col("t").cast("timestamp_ntz").alias("last_modified_time"))
+    daily = make([], "campaign_id long, campaign_name string, date date, ad_id long, account_id long, impressions long, clicks long, "
+                     "inline_link_clicks long, conversions long, spend double, cost double, action_type string")
+    args = [analytics, campaigns, groups, daily, make([], "id long, name string"), daily.drop("conversions"), daily, daily, daily]
+    want = sorted((n or "", d, s or 0) for n in ("a", "b", None) for d, s in (("2024-01-02", 3.5), ("2024-01-03", None)))
+    found = lambda df: sorted((r["campaign_name"] or "", str(r["campaign_date"]), r["spend"] or 0) for r in df.collect())
+    assert found(spend.marketing_spend(*args)) == want
+    union = spend.union_distinct
+    monkeypatch.setattr(spend, "union_distinct", lambda legs: union(legs, distinct=False))
+    assert found(spend.marketing_spend(*args)) == want
