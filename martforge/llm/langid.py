@@ -15,9 +15,9 @@ Scoring tasks look up the sequences they meet by binary search, hold at most ``H
 keep the finished log probabilities of recent sequences.
 
 Prediction.  Lowest cross-entropy per character.  The score is the winner's share of the
-likelihood over at most ``EVIDENCE`` characters.  Rejection is calibrated on a sample of about ``CALIBRATION_ROWS`` training texts: a text
-whose entropy under its best language exceeds that language's ``REJECT_QUANTILE`` is marked ``rejected``; its
-prediction stays visible.
+likelihood over at most ``EVIDENCE`` characters.  Rejection is calibrated on all training texts: a text whose entropy under its best
+language exceeds that language's ``REJECT_QUANTILE`` (of the training texts that it wins rightly) is marked ``rejected``; its
+prediction stays visible.  ``identified`` scores every text once, for the limits and for its prediction.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; without training rows all are ``und``;
 ties go to the first language in alphabetical order; a null language is never learned; ids and other columns
@@ -34,17 +34,17 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from martforge.llm.common import (append_columns, bounded_sample, drop_path, executor_file, new_path, share_files,
-                                  small_batches)
+from martforge.llm.common import append_columns, drop_path, executor_file, new_path, share_files, small_batches, written
 
 ORDER = 4
 PIECE_ROWS = 500_000
 PIECE_TASKS = 16        # tasks that write an order, at least
 HELD_BYTES = 192 << 20   # pieces that a worker keeps
 CACHE_BYTES = 64 << 20  # finished log probabilities that a worker keeps
-CALIBRATION_ROWS = 4_000
 REJECT_QUANTILE = 0.999
+RANGES = 4_096  # ranges of entropy a nat, counted before a quantile is looked for in one of them
 EVIDENCE = 48
 CACHE_WORDS = 250_000
 FLUSH_WORDS = 200_000
@@ -302,22 +302,63 @@ class LanguageModel:
         return out
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel:
-    """A model from all rows of ``docs`` (the training rows); the ids only choose the rows that calibrate rejection."""
-    known = docs.where(F.col(lang_col).isNotNull())
-    rows = _labelled(known, text_col, lang_col)
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", calibration_rows: int | None = None) -> LanguageModel:
+    """A model from all rows of ``docs`` (the training rows), which calibrate rejection too.
+
+    ``calibration_rows=0`` leaves calibration out; there is no other number, since limits never come from a sample.
+    """
+    if calibration_rows:
+        raise ValueError("rejection is calibrated on all rows (None) or not at all (0)")
+    rows = _labelled(docs.where(F.col(lang_col).isNotNull()), text_col, lang_col)
     counts = rows.mapInArrow(_gram_counts, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     model = _stored_model(counts)
-    if model.languages and calibration_rows:
-        sample = _labelled(bounded_sample(known, F.col(id_col), calibration_rows), text_col, lang_col)
-        limits = (predicted(sample, model).where(F.col("__lang.lang") == F.col("lang")).groupBy("lang")
-                  .agg(F.percentile("__lang.entropy", F.lit(REJECT_QUANTILE)).alias("h")).collect())
-        for r in limits:
-            model.limits[model.languages.index(r["lang"])] = r["h"]
+    if model.languages and calibration_rows is None:
+        scored = written(predicted(rows, model).select("lang", "__lang"), "langid-scored")
+        for lang, limit in rejection_limits(scored, "lang").items():
+            model.limits[model.languages.index(lang)] = limit
     return model
 
 
+def identified(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without its text and with ``__lang`` as by ``predicted``, for a model of the rows where ``training`` holds.
+
+    The scores of the training rows are those that calibrate rejection, so no text is scored twice.
+    """
+    model = train(docs.where(training), text_col, lang_col, calibration_rows=0)
+    marked = docs.withColumn("__known", F.when(training, F.col(lang_col)))
+    scored = written(predicted(marked, model, text_col).drop(text_col), "langid-scored")
+    limits = rejection_limits(scored, "__known")
+    if limits:
+        limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("__lang.lang"))
+        over = F.col("__lang.entropy") > F.coalesce(limit, F.lit(float("inf")))
+        scored = scored.withColumn("__lang", F.col("__lang").withField("rejected", F.coalesce(over, F.lit(True))))
+    return scored.drop("__known")
+
+
+def rejection_limits(scored: DataFrame, known_col: str) -> dict[str, float]:
+    """``percentile(entropy, REJECT_QUANTILE)`` of each language over all texts that its model wins rightly.
+
+    Ranges of entropy are counted first; only the different values in the ranges that hold the wanted places are put in order,
+    so no task holds a language's values.  Two rows a language reach the driver.
+    """
+    rows = scored.where(F.col(known_col) == F.col("__lang.lang")).select(
+        F.col(known_col).alias("lang"), F.col("__lang.entropy").alias("h")).where(F.col("h").isNotNull())
+    rows = rows.withColumn("range", F.floor(F.col("h") * RANGES))
+    before = lambda order, *by: F.coalesce(F.sum("n").over(
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    holds = (F.col("before") <= F.ceil("place")) & (F.col("before") + F.col("n") > F.floor("place"))
+    ranges = (rows.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("n"))
+              .select("lang", "range", "n", before("range", "lang").alias("before"),
+                      ((F.sum("n").over(Window.partitionBy("lang")) - 1) * F.lit(REJECT_QUANTILE)).alias("place"))
+              .where(holds).select("lang", "range", "place", F.col("before").alias("first")))
+    values = (rows.join(F.broadcast(ranges), ["lang", "range"]).groupBy("lang", "range", "place", "first", "h")
+              .agg(F.count(F.lit(1)).alias("n"))
+              .select("lang", "place", "h", "n", (F.col("first") + before("h", "lang", "range")).alias("before")).where(holds))
+    share = F.col("place") - F.floor("place")
+    found = values.groupBy("lang").agg(((1 - F.max(share)) * F.min("h") + F.max(share) * F.max("h")).alias("h"))
+    return {r["lang"]: r["h"] for r in found.collect()}
+
+
 def _stored_model(counts: DataFrame) -> LanguageModel:
     """The model of ``(lang, key, n)``, one row for each sequence of a language; its arrays stay in files in the shared folder."""
     spark = counts.sparkSession

@@ -303,6 +303,32 @@ def test_language_identification(spark):
     assert [r["__lang"]["lang"] for r in langid.predicted(table(spark, rows[:2]), untrained).collect()] == ["und"] * 2
 
 
+def test_rejection_is_calibrated_on_all_training_texts(spark):
+    """More texts than any sample took: the limits are the percentiles over all that are won rightly."""
+    rnd = random.Random(4)
+    kinds = {"de": ("sch", "ung", "ü"), "en": ("th", "er", "ing")}
+    rows = [(i, prose(rnd, rnd.randint(1, 2), kinds[lang]), lang) for i in range(6000) for lang in [rnd.choice(sorted(kinds))]]
+    rows += [(None, "thing", "en"), (7, None, "en"), (8, "12", "de"), (9, "ther", None), (10, "zqx", "de"), (10, "zqx", "de")]
+    docs = table(spark, rows)
+    training = F.col("doc_id") % 5 != 0
+    model = langid.train(docs.where(training))
+    entropy = {}
+    for i, text, lang in rows:
+        if i is not None and i % 5 != 0 and lang:
+            best, _, h, _ = model.predict([text])[0]
+            if best == lang:
+                entropy.setdefault(lang, []).append(h)
+    assert min(map(len, entropy.values())) > 2000
+    want = [np.percentile(entropy[lang], 100 * langid.REJECT_QUANTILE) for lang in model.languages]
+    assert np.allclose(model.limits, want, rtol=1e-12)
+    once = langid.identified(docs, training)
+    assert once.columns == [*[c for c in docs.columns if c != "text"], "__lang"]
+    plain = lambda df: sorted(((r["doc_id"], tuple(r["__lang"])) for r in df.collect()), key=str)
+    assert plain(once) == plain(langid.predicted(docs, model))
+    none = langid.identified(docs, F.lit(False)).collect()
+    assert len(none) == len(rows) and all(r["__lang"]["lang"] == "und" and r["__lang"]["rejected"] for r in none)
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     words = ["there", "then", "on", "other", "thorn"]
     keys, _ = langid.grams(words)
