@@ -105,7 +105,7 @@ def read_document(data: bytes, block_number: int, position: int) -> np.ndarray:
 
 
 _WORD_CACHE: dict[str, dict] = {}
-CACHE_WORDS = 250_000  # pieces of one generation of the table
+CACHE_WORDS = 500_000  # pieces of one generation of the table, of which two are held
 
 
 def _plain_pieces() -> tuple[re.Pattern, re.Pattern]:
@@ -123,8 +123,8 @@ def _plain_pieces() -> tuple[re.Pattern, re.Pattern]:
 class ByteLevelEncoder:
     """Ids of the public byte-level BPE vocabulary, by the tokenizers library.
 
-    Plain texts are cut into the tokenizer's pieces here; the library encodes the pieces not seen before, many at a
-    time, and they are kept by text, since words repeat (bounded by ``CACHE_WORDS``).  Other texts, and those with a
+    Plain texts are cut into the tokenizer's pieces here; the library encodes the pieces not seen before, a text's new words
+    in a row, and they are kept by text, since words repeat (bounded by ``CACHE_WORDS``).  Other texts, and those with a
     special token's string, go to the library whole.
     """
 
@@ -154,14 +154,24 @@ class ByteLevelEncoder:
 
     def _learn(self, fresh: set[str]) -> None:
         """Put pieces into the current generation of the table."""
-        unseen = []
+        words, others = [], []
         for p in fresh:
             known = self.older.get(p)
-            if known is None:
-                unseen.append(p)
-            else:
+            if known is not None:
                 self.pieces[p] = known
-        for p, e in zip(unseen, self.library.encode_batch_fast(unseen, add_special_tokens=False)):
+            elif p[0] == " " and p[1:].isalpha():
+                words.append(p)
+            else:
+                others.append(p)
+        if words:  # a space begins a piece, so the library cuts the words in a row as they are
+            e = self.library.encode("".join(words), add_special_tokens=False)
+            of = np.array(e.word_ids)
+            if of[-1] != len(words) - 1:
+                raise ValueError("the library cut words in a row otherwise")
+            ends = np.searchsorted(of, np.arange(len(words)), "right")
+            ids, ends = array("I", e.ids).tobytes(), (4 * ends).tolist()
+            self.pieces.update(zip(words, map(ids.__getitem__, map(slice, [0, *ends], ends))))
+        for p, e in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
             self.pieces[p] = array("I", e.ids).tobytes()
 
 

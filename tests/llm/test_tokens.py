@@ -103,6 +103,29 @@ def test_byte_level_ids_match_the_library():
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_new_words_of_a_text_go_to_the_library_in_a_row():
+    own = token_files.ByteLevelEncoder("byte_bpe_50k.json")
+    library, asked = own.library, []
+
+    class Counted:
+        def encode(self, text, **kw):
+            asked.append(text)
+            return library.encode(text, **kw)
+
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **kw)
+
+    own.library = Counted()
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdeilmnorstuÀßäéſŽ") for _ in range(rnd.randint(1, 12)))
+    for k in range(6):
+        asked.clear()
+        text = " ".join(word() for _ in range(300)) + "  it's 12 x\n"
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(asked) < 12, k
+
+
 def test_the_piece_table_stays_bounded(monkeypatch):
     texts = [t for _, t in awkward(n=60) if t and len(t) < 5000]
     want = [token_files.ByteLevelEncoder("byte_bpe_50k.json").encode(t).tolist() for t in texts]
